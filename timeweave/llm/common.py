@@ -59,7 +59,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 # ---------------------------------------------------------------- Arrow mapping
 
 
-def map_rows(df: DataFrame, schema: pa.Schema, ddl: str, fn: Callable[[list[tuple]], Iterator[tuple]], columns: list[str]) -> DataFrame:
+def map_rows(df: DataFrame, schema: pa.Schema, ddl: str, fn: Callable[[Iterator[tuple]], Iterator[tuple]], columns: list[str], out_rows: int = OUT_ROWS) -> DataFrame:
     """mapInArrow over ``columns``: ``fn`` maps an iterator of row tuples to output tuples, streamed in small batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +72,7 @@ def map_rows(df: DataFrame, schema: pa.Schema, ddl: str, fn: Callable[[list[tupl
         held: list[tuple] = []
         for row in fn(rows()):
             held.append(row)
-            if len(held) >= OUT_ROWS:
+            if len(held) >= out_rows:
                 yield to_batch(held, schema)
                 held = []
         if held:
