@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language_id, quality_model, secret_scan, token_files, toxicity
+from . import byte_bpe, html_text, language_id, quality_model, secret_scan, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan.query,
     "op2_token_files": token_files.query,
+    "op4_html_text": html_text.query,
     "op6_quality_model": quality_model.query,
     "op7_toxicity": toxicity.query,
     "op9_byte_bpe": byte_bpe.query,
