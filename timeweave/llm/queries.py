@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_text, language_id, quality_model, secret_scan, token_files, toxicity
+from . import byte_bpe, html_text, language_id, quality_model, secret_scan, token_files, toxicity, vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_text": html_text.query,
     "op6_quality_model": quality_model.query,
     "op7_toxicity": toxicity.query,
+    "op8_vector_search": vector_search.query,
     "op9_byte_bpe": byte_bpe.query,
     "op10_language_id": language_id.query,
 }
