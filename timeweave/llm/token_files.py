@@ -14,11 +14,11 @@ come first, rows with equal keys are ordered by their texts.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,8 @@ BLOCK, PERCENTILE = 128, 0.98
 #: Ids in a segment, unless one document has more.
 SEGMENT = 1 << 18
 MAGIC = b"PFR1"
-KEPT = 300_000
+#: Distinct words that a worker remembers (about 150 bytes each).
+KEPT = 600_000
 
 
 # ---------------------------------------------------------------- blocks
@@ -110,42 +111,74 @@ def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
 # ---------------------------------------------------------------- encoding
 
 
+class Words(dict):
+    """Packed ids of words after ``lead`` (a blank, or nothing), each encoded by the tokenizers library when first met."""
+
+    def __init__(self, library, kind: np.dtype, lead: str):
+        self.split, self.lead = library.pre_tokenizer.pre_tokenize_str, lead
+        # The printable stand-in of each byte in byte-level vocabularies.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.stand_in = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*plain}))}
+        self.one = [np.array([i], kind).tobytes() for i in range(library.get_vocab_size())]
+        self.tokenize = library.model.tokenize
+        self.marks = {m: self.pack(m) for m in ".,;:!?"}
+
+    def pack(self, piece: str) -> bytes:
+        """``piece``: one pre-token, in stand-ins."""
+        one = self.one
+        return b"".join([one[t.id] for t in self.tokenize(piece)])
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= KEPT:
+            self.clear()
+        if word.isalpha():
+            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.stand_in)
+            ids = self.pack("\u0120" + mapped if self.lead else mapped)
+        elif word[-1:] in self.marks and word[:-1].isalpha():
+            ids = self[word[:-1]] + self.marks[word[-1]]
+        else:
+            ids = b"".join(self.pack(piece) for piece, _ in self.split(self.lead + word))
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """The tokenizers library behind a memory of words.
 
     A text may be cut before any blank that follows a non-blank: every match of
-    the byte-level pattern ends there. Words met again are not encoded again.
+    the byte-level pattern ends there. Texts with other white space before a
+    blank go to the library whole.
     """
 
     # White space besides the blank.
     OTHER = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
     def __init__(self, path: str):
+        # one thread a worker: Spark runs a worker a core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.words, self.heads = Words(self.library, self.kind, " "), Words(self.library, self.kind, "")
         self.double = [c + " " for c in " " + self.OTHER]
+        self.ascii_double = [d for d in self.double if d.isascii()]
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def encode(self, text: str | None) -> list[int]:
+    def packed(self, text: str | None) -> bytes:
+        """Ids of ``text`` as an array of ``kind``."""
         if not text:
-            return []
-        plain = self.double[: self.double.index("\x1f ") + 1] if text.isascii() else self.double
-        if text[0] == " " or any(d in text for d in plain):
-            return self.whole(text)
+            return b""
+        if text[0] == " " or text[-1] == " " or any(d in text for d in (self.ascii_double if text.isascii() else self.double)):
+            return np.array(self.whole(text), self.kind).tobytes()
         head, *rest = text.split(" ")
-        found = self.words
-        if new := [w for w in set(rest) if w not in found]:
-            if len(found) + len(new) > KEPT:
-                found.clear()
-                new = list(set(rest))
-            for w, e in zip(new, self.library.encode_batch_fast([" " + w for w in new], add_special_tokens=False), strict=True):
-                found[w] = tuple(e.ids)
-        return [*self.whole(head), *chain.from_iterable(map(found.__getitem__, rest))]
+        return b"".join([self.heads[head], *map(self.words.__getitem__, rest)])
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.packed(text), self.kind).tolist()
 
 
 @lru_cache(2)
@@ -161,18 +194,25 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", t
 
     def encode(rows: Iterator[tuple]) -> Iterator[tuple]:
         own, shard, at = encoder(path), TaskContext.get().partitionId(), 0
-        keys, lengths, ids = [], [], []
+        end, size = np.array([end_id], own.kind).tobytes(), own.kind.itemsize
+        keys: list[int | None] = []
+        lengths: list[int] = []
+        parts: list[bytes] = []
+
+        def packed() -> tuple:
+            return shard, at, sum(lengths), segment(keys, lengths, np.frombuffer(b"".join(parts), own.kind).astype(np.uint32))
+
         for k, t in rows:
-            new = own.encode(t)
+            new = own.packed(t)
             keys.append(k)
-            lengths.append(len(new) + 1)
-            ids += [*new, end_id]
-            if len(ids) >= SEGMENT:
-                yield shard, at, len(ids), segment(keys, lengths, np.array(ids, np.uint32))
-                at += len(ids)
-                keys, lengths, ids = [], [], []
+            lengths.append(len(new) // size + 1)
+            parts += [new, end]
+            if sum(lengths) >= SEGMENT:
+                yield packed()
+                at += sum(lengths)
+                keys, lengths, parts = [], [], []
         if keys:
-            yield shard, at, len(ids), segment(keys, lengths, np.array(ids, np.uint32))
+            yield packed()
 
     kinds = pa.schema([("shard", pa.int32()), ("at", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())])
     return stored(map_rows(ordered, kinds, "shard int, at long, n_ids long, payload binary", encode, ["k", "t"], out_rows=4), "tokens")
