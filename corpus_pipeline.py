@@ -10,11 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timeweave.llm import byte_bpe, language_id, secret_scan
+from timeweave.llm import byte_bpe, decontaminate, jaccard_join, language_id, secret_scan
 from timeweave.llm.common import stored
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id.stage),
+    ("jaccard_join", jaccard_join.stage),
+    ("decontaminate", decontaminate.stage),
     ("secret_scan", secret_scan.stage),
     ("byte_bpe", byte_bpe.stage),
 ]

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_text, jaccard_join, language_id, quality_model, secret_scan, token_files, toxicity, vector_search
+from . import byte_bpe, decontaminate, html_text, jaccard_join, language_id, quality_model, secret_scan, token_files, toxicity, vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan.query,
     "op2_token_files": token_files.query,
     "op3_jaccard_join": jaccard_join.query,
     "op4_html_text": html_text.query,
+    "op5_decontaminate": decontaminate.query,
     "op6_quality_model": quality_model.query,
     "op7_toxicity": toxicity.query,
     "op8_vector_search": vector_search.query,
