@@ -32,6 +32,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -203,7 +204,9 @@ def _verified(pairs: DataFrame, rows: DataFrame, measured: DataFrame, size: int,
 def _residual(used: DataFrame, roots: DataFrame, rows: DataFrame, measured: DataFrame, size: int, threshold: int) -> DataFrame:
     """Candidate pairs of one key but different components, by sketch."""
     placed = used.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    open_keys = placed.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("k")
+    # keys of the same members (two hashes and their number agree) give the same pairs: one of them is enough
+    same = [F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"h{i}") for i in (1, 2)]]
+    open_keys = placed.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *same).where("lo <> hi").groupBy("n", "h1", "h2").agg(F.min("k").alias("k")).select("k")
     members = stored(placed.join(open_keys, "k"), "jaccard-open")
     if members.isEmpty():
         return members.select(F.col("cls").alias("a"), F.col("root").alias("b"))
@@ -222,23 +225,27 @@ def _residual(used: DataFrame, roots: DataFrame, rows: DataFrame, measured: Data
     numbered = numbered.withColumn("blocks", F.max("block").over(blocks)).join(sketches, "cls")
     cells = numbered.withColumn("other", F.explode(F.expr("sequence(0, blocks)"))).select("k", "cls", "root", "n", "s", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
 
-    def compare(t: pa.Table) -> pa.Table:
-        cls, root, n = (t[c].to_numpy() for c in ("cls", "root", "n"))
-        side = t["block"].to_numpy() == t["i"].to_numpy()
-        bits = np.frombuffer(b"".join(t["s"].to_pylist()), np.uint64).reshape(len(cls), -1)
-        one, two = np.flatnonzero(side), np.flatnonzero(~side) if t["i"][0] != t["j"][0] else np.flatnonzero(side)
-        a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x in one:
-            y = two[(root[two] != root[x]) & ((cls[two] < cls[x]) | (t["i"][0] != t["j"][0]))]
-            y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * threshold]
-            if len(y):
-                apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
-                y = y[apart <= most_apart(n[y], n[x], threshold)]
-                a_out.append(np.maximum(cls[y], cls[x]))
-                b_out.append(np.minimum(cls[y], cls[x]))
-        return pa.table({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
-
-    return cells.groupBy("k", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    def compare(rows_: Iterator[tuple]) -> Iterator[tuple]:
+        for (_, i, j), group in groupby(rows_, key=lambda r: r[:3]):
+            _, _, _, cls_, root_, n_, s_, block_ = zip(*group, strict=True)
+            cls, root, n, block = (np.array(c, np.int64) for c in (cls_, root_, n_, block_))
+            bits = np.frombuffer(b"".join(s_), np.uint64).reshape(len(cls), -1)
+            if i == j:
+                # one end of every pair lies outside the largest component
+                names, sizes = np.unique(root, return_counts=True)
+                one, two = np.flatnonzero(root != names[sizes.argmax()]), np.arange(len(cls))
+            else:
+                one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            for x in one.tolist():
+                y = two[root[two] != root[x]]
+                y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * threshold]
+                if len(y):
+                    y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1) <= most_apart(n[y], n[x], threshold)]
+                    yield from ((max(c, int(cls[x])), min(c, int(cls[x]))) for c in cls[y].tolist())
+
+    dealt = cells.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
+    pairs = map_rows(dealt, pa.schema([("a", pa.int64()), ("b", pa.int64())]), "a long, b long", compare, ["k", "i", "j", "cls", "root", "n", "s", "block"], out_rows=1 << 14)
+    return pairs.distinct()
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
