@@ -135,11 +135,11 @@ def _j9(spark, d):
     return J.closest_terms(_suspects(spark, d), terms)
 
 
-@query("j10_hamming_nn", f"""with {HASH}, p as (select a.vec_id as id, b.vec_id as rid, bit_count(xor(a.h, b.h)) as dist from hash a, hash b where a.vec_id % 5 = 0 and b.vec_id % 5 <> 0)
-select id, rid, cast(dist as int) as dist from (select *, row_number() over (partition by id order by dist, rid) as k from p where dist <= 14) where k = 1""")
+@query("j10_hamming_nn", f"""with {HASH}, p as (select a.vec_id as id, b.vec_id as rid, bit_count(xor(xor(a.h, 37), b.h)) as dist from hash a, hash b where a.vec_id % 5 = 0)
+select id, rid, cast(dist as int) as dist from (select *, row_number() over (partition by id order by dist, rid) as k from p where dist <= 6) where k = 1""")
 def _j10(spark, d):
     h = hashes(spark, d)
-    return J.hamming_nn(h.where("vec_id % 5 = 0").select(F.col("vec_id").alias("id"), "h"), h.where("vec_id % 5 <> 0").select(F.col("vec_id").alias("rid"), F.col("h").alias("rh")), 14, 15)
+    return J.hamming_nn(h.where("vec_id % 5 = 0").select(F.col("vec_id").alias("id"), F.col("h").bitwiseXOR(F.lit(37)).alias("h")), h.select(F.col("vec_id").alias("rid"), F.col("h").alias("rh")))
 
 
 @query("j11_resolve_unique", """with l as (select distinct 'NATION_' || (n_nationkey % 13) as sub from nation), n as (select distinct n_name from nation),
