@@ -51,8 +51,11 @@ def repetition(docs: DataFrame, key: str, text: str, n: int = 8, min_grams: int
     """Most frequent non-blank line, and the share of distinct word n-grams (null with few of them)."""
     lines = docs.select(key, F.explode(F.split(text, "\n")).alias("line")).where(F.trim("line") != "").groupBy(key, "line").count()
     modal = lines.groupBy(key).agg(F.max("count").alias("modal_line"))
-    words = docs.select(key, F.filter(F.split(text, "[ \n]"), lambda w: w != "").alias("w"))
-    grams = words.select(key, F.explode(F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.xxhash64(F.array_join(F.slice("w", i, n), " ")))).otherwise(F.array().cast("array<bigint>"))).alias("g"))
+    words = docs.select(key, F.posexplode(F.filter(F.split(text, "[ \n]"), lambda w: w != "")).alias("pos", "w"))
+    # neighbours by a window: nothing is recomputed for each gram of a long text
+    next_words = Window.partitionBy(key).orderBy("pos")
+    parts = [F.col("w")] + [F.lead("w", i).over(next_words) for i in range(1, n)]
+    grams = words.select(key, F.xxhash64(*parts).alias("g"), parts[-1].alias("last")).where(F.col("last").isNotNull())
     share = grams.groupBy(key).agg((F.count_distinct("g") / F.count("*")).alias("diversity"), F.count("*").alias("n_grams"))
     return docs.select(key).join(modal, key, "left").join(share, key, "left").select(key, F.coalesce("modal_line", F.lit(0).cast("long")).alias("modal_line"), F.coalesce("n_grams", F.lit(0).cast("long")).alias("n_grams"), F.when(F.col("n_grams") >= min_grams, F.col("diversity")).alias("diversity"))
 
