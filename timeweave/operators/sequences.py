@@ -19,17 +19,18 @@ def adjacent_dedup(frames: DataFrame, keys: list[str], order: str, h: str = "h",
     in order; the last frame of a group is kept with the group's size and first.
     """
     seq = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(h).alias("h"))))
-    state = "struct<g:int,first:bigint,prev:bigint,out:array<struct<o:bigint,g:int>>>"
-    start = F.from_json(F.lit('{"g":0,"out":[]}'), state)
+    state = "struct<first:bigint,prev:bigint,starts:array<bigint>>"
+    start = F.from_json(F.lit('{"starts":[]}'), state)
 
     def fold(a: Column, x: Column) -> Column:
         far = lambda y, n: F.bit_count(y.bitwiseXOR(x["h"])) >= n
         new = F.coalesce(far(a["prev"], step) | far(a["first"], drift), F.lit(True))
-        g = a["g"] + new.cast("int")
-        return F.struct(g.alias("g"), F.when(new, x["h"]).otherwise(a["first"]).alias("first"), x["h"].alias("prev"), F.concat(a["out"], F.array(F.struct(x["o"].cast("long").alias("o"), g.alias("g")))).alias("out")).cast(state)
+        starts = F.when(new, F.concat(a["starts"], F.array(x["o"].cast("long")))).otherwise(a["starts"])
+        return F.struct(F.when(new, x["h"]).otherwise(a["first"]).alias("first"), x["h"].alias("prev"), starts.alias("starts")).cast(state)
 
-    rows = frames.groupBy(*keys).agg(seq.alias("seq")).select(*keys, F.explode(F.aggregate("seq", start, fold)["out"]).alias("x"))
-    return rows.groupBy(*keys, F.col("x.g").alias("grp")).agg(F.count("*").alias("group_size"), F.min("x.o").alias("first_frame"), F.max("x.o").alias("kept_frame"))
+    folded = frames.groupBy(*keys).agg(seq.alias("seq")).withColumn("starts", F.aggregate("seq", start, fold)["starts"])
+    rows = folded.select(*keys, "starts", F.explode("seq").alias("x")).withColumn("grp", F.size(F.filter("starts", lambda o: o <= F.col("x.o"))))
+    return rows.groupBy(*keys, "grp").agg(F.count("*").alias("group_size"), F.min("x.o").alias("first_frame"), F.max("x.o").alias("kept_frame"))
 
 
 def semantic_groups(df: DataFrame, keys: list[str], order: str, same: Column, text: str) -> DataFrame:
@@ -166,15 +167,15 @@ def split_untimed(segments: DataFrame, keys: list[str], text: str = "text") -> D
 def split_sentences(words: DataFrame, keys: list[str], max_dur: float = 8, gap_s: float = 3) -> DataFrame:
     """Greedy sentences of timed words (pos, w, start_s, end_s): cut after a full stop, before a gap, or when it would get too long."""
     seq = F.array_sort(F.collect_list(F.struct("pos", "w", "start_s", "end_s")))
-    state = "struct<g:int,t0:double,t1:double,stop:boolean,out:array<struct<pos:int,g:int>>>"
+    state = "struct<t0:double,t1:double,stop:boolean,starts:array<int>>"
 
     def fold(a: Column, x: Column) -> Column:
         new = F.coalesce(a["stop"] | (x["start_s"] - a["t1"] > gap_s) | (x["end_s"] - a["t0"] > max_dur), F.lit(True))
-        g = a["g"] + new.cast("int")
-        return F.struct(g.alias("g"), F.when(new, x["start_s"]).otherwise(a["t0"]).alias("t0"), x["end_s"].alias("t1"), x["w"].rlike("[.!?。！？]$").alias("stop"), F.concat(a["out"], F.array(F.struct(x["pos"].alias("pos"), g.alias("g")))).alias("out")).cast(state)
+        starts = F.when(new, F.concat(a["starts"], F.array(x["pos"]))).otherwise(a["starts"])
+        return F.struct(F.when(new, x["start_s"]).otherwise(a["t0"]).alias("t0"), x["end_s"].alias("t1"), x["w"].rlike("[.!?。！？]$").alias("stop"), starts.alias("starts")).cast(state)
 
-    marks = words.groupBy(*keys).agg(seq.alias("s")).select(*keys, F.explode(F.aggregate("s", F.from_json(F.lit('{"g":0,"out":[]}'), state), fold)["out"]).alias("x"))
-    joined = words.join(marks.select(*keys, F.col("x.pos").alias("pos"), F.col("x.g").alias("sentence_no")), [*keys, "pos"])
+    folded = words.groupBy(*keys).agg(seq.alias("s")).withColumn("starts", F.aggregate("s", F.from_json(F.lit('{"starts":[]}'), state), fold)["starts"])
+    joined = folded.select(*keys, "starts", F.explode("s").alias("x")).select(*keys, "x.*", F.size(F.filter("starts", lambda p: p <= F.col("x.pos"))).alias("sentence_no"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x["w"]), " ")
     return joined.groupBy(*keys, "sentence_no").agg(F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), text.alias("text"))
 
