@@ -170,6 +170,15 @@ def test_jaccard_join_matches_brute_force(spark, odd, none):
     assert kept.columns == odd.columns and kept.where("doc_id = 4").count() == 1 and kept.where("doc_id is null").count() == 2
 
 
+def test_hot_family_in_a_late_band(spark):
+    """More near copies than a key may have before it is hot, in a band beyond the 60th."""
+    base = [f"w{i}" for i in range(500)]
+    docs = table(spark, [(i, " ".join([*base, f"end{i}"]), None) for i in range(jaccard_join.HOT + 16)])
+    size = len(jaccard_join.shingle_set(" ".join([*base, "end"])))
+    assert jaccard_join.bands(97)[60] < size
+    assert {r["component_id"] for r in jaccard_join.similar_documents(docs, threshold=97).collect()} == {0}
+
+
 def test_sketch_distance_bounds_the_difference():
     rng = np.random.default_rng(2)
     for _ in range(50):

@@ -91,7 +91,7 @@ def sketch(shingles: np.ndarray, bits: int = SKETCH) -> bytes:
 
 
 def keys(shingles: np.ndarray, threshold: int) -> Iterator[tuple[int, int, int]]:
-    """(key, band, number of empty buckets) rows of a set."""
+    """(key, band, hot keys that the set can do without in the band: the spare buckets less the empty ones) rows of a set."""
     n = len(shingles)
     own = bisect_right(bands(threshold), n) - 1
     for band in (own, own - 1):
@@ -111,7 +111,7 @@ def keys(shingles: np.ndarray, threshold: int) -> Iterator[tuple[int, int, int]]
             gone = np.setdiff1d(np.arange(buckets), at)
             key += signed(mix((gone + (band << 32)).astype(_U) ^ _U(0xDB4F0B9175AE2165))).tolist()
         for k in key:
-            yield k, band, empty
+            yield k, band, spare(d) - empty
 
 
 def linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
@@ -143,18 +143,17 @@ def similarity_classes(docs: DataFrame, key: str = "doc_id", text: str = "text",
             s = shingle_set(t, size)
             if len(s) and (c := class_of(s)) not in seen:
                 seen.add(c)
-                yield from ((k, c, band, empty) for k, band, empty in keys(s, threshold))
+                yield from ((k, c, band, left) for k, band, left in keys(s, threshold))
 
-    dealt = map_rows(rows, pa.schema([("k", pa.int64()), ("cls", pa.int64()), ("band", pa.int32()), ("empty", pa.int32())]), "k long, cls long, band int, empty int", deal, ["t"], out_rows=1 << 14)
+    dealt = map_rows(rows, pa.schema([("k", pa.int64()), ("cls", pa.int64()), ("band", pa.int32()), ("left", pa.int32())]), "k long, cls long, band int, left int", deal, ["t"], out_rows=1 << 14)
     w = Window.partitionBy("k")
     # one exchange by key: exact copies are merged, then lone keys go
-    dealt = dealt.repartition("k").groupBy("k", "cls").agg(F.min("band").alias("band"), F.min("empty").alias("empty"))
+    dealt = dealt.repartition("k").groupBy("k", "cls").agg(F.min("band").alias("band"), F.min("left").alias("left"))
     shared = stored(dealt.withColumn("n", F.count("*").over(w)).where("n > 1"), "jaccard-keys")
     if shared.isEmpty():
         return measured.select("id", "n", "cls", F.col("cls").alias("root"))
-    spares = F.create_map(*[F.lit(x) for b in range(60) for x in (b, spare(plan(b, threshold)[0]))])
     hot = Window.partitionBy("cls", "band")
-    used = shared.withColumn("blocked", F.count(F.when(F.col("n") > HOT, 1)).over(hot) + F.col("empty")).where((F.col("n") <= HOT) | (F.col("blocked") > spares[F.col("band")]))
+    used = shared.withColumn("hot", F.count(F.when(F.col("n") > HOT, 1)).over(hot)).where((F.col("n") <= HOT) | (F.col("hot") > F.col("left")))
     # a partner is needed to be used by both
     least = used.groupBy("k").agg(F.min("cls").alias("rep"), F.count("*").alias("n")).where("n > 1").select("k", "rep")
     used = stored(used.select("k", "cls").join(least, "k"), "jaccard-used")
