@@ -51,6 +51,17 @@ def test_language_filters_return_all_languages():
     assert np.mean(m[:800] & 2 > 0) < 0.1
 
 
+def test_more_than_64_languages(spark):
+    """Each of 130 languages has words of its own, the later ones in fewer rows; every one is learned and found."""
+    word = lambda i, j: "".join(chr(0x4E00 + 40 * i + 4 * j + k) for k in range(4))
+    rows = [(1000 * i + n, " ".join(word(i, j) for j in range(10)), f"l{i:03}") for i in range(130) for n in range(9 - i // 43)]
+    docs = table(spark, rows)
+    filters = language_id.train(docs)
+    assert filters.languages == sorted({l for _, _, l in rows}) and filters.table.shape[1] == 3
+    got = language_id.identify(docs, filters, out=("found", "rate", "known")).select("lang", "found", "known").distinct().collect()
+    assert len(got) == 130 and all(r["lang"] == r["found"] and r["known"] == 1 for r in got)
+
+
 BASE = {
     "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 6),
     "access": (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),

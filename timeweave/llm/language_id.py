@@ -1,6 +1,7 @@
 """Language identification by bit-sliced Bloom filters over character n-grams.
 
-Every slot of one table holds a bit per language. Looking an n-gram up in its
+Every slot of one table holds a bit per language, in as many words as that
+takes. Looking an n-gram up in its
 slots and AND-ing the words gives all languages whose filter contains it at
 once. A text's answer is the language whose popcount over the text's n-grams,
 corrected for that filter's false positives, is largest.
@@ -66,7 +67,7 @@ def grams(text: str) -> Iterator[np.ndarray]:
 
 @dataclass
 class Filters:
-    """``table[slot]`` has bit i set when language i put an n-gram there."""
+    """``table[slot, i // 64]`` has bit i % 64 set when language i put an n-gram there; up to 64 languages ``table[slot]`` is one word."""
 
     languages: list[str]
     table: np.ndarray
@@ -80,10 +81,13 @@ class Filters:
         """Corrected share of the text's n-grams found, for each language; None when it has no letters."""
         n, hits = 0, np.zeros(len(self.languages))
         for h in grams(text):
-            found, times = np.unique(self.masks(h), return_counts=True)
             n += len(h)
-            for i in range(len(hits)):
-                hits[i] += times[(found >> found.dtype.type(i)) & found.dtype.type(1) == 1].sum()
+            masks = self.masks(h)
+            for w, column in enumerate(masks.T if masks.ndim > 1 else [masks]):
+                found, times = np.unique(column, return_counts=True)
+                part = hits[64 * w : 64 * (w + 1)]
+                for i in range(len(part)):
+                    part[i] += times[(found >> found.dtype.type(i)) & found.dtype.type(1) == 1].sum()
         if not n:
             return None
         return np.clip((hits / n - self.false_positive) / (1 - self.false_positive), 0, 1)
@@ -99,37 +103,37 @@ class Filters:
         return self.languages[best], float(r[best]) / total if total else 0.0, float(r[best])
 
 
-def build_filters(counts: dict[str, list[tuple[int, int]]]) -> Filters:
+def build_filters(counts: dict[str, list[tuple[int, int]] | np.ndarray]) -> Filters:
     """Filters from (n-gram hash, count) lists of each language."""
     languages = sorted(counts)
-    totals = {l: sum(n for _, n in counts[l]) or 1 for l in languages}
-    most: dict[int, float] = {}
-    for l in languages:
-        for g, n in counts[l]:
-            most[g] = max(most.get(g, 0.0), n / totals[l])
-    sets = {l: [g for g, n in counts[l] if n >= MIN_COUNT and n / totals[l] >= MIN_SHARE * most[g]] for l in languages}
+    pairs = {l: np.array(counts[l], np.int64).reshape(-1, 2) for l in languages}
+    totals = {l: int(pairs[l][:, 1].sum()) or 1 for l in languages}
+    known = np.unique(np.concatenate([np.empty(0, np.int64), *(p[:, 0] for p in pairs.values())]))
+    most = np.zeros(len(known))
+    for l, p in pairs.items():
+        np.maximum.at(most, np.searchsorted(known, p[:, 0]), p[:, 1] / totals[l])
+    sets = {l: p[(p[:, 1] >= MIN_COUNT) & (p[:, 1] / totals[l] >= MIN_SHARE * most[np.searchsorted(known, p[:, 0])]), 0] for l, p in pairs.items()}
     size = 1 << max(12, (SLOTS_PER_ENTRY * max([1, *map(len, sets.values())]) - 1).bit_length())
-    kind = next(t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(languages) <= bits)
-    table, rate = np.zeros(size, kind), np.zeros(len(languages))
+    kind = next((t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32)) if len(languages) <= bits), np.uint64)
+    table, rate = np.zeros((size, max(1, -(-len(languages) // 64))), kind), np.zeros(len(languages))
     for i, l in enumerate(languages):
-        h = np.array(sets[l], np.int64).view(_U)
+        h, word, bit = sets[l].view(_U), table[:, i // 64], kind(i % 64)
         for slot in (h & _U(size - 1), (h >> _U(32)) & _U(size - 1)):
-            table[slot] |= kind(1 << i)
-        rate[i] = np.count_nonzero((table >> kind(i)) & kind(1)) / size
+            word[slot] |= kind(1) << bit
+        rate[i] = np.count_nonzero((word >> bit) & kind(1)) / size
+    if table.shape[1] == 1:
+        table = table[:, 0]
     return Filters(languages, table, rate**2)
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", row_key: str = "doc_id", rows: int = TRAIN_ROWS) -> Filters:
-    """Learn from rows with text and language; about ``rows`` of each language, chosen by a hash of ``row_key``.
-
-    At most 64 languages (the most frequent) get a bit.
-    """
+    """Learn from rows with text and language; about ``rows`` of each language, chosen by a hash of ``row_key``."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("l"), F.col(text).alias("t"), F.pmod(F.xxhash64(F.col(row_key)), F.lit(1 << 30)).alias("h"))
-    sizes = known.groupBy("l").count().orderBy(F.desc("count"), "l").limit(64).collect()
+    sizes = known.groupBy("l").count().collect()
     if not sizes:
         return Filters([], np.zeros(1, np.uint8), np.zeros(0))
-    below = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], int(min(1.0, rows / r["count"]) * (1 << 30)))])
-    chosen = known.where(F.col("h") < below[F.col("l")])
+    below = docs.sparkSession.createDataFrame([(r["l"], int(min(1.0, rows / r["count"]) * (1 << 30))) for r in sizes], "l string, below long")
+    chosen = known.join(F.broadcast(below), "l").where("h < below").select("l", "t")
 
     def count(rows: Iterator[tuple]) -> Iterator[tuple]:
         seen: dict[str, list[np.ndarray]] = {}
@@ -142,9 +146,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", row_key: str
 
     schema = pa.schema([("l", pa.string()), ("g", pa.int64()), ("n", pa.int64())])
     table = map_rows(chosen, schema, "l string, g long, n long", count, ["l", "t"]).groupBy("l", "g").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT).toArrow()
-    counts: dict[str, list[tuple[int, int]]] = {r["l"]: [] for r in sizes}
-    for l, g, n in zip(*(table[c].to_pylist() for c in ("l", "g", "n")), strict=True):
-        counts[l].append((g, n))
+    counts = {r["l"]: np.empty((0, 2), np.int64) for r in sizes}
+    of = table["l"].combine_chunks().dictionary_encode()
+    pairs, at = np.column_stack([table["g"].to_numpy(), table["n"].to_numpy()]).astype(np.int64), of.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(at, kind="stable")
+    ends = np.cumsum(np.bincount(at, minlength=len(of.dictionary)))
+    for l, rows_ in zip(of.dictionary.to_pylist(), np.split(order, ends[:-1]), strict=True) if len(at) else []:
+        counts[l] = pairs[rows_]
     return build_filters(counts)
 
 
