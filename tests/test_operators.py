@@ -1,6 +1,7 @@
 """Literal cases of operators that SQL can't check, and of readers, writers and monitors."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from timeweave.functions import text as X
 from timeweave.functions import values as V
 from timeweave.operators import joins, rules, sequences
+from timeweave.plans import scalar_queries
 from timeweave.sources import readers, sinks
 from timeweave.streaming import monitor
 
@@ -58,6 +60,13 @@ def test_han_text(spark):
     assert row["k"] == ["心電圖", "ECG", "beta-blocker"] and row["l"] == "bilingual" and row["s"] == "latin" and row["w"] == 3 + 3 + 4 + 7 + 3 and row["n"]
 
 
+def test_keywords_of_whole_texts(spark, tmp_path):
+    texts = ["short text", "pad " * 100 + "late beta-blocker late 心電圖", "... " * 80 + "Last1 x", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["v"] for r in scalar_queries.QUERIES["f7_keywords"](spark, str(tmp_path)).collect()}
+    assert got == {i: ",".join(dict.fromkeys(re.findall("[A-Za-z][A-Za-z0-9-]+|[\u4e00-\u9fff]{2,}", t))) for i, t in enumerate(texts)}
+
+
 def test_shapes(spark):
     df = spark.sql("select array(struct(0d as x, 0d as y), struct(4d as x, 0d as y), struct(4d as x, 3d as y), struct(0d as x, 3d as y)) as p, array(struct(2 as top, 0 as left, 'c' as text), struct(1 as top, 5 as left, 'b' as text), struct(1 as top, 0 as left, 'a' as text)) as b")
     row = df.select(V.polygon_density(F.col("p"), F.lit(24.0)).alias("d"), V.reading_order(F.col("b")).alias("o")).first()

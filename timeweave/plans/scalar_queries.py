@@ -34,7 +34,7 @@ column("f4_drop_lines", "documents", "doc_id", lambda: X.drop_lines(C("text"), [
 column("f5_drop_short_chrome", "documents", "doc_id", lambda: X.drop_lines(C("text"), ["of", "de"], 8), "array_to_string(list_filter(string_split(text, chr(10)), lambda l: not ((contains(l, 'of') or contains(l, 'de')) and length(trim(l, ' ')) <= 8)), chr(10))")
 column("f5_drop_chrome_lines", "documents", "doc_id", lambda: X.drop_pattern_lines(C("text"), "[A-Z]{3,}!!"), "array_to_string(list_filter(string_split(text, chr(10)), lambda l: not regexp_matches(l, '[A-Z]{3,}!!')), chr(10))")
 column("f6_classify_keyword", "part", "p_partkey", lambda: X.classify_keyword(C("p_name"), ["ring", "bolt"], ["red widget"]), "case when length(p_name) >= 19 and not contains(p_name, '-') then null when ends_with(lower(p_name), 'ring') or ends_with(lower(p_name), 'bolt') then 'drug' when lower(p_name) = 'red widget' then 'medical_term' else 'general' end")
-column("f7_keywords", "documents", "doc_id", lambda: F.array_join(F.slice(X.keywords(F.substring("text", 1, 200)), 1, 1), ","), "regexp_extract_all(left(text, 200), '[A-Za-z][A-Za-z0-9-]+|\\p{Han}{2,}')[1]", with_sql=False)
+column("f7_keywords", "documents", "doc_id", lambda: F.array_join(X.keywords(C("text")), ","), "regexp_extract_all(left(text, 200), '[A-Za-z][A-Za-z0-9-]+|\\p{Han}{2,}')[1]", with_sql=False)
 column("f12_mean_confidence", "embeddings", "vec_id", lambda: F.round(V.mean_confidence(F.transform("embedding", lambda x: x.cast("double"))), 6), "round(list_avg(embedding), 6)")
 column("f15_hamming", "hash", "vec_id", lambda: V.hamming(C("h"), C("vec_id") * 1234567), "cast(bit_count(xor(h, vec_id * 1234567)) as int)")
 column("f16_changed_fraction", "embeddings", "vec_id", lambda: V.changed_fraction(F.slice("embedding", 1, 32), F.slice("embedding", 33, 32), 0.1), "len(list_filter(range(1, 33), lambda i: abs(embedding[i] - embedding[i + 32]) > cast(0.1 as double))) / 32")
