@@ -5,28 +5,32 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import PythonEvalType
 
-#: Rows that a Python worker turns into one output batch.
+#: Rows that a Python worker takes from an input batch at once, and turns into one output batch.
 OUT_ROWS = 512
+#: Rows of the batches that Spark sends to a Python worker: bounds its memory where texts are long.
+IN_ROWS = 1024
 
 
 # ---------------------------------------------------------------- scratch
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one is made only where none is set."""
+    """The shared folder of ``spark.checkpoint.dir``; where it is unset, a temporary one for a local master only."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if root is None:
         held = sc._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if root is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="timeweave-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(root)
@@ -49,6 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def free(taken: Iterable[str], name: str) -> str:
+    """``name``, lengthened until it differs from all of ``taken`` (column names are compared without case)."""
+    held = {t.lower() for t in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends there."""
     path = scratch_path(df.sparkSession, name)
@@ -59,18 +71,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 # ---------------------------------------------------------------- Arrow mapping
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session send at most IN_ROWS rows at once to Python (a smaller setting stays)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= IN_ROWS:
+        spark.conf.set(name, IN_ROWS)
+
+
 def map_rows(df: DataFrame, schema: pa.Schema, ddl: str, fn: Callable[[Iterator[tuple]], Iterator[tuple]], columns: list[str], out_rows: int = OUT_ROWS) -> DataFrame:
     """mapInArrow over ``columns``: ``fn`` maps an iterator of row tuples to output tuples, streamed in small batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for b in batches:
-                for at in range(0, b.num_rows, OUT_ROWS):
-                    part = b.slice(at, OUT_ROWS)
-                    yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
-
         held: list[tuple] = []
-        for row in fn(rows()):
+        for row in fn(in_rows(batches)):
             held.append(row)
             if len(held) >= out_rows:
                 yield to_batch(held, schema)
@@ -78,9 +91,40 @@ def map_rows(df: DataFrame, schema: pa.Schema, ddl: str, fn: Callable[[Iterator[
         if held:
             yield to_batch(held, schema)
 
+    bounded_batches(df.sparkSession)
+    return df.select(*columns).mapInArrow(run, ddl)
+
+
+def map_arrays(df: DataFrame, schema: pa.Schema, ddl: str, fn: Callable[[Iterator[tuple]], Iterator[tuple]], columns: list[str], out_rows: int = 1 << 15) -> DataFrame:
+    """As map_rows, for an ``fn`` that gives tuples of equally long arrays, one an output column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
+
+        for part in fn(in_rows(batches)):
+            held.append(part)
+            size += len(part[0])
+            if size >= out_rows:
+                yield batch()
+                held, size = [], 0
+        if size:
+            yield batch()
+
+    bounded_batches(df.sparkSession)
     return df.select(*columns).mapInArrow(run, ddl)
 
 
+def in_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        for at in range(0, b.num_rows, OUT_ROWS):
+            part = b.slice(at, OUT_ROWS)
+            yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
+
+
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -199,6 +243,7 @@ def text_function(fn: Callable[[Iterator[tuple]], Iterator[tuple | int | float |
         return run((b,) for b in batches)
 
     def column(*cols):
+        bounded_batches(SparkSession.active())
         many = arrow_udf(wrap if len(cols) > 1 else one, DataType.fromDDL(ddl), PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF).asNondeterministic()
         return many(*cols)
 
