@@ -2,9 +2,12 @@
 
 import base64
 import hashlib
+import random
 import re
 import struct
+import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -40,7 +43,8 @@ def test_language_id(odd, none):
     assert language_id.identify(none, language_id.train(none)).count() == 0
     assert {r["lang_pred"] for r in language_id.identify(odd, language_id.train(none)).collect()} == {"und"}
     kept = language_id.stage(odd.sparkSession, odd, "")
-    assert kept.columns == odd.columns and kept.count() == 7
+    known = [r for r in rows if r["lang_pred"] != "und" and r["known"] >= language_id.LEAST_KNOWN]
+    assert kept.columns == odd.columns and kept.count() == len(known) > 0
 
 
 def test_language_filters_return_all_languages():
@@ -51,6 +55,37 @@ def test_language_filters_return_all_languages():
     assert np.mean(m[:800] & 2 > 0) < 0.1
 
 
+@pytest.mark.parametrize("step", [1, 3, 20])
+def test_grams_of_steps_are_those_of_the_whole(monkeypatch, step):
+    for text in ("ab  c d", "  1 é中\n𝒜𝒜 x", "", "...", "words, and more words; " * 9, "a" * 40):
+        folded = " " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " "
+        whole = [sorted(g.tolist()) for g in language_id.grams(text)]
+        monkeypatch.setattr(language_id, "STEP", step)
+        steps = sorted(v for g in language_id.grams(text) for v in g.tolist())
+        monkeypatch.undo()
+        assert steps == sorted(v for g in whole for v in g)
+        assert len(steps) == (sum(max(0, len(folded) - n + 1) for n in language_id.SIZES) if folded.strip() else 0)
+
+
+def test_rates_match_a_count_of_known_grams():
+    """Popcounts of the masks equal a count n-gram by n-gram, corrected for the filters' false positives."""
+    f = language_id.build_filters({l: [(int(v), 9) for g in language_id.grams(t) for v in g.view(np.int64)] for l, t in (("en", "the words of the text"), ("fr", "les mots du texte"))})
+    text = "the mots of unknown zebras"
+    found, n = np.zeros(2), 0
+    for g in language_id.grams(text):
+        for h in g:
+            mask = int(f.masks(np.array([h]))[0])
+            found += [mask & 1, mask >> 1 & 1]
+            n += 1
+    assert f.rates(text) == pytest.approx(np.clip((found / n - f.false_positive) / (1 - f.false_positive), 0, 1))
+
+
+def test_unknown_languages_are_rejected(spark):
+    docs = table(spark, [(i, "hello big wide world of words", "en") for i in range(9)] + [(50, "щука жабка змеюка", None)]).withColumns({"_pred": F.lit(3), "_known": F.lit(3)})
+    kept = language_id.stage(spark, docs, "")
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(range(9))
+
+
 def test_more_than_64_languages(spark):
     """Each of 130 languages has words of its own, the later ones in fewer rows; every one is learned and found."""
     word = lambda i, j: "".join(chr(0x4E00 + 40 * i + 4 * j + k) for k in range(4))
@@ -88,16 +123,52 @@ def test_secret_spans_match_brute_force(spark, none):
     assert "04dbebab" not in clean[0] and "x9$" not in clean[4] and clean[5] == SECRETS[5] and clean[8] is None
 
 
-@pytest.mark.parametrize(("cheap", "dear"), [("password123", "x9$Kq2!mZp"), ("qwertyuiop", "pqowieurytzm"), ("2024-01-15", "8305-97-61"), ("aaaaaaaaaaaa", "aqzpwmxnebrt"), ("P@ssw0rd", "Pgssk0rq")])
+@pytest.mark.parametrize(("cheap", "dear"), [("password123", "x9$Kq2!mZp"), ("qwertyuiop", "pqowieurytzm"), ("2024-01-15", "8305-97-61"), ("aaaaaaaaaaaa", "aqzpwmxnebrt"), ("P@ssw0rd", "Pgssk0rq"), ("password" * 13, "password" + "kq7Zx"), ("longunitxyzabc" * 2, "longunitxyzabc" + "cbazyxtinugnol")])
 def test_guess_costs(cheap, dear):
-    assert secret_scan.log_guesses(cheap) < secret_scan.log_guesses(dear)
+    assert secret_scan.COSTS.log_guesses(cheap) < secret_scan.COSTS.log_guesses(dear)
+
+
+def span_cost(v, cheapest):
+    """Least guesses of ``v`` as one segment, each kind by its definition."""
+    held = sum({secret_scan.class_bit(c) for c in v})
+    low, costs = v.lower(), [len(v) * secret_scan.ALPHABETS[held], secret_scan.COSTS.word(v) or np.inf]
+    costs.append(secret_scan.YEARS if secret_scan.YEAR.fullmatch(v) else secret_scan.DAYS if secret_scan.DATE.fullmatch(v) else np.inf)
+    if len(v) >= 3:
+        if all(a + b in secret_scan.STEPS for a, b in zip(low, low[1:], strict=False)):
+            costs.append(secret_scan.WALKING + np.log10(len(v)))
+        costs += [cheapest(v[:p]) + np.log10(len(v) // p) for p in range(1, len(v) // 2 + 1) if v == v[:p] * (len(v) // p)]
+    return min(costs)
+
+
+def test_guess_cost_is_the_least_over_all_segmentations():
+    known = {"": 0.0}
 
+    def cheapest(v):
+        if v not in known:
+            known[v] = min(cheapest(v[:i]) + span_cost(v[i:], cheapest) + secret_scan.KIND for i in range(len(v)))
+        return known[v]
 
-def test_guess_cost_is_the_least_over_segmentations():
-    # brute force alone bounds every value from above
-    for v in ("abc123xyz", "zz9", "Q", "ééék"):
-        assert secret_scan.log_guesses(v) <= len(v) * np.log10(secret_scan.alphabet(v)) + 1e-9
-    assert secret_scan.log_guesses("") == 0 and secret_scan.log_guesses("k3" * 5000) > 0
+    rng = random.Random(3)
+    values = ["", "aaaa", "abaabaaba", "Dragon1987", "xpasswordpassword", "qwerty2021-03-04", "zzab12ab12ab"]
+    for _ in range(400):
+        part = "".join(rng.choice(rng.choice(["ab", "aA1", "qwe1", "pas1$", "abcdefé", "201 9-"])) for _ in range(rng.randint(1, 9)))
+        values.append((rng.choice(["", "pass", "dragon", "1999-12-31", "qwerty", "P4ss"]) + part * rng.randint(1, 3))[:20])
+    for v in values:
+        assert secret_scan.COSTS.log_guesses(v) == pytest.approx(cheapest(v), abs=1e-9), v
+
+
+def test_long_values_are_costed_whole():
+    began = time.time()
+    assert secret_scan.COSTS.log_guesses("k3" * 5000) < 10 and secret_scan.COSTS.log_guesses("a" * 50_000) < 10
+    assert secret_scan.COSTS.log_guesses("".join(random.Random(1).choices("abcXYZ0189+/", k=20_000))) > 10_000
+    assert time.time() - began < 20
+
+
+def test_known_words_are_counted_over_all_documents(spark, none):
+    docs = table(spark, [(1, "Zebra zebra lamp", None), (2, "lamp zebra ox", None), (3, None, None), (4, "", None)])
+    assert secret_scan.learn_words(docs) == [*secret_scan.WORDS, "zebra", "lamp"]
+    assert secret_scan.learn_words(docs, most=1)[-1] == "zebra" and secret_scan.learn_words(none) == secret_scan.WORDS
+    assert secret_scan.Costs(["zebra"]).log_guesses("zebra") < secret_scan.Costs([]).log_guesses("zebra")
 
 
 def test_packed_blocks_round_trip():
@@ -109,6 +180,34 @@ def test_packed_blocks_round_trip():
             assert (token_files.unpack(token_files.pack(x)) == x).all()
 
 
+def test_one_block_is_read_through_the_index():
+    rng = np.random.default_rng(1)
+    for n in (1, 128, 1000, 5000):
+        x = rng.integers(0, 300, n, dtype=np.uint32)
+        x[rng.integers(0, n, n // 20 + 1)] = 60_000
+        data = token_files.pack(x)
+        for b in range(-(-n // token_files.BLOCK)):
+            assert (token_files.unpack_block(data, b) == x[128 * b : 128 * b + 128]).all()
+        whole = token_files.segment([1], [n], x)
+        for start, count in ((0, n), (n // 2, n // 3), (n - 1, 1), (5, 0)):
+            assert (token_files.read_ids(whole, start, count) == x[start : start + count]).all()
+    with pytest.raises(IndexError):
+        token_files.unpack_block(token_files.pack(np.arange(5, dtype=np.uint32)), 1)
+
+
+def test_encoder_equals_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, library, rng = token_files.Encoder(path), Tokenizer.from_file(path), random.Random(1)
+    letters = "aébЖz'sdt ll ve 12٣½²_.,!?\n\n\r\t \u2003\u3000中文é0\U0001f600\x1c\x85#&ⅷªº\u0378ԯ"
+    texts = ["", "a<|endoftext|>b <|endoftext|>", "<|endoftext|>", "it's 12.\nNew  line \n x"]
+    texts += ["".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(20_000)]
+    for t in texts:
+        assert own.encode(t) == library.encode(t, add_special_tokens=False).ids, t
+
+
 def test_token_files(spark, odd, none):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -135,14 +234,17 @@ def test_byte_bpe_with_long_texts(odd, none):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     # small chunks: joints everywhere, and in the run of one letter none that agree
     docs = odd.select("doc_id", "text").unionByName(odd.sparkSession.createDataFrame([(9, "q" * 900), (10, "it's  12 \n\n\n x" * 50), (10, "it's  12 \n\n\n x" * 50)], "doc_id long, text string"))
+    docs = docs.withColumns({"bpe": F.lit("old"), "sha": F.lit("kept"), "row": F.lit("kept")})
     rows = byte_bpe.encode_documents(docs, path, pattern, with_ids=True, chunk=64, overlap=16).collect()
-    assert len(rows) == 14
+    assert len(rows) == 14 and {(r["sha"], r["row"]) for r in rows} == {("kept", "kept")}
     for r in rows:
         ids = library.encode_ordinary(r["text"] or "")
         assert r["bpe"]["ids"] == ids and r["bpe"]["n_tokens"] == len(ids)
         assert r["bpe"]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r["bpe"]["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
     assert byte_bpe.encode_documents(none, path, pattern).count() == 0
+    last = byte_bpe.stage(odd.sparkSession, odd, "")
+    assert last.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"] and last.count() == 11
 
 
 def shingles(text, size):
@@ -150,7 +252,8 @@ def shingles(text, size):
     return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def test_jaccard_join_matches_brute_force(spark, odd, none):
+@pytest.mark.parametrize(("block", "small"), [(512, 48), (3, 0)])
+def test_jaccard_join_matches_brute_force(spark, odd, none, monkeypatch, block, small):
     rng = np.random.default_rng(4)
     words = [f"w{i}" for i in range(400)]
     rows = []
@@ -161,6 +264,9 @@ def test_jaccard_join_matches_brute_force(spark, odd, none):
             for _ in range(int(rng.integers(0, 5))):
                 copy[int(rng.integers(len(copy)))] = str(rng.choice(words))
             rows.append((len(rows) + 20, " ".join(copy), None))
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "SMALL", small)
+    monkeypatch.setattr(jaccard_join, "PARTNERS", block)
     docs = table(spark, rows).unionByName(odd.where("doc_id is not null"))
     got = {(r[0], r[1], r[2]) for r in jaccard_join.similar_documents(docs).collect()}
     all_rows = [(r["doc_id"], shingles(r["text"], 4)) for r in docs.collect()]
@@ -177,14 +283,44 @@ def test_jaccard_join_matches_brute_force(spark, odd, none):
                 root[max(find(i), find(j))] = min(find(i), find(j))
     assert got == {(i, len(s), find(i)) for i, s in all_rows}
     assert jaccard_join.similar_documents(none).count() == 0
-    kept = jaccard_join.stage(spark, odd, "")
-    assert kept.columns == odd.columns and kept.where("doc_id = 4").count() == 1 and kept.where("doc_id is null").count() == 2
+    # the null id shares the set of document 4, which stays; texts without words all stay
+    kept = jaccard_join.stage(spark, odd.withColumns({"_at": F.lit(7), "_copies": F.lit(7)}), "")
+    assert kept.columns == [*odd.columns, "_at", "_copies"] and kept.where("_at = 7 and _copies = 7").count() == 9
+    assert kept.where("doc_id = 4").count() == 1 and kept.where("doc_id is null").count() == 1 and kept.where("doc_id is null and text is null").count() == 1
+
+
+def test_null_ids_link_different_texts(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = table(spark, [(None, text, None), (None, f"{text} end", None), (7, f"{text} end more", None), (None, "other words", None), (None, "other words", None)])
+    got = sorted(jaccard_join.similar_documents(docs).select("component_id").collect(), key=str)
+    assert [r[0] for r in got] == [7, 7, 7, None, None]
+    kept = jaccard_join.stage(spark, docs, "").collect()
+    assert sorted(str(r["doc_id"]) + r["text"][-4:] for r in kept) == ["7more", "Noneords"]
+
+
+def test_forest_spans_what_the_sketches_allow():
+    """Both ways to the forest join the same components, at the same total weight."""
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 60, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[int(rng.integers(0, 40)) :], rng.integers(0, 1 << 60, int(rng.integers(0, 30)), dtype=np.uint64)))) for _ in range(40)]
+    n, root, bits = np.array([len(s) for s in sets]), np.arange(40) // 2, jaccard_join.folded([jaccard_join.sketch(s) for s in sets])
+    x, y, w = jaccard_join.allowed(n, root, bits, 85)
+    weight = dict(zip(zip(x.tolist(), y.tolist(), strict=True), w.tolist(), strict=True))
+    totals = []
+    for small in (48, 0):
+        jaccard_join.SMALL, held = small, jaccard_join.SMALL
+        pairs = jaccard_join.forest(n, root, bits, 85)
+        jaccard_join.SMALL = held
+        assert len(pairs) <= 19
+        totals.append((len(pairs), round(sum(weight[max(p), min(p)] for p in pairs), 9)))
+    assert totals[0] == totals[1]
+    assert set(jaccard_join.between(n, root, bits, np.arange(40), np.arange(40), 85)) == {p for a, b in weight for p in ((a, b), (b, a))}
 
 
 def test_hot_family_in_a_late_band(spark):
     """More near copies than a key may have before it is hot, in a band beyond the 60th."""
     base = [f"w{i}" for i in range(500)]
-    docs = table(spark, [(i, " ".join([*base, f"end{i}"]), None) for i in range(jaccard_join.HOT + 16)])
+    docs = table(spark, [(i, " ".join([*base, f"end{i}"]), None) for i in range(80)])
     size = len(jaccard_join.shingle_set(" ".join([*base, "end"])))
     assert jaccard_join.bands(97)[60] < size
     assert {r["component_id"] for r in jaccard_join.similar_documents(docs, threshold=97).collect()} == {0}
@@ -195,7 +331,7 @@ def test_sketch_distance_bounds_the_difference():
     for _ in range(50):
         a = np.unique(rng.integers(0, 1 << 60, 200, dtype=np.uint64))
         b = np.unique(np.concatenate((a[: int(rng.integers(1, 200))], rng.integers(0, 1 << 60, 20, dtype=np.uint64))))
-        x, y = (np.frombuffer(jaccard_join.sketch(s), np.uint8) for s in (a, b))
+        x, y = jaccard_join.folded([jaccard_join.sketch(s) for s in (a, b)])
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
 
 
@@ -226,11 +362,64 @@ def test_html_text(spark):
 @pytest.mark.parametrize("limit", [10, 0])
 def test_site_templates_go_and_prose_stays(spark, monkeypatch, limit):
     monkeypatch.setattr(html_text, "BROADCAST_KEYS", limit)
-    rows = [(i, f"http://site.com/{i}", f"<body><div><span>Our site</span> slogan</div><div><p>text {i}</p></div></body>") for i in range(9)]
+    offer = "<p>Read our other pages and tell your friends</p>"
+    rows = [(300 + i, f"http://news.com/{i}", f"<body><div>Daily words {i % 2}</div><article><h1>n{i}</h1><div><b>Join</b> us</div><p>news {i}</p>{offer}</article></body>") for i in range(24)]
+    rows += [(i, f"http://site.com/{i}", f"<body><div><span>Our site</span> slogan</div><div><p>text {i}</p></div></body>") for i in range(9)]
     rows += [(100 + i, f"http://other.com/{i}", f"<body><div><span>Our site</span> slogan</div><div><p>other {i}</p></div></body>") for i in range(2)]
     rows += [(200 + i, "http://copies.com/", "<body><div>same page</div></body>") for i in range(9)]
-    got = dict(html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "text").collect())
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_page", F.lit(1))
+    got = dict(html_text.extract(df).select("page_id", "text").collect())
     assert got[3] == "text 3" and got[101] == "Our site slogan other 1" and got[205] == "same page"
+    # inside an article, too: a box on every page, and a sentence on most pages of a host with many
+    assert got[305] == "n5 news 5"
+    monkeypatch.setattr(html_text, "find_templates", lambda pages, url, html: pages.select(F.lit(0).cast("long").alias("key")).limit(0))
+    bare = dict(html_text.extract(df).select("page_id", "text").collect())
+    assert bare[3] == "Our site slogan text 3" and bare[305] == "n5 Join us news 5 Read our other pages and tell your friends"
+
+
+def test_copies_of_an_article_keep_their_prose(spark):
+    rows = [(i, "http://a.com/", f"<article><h1>t</h1><p>the same text of many copies</p><p>and an own end {i}</p></article>") for i in range(12)]
+    rows += [(20 + i, "http://a.com/", f"<article><p>something else {i}</p></article>") for i in range(12)]
+    got = dict(html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).select("page_id", "text").collect())
+    assert got[4] == "t the same text of many copies and an own end 4" and got[25] == "something else 5"
+
+
+class Plain(HTMLParser):
+    """Text of the articles, block by block, as the test pages are written."""
+
+    def __init__(self):
+        super().__init__()
+        self.depth, self.parts = 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.parts += [" "] * (tag in ("p", "br", "h1", "article"))
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.parts += [" "] * (tag in ("p", "h1", "article"))
+
+    def handle_data(self, data):
+        self.parts += [data] * (self.depth > 0)
+
+
+def test_pages_match_a_plain_parse(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = html_text.extract(pages).collect()
+    assert len(rows) == pages.count()
+    for r in rows:
+        plain = Plain()
+        plain.feed(r["html"])
+        plain.close()
+        assert r["text"] == " ".join("".join(plain.parts).split())
+
+
+def test_deep_and_wide_pages_take_time_in_proportion():
+    began = time.time()
+    assert html_text.main_text("<div>" * 100_000 + "deep" + "</div>" * 100_000) == "deep"
+    assert html_text.main_text("<ul>" + "<li>x<p>y" * 50_000).startswith("x y x y")
+    assert html_text.main_text(f'<p title="{"x>" * 200_000}">quoted</p>') == "quoted"
+    assert time.time() - began < 20
 
 
 def test_decontamination(spark, none):
@@ -240,7 +429,9 @@ def test_decontamination(spark, none):
     docs = table(spark, [(1, f"{filler} {item} {filler}", None), (2, filler, None), (3, None, None), (4, "", None), (5, item.replace("old", "new").upper(), None), (6, item[:60], None), (7, f"{filler} a tiny item here", None), (1, f"{filler} {item} {filler}", None)])
     got = sorted((r[0], r[1]) for r in decontaminate.find_leaks(docs, items).collect())
     assert got == [(1, 1), (1, 1), (5, 1), (7, 4)]
-    assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(docs, items).collect()) == [2, 3, 4, 6]
+    marked = docs.withColumns({"_found": F.lit(5), "_leaks": F.lit(5)})
+    left = decontaminate.drop_leaks(marked, items)
+    assert left.columns == marked.columns and sorted((r["doc_id"], r["_found"], r["_leaks"]) for r in left.collect()) == [(i, 5, 5) for i in (2, 3, 4, 6)]
     assert decontaminate.find_leaks(none, items).count() == 0 and decontaminate.find_leaks(docs, items.limit(0)).count() == 0
     shards = [len(i.ids) for i in decontaminate.build_indexes(docs, items, shard_items=2)]
     assert len(shards) == 2 and sum(shards) == 2
@@ -261,7 +452,7 @@ def test_wand_finds_all_above_the_threshold():
 
 
 def labelled(spark, n=240):
-    good = [(i, "a calm text of many different words " + " ".join(f"w{(i * 7 + k) % 97}" for k in range(30)), 1, 0) for i in range(n)]
+    good = [(i, ("put it in the trash can, " if i % 12 == 0 else "") + "a calm text of many different words " + " ".join(f"w{(i * 7 + k) % 97}" for k in range(30)), 1, 0) for i in range(n)]
     bad = [(n + i, "BUY!! NOW!! " * 20, 0, 0) for i in range(n // 4)]
     rude = [(2 * n + i, f"you idiot clown number w{i} and w{i + 1} of trash " + "plain words follow here " * 3, 1, 1) for i in range(n // 4)]
     return spark.createDataFrame([*good, *bad, *rude], "doc_id long, text string, quality int, toxic int")
@@ -286,14 +477,33 @@ def test_toxicity(spark, odd, none):
     lexicon = toxicity.train(data.select("doc_id", "text"), data.select("doc_id", "toxic"))
     assert lexicon.score("what an 1dіot cl0wn you are, trash") > 0.7
     assert lexicon.score("a calm text about nothing much") < 0.3
-    assert toxicity.fold("Trаsh c4n!!") == " trash can "
-    assert lexicon.hits(toxicity.fold("the trash can")) == []
+    assert toxicity.fold("Trаsh c4n!! tr@$h $cum a$$ ïdíot 1oser") == " trash can trash scum ass idiot ioser "
+    assert toxicity.fold("top$$$ 100$ $100 now! 12") == " top now "
+    # learned from the texts that aren't toxic
+    assert "trash can" in lexicon.exceptions and lexicon.hits(toxicity.fold("the trash can")) == []
+    assert len(lexicon.hits(toxicity.fold("the trash can of trash"))) == 1
     got = toxicity.score_documents(odd, lexicon).collect()
     assert len(got) == 11 and all(0 <= r["score"] <= 1 for r in got)
     empty = toxicity.train(none, data.select("doc_id", "toxic").limit(0))
     assert [r["score"] for r in toxicity.score_documents(odd.limit(1), empty).collect()] == [0.0]
 
 
+def test_lexicon_matches_a_search_word_by_word():
+    rng = random.Random(4)
+    forms = {f: 1.0 + i / 7 for i, f in enumerate((" ab", " abc", " abc ", " b ", " cab", " ca "))}
+    quiet = ("ca b", "abc ab")
+    lexicon = toxicity.Lexicon(forms, quiet)
+    for _ in range(500):
+        words = ["".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(rng.randint(0, 9))]
+        want = []
+        for i, w in enumerate(words):
+            fits = [f for f in forms if f" {w} ".startswith(f)]
+            around = {" ".join(words[j : j + 2]) for j in (i - 1, i) if 0 <= j}
+            if fits and not around & set(quiet):
+                want.append(forms[max(fits, key=len)])
+        assert sorted(lexicon.hits(toxicity.fold(" ".join(words)))) == sorted(want), words
+
+
 def test_vector_search(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(700, 16))
