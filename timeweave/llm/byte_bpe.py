@@ -1,7 +1,7 @@
-"""Byte-level BPE encoding and decoding of whole texts, long ones in overlapping chunks.
+"""Byte-level BPE encoding and decoding of whole texts, in overlapping chunks.
 
-Texts up to ``CHUNK`` characters are pre-tokenised and encoded where they lie.
-A longer text is cut into overlapping chunks that are pre-tokenised in parallel.
+A text is cut into overlapping chunks of ``CHUNK`` characters that are
+pre-tokenised in parallel; a text within one chunk is encoded where it lies.
 Matching depends only on what follows a match's start, so two chunks agree from
 the first boundary that both see; there the text is cut into pieces, each piece
 is encoded on its own, and the pieces' ids are put together in order. A text
@@ -9,7 +9,8 @@ whose chunks never agree (one match longer than the overlap) is encoded whole.
 Decoding concatenates the bytes of the ids.
 
 Defined results: null and empty texts have no ids; equal texts (repeated rows)
-get equal ids, and long ones are encoded once.
+get equal ids, and long ones are encoded once. A column named as the result is
+replaced; all others stay.
 """
 
 from __future__ import annotations
@@ -24,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, stored, text_function
+from .common import free, map_rows, stored, text_function
 
-CHUNK, OVERLAP = 1 << 16, 1 << 10
+CHUNK, OVERLAP = 1 << 14, 1 << 10
+#: Rows of chunk boundaries (sha256, number, two positions: 100 bytes) that are broadcast; beyond it they are joined.
+BROADCAST_ROWS = 500_000
 #: Distinct pre-tokens whose ids a worker keeps.
 KEPT = 300_000
 
@@ -40,7 +43,7 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if len(self) >= KEPT:
             self.clear()
-        ids = self[piece] = tuple(self.encoding.encode_ordinary(piece)) if len(piece) < 2 else tuple(self.encoding._encode_single_piece(piece.encode()))
+        ids = self[piece] = tuple(self.encoding.encode_ordinary(piece))
         return ids
 
 
@@ -53,7 +56,8 @@ class Codec:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        self.pieces = Pieces(tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}))
+        # the library takes what it is given as one pre-token: texts are cut here
+        self.pieces = Pieces(tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}))
         self.bytes = {rank: token for token, rank in ranks.items()}
         self.text = {rank: str(rank) for rank in ranks.values()}
         self.match = regex.compile(pattern)
@@ -88,34 +92,33 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
         for (t,) in rows:
             yield own.row(own.encode(t), with_ids)
 
+    rest = [c for c in docs.columns if c.lower() != out.lower()]
     is_long = F.coalesce(F.length(text), F.lit(0)) > chunk
-    short = docs.where(~is_long).withColumn(out, text_function(direct, fields)(F.col(text)))
-    sha = _free(docs.columns, "sha")
+    sha, row = free([*docs.columns, out], "sha"), free([*docs.columns, out], "row")
+    short = docs.where(~is_long).withColumn(row, text_function(direct, fields)(F.col(text)))
     long_docs = docs.where(is_long).withColumn(sha, F.sha2(F.col(text), 256))
     coded = encode_long(long_docs.select(F.col(sha).alias("sha"), F.col(text).alias("text")), path, pattern, fields, with_ids, chunk, overlap)
-    joined = long_docs.join(coded.select(F.col("sha").alias(sha), F.col("_row").alias(out)), sha).drop(sha)
-    return short.unionByName(joined)
-
-
-def _free(taken: list[str], name: str) -> str:
-    while name in taken:
-        name += "_"
-    return name
+    joined = long_docs.join(coded.select(F.col("sha").alias(sha), F.col("_row").alias(row)), sha)
+    return short.select(*rest, F.col(row).alias(out)).unionByName(joined.select(*rest, F.col(row).alias(out)))
 
 
 def encode_long(texts: DataFrame, path: str, pattern: str, fields: str, with_ids: bool, chunk: int, overlap: int) -> DataFrame:
     """Rows (sha, _row) of the distinct ``texts`` (sha, text), by overlapping chunks."""
-    once = texts.groupBy("sha").agg(F.any_value("text").alias("text"))
 
     def cut(rows: Iterator[tuple]) -> Iterator[tuple]:
+        seen: set[str] = set()
         for sha, t in rows:
+            if sha in seen:
+                continue
+            seen.add(sha)
             for k, at in enumerate(range(0, len(t), chunk)):
                 yield sha, k, at, at + chunk + overlap >= len(t), t[at : at + chunk + overlap]
                 if at + chunk + overlap >= len(t):
                     break
 
     kinds = pa.schema([("sha", pa.string()), ("k", pa.int32()), ("at", pa.int64()), ("last", pa.bool_()), ("part", pa.string())])
-    chunks = map_rows(once, kinds, "sha string, k int, at long, last boolean, part string", cut, ["sha", "text"]).repartition("sha", "k")
+    # copies in several partitions are merged chunk by chunk
+    chunks = map_rows(texts, kinds, "sha string, k int, at long, last boolean, part string", cut, ["sha", "text"], out_rows=64).dropDuplicates(["sha", "k"])
 
     def ends(rows: Iterator[tuple]) -> Iterator[tuple]:
         own = codec(path, pattern)
@@ -127,29 +130,38 @@ def encode_long(texts: DataFrame, path: str, pattern: str, fields: str, with_ids
     w = Window.partitionBy("sha").orderBy("k")
     # the first chunk starts at 0; each other one where it and the chunk before first agree
     joint = F.when(F.col("k") == 0, F.lit(0)).otherwise(F.array_min(F.array_intersect(F.lag("ends.tail").over(w), F.col("ends.head"))))
-    starts = seen.select("sha", "k", "last", "ends").withColumn("start", joint)
-    spans = starts.withColumn("stop", F.lead("start").over(w)).withColumn("torn", F.max(F.col("start").isNull()).over(Window.partitionBy("sha")))
+    starts = seen.select("sha", "k", "ends").withColumn("start", joint)
+    spans = starts.withColumn("stop", F.lead("start").over(w)).withColumn("torn", F.max(F.col("start").isNull()).over(Window.partitionBy("sha"))).select("sha", "k", "start", "stop", "torn")
+    spans = stored(spans, "bpe-spans")
+    torn = spans.where("torn").select("sha").distinct()
+    whole_spans = spans.where(~F.col("torn")).drop("torn")
+    if spans.count() <= BROADCAST_ROWS:
+        whole_spans = F.broadcast(whole_spans)
 
     def encode(rows: Iterator[tuple]) -> Iterator[list[int]]:
         own = codec(path, pattern)
         for part, at, start, stop in rows:
             yield own.encode(part[start - at : None if stop is None else stop - at])
 
-    pieces = seen.select("sha", "k", "at", "part").join(spans.where(~F.col("torn")).select("sha", "k", "start", "stop"), ["sha", "k"])
-    coded = pieces.withColumn("ids", text_function(encode, "array<int>")("part", "at", "start", "stop")).groupBy("sha").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
+    pieces = seen.select("sha", "k", "at", "part").join(whole_spans, ["sha", "k"])
+    coded = pieces.select("sha", "k", text_function(encode, "array<int>")("part", "at", "start", "stop").alias("ids")).groupBy("sha").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
 
     def digest(rows: Iterator[tuple]) -> Iterator[tuple]:
         own = codec(path, pattern)
         for (ids,) in rows:
             yield own.row(ids, with_ids)
 
+    coded = coded.select("sha", text_function(digest, fields)("ids").alias("_row"))
+    if torn.isEmpty():
+        return coded
+
     def whole(rows: Iterator[tuple]) -> Iterator[tuple]:
         own = codec(path, pattern)
         for (t,) in rows:
             yield own.row(own.encode(t), with_ids)
 
-    torn = once.join(spans.where("torn").select("sha").distinct(), "sha", "left_semi")
-    return coded.select("sha", text_function(digest, fields)("ids").alias("_row")).unionByName(torn.select("sha", text_function(whole, fields)("text").alias("_row")))
+    once = texts.join(torn, "sha", "left_semi").dropDuplicates(["sha"])
+    return coded.unionByName(once.select("sha", text_function(whole, fields)("text").alias("_row")))
 
 
 def default_vocabulary() -> tuple[str, str]:
