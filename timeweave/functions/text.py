@@ -18,14 +18,26 @@ def drop_pattern_lines(text: Column, pattern: str) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda line: ~line.rlike(pattern)), "\n")
 
 
-def classify_keyword(word: Column, drug_endings: list[str], medical: list[str]) -> Column:
-    """cjk, abbreviation, drug, medical_term, general, or null for long unbroken Latin runs; the first that holds."""
-    low = F.lower(word)
-    ends = F.lit(False)
-    for e in drug_endings:
-        ends |= F.endswith(low, F.lit(e))
-    runaway = (F.length(word) >= 19) & ~F.contains(word, F.lit("-"))
-    return F.when(word.rlike(HAN), "cjk").when(word.rlike("^[A-Z][A-Z0-9-]{1,7}$"), "abbreviation").when(runaway, F.lit(None).cast("string")).when(ends, "drug").when(low.isin(*medical), "medical_term").otherwise("general")
+def classify_keyword(word: Column, drug_endings: list[str], medical_endings: list[str], abbreviations: list[str], glued: int = 19) -> Column:
+    """cjk, abbreviation, drug, medical_term, general, or null; the first that holds.
+
+    Long Latin runs without a hyphen are glued words (null), and so is what is
+    shorter than five characters and nothing else. An ending counts only behind
+    three characters or more.
+    """
+    t = F.trim(word)
+    low = F.lower(t)
+
+    def ends(endings: list[str]) -> Column:
+        out = F.lit(False)
+        for e in endings:
+            out |= F.endswith(low, F.lit(e.lower())) & (F.length(t) > len(e) + 2)
+        return out
+
+    known = F.upper(t).isin(*[a.upper() for a in abbreviations])
+    kind = F.when(t.rlike(f"^{HAN}{{2,}}$"), "cjk").when((F.length(t) >= glued) & ~F.contains(t, F.lit("-")), F.lit(None).cast("string"))
+    kind = kind.when(t.rlike("^\\p{Lu}{1,4}$") | known, "abbreviation").when(ends(drug_endings), "drug").when(ends(medical_endings), "medical_term")
+    return kind.when(F.length(t) >= 5, "general")
 
 
 def keywords(text: Column) -> Column:
@@ -38,7 +50,9 @@ def wordless(text: Column) -> Column:
 
 
 def script_class(text: Column, share: float = 0.3) -> Column:
-    return F.when(F.regexp_count(text, F.lit(HAN)) >= share * F.greatest(F.length(text), F.lit(1)), "cjk").otherwise("latin")
+    """cjk when ``share`` of the characters that aren't white space are Han, else latin."""
+    bare = F.regexp_replace(text, "\\s+", "")
+    return F.when(F.regexp_count(bare, F.lit(HAN)) >= share * F.greatest(F.length(bare), F.lit(1)), "cjk").otherwise("latin")
 
 
 def language_verdict(text: Column, low: float = 0.1, high: float = 0.6) -> Column:
@@ -48,15 +62,61 @@ def language_verdict(text: Column, low: float = 0.1, high: float = 0.6) -> Colum
     return F.when(share.isNull(), "unknown").when(share >= high, "zh").when(share <= low, "en").otherwise("bilingual")
 
 
+# The marks that comparison ignores, and the full-width forms of ASCII.
+MARKS = "[\\s\u3000，。、；：！？「」『』（）()\\[\\]【】《》〈〉…—–\\-~～·．,.;:!?\"'“”‘’/\\\\|]+"
+WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
+NARROW = "".join(chr(c) for c in range(0x21, 0x7F))
+
+
 def squash(text: Column) -> Column:
-    """Lower case without white space and marks."""
-    return F.regexp_replace(F.lower(text), "[\\s\\p{P}\\p{S}]+", "")
+    """The form for comparison: full-width forms narrowed, lower case, without white space and marks."""
+    return F.regexp_replace(F.lower(F.translate(text, WIDE, NARROW)), MARKS, "")
+
+
+def all_grams(text: Column, n: int) -> Column:
+    """Every run of n characters, in order; none for shorter texts. One scan of the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
 
 
 def char_grams(text: Column, n: int = 2) -> Column:
     """Distinct character n-grams; none for shorter texts."""
-    size = F.length(text) - (n - 1)
-    return F.when(size > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.substring(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(all_grams(text, n))
+
+
+def top_count(values: Column) -> Column:
+    """How often the most frequent value of an array occurs (0 for an empty one), by one pass over its sorted form."""
+    state = "struct<last:string,run:int,best:int>"
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best")).cast(state)
+
+    def step(a: Column, x: Column) -> Column:
+        run = F.when(a["last"].eqNullSafe(x), a["run"] + 1).otherwise(1)
+        return F.struct(x.alias("last"), run.alias("run"), F.greatest(a["best"], run).alias("best")).cast(state)
+
+    return F.aggregate(F.array_sort(values), start, step)["best"]
+
+
+def inline_repeat(line: Column) -> Column:
+    """The greatest number of times that a unit of 3 to 14 characters follows itself (4 at least, else 0); numbers don't count."""
+    pattern = "(.{3,14}?)\\1{3,}"
+    runs = F.arrays_zip(F.regexp_extract_all(line, F.lit(pattern), 0).alias("run"), F.regexp_extract_all(line, F.lit(pattern), 1).alias("unit"))
+    real = F.filter(runs, lambda r: ~r["unit"].rlike("^[0-9%.]+$"))
+    return F.coalesce(F.array_max(F.transform(real, lambda r: F.floor(F.length(r["run"]) / F.length(r["unit"])).cast("int"))), F.lit(0))
+
+
+def loop_info(lines: Column, min_chars: int = 4, n: int = 8, min_grams: int = 30, repeats: int = 3, least: float = 0.5) -> Column:
+    """Degenerate repetition in a window's lines, compared in their squashed form.
+
+    A struct: the greatest count of one line (of ``min_chars`` and more), the
+    greatest repeat inside a line, the share of distinct character n-grams of
+    all lines together (null with few of them), and whether any of them says loop.
+    """
+    flat = F.transform(lines, squash)
+    top = top_count(F.filter(flat, lambda x: F.length(x) >= min_chars))
+    inner = F.coalesce(F.array_max(F.transform(flat, inline_repeat)), F.lit(0))
+    grams = all_grams(F.array_join(flat, ""), n)
+    diversity = F.when(F.size(grams) >= min_grams, F.size(F.array_distinct(grams)) / F.size(grams))
+    loop = (top >= repeats) | (inner >= 4) | F.coalesce(diversity < least, F.lit(False))
+    return F.struct(top.alias("max_line_repeats"), inner.alias("inline_repeat_count"), F.round(diversity, 3).alias("ngram_diversity"), loop.alias("loop"))
 
 
 def bigram_jaccard(a: Column, b: Column, min_len: int = 20) -> Column:
@@ -67,25 +127,69 @@ def bigram_jaccard(a: Column, b: Column, min_len: int = 20) -> Column:
 
 def cue_hit(text: Column, cues: list[str]) -> Column:
     low = F.lower(text)
-    return F.exists(F.array(*map(F.lit, cues)), lambda c: F.contains(low, c))
+    return F.exists(F.array(*[F.lit(c.lower()) for c in cues]), lambda c: F.contains(low, c))
+
+
+def _quoted(word: Column) -> Column:
+    return F.concat(F.lit("\\Q"), F.replace(word, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+
+
+def word_start_hit(text: Column, word: Column) -> Column:
+    """A Latin word at the start of a word (its end is free), anything else anywhere; without regard to case."""
+    low, key = F.lower(text), F.lower(word)
+    latin = key.rlike("^[a-z0-9][a-z0-9-]*$")
+    return F.when(latin, F.regexp_like(low, F.concat(F.lit("(?<![a-z0-9])"), _quoted(key)))).otherwise(F.contains(low, key))
+
+
+def abbreviation_hit(text: Column, word: Column) -> Column:
+    """The word as written, between characters that are neither letters nor digits."""
+    return F.regexp_like(text, F.concat(F.lit("(?<![A-Za-z0-9])"), _quoted(word), F.lit("(?![A-Za-z0-9])")))
+
+
+def gram_hit(texts: Column, word: Column, least: float = 0.4) -> Column:
+    """A Han word in a window's texts (an array): short ones verbatim in one run of Han, longer ones by ``least`` of their distinct bigrams.
+
+    White space between Han characters is taken out first; no run spans two texts.
+    """
+    joined = F.transform(texts, lambda t: F.regexp_replace(t, f"(?<={HAN})\\s+(?={HAN})", ""))
+    runs = F.flatten(F.transform(joined, lambda t: F.regexp_extract_all(t, F.lit(f"({HAN}{{2,}})"), 1)))
+    wanted, held = char_grams(word, 2), F.array_distinct(F.flatten(F.transform(runs, lambda r: all_grams(r, 2))))
+    share = F.size(F.array_intersect(wanted, held)) / F.nullif(F.size(wanted), F.lit(0))
+    return F.when(F.length(word) < 4, F.exists(runs, lambda r: F.contains(r, word))).otherwise(F.coalesce(share >= least, F.lit(False)))
+
+
+def cue_density(texts: Column, cues: list[str]) -> Column:
+    """Share of a window's texts that hold any cue; 0 without texts."""
+    return F.when(F.size(texts) > 0, F.size(F.filter(texts, lambda t: F.coalesce(cue_hit(t, cues), F.lit(False)))) / F.size(texts)).otherwise(F.lit(0.0))
+
+
+def domains(text: Column, hints: dict[str, list[str] | str]) -> Column:
+    """Names of the domains of which a hint stands in the text, in the map's order; a single hint may be a string."""
+    low = F.lower(text)
+    tests = [F.when(F.exists(F.array(*[F.lit(h.lower()) for h in ([hs] if isinstance(hs, str) else hs) if h]), lambda h: F.contains(low, h)), F.lit(name)) for name, hs in hints.items() if hs]
+    return F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
 
 
-def word_start_hit(text: Column, word: str) -> Column:
-    """The word at the start of a word."""
-    return F.lower(text).rlike("(?<![a-z0-9])\\Q" + word.lower() + "\\E")
+# What screen-sharing programs write into a picture.
+LATIN_CHROME = "(?i)^\\W*(zoom|rec|orec|workplace|admin.*|webex|teams|meet)\\W*$"
+HAN_CHROME = "登[入人出]|[螢莹]幕|的幕|正[在任]發言|正[在任]发言|音訊設定|問與答|離開"
+PURE_NUMBER = "^[\\d\\s.,%:;/\\\\\\-–—+()（）\\[\\]#*]+$"
 
 
-def abbreviation_hit(text: Column, word: str) -> Column:
-    return text.rlike("(?<![A-Za-z0-9])\\Q" + word + "\\E(?![A-Za-z0-9])")
+def good_line(line: Column, chrome: list[str]) -> Column:
+    """Whether a line can be a title: two letters or Han characters at least, no number, no program's words."""
+    t = F.trim(F.regexp_replace(line, "^\\s+|\\s+$", ""))
+    ok = (F.regexp_count(t, F.lit("[A-Za-z一-鿿]")) >= 2) & ~t.rlike(PURE_NUMBER) & ~t.rlike(LATIN_CHROME) & ~t.rlike(HAN_CHROME)
+    for token in chrome:
+        ok &= ~F.contains(t, F.lit(token))
+    return F.coalesce(ok, F.lit(False))
 
 
-def gram_hit(text: Column, word: str, least: float = 0.4) -> Column:
-    """Short words verbatim; longer ones when enough of their distinct bigrams stand in the text."""
-    if len(word) < 4:
-        return F.contains(text, F.lit(word))
-    grams = sorted({word[i : i + 2] for i in range(len(word) - 1)})
-    hits = sum((F.contains(text, F.lit(g)).cast("int") for g in grams), F.lit(0))
-    return hits >= F.lit(least * len(grams))
+def clean_title(guess: Column, text: Column, labels: Column, chrome: list[str]) -> Column:
+    """The first good line of the guess, the text's lines and the labels (an array), its white space single; empty if none."""
+    none = F.array().cast("array<string>")
+    lines = F.concat(F.array(F.coalesce(guess, F.lit(""))), F.coalesce(F.split(text, "\\r?\\n"), none), F.coalesce(labels, none))
+    return F.coalesce(F.regexp_replace(F.regexp_replace(F.get(F.filter(lines, lambda x: good_line(x, chrome)), F.lit(0)), "^\\s+|\\s+$", ""), "\\s+", " "), F.lit(""))
 
 
 def salient_tokens(text: Column, stop: list[str]) -> Column:
@@ -135,16 +239,17 @@ def capital_terms(text: Column, limit: int = 50) -> Column:
     return F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit("[A-Z][a-z]{3,}"), 0))), 1, limit)
 
 
-def transient_error(text: Column) -> Column:
-    return F.lower(text).rlike("timed? ?out|connection|temporar|429|50[234]|out of memory")
+def transient_error(kind: Column, status: Column) -> Column:
+    """Whether a failed call is worth another try: time-outs, lost connections, broken streams, and a server's own errors."""
+    return F.coalesce(kind.isin("timeout", "connection", "chunked") | ((kind == "http") & status.isin(500, 502, 503, 504, 522, 524)), F.lit(False))
 
 
 def repetition_score(text: Column) -> Column:
-    """Greatest count of a word trigram over the number of trigrams; 0 under six words."""
-    w = F.filter(F.split(text, "[ \\n]+"), lambda x: x != "")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1))), lambda i: F.array_join(F.slice(w, i, 3), " "))
-    top = F.array_max(F.transform(F.array_distinct(grams), lambda g: F.size(F.filter(grams, lambda x: x == g))))
-    return F.when(F.size(w) >= 6, top / F.size(grams)).otherwise(F.lit(0.0))
+    """Greatest count of a word trigram over the number of distinct trigrams, to three places; 0 under six words."""
+    w = F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}_]+"), 0)
+    grams = F.zip_with(F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b)), F.slice(w, 3, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    whole = F.filter(grams, lambda g: g.isNotNull())
+    return F.when(F.size(w) >= 6, F.round(top_count(whole) / F.size(F.array_distinct(whole)), 3)).otherwise(F.lit(0.0))
 
 
 def snippet(text: Column, terms: list[str], before: int = 24, size: int = 90) -> Column:

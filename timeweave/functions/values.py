@@ -65,24 +65,57 @@ def skip_score(dwell_s: Column, words: Column, density: Column) -> Column:
     return F.when((dwell_s < 10) & (words < 30), F.lit(0.9)).otherwise(F.least(F.greatest(1 - density, F.lit(0.0)), F.lit(1.0)))
 
 
-def tier_score(reference: Column, emphasis: Column, skip: Column, types: Column) -> Column:
-    """Weighted score in 0..1 with a bonus for figures and a penalty for decoration."""
-    has = lambda t: F.array_contains(types, t).cast("int")
-    raw = 0.5 * reference + 0.3 * emphasis - 0.2 * skip + 0.15 * has("figure") - 0.25 * has("decorative")
+# Kinds of content that tiers and widths depend on.
+CHARTS = ("flowchart", "chart", "kaplan_meier", "scatter_plot")
+IMAGES = ("ultrasound", "xray", "mri")
+FLOOR = (*IMAGES, "anatomy", *CHARTS)
+
+
+def _strings(values) -> Column:
+    return F.array(*map(F.lit, values)).cast("array<string>")
+
+
+def tier_score(s: dict[str, Column], weights: dict[str, float], bonuses: dict[str, float], penalties: dict[str, float], redundancy_over: float) -> Column:
+    """Weighted score of a slide's signals, with bonuses for kinds of content and penalties, held in 0..1.
+
+    ``s``: visual_complexity, information_density, reference_density, emphasis,
+    time_s, skip, confusion, redundancy (null counts as 0) and types (an array).
+    """
+    v = {k: F.coalesce(c, F.lit(0.0)) for k, c in s.items() if k != "types"}
+    raw = weights["visual_complexity"] * v["visual_complexity"] + weights["information_density"] * v["information_density"] + weights["reference_density"] * v["reference_density"] + weights["emphasis"] * v["emphasis"] + weights["time"] * F.least(v["time_s"] / 120, F.lit(1.0))
+    for kind, bonus in bonuses.items():
+        raw = raw + F.when(F.array_contains(s["types"], kind), bonus).otherwise(0.0)
+    raw = raw + penalties["skip"] * v["skip"] + penalties["confusion"] * v["confusion"] + F.when(v["redundancy"] > redundancy_over, penalties["redundancy"]).otherwise(0.0)
     return F.least(F.greatest(raw, F.lit(0.0)), F.lit(1.0))
 
 
-def tier(score: Column, types: Column) -> Column:
-    """1, 2 or 3 by score; a slide of nothing but title and decoration is 3, an imaging one at most 2."""
-    only = F.size(F.array_except(types, F.array(F.lit("title"), F.lit("decorative")))) == 0
-    base = F.when(score >= 0.6, 1).when(score >= 0.3, 2).otherwise(3)
-    return F.when(only, 3).when(F.array_contains(types, "imaging"), F.least(base, F.lit(2))).otherwise(base)
+def tier(score: Column, types: Column, functions: Column, redundancy: Column, imaging: Column, algorithm: Column, canonical: Column, thresholds: tuple[float, float], force_1: list[str], force_3: list[list[str]]) -> Column:
+    """1, 2 or 3 by score, then the overrides in their order.
+
+    A function of ``force_1`` makes 1; else a set of kinds equal to one of
+    ``force_3``, or redundant text without any visual kind, makes 3; else a
+    canonical slide with an image or chart isn't let below 2.
+    """
+    types, functions = F.coalesce(types, _strings([])), F.coalesce(functions, _strings([]))
+    red, clinical, steps = F.coalesce(redundancy, F.lit(0.0)), F.coalesce(imaging, F.lit(False)), F.coalesce(algorithm, F.lit(False))
+    same = F.lit(False)
+    for kinds in force_3:
+        same |= (F.size(F.array_except(types, _strings(kinds))) == 0) & (F.size(F.array_except(_strings(kinds), types)) == 0)
+    wordy = (red >= 0.7) & (F.size(F.array_except(types, _strings(["text", "title", "decorative"]))) == 0) & ~clinical & ~steps
+    base = F.when(score >= thresholds[0], 1).when(score >= thresholds[1], 2).otherwise(3)
+    kept = F.coalesce(canonical, F.lit(False)) & (clinical | F.arrays_overlap(types, _strings(FLOOR)))
+    return F.when(F.arrays_overlap(functions, _strings(force_1)), 1).when(same | wordy, 3).otherwise(F.when((base == 3) & kept, 2).otherwise(base))
 
 
-def embed_width(tier_: Column, types: Column) -> Column:
-    """Width in pixels, null when the slide isn't embedded."""
-    wide = F.arrays_overlap(types, F.array(F.lit("table"), F.lit("figure")))
-    return F.when(tier_ >= 3, F.lit(None).cast("int")).when(wide, 700).when(tier_ == 1, 600).otherwise(400)
+def embed_width(types: Column, functions: Column, imaging: Column, algorithm: Column, force_1: list[str], widths: dict[str, int] | None = None) -> Column:
+    """Width in pixels by the first rule that holds: imaging, diagram, chart, nothing but tables, default."""
+    # The default widths.
+    w = {"imaging": 800, "diagram": 700, "chart": 700, "table": 600, "default": 700} | (widths or {})
+    types, functions = F.coalesce(types, _strings([])), F.coalesce(functions, _strings([]))
+    has = lambda *k: F.arrays_overlap(types, _strings(k))
+    diagram = has("anatomy", "flowchart") | F.coalesce(algorithm, F.lit(False)) | F.arrays_overlap(functions, _strings(force_1))
+    table = has("table") & (F.size(F.array_except(types, _strings(["title", "table"]))) == 0)
+    return F.when(has(*IMAGES) | F.coalesce(imaging, F.lit(False)), w["imaging"]).when(diagram, w["diagram"]).when(has("chart", "kaplan_meier", "scatter_plot"), w["chart"]).when(table, w["table"]).otherwise(w["default"])
 
 
 def parse_tier(text: Column) -> Column:
@@ -117,10 +150,57 @@ def reliable(source: Column) -> Column:
     return ~F.coalesce(source, F.lit("none")).rlike("^(mtime|none)")
 
 
-def gpu_verdict(free_gb: Column, needed_gb: float) -> Column:
-    return F.when(free_gb.isNull() | (free_gb < needed_gb), "blocked").when(free_gb < needed_gb * 1.2, "warning").otherwise("ok")
-
-
-def fingerprint(data: Column, size: Column, edge: int = 65536) -> Column:
-    """Digest of a file's size, first and last bytes."""
-    return F.sha2(F.concat(size.cast("string").cast("binary"), F.left(data, F.lit(edge)), F.right(data, F.lit(edge))), 256)
+def gpu_verdict(free_mb: Column, util_pct: Column, processes_mb: Column, min_free_mb: int, util_over: int, heavy_mb: int = 1024) -> Column:
+    """blocked when too little memory is free, or the device is busy while others hold much; warning when others only hold much."""
+    heavy = F.exists(F.coalesce(processes_mb, F.array().cast("array<double>")), lambda m: F.coalesce(m >= heavy_mb, F.lit(False)))
+    return F.when((free_mb < min_free_mb) | (heavy & (util_pct > util_over)), "blocked").when(heavy, "warning").otherwise("ok")
+
+
+def local_time(raw: Column, utc_offset_h: float) -> Column:
+    """Capture time as a struct (at, source): universal time shifted, a time with a zone as it stands, camera format, plain ISO; nulls else."""
+    s = F.trim(raw)
+    iso, tagged = F.substring(F.replace(s, F.lit("T"), F.lit(" ")), 1, 19), s.rlike("^.{10}.*[+-]") & F.contains(s, F.lit("T"))
+    # a zone or a fraction after the seconds is dropped: the clock's own reading counts
+    zone = F.regexp_extract(F.replace(s, F.lit("T"), F.lit(" ")), "^(\\d{4}-\\d\\d-\\d\\d \\d\\d:\\d\\d(?::\\d\\d(?:\\.\\d{1,6})?)?)", 1)
+    exif = F.regexp_replace(F.substring(s, 1, 19), "^(\\d{4}):(\\d\\d):(\\d\\d) ", "$1-$2-$3 ")
+    zulu = F.try_to_timestamp(iso, F.lit("yyyy-MM-dd HH:mm:ss")) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(utc_offset_h * 3600).cast("decimal(18,6)"))
+    at = F.when(F.endswith(s, F.lit("Z")), zulu).when(tagged, F.try_to_timestamp(zone)).when((F.length(s) >= 19) & (F.substring(s, 5, 1) == ":"), F.try_to_timestamp(exif, F.lit("yyyy-MM-dd HH:mm:ss"))).otherwise(F.try_to_timestamp(iso))
+    name = F.when(F.endswith(s, F.lit("Z")), f"utc{int(utc_offset_h):+d}").when(tagged, "tz-tagged").when((F.length(s) >= 19) & (F.substring(s, 5, 1) == ":"), "exif").otherwise("iso")
+    return F.struct(at.alias("at"), F.when(at.isNotNull(), name).alias("source"))
+
+
+def clock_offset(source: Column, model: Column, file: Column, rules: list[tuple[str, float]]) -> Column:
+    """Seconds of the first rule whose glob matches the source, the model or the file name; null without one."""
+    out = None
+    for glob, seconds in rules:
+        pattern = F.lit(_glob(glob))
+        hit = F.lit(False)
+        for c in (source, model, file):
+            hit |= F.regexp_like(F.coalesce(c, F.lit("")), pattern)
+        out = F.when(hit, F.lit(float(seconds))) if out is None else out.when(hit, F.lit(float(seconds)))
+    return F.lit(None).cast("double") if out is None else out
+
+
+def _glob(glob: str) -> str:
+    """A shell pattern (* ? [seq] [!seq]) as a regular expression."""
+    out, i = "^(?s)", 0
+    while i < len(glob):
+        c, i = glob[i], i + 1
+        end = glob.find("]", i + 1 + (glob[i : i + 1] == "!")) if c == "[" else -1
+        if c == "*":
+            out += ".*"
+        elif c == "?":
+            out += "."
+        elif end > 0:
+            body = glob[i:end].replace("\\", "\\\\").replace("[", "\\[")
+            out += "[" + ("^" + body[1:] if body[0] == "!" else "\\" + body if body[0] == "^" else body) + "]"
+            i = end + 1
+        else:
+            out += "\\" + c if not c.isalnum() and c.isascii() else c
+    return out + "$"
+
+
+def fingerprint(data: Column, size: Column, modified: Column, edge: int = 65536) -> Column:
+    """Digest of a file's size, time of change, first and last bytes."""
+    text = lambda c: F.concat(c.cast("string"), F.lit("|")).cast("binary")
+    return F.sha2(F.concat(text(size), text(modified), F.left(data, F.lit(edge)), F.right(data, F.lit(edge))), 256)

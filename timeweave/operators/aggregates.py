@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import loop_info
+
 
 def reference_density(hits: DataFrame, key: list[str], hit: str) -> DataFrame:
     """Share of a slide's keywords that were heard."""
     return hits.groupBy(*key).agg(F.avg(F.col(hit).cast("int")).alias("density"))
 
 
-def boilerplate(tokens: DataFrame, doc: str, token: str, ratio: float = 0.4, min_n: int = 5) -> DataFrame:
-    """Tokens in more than ``ratio`` of the documents, when there are at least ``min_n`` documents: (token, df, n_docs)."""
-    pairs = tokens.select(doc, token).distinct()
-    n = pairs.select(doc).distinct().agg(F.count("*").alias("n_docs"))
-    df = pairs.groupBy(token).agg(F.count("*").alias("df"))
+def boilerplate(docs: DataFrame, tokens: str, token: str = "token", ratio: float = 0.4, min_n: int = 5) -> DataFrame:
+    """Tokens (of an array column) in more than ``ratio`` of the documents that have any, when there are ``min_n`` of those: (token, df, n_docs)."""
+    some = docs.where(F.size(tokens) > 0)
+    n = some.agg(F.count("*").alias("n_docs"))
+    # a token counts once in a document before anything is shuffled
+    df = some.select(F.explode(F.array_distinct(tokens)).alias(token)).groupBy(token).agg(F.count("*").alias("df"))
     return df.crossJoin(F.broadcast(n)).where((F.col("n_docs") >= min_n) & (F.col("df") > F.col("n_docs") * ratio))  # one row is broadcast
 
 
-def supported_vocab(tokens: DataFrame, book: str, token: str, min_books: int = 3, approx: bool = False) -> DataFrame:
-    """Tokens found in at least ``min_books`` different books; ``approx`` counts by sketch."""
+def supported_vocab(docs: DataFrame, book: str, tokens: str, token: str = "token", min_books: int = 3, approx: bool = False) -> DataFrame:
+    """Tokens (of an array column) found in at least ``min_books`` different books; ``approx`` counts by sketch."""
     n = F.approx_count_distinct(book, 0.01) if approx else F.count_distinct(book)
-    return tokens.groupBy(token).agg(n.alias("books")).where(F.col("books") >= min_books)
+    return docs.select(book, F.explode(F.array_distinct(tokens)).alias(token)).groupBy(token).agg(n.alias("books")).where(F.col("books") >= min_books)
 
 
 def recording_start(offsets: DataFrame, key: str, start: str) -> DataFrame:
@@ -30,10 +33,15 @@ def recording_start(offsets: DataFrame, key: str, start: str) -> DataFrame:
     return offsets.groupBy(key).agg(F.median(start).alias("measured_start"), (F.max(start) - F.min(start)).alias("spread_s"), F.count("*").alias("n_clips"))
 
 
+def window_of(start: Column, end: Column, window_s: float) -> Column:
+    """Number of the window that a segment's midpoint lies in."""
+    return F.greatest(F.floor((start + end) / 2 / window_s), F.lit(0).cast("long"))
+
+
 def assign_windows(segments: DataFrame, keys: list[str], window_s: int = 60) -> DataFrame:
     """Segments' texts by the window of their midpoint, in time order; midpoints past the last whole window fall into it."""
     last = F.greatest(F.ceil(F.max("end_s").over(Window.partitionBy(*keys)) / window_s) - 1, F.lit(0))
-    w = segments.withColumn("window", F.least(F.floor((F.col("start_s") + F.col("end_s")) / 2 / window_s), last))
+    w = segments.withColumn("window", F.least(window_of(F.col("start_s"), F.col("end_s"), window_s), last))
     return w.groupBy(*keys, "window").agg(_ordered_text(F.struct("start_s", "text")), F.count("*").alias("n"))
 
 
@@ -47,17 +55,9 @@ def bucket_text(segments: DataFrame, keys: list[str], width_s: int = 30) -> Data
     return b.groupBy(*keys, "bucket").agg(_ordered_text(F.struct("start_s", "text")))
 
 
-def repetition(docs: DataFrame, key: str, text: str, n: int = 8, min_grams: int = 30) -> DataFrame:
-    """Most frequent non-blank line, and the share of distinct word n-grams (null with few of them)."""
-    lines = docs.select(key, F.explode(F.split(text, "\n")).alias("line")).where(F.trim("line") != "").groupBy(key, "line").count()
-    modal = lines.groupBy(key).agg(F.max("count").alias("modal_line"))
-    words = docs.select(key, F.posexplode(F.filter(F.split(text, "[ \n]"), lambda w: w != "")).alias("pos", "w"))
-    # neighbours by a window: nothing is recomputed for each gram of a long text
-    next_words = Window.partitionBy(key).orderBy("pos")
-    parts = [F.col("w")] + [F.lead("w", i).over(next_words) for i in range(1, n)]
-    grams = words.select(key, F.xxhash64(*parts).alias("g"), parts[-1].alias("last")).where(F.col("last").isNotNull())
-    share = grams.groupBy(key).agg((F.count_distinct("g") / F.count("*")).alias("diversity"), F.count("*").alias("n_grams"))
-    return docs.select(key).join(modal, key, "left").join(share, key, "left").select(key, F.coalesce("modal_line", F.lit(0).cast("long")).alias("modal_line"), F.coalesce("n_grams", F.lit(0).cast("long")).alias("n_grams"), F.when(F.col("n_grams") >= min_grams, F.col("diversity")).alias("diversity"))
+def loops(windows: DataFrame, keys: list[str], lines: Column, **limits) -> DataFrame:
+    """Degenerate repetition of each window's lines (an array), found within the row: nothing is shuffled."""
+    return windows.select(*keys, loop_info(lines, **limits).alias("_l")).select(*keys, "_l.*")
 
 
 def coverage(notes: DataFrame, transcripts: DataFrame, key: str, chars: str, floor: float = 0.10) -> DataFrame:

@@ -7,9 +7,14 @@ plan needs a nested loop. A pair is kept only in its first common bucket.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import all_grams
+from .matching import mentions
+
 
 def _bucket(col: Column, width: float) -> Column:
     return F.floor(col / F.lit(float(width)))
@@ -85,30 +90,31 @@ def replace_overlapping(master: DataFrame, ranges: DataFrame, keys: list[str], w
     return master.select(*cols).join(gone, [*keys, "start_s", "end_s"], "left_anti").select(*cols).unionByName(ranges.where(F.trim("text") != "").select(*cols))
 
 
-def word_grams(df: DataFrame, keys: list[str], text: str, n: int) -> DataFrame:
-    """(keys, pos, gram): the n-grams of blank-separated words."""
-    w = Window.partitionBy(*keys).orderBy("pos")
-    words = df.select(*keys, F.posexplode(F.split(F.col(text), " ")).alias("pos", "w"))
-    parts = [F.col("w")] + [F.lead("w", i).over(w) for i in range(1, n)]
-    return words.withColumn("gram", F.concat_ws(" ", *parts)).withColumn("_last", parts[-1]).where(F.col("_last").isNotNull()).select(*keys, "pos", "gram")
+def char_grams(df: DataFrame, keys: list[str], text: str, n: int = 6) -> DataFrame:
+    """(keys, gram): the runs of n characters of each text, its white space left out."""
+    return df.select(*keys, F.explode(all_grams(F.regexp_replace(text, "\\s+", ""), n)).alias("gram"))
 
 
 def offset_votes(clip_grams: DataFrame, rec_grams: DataFrame, bin_s: int = 5, max_freq: int = 4) -> DataFrame:
-    """Votes for the offset of a clip in a recording.
+    """Votes for the offset of a clip in a recording, in bins of ``bin_s`` seconds to the nearest (halves to the even bin).
 
     Inputs: (clip|rec, t, gram). Grams seen more than ``max_freq`` times in a
-    recording are left out before the join, which bounds its rows.
+    recording are left out of it. Equal places of a gram are counted before the
+    join, whose rows are what the votes are made of: a gram of many recordings
+    meets all clips that hold it, and AQE splits the partition that it lies in.
     """
-    rare = rec_grams.withColumn("_n", F.count("*").over(Window.partitionBy("rec", "gram"))).where(F.col("_n") <= max_freq)
-    joined = clip_grams.select("clip", F.col("t").alias("ct"), "gram").join(rare.select("rec", F.col("t").alias("rt"), "gram"), "gram")
-    return joined.groupBy("clip", "rec", F.floor((F.col("rt") - F.col("ct")) / bin_s).alias("bin")).agg(F.count("*").alias("votes"))
+    places = rec_grams.groupBy("rec", "gram", F.col("t").alias("rt")).agg(F.count("*").alias("r"))
+    rare = places.withColumn("n", F.sum("r").over(Window.partitionBy("rec", "gram"))).where(F.col("n") <= max_freq)
+    clips = clip_grams.groupBy("clip", "gram", F.col("t").alias("ct")).agg(F.count("*").alias("c"))
+    joined = clips.join(rare.select("rec", "gram", "rt", "r"), "gram")
+    return joined.groupBy("clip", "rec", (F.bround((F.col("rt") - F.col("ct")) / bin_s).cast("long") * bin_s).alias("offset_s")).agg(F.sum(F.col("c") * F.col("r")).alias("votes"))
 
 
-def best_offset(votes: DataFrame, min_votes: int = 40) -> DataFrame:
-    """Per clip the recording and bin with the most votes within one bin to either side; few votes are low confidence."""
-    near = F.sum("votes").over(Window.partitionBy("clip", "rec").orderBy("bin").rangeBetween(-1, 1))
-    best = Window.partitionBy("clip").orderBy(F.desc("smooth"), "rec", "bin")
-    return votes.withColumn("smooth", near).withColumn("at", F.row_number().over(best)).where("at = 1").select("clip", "rec", "bin", F.col("smooth").alias("votes"), (F.col("smooth") < min_votes).alias("low_confidence"))
+def best_offset(votes: DataFrame, bin_s: int = 5, min_votes: int = 40) -> DataFrame:
+    """Per clip the recording and offset with the most votes within one bin to either side (ties to the lesser); few votes are low confidence."""
+    near = F.sum("votes").over(Window.partitionBy("clip", "rec").orderBy("offset_s").rangeBetween(-bin_s, bin_s))
+    best = Window.partitionBy("clip").orderBy(F.desc("smooth"), "rec", "offset_s")
+    return votes.withColumn("smooth", near).withColumn("at", F.row_number().over(best)).where("at = 1").select("clip", "rec", "offset_s", F.col("smooth").alias("votes"), (F.col("smooth") < min_votes).alias("low_confidence"))
 
 
 def suspect_tokens(tokens: DataFrame, known: list[DataFrame], min_len: int = 4) -> DataFrame:
@@ -123,33 +129,51 @@ def suspect_tokens(tokens: DataFrame, known: list[DataFrame], min_len: int = 4)
 def closest_terms(tokens: DataFrame, terms: DataFrame, top: int = 3, max_distance: int = 2) -> DataFrame:
     """Up to ``top`` terms within ``max_distance`` edits of each token.
 
-    Tokens and terms meet on length buckets; the edit distance is capped, so far
-    pairs cost little. Order: distance, distance by length, term.
+    A term is cut into ``max_distance`` + 1 pieces: one of them stands unchanged
+    in every token that near, at most ``max_distance`` places away. The join is
+    on (term's length, piece's number, piece), so that no pair without a common
+    piece is compared. Order: distance, distance by length, term.
     """
-    t = tokens.select("token").distinct().withColumn("len", F.explode(F.sequence(F.length("token") - max_distance, F.length("token") + max_distance)))
-    near = t.join(terms.select("term").distinct().withColumn("len", F.length("term")), "len")
-    near = near.withColumn("distance", F.levenshtein("token", "term", max_distance)).where((F.col("distance") >= 0) & (F.col("token") != F.col("term")))
+    k = max_distance
+    term = terms.select("term").where("term <> ''").distinct().withColumn("size", F.length("term"))
+    start = lambda i, n: F.floor(i * n / (k + 1)).cast("int")
+    cut = term.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(k))))
+    cut = cut.withColumn("piece", F.substring("term", start(F.col("i"), F.col("size")) + 1, start(F.col("i") + 1, F.col("size")) - start(F.col("i"), F.col("size"))))
+    own = tokens.select("token").where("token <> ''").distinct().withColumn("n", F.length("token"))
+    own = own.withColumn("size", F.explode(F.sequence(F.greatest(F.col("n") - k, F.lit(1)), F.col("n") + k))).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(k))))
+    own = own.withColumn("at", start(F.col("i"), F.col("size"))).withColumn("len", start(F.col("i") + 1, F.col("size")) - F.col("at"))
+    places = F.filter(F.sequence(F.col("at") - k, F.col("at") + k), lambda p: (p >= 0) & (p + F.col("len") <= F.col("n")))
+    keys = own.select("token", "size", "i", F.explode(F.array_distinct(F.transform(places, lambda p: F.substring("token", p + 1, F.col("len"))))).alias("piece"))
+    near = keys.join(cut, ["size", "i", "piece"]).where("token <> term").select("token", "term").distinct()
+    near = near.withColumn("distance", F.levenshtein("token", "term", k)).where(F.col("distance") >= 0)
     by = Window.partitionBy("token").orderBy("distance", F.col("distance") / F.greatest(F.length("token"), F.length("term")), "term")
     return near.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).select("token", "term", "distance", "rank")
 
 
-def hamming_nn(left: DataFrame, right: DataFrame, max_dist: int = 6, bands: int = 7) -> DataFrame:
-    """Nearest hash within ``max_dist`` bits for (id, h) among (rid, rh), ties to the least rid.
+def hamming_nn(left: DataFrame, right: DataFrame, max_dist: int = 6, bands: int = 9, guard: Column | None = None) -> DataFrame:
+    """Nearest hash within ``max_dist`` bits for (id, h) among (rid, rh), ties to the least rid: (id, rid, dist).
 
     The 64 bits are cut into ``bands`` > max_dist bands: two hashes that near
-    agree in one, so the join is on (band, bits) and loses no pair.
+    agree in bands - max_dist of them, so the join is on all such choices of
+    bands and loses no pair; with 9 bands a key has 21 bits. A hit that fails the
+    ``guard`` (a condition on the columns of both sides) is no hit: rid is null.
     """
     if bands <= max_dist:
         raise ValueError("more bands than differing bits are needed")
     edges = [i * 64 // bands for i in range(bands + 1)]
+    masks = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
+    chosen = [sum(c) - (1 << 64 if sum(c) >> 63 else 0) for c in combinations(masks, bands - max_dist)]
 
     def parts(c: str) -> Column:
-        cut = [F.shiftrightunsigned(F.col(c), a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
-        return F.posexplode(F.array(*cut)).alias("band", "bits")
+        return F.posexplode(F.transform(F.array(*[F.lit(m).cast("long") for m in chosen]), lambda m: F.col(c).bitwiseAND(m))).alias("choice", "bits")
 
-    pairs = left.select("id", "h", parts("h")).join(right.select("rid", "rh", parts("rh")), ["band", "bits"])
+    pairs = left.select("id", "h", parts("h")).join(right.select("rid", "rh", parts("rh")), ["choice", "bits"])
     near = pairs.withColumn("dist", F.bit_count(F.col("h").bitwiseXOR(F.col("rh")))).where(F.col("dist") <= max_dist)
-    return near.groupBy("id").agg(F.min(F.struct("dist", "rid")).alias("m")).select("id", F.col("m.rid").alias("rid"), F.col("m.dist").alias("dist"))
+    best = near.groupBy("id").agg(F.min(F.struct("dist", "rid")).alias("m")).select("id", F.col("m.rid").alias("rid"), F.col("m.dist").alias("dist"))
+    if guard is None:
+        return best
+    held = best.join(left.drop("h"), "id").join(right.drop("rh"), "rid")
+    return held.select("id", F.when(F.coalesce(guard, F.lit(False)), F.col("rid")).alias("rid"), "dist")
 
 
 def resolve_unique(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFrame:
@@ -157,7 +181,7 @@ def resolve_unique(left: DataFrame, right: DataFrame, key: str, name: str) -> Da
     names = right.select(name).distinct()
     exact = left.select(key).distinct().join(names, F.col(key) == F.col(name), "left")
     rest = exact.where(F.col(name).isNull()).select(key)
-    held = rest.join(names, F.col(name).contains(F.col(key))).groupBy(key).agg(F.min(name).alias(name), F.count("*").alias("_n")).where("_n = 1").drop("_n")
+    held = mentions(names, name, name, rest, key).groupBy(key).agg(F.min(name).alias(name), F.count("*").alias("_n")).where("_n = 1").drop("_n")
     return exact.where(F.col(name).isNotNull()).unionByName(rest.join(held, key, "left"))
 
 
@@ -169,7 +193,7 @@ def explode_members(groups: DataFrame, members: DataFrame, group: str, array: st
 
 def names_in_text(df: DataFrame, names: DataFrame, ident: str, text: str, name: str = "name") -> DataFrame:
     """Names found in each text with their first position; a name inside a longer found name at the same place is left out."""
-    hits = df.select(ident, text).join(names.select(name), F.instr(F.col(text), F.col(name)) > 0).select(ident, name, F.expr(f"instr(`{text}`, `{name}`)").alias("pos"))
+    hits = mentions(df, ident, text, names, name)
     longest = Window.partitionBy(ident, "pos").orderBy(F.desc(F.length(name)), name)
     return hits.withColumn("_r", F.row_number().over(longest)).where("_r = 1").drop("_r").withColumn("nth", F.row_number().over(Window.partitionBy(ident).orderBy("pos")))
 
@@ -209,8 +233,9 @@ def deep_links(links: DataFrame, files: DataFrame, link: str, file: str) -> Data
 
 
 def unmentioned(sources: DataFrame, texts: DataFrame, name: str, text: str) -> DataFrame:
-    """Sources whose name stands in no text."""
-    return sources.join(texts.select(text), F.col(text).contains(F.col(name)), "left_anti")
+    """Sources whose name stands in no text; one pass over the texts finds the names that do."""
+    found = mentions(texts, text, text, sources, name).select(name).distinct()
+    return sources.join(found, name, "left_anti")
 
 
 def ingested(photos: DataFrame, slides: DataFrame, name: str) -> DataFrame:

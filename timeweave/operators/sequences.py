@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import script_class
+
 
 def islands(df: DataFrame, keys: list[str], order: list, new: Column, name: str = "island") -> DataFrame:
     """Number the runs of rows between rows where ``new`` holds (null counts as true, so the first row opens one)."""
@@ -12,25 +14,37 @@ def islands(df: DataFrame, keys: list[str], order: list, new: Column, name: str
     return df.withColumn("_new", F.coalesce(new, F.lit(True)).cast("int")).withColumn(name, F.sum("_new").over(w)).drop("_new")
 
 
-def adjacent_dedup(frames: DataFrame, keys: list[str], order: str, h: str = "h", step: int = 40, drift: int = 80) -> DataFrame:
+def adjacent_dedup(frames: DataFrame, keys: list[str], order: str, h: str = "h", step: int = 40, drift: int = 80, changed: str | None = None, moved: float = 0.02) -> DataFrame:
     """Groups of neighbouring frames: a new one when the hash moved ``step`` bits from the previous frame or ``drift`` from the group's first.
 
-    The second rule depends on the group so far, so each key's frames are folded
-    in order; the last frame of a group is kept with the group's size and first.
+    With ``changed`` (share of pixels that differ from the previous frame) a
+    share of ``moved`` opens a group, too. The second rule depends on the group
+    so far, so each key's frames are folded in order, each once; the last frame
+    of a group is kept with the group's size and first.
     """
-    seq = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(h).alias("h"))))
-    state = "struct<first:bigint,prev:bigint,starts:array<bigint>>"
-    start = F.from_json(F.lit('{"starts":[]}'), state)
-
-    def fold(a: Column, x: Column) -> Column:
-        far = lambda y, n: F.bit_count(y.bitwiseXOR(x["h"])) >= n
-        new = F.coalesce(far(a["prev"], step) | far(a["first"], drift), F.lit(True))
-        starts = F.when(new, F.concat(a["starts"], F.array(x["o"].cast("long")))).otherwise(a["starts"])
-        return F.struct(F.when(new, x["h"]).otherwise(a["first"]).alias("first"), x["h"].alias("prev"), starts.alias("starts")).cast(state)
+    import numpy as np
+    import pandas as pd
 
-    folded = frames.groupBy(*keys).agg(seq.alias("seq")).withColumn("starts", F.aggregate("seq", start, fold)["starts"])
-    rows = folded.select(*keys, "starts", F.explode("seq").alias("x")).withColumn("grp", F.size(F.filter("starts", lambda o: o <= F.col("x.o"))))
-    return rows.groupBy(*keys, "grp").agg(F.count("*").alias("group_size"), F.min("x.o").alias("first_frame"), F.max("x.o").alias("kept_frame"))
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        bits = pdf[h].to_numpy(np.int64).view(np.uint64)
+        far = np.bitwise_count(bits[1:] ^ bits[:-1]) >= step
+        if changed:
+            far |= (pdf[changed].to_numpy(float) >= moved)[1:]
+        opens, first = [True], int(bits[0])
+        for at, new in enumerate(far.tolist(), 1):
+            new = new or (int(bits[at]) ^ first).bit_count() >= drift
+            opens.append(new)
+            if new:
+                first = int(bits[at])
+        grp = pd.Series(np.cumsum(opens).astype(np.int32), index=pdf.index, name="grp")
+        out = pdf.groupby(grp)[order].agg(["size", "first", "last"]).reset_index()
+        out.columns = ["grp", "group_size", "first_frame", "kept_frame"]
+        return pd.concat([pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=out.index), out], axis=1)
+
+    kinds = dict(frames.dtypes)
+    ddl = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), f"grp int, group_size long, first_frame {kinds[order]}, kept_frame {kinds[order]}"])
+    return frames.select(*keys, order, h, *([changed] if changed else [])).groupBy(*keys).applyInPandas(fold, ddl)
 
 
 def semantic_groups(df: DataFrame, keys: list[str], order: str, same: Column, text: str) -> DataFrame:
@@ -83,28 +97,67 @@ def runs(df: DataFrame, keys: list[str], order: str, member: Column, same_as: st
     return g.groupBy(*keys, "island").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"), F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s")).where(F.col("n") >= min_run).drop("island")
 
 
-def rate_windows(segments: DataFrame, keys: list[str], chars: Column, min_s: float = 30) -> DataFrame:
-    """For each segment the characters a second of the window of ``min_s`` seconds that starts with it."""
-    w = Window.partitionBy(*keys).orderBy("start_s").rangeBetween(0, int(min_s))
-    out = segments.withColumn("_c", chars).withColumn("win_chars", F.sum("_c").over(w)).withColumn("win_end", F.max("end_s").over(w))
-    return out.withColumn("rate", F.col("win_chars") / (F.col("win_end") - F.col("start_s"))).where(F.col("win_end") - F.col("start_s") >= min_s).drop("_c")
+def low_rate_windows(segments: DataFrame, keys: list[str], text: str = "text", min_s: float = 30, share: float = 0.3, enough: int = 5) -> DataFrame:
+    """Windows of some ``min_s`` seconds whose characters a second fall under ``share`` of the median for their script.
+
+    A window starts at a segment of half a second or more and takes the segments
+    up to the first that ends ``min_s`` after its start; it counts when it lasts
+    0.8 of that. The median (upper, of segments over half a second with text) is
+    that of the script most of its segments are in, or of all where ``enough``
+    segments of it are missing. After a low window the search goes on behind it.
+    One recording is one group, read in order once.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def find(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["start_s", "end_s"], kind="stable")
+        lo, hi, n, cjk = (pdf[c].to_numpy() for c in ("start_s", "end_s", "_n", "_cjk"))
+        timed = (hi - lo > 0.5) & (n > 0)
+        rate = n[timed] / (hi - lo)[timed]
+        out: list[tuple] = []
+        if len(rate):
+            median = lambda x: np.sort(x)[len(x) // 2]
+            of = {c: median(r) if len(r := rate[cjk[timed] == c]) >= enough else median(rate) for c in (True, False)}
+            chars, han, i = np.concatenate(([0], np.cumsum(n))), np.concatenate(([0], np.cumsum(cjk))), 0
+            while i < len(lo):
+                if hi[i] - lo[i] >= 0.5:
+                    late = np.flatnonzero(hi[i:] - lo[i] >= min_s)
+                    j = i + int(late[0]) if len(late) else len(lo)
+                    if j > i and hi[j - 1] - lo[i] >= min_s * 0.8:
+                        here = (chars[j] - chars[i]) / (hi[j - 1] - lo[i])
+                        script = bool((han[j] - han[i]) * 2 >= j - i)
+                        if here < of[script] * share:
+                            out.append((float(lo[i]), float(hi[j - 1]), float(here), float(of[script] * share), "cjk" if script else "latin"))
+                            i = j
+                            continue
+                i += 1
+        got = pd.DataFrame(out, columns=["lo", "hi", "rate", "under", "script"])
+        return pd.concat([pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=got.index), got], axis=1)
+
+    kinds = dict(segments.dtypes)
+    ddl = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "lo double, hi double, rate double, under double, script string"])
+    bare = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "^\\s+|\\s+$", ""))
+    rows = segments.select(*keys, F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s"), F.length(bare).alias("_n"), (script_class(bare) == "cjk").alias("_cjk"))
+    return rows.groupBy(*keys).applyInPandas(find, ddl)
 
 
 def merge_intervals(df: DataFrame, keys: list[str], lo: str, hi: str, tol: float = 5, reason: str | None = None) -> DataFrame:
-    """Merge intervals that overlap or lie within ``tol``; their distinct reasons are joined."""
-    before = Window.partitionBy(*keys).orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, -1)
-    g = islands(df.withColumn("_reach", F.max(hi).over(before)), keys, [lo, hi], F.col(lo) > F.col("_reach") + tol)
-    reasons = [F.array_join(F.array_sort(F.collect_set(reason)), "+").alias("reasons")] if reason else []
+    """Merge intervals that overlap or lie within ``tol``; their reasons are joined by `` | `` in order, repeated ones too."""
+    order = [lo, hi, *([reason] if reason else [])]
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    g = islands(df.withColumn("_reach", F.max(hi).over(before)), keys, order, F.col(lo) > F.col("_reach") + tol)
+    reasons = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order))), lambda x: x[reason]), " | ").alias("reasons")] if reason else []
     return g.groupBy(*keys, "island").agg(F.min(lo).alias(lo), F.max(hi).alias(hi), F.count("*").alias("n"), *reasons).drop("island")
 
 
 def smooth_zscore(scores: DataFrame, row_keys: list[str], order: str, column_keys: list[str], value: str, k: int = 3) -> DataFrame:
     """Mean over k rows to either side, then z-score within the column (0 without spread)."""
     near = F.avg(value).over(Window.partitionBy(*row_keys).orderBy(order).rowsBetween(-k, k))
-    col = Window.partitionBy(*column_keys)
     s = scores.withColumn("smooth", near)
-    sd = F.stddev_pop("smooth").over(col)
-    return s.withColumn("z", F.when(sd > 0, (F.col("smooth") - F.avg("smooth").over(col)) / sd).otherwise(F.lit(0.0)))
+    # a column's two figures are aggregated and joined: no task holds a whole column
+    stats = s.groupBy(*column_keys).agg(F.avg("smooth").alias("_mean"), F.stddev_pop("smooth").alias("_sd"))
+    return s.join(stats, column_keys).withColumn("z", F.when(F.col("_sd") > 0, (F.col("smooth") - F.col("_mean")) / F.col("_sd")).otherwise(F.lit(0.0))).drop("_mean", "_sd")
 
 
 def monotone_align(scores: DataFrame, key: str, row: str, col: str, value: str, jump: float = 0.15, back: int = 12) -> DataFrame:
@@ -153,31 +206,58 @@ def context_rows(df: DataFrame, keys: list[str], order: str, match: Column, k: i
     return df.withColumn("_near", near).where("_near = 1").withColumn("is_match", match).drop("_near")
 
 
-def split_untimed(segments: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """Sentences of each segment, timed by their share of its characters."""
-    parts = F.filter(F.split(text, "(?<=[.!?]) "), lambda s: s != "")
-    rows = segments.select(*keys, "start_s", "end_s", F.posexplode(parts).alias("pos", "sentence"))
-    w = Window.partitionBy(*keys)
-    upto = F.sum(F.length("sentence")).over(w.orderBy("pos"))
-    total = F.sum(F.length("sentence")).over(w)
+# What ends a sentence, and what ends a clause.
+HARD, SOFT = "。！？!?…", "，,、；;:："
+
+
+def split_untimed(segments: DataFrame, keys: list[str], text: str = "text", max_dur: float = 8) -> DataFrame:
+    """Sentences of segments longer than ``max_dur``, timed by their share of the characters, to hundredths of a second.
+
+    A sentence that would still take longer is cut into runs of as many
+    characters as ``max_dur`` holds. Shorter segments stay as they are.
+    """
+    bare = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "^\\s+|\\s+$", "")
     dur = F.col("end_s") - F.col("start_s")
-    return rows.select(*keys, "pos", "sentence", (F.col("start_s") + dur * (upto - F.length("sentence")) / total).alias("from_s"), (F.col("start_s") + dur * upto / total).alias("to_s"))
+    each = dur / F.greatest(F.length(bare), F.lit(1))
+    size = F.greatest(F.floor(max_dur / each), F.lit(1)).cast("int")
+    sentences = F.filter(F.split(bare, f"(?<=[{HARD}])"), lambda p: F.trim(F.regexp_replace(p, "\\s+", "")) != "")
+    runs = F.flatten(F.transform(sentences, lambda p: F.when(F.length(p) * each <= max_dur, F.array(p)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(p), F.lit(1)), size), lambda i: F.substring(p, i, size)))))
+    parts = F.when((dur <= max_dur) | (bare == ""), F.array(bare)).otherwise(runs)
+    rows = segments.select(*keys, "start_s", "end_s", F.posexplode(parts).alias("pos", "part"))
+    w = Window.partitionBy(*keys)
+    upto, total = F.sum(F.length("part")).over(w.orderBy("pos")), F.greatest(F.sum(F.length("part")).over(w), F.lit(1))
+    at = lambda n: F.round(F.col("start_s") + dur * n / total, 2)
+    return rows.select(*keys, "pos", F.regexp_replace("part", "^\\s+|\\s+$", "").alias("sentence"), at(upto - F.length("part")).alias("from_s"), F.when(total == 1, F.round("end_s", 2).cast("double")).otherwise(at(upto)).alias("to_s"))
 
 
-def split_sentences(words: DataFrame, keys: list[str], max_dur: float = 8, gap_s: float = 3) -> DataFrame:
-    """Greedy sentences of timed words (pos, w, start_s, end_s): cut after a full stop, before a gap, or when it would get too long."""
-    seq = F.array_sort(F.collect_list(F.struct("pos", "w", "start_s", "end_s")))
-    state = "struct<t0:double,t1:double,stop:boolean,starts:array<int>>"
+def split_sentences(words: DataFrame, keys: list[str], max_dur: float = 8, soft_dur: float = 4, gap_s: float = 3) -> DataFrame:
+    """Greedy sentences of timed words (pos, w, start_s, end_s).
 
-    def fold(a: Column, x: Column) -> Column:
-        new = F.coalesce(a["stop"] | (x["start_s"] - a["t1"] > gap_s) | (x["end_s"] - a["t0"] > max_dur), F.lit(True))
-        starts = F.when(new, F.concat(a["starts"], F.array(x["pos"]))).otherwise(a["starts"])
-        return F.struct(F.when(new, x["start_s"]).otherwise(a["t0"]).alias("t0"), x["end_s"].alias("t1"), x["w"].rlike("[.!?。！？]$").alias("stop"), starts.alias("starts")).cast(state)
+    Cut after a full stop, after a clause mark once ``soft_dur`` is reached,
+    before a gap, and before a word that would make it longer than ``max_dur``.
+    A segment's words are one group, folded in order, each once.
+    """
+    import numpy as np
+    import pandas as pd
 
-    folded = words.groupBy(*keys).agg(seq.alias("s")).withColumn("starts", F.aggregate("s", F.from_json(F.lit('{"starts":[]}'), state), fold)["starts"])
-    joined = folded.select(*keys, "starts", F.explode("s").alias("x")).select(*keys, "x.*", F.size(F.filter("starts", lambda p: p <= F.col("x.pos"))).alias("sentence_no"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x["w"]), " ")
-    return joined.groupBy(*keys, "sentence_no").agg(F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), text.alias("text"))
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos", kind="stable")
+        no, t0, t1, cut = 0, 0.0, 0.0, True
+        numbers: list[int] = []
+        for w, lo, hi in zip(pdf["w"].tolist(), pdf["start_s"].tolist(), pdf["end_s"].tolist(), strict=True):
+            if cut or lo - t1 > gap_s or hi - t0 > max_dur:
+                no, t0 = no + 1, lo
+            numbers.append(no)
+            last, t1 = (w or "").strip()[-1:], hi
+            cut = last != "" and (last in HARD or (last in SOFT and hi - t0 >= soft_dur))
+        grp = pd.Series(np.array(numbers, np.int32), index=pdf.index, name="sentence_no")
+        g = pdf.groupby(grp)
+        out = pd.DataFrame({"start_s": g["start_s"].first(), "end_s": g["end_s"].last(), "text": g["w"].agg(lambda x: " ".join(v for v in x if v))}).reset_index()
+        return pd.concat([pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=out.index), out], axis=1)
+
+    kinds = dict(words.dtypes)
+    ddl = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "sentence_no int, start_s double, end_s double, text string"])
+    return words.select(*keys, "pos", "w", F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s")).groupBy(*keys).applyInPandas(fold, ddl)
 
 
 def display_rank(df: DataFrame, keys: list[str], order: list) -> DataFrame:

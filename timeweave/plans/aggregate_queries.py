@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import aggregates as A
 from ..operators import joins as J
-from .join_queries import PAIRS, TOK, _tokens
+from .join_queries import PAIRS, TOK, _token_sets
 from .proxies import HASH, SEG, SPAN, hashes, segments, spans, table
 
 QUERIES, SQL = {}, {}
@@ -30,12 +31,12 @@ def _a1(spark, d):
 @query("a2_boilerplate", """with t as (select distinct doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) as token from documents), n as (select count(distinct doc_id) as n_docs from t)
 select token, count(*) as df, max(n_docs) as n_docs from t, n group by token having count(*) > max(n_docs) * 0.4 and max(n_docs) >= 5""")
 def _a2(spark, d):
-    return A.boilerplate(_tokens(table(spark, d, "documents"), "doc_id"), "doc_id", "token")
+    return A.boilerplate(_token_sets(table(spark, d, "documents"), "doc_id"), "tokens")
 
 
 @query("a3_supported_vocab", f"with {TOK}, b as (select source, unnest(regexp_extract_all(lower(text), '[a-z]+')) as token from documents) select token, count(distinct source) as books from b group by 1 having count(distinct source) >= 3")
 def _a3(spark, d):
-    return A.supported_vocab(_tokens(table(spark, d, "documents"), "source"), "source", "token")
+    return A.supported_vocab(_token_sets(table(spark, d, "documents"), "source"), "source", "tokens")
 
 
 @query("a5_recording_start", f"with {SPAN} select user_id, median(lo) as measured_start, max(lo) - min(lo) as spread_s, count(*) as n_clips from span group by 1")
@@ -56,14 +57,24 @@ def _a7(spark, d):
     return A.bucket_text(segments(spark, d), ["conv_id"])
 
 
-@query("a8_repetition", """with l as (select doc_id, max(n) as modal_line from (select doc_id, line, count(*) as n from (select doc_id, unnest(string_split(text, chr(10))) as line from documents) where trim(line, ' ') <> '' group by 1, 2) group by 1),
-w as (select doc_id, list_filter(string_split_regex(text, '[ \\n]'), lambda x: x <> '') as w from documents),
-g as (select doc_id, unnest(list_transform(range(1, greatest(len(w) - 6, 1)), lambda i: array_to_string(w[i:i+7], ' '))) as g from w),
-s as (select doc_id, count(distinct g) / count(*) as diversity, count(*) as n_grams from g group by 1)
-select d.doc_id, coalesce(modal_line, 0) as modal_line, coalesce(n_grams, 0) as n_grams, case when n_grams >= 30 then diversity end as diversity
-from documents d left join l using (doc_id) left join s using (doc_id)""")
+FLAT = f"list_transform(string_split(text, chr(10)), lambda l: regexp_replace(lower(translate(l, '{X.WIDE}', '{X.NARROW.replace(chr(39), chr(39) * 2)}')), '{X.MARKS.replace(chr(39), chr(39) * 2)}', '', 'g'))"
+
+
+@query("a8_loop_lines", f"""with s as (select doc_id, {FLAT} as lines from documents), l as (select doc_id, max(n) as top from (select doc_id, line, count(*) as n from (select doc_id, unnest(lines) as line from s) where length(line) >= 4 group by 1, 2) group by 1),
+j as (select doc_id, array_to_string(lines, '') as x from s), g as (select doc_id, unnest(list_transform(range(1, length(x) - 6), lambda i: x[i:i+7])) as g from j), v as (select doc_id, round(count(distinct g) / count(*), 3) as diversity, count(*) as n from g group by 1)
+select d.doc_id, cast(coalesce(top, 0) as int) as max_line_repeats, case when n >= 30 then diversity end as ngram_diversity from documents d left join l using (doc_id) left join v using (doc_id)""")
 def _a8(spark, d):
-    return A.repetition(table(spark, d, "documents"), "doc_id", "text")
+    return A.loops(table(spark, d, "documents"), ["doc_id"], F.split("text", "\n")).select("doc_id", "max_line_repeats", "ngram_diversity")
+
+
+@query("a8_loop_flags")
+def _a8f(spark, d):
+    return A.loops(table(spark, d, "documents"), ["doc_id"], F.split("text", "\n")).select("doc_id", "inline_repeat_count", "loop")
+
+
+@query("a11_payload_repetition")
+def _a11(spark, d):
+    return A.loops(table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t")), ["conv_id"], F.flatten(F.transform("t", lambda x: F.split(x["text"], "\n"))), repeats=4)
 
 
 @query("a12_coverage", f"""with {SEG}, n as (select conv_id, cast(sum(length(text)) as bigint) as note from seg where role = 'user' group by 1), t as (select conv_id, cast(sum(length(text)) as bigint) as heard from seg where role = 'assistant' group by 1)
@@ -111,10 +122,10 @@ def _a18(spark, d):
     return A.kpi_pivot(table(spark, d, "lineitem"), "l_linestatus", "l_returnflag", ["A", "N", "R"], "l_tax")
 
 
-@query("a19_upper_median", """with r as (select p_brand, p_retailprice, row_number() over (partition by p_brand order by p_retailprice) as k, count(*) over (partition by p_brand) as n, row_number() over (order by p_retailprice) as gk, count(*) over () as gn from part where p_size < 5)
+@query("a19_upper_median", """with r as (select p_brand, p_retailprice, row_number() over (partition by p_brand order by p_retailprice) as k, count(*) over (partition by p_brand) as n, row_number() over (order by p_retailprice) as gk, count(*) over () as gn from part)
 select p_brand, case when n >= 5 then p_retailprice else (select p_retailprice from r where gk = gn // 2 + 1) end as median, n from r where k = n // 2 + 1""")
 def _a19(spark, d):
-    return A.upper_median(table(spark, d, "part").where("p_size < 5"), ["p_brand"], "p_retailprice")
+    return A.upper_median(table(spark, d, "part"), ["p_brand"], "p_retailprice")
 
 
 @query("a20_duration_stats", f"with {SEG} select role, avg(end_s - start_s) as mean_s, max(end_s - start_s) as max_s, count(*) filter (end_s - start_s > 15) as over from seg group by 1")

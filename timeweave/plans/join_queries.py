@@ -76,16 +76,14 @@ def _j6(spark, d):
     return J.replace_overlapping(g, r, ["conv_id"])
 
 
-GRAMS = f"""{SEG}, w as (select conv_id, turn, start_s, unnest(string_split(text, ' ')) as w, generate_subscripts(string_split(text, ' '), 1) as pos from seg),
-g as (select * from (select conv_id, turn, start_s, w || ' ' || lead(w) over o as gram from w window o as (partition by conv_id, turn order by pos)) where gram is not null),
+GRAMS = f"""{SEG}, x as (select conv_id, start_s, regexp_replace(text, '\\s+', '', 'g') as x from seg), g as (select conv_id, start_s, unnest(list_transform(range(1, length(x) - 4), lambda i: x[i:i+5])) as gram from x),
 c as (select conv_id as clip, start_s as t, gram from g where conv_id % 2 = 0), rr as (select conv_id as rec, start_s as t, gram from g where conv_id % 2 = 1),
 rare as (select * from (select *, count(*) over (partition by rec, gram) as n from rr) where n <= 4),
-vote as (select clip, rec, cast(floor((rare.t - c.t) / 5.0) as bigint) as bin, count(*) as votes from c join rare using (gram) group by all)"""
+vote as (select clip, rec, cast(round_even((rare.t - c.t) / 5.0, 0) as bigint) * 5 as offset_s, count(*) as votes from c join rare using (gram) group by all)"""
 
 
 def _votes(spark, d):
-    g = segments(spark, d)
-    grams = J.word_grams(g, ["conv_id", "turn", "start_s"], "text", 2)
+    grams = J.char_grams(segments(spark, d), ["conv_id", "start_s"], "text")
     clips = grams.where("conv_id % 2 = 0").select(F.col("conv_id").alias("clip"), F.col("start_s").alias("t"), "gram")
     recs = grams.where("conv_id % 2 = 1").select(F.col("conv_id").alias("rec"), F.col("start_s").alias("t"), "gram")
     return J.offset_votes(clips, recs)
@@ -96,23 +94,28 @@ def _j7(spark, d):
     return _votes(spark, d)
 
 
-@query("a4_best_offset", f"""with {GRAMS}, s as (select *, cast(sum(votes) over (partition by clip, rec order by bin range between 1 preceding and 1 following) as bigint) as smooth from vote)
-select clip, rec, bin, smooth as votes, smooth < 40 as low_confidence from (select *, row_number() over (partition by clip order by smooth desc, rec, bin) as k from s) where k = 1""")
+@query("a4_best_offset", f"""with {GRAMS}, s as (select *, cast(sum(votes) over (partition by clip, rec order by offset_s range between 5 preceding and 5 following) as bigint) as smooth from vote)
+select clip, rec, offset_s, smooth as votes, smooth < 40 as low_confidence from (select *, row_number() over (partition by clip order by smooth desc, rec, offset_s) as k from s) where k = 1""")
 def _a4(spark, d):
     return J.best_offset(_votes(spark, d))
 
 
 TOK = f"""{SEG}, tok as (select conv_id * 100 + turn as seg, unnest(regexp_extract_all(lower(text), '[a-z]+')) as token from seg),
-vocab as (select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as token from documents where doc_id % 2 = 0)"""
+vocab as (select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as token from documents)"""
 
 
 def _tokens(df, ident, text="text"):
     return df.select(ident, F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), 0)).alias("token"))
 
 
+def _token_sets(df, *keep, text="text"):
+    """Each row's distinct tokens as an array."""
+    return df.select(*keep, F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), 0)).alias("tokens"))
+
+
 def _suspects(spark, d):
     g = segments(spark, d).withColumn("seg", F.col("conv_id") * 100 + F.col("turn"))
-    vocab = _tokens(table(spark, d, "documents").where("doc_id % 2 = 0"), "doc_id").select("token").distinct()
+    vocab = _token_sets(table(spark, d, "documents"), "doc_id").select(F.explode("tokens").alias("token")).distinct()
     terms = spark.createDataFrame([("licensed",), ("version",)], "token string")
     return J.suspect_tokens(_tokens(g, "seg"), [vocab, terms])
 
@@ -126,20 +129,21 @@ def _j8(spark, d):
     return _suspects(spark, d)
 
 
-@query("j9_closest_terms", f"""with {SUS}, t as (select distinct n_name as term from nation union select distinct unnest(string_split(p_name, ' ')) from part union select token from vocab where length(token) >= 6 and token < 'c'),
-p as (select token, term, levenshtein(token, term) as distance from sus, t where abs(length(token) - length(term)) <= 2 and token <> term)
+@query("j9_closest_terms", f"""with {SUS}, t as (select distinct n_name as term from nation union select distinct unnest(string_split(p_name, ' ')) from part union select token from vocab),
+p as (select token, term, levenshtein(token, term) as distance from sus, t where abs(length(token) - length(term)) <= 2 and token <> term and term <> '')
 select token, term, cast(distance as int) as distance, cast(k as int) as rank from (select *, row_number() over (partition by token order by distance, distance / greatest(length(token), length(term)), term) as k from p where distance <= 2) where k <= 3""")
 def _j9(spark, d):
-    vocab = _tokens(table(spark, d, "documents").where("doc_id % 2 = 0"), "doc_id").where("length(token) >= 6 and token < 'c'").select(F.col("token").alias("term"))
+    vocab = _token_sets(table(spark, d, "documents"), "doc_id").select(F.explode("tokens").alias("term"))
     terms = table(spark, d, "nation").select(F.col("n_name").alias("term")).union(table(spark, d, "part").select(F.explode(F.split("p_name", " ")))).union(vocab)
     return J.closest_terms(_suspects(spark, d), terms)
 
 
-@query("j10_hamming_nn", f"""with {HASH}, p as (select a.vec_id as id, b.vec_id as rid, bit_count(xor(xor(a.h, 37), b.h)) as dist from hash a, hash b where a.vec_id % 5 = 0)
-select id, rid, cast(dist as int) as dist from (select *, row_number() over (partition by id order by dist, rid) as k from p where dist <= 6) where k = 1""")
+@query("j10_hamming_nn", f"""with {HASH}, p as (select a.vec_id as id, a.label as ll, b.vec_id as rid, b.label as rl, bit_count(xor(xor(a.h, 37), b.h)) as dist from hash a, hash b where a.vec_id % 5 = 0)
+select id, case when ll = rl then rid end as rid, cast(dist as int) as dist from (select *, row_number() over (partition by id order by dist, rid) as k from p where dist <= 6) where k = 1""")
 def _j10(spark, d):
     h = hashes(spark, d)
-    return J.hamming_nn(h.where("vec_id % 5 = 0").select(F.col("vec_id").alias("id"), F.col("h").bitwiseXOR(F.lit(37)).alias("h")), h.select(F.col("vec_id").alias("rid"), F.col("h").alias("rh")))
+    left = h.where("vec_id % 5 = 0").select(F.col("vec_id").alias("id"), F.col("h").bitwiseXOR(F.lit(37)).alias("h"), F.col("label").alias("ll"))
+    return J.hamming_nn(left, h.select(F.col("vec_id").alias("rid"), F.col("h").alias("rh"), F.col("label").alias("rl")), guard=F.col("ll") == F.col("rl"))
 
 
 @query("j11_resolve_unique", """with l as (select distinct 'NATION_' || (n_nationkey % 13) as sub from nation), n as (select distinct n_name from nation),
@@ -157,13 +161,13 @@ def _j12(spark, d):
     return J.explode_members(groups, n, "region", "keys", "n_nationkey", "n_name").select("region", F.concat_ws(",", "values").alias("names"))
 
 
-@query("j13_names_in_text", """with n as (select distinct unnest(string_split(p_name, ' ')) as name from part union select distinct p_name from part where p_partkey < 40),
+@query("j13_names_in_text", """with n as (select distinct unnest(string_split(p_name, ' ')) as name from part union select distinct p_name from part),
 h as (select p_partkey as id, name, instr(p_name, name) as pos from part join n on contains(p_name, name)),
 b as (select * from (select *, row_number() over (partition by id, pos order by length(name) desc, name) as k from h) where k = 1)
 select id, name, cast(pos as int) as pos, cast(row_number() over (partition by id order by pos) as int) as nth from b""")
 def _j13(spark, d):
     p = table(spark, d, "part")
-    names = p.select(F.explode(F.split("p_name", " ")).alias("name")).union(p.where("p_partkey < 40").select("p_name")).distinct()
+    names = p.select(F.explode(F.split("p_name", " ")).alias("name")).union(p.select("p_name")).distinct()
     return J.names_in_text(p.select(F.col("p_partkey").alias("id"), "p_name"), names, "id", "p_name")
 
 
@@ -174,21 +178,22 @@ def _j14(spark, d):
     return J.claim_conflicts(table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("claimed")), m, "id", "claimed", "measured", 150000)
 
 
-@query("j15_caption_overlap", """with f as (select doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{3,}')) as ft, list_distinct(regexp_extract_all(lower(left(text, 40)), '[a-z]{3,}')) as fs from documents),
-p as (select a.doc_id, list_unique(list_intersect(a.ft, b.fs)) as shared, len(a.fs) as n from f a join f b on b.doc_id = a.doc_id + 1)
+@query("j15_caption_overlap", """with f as (select doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{3,}')) as t from documents)
 select doc_id, cast(shared as int) as shared, case when n < 3 then 'skip' when shared = 0 then 'fail' when shared = 1 then 'weak' else 'ok' end as status
-from (select a.doc_id, len(list_distinct(list_intersect(b.fs, a.fs))) as shared, len(a.fs) as n from f a join f b on b.doc_id = a.doc_id + 1)""")
+from (select a.doc_id, len(list_intersect(b.t, a.t)) as shared, len(a.t) as n from f a join f b on b.doc_id = a.doc_id + 1)""")
 def _j15(spark, d):
-    toks = F.array_distinct(F.regexp_extract_all(F.lower(F.substring("text", 1, 40)), F.lit("[a-z]{3,}"), 0))
+    toks = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), 0))
     docs = table(spark, d, "documents")
     return J.caption_overlap(docs.select((F.col("doc_id") - 1).alias("doc_id"), toks.alias("tokens")), docs.select("doc_id", toks.alias("tokens")), "doc_id")
 
 
-@query("j16_ref_integrity", """with a as (select p_name, count(distinct p_brand) as n from part where p_partkey < 30 group by 1)
-select r.ref, case when n is null then 'missing' when n > 1 then 'ambiguous' else 'ok' end as status from (select distinct p_name as ref from part) r left join a on a.p_name = r.ref""")
+@query("j16_ref_integrity", """with a as (select n_name as name, count(distinct n_regionkey) as n from (select n_name, n_regionkey from nation union all select p_name, p_size from part) group by 1)
+select r.ref, case when n is null then 'missing' when n > 1 then 'ambiguous' else 'ok' end as status from (select distinct p_name as ref from part union select distinct c_mktsegment from customer union select n_name from nation) r left join a on a.name = r.ref""")
 def _j16(spark, d):
-    p = table(spark, d, "part")
-    return J.ref_integrity(p.select(F.col("p_name").alias("ref")), p.where("p_partkey < 30"), "ref", "p_name", "p_brand")
+    p, n = table(spark, d, "part"), table(spark, d, "nation")
+    assets = n.select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("long").alias("digest")).union(p.select("p_name", F.col("p_size").cast("long")))
+    refs = p.select(F.col("p_name").alias("ref")).union(table(spark, d, "customer").select("c_mktsegment")).union(n.select("n_name"))
+    return J.ref_integrity(refs, assets, "ref", "name", "digest")
 
 
 @query("j18_seek", f"""with {SEG} select conv_id, turn, start_s, end_s from (select *, row_number() over (partition by conv_id order by (role = 'assistant') desc, start_s desc, turn) as k from seg
@@ -207,15 +212,15 @@ def _j19(spark, d):
     return J.deep_links(n.select("n_nationkey", link.alias("link")), n, "link", "n_name")
 
 
-@query("j20_unmentioned", """with n as (select distinct unnest(string_split(p_name, ' ')) as name from part union select n_name from nation)
-select name from n where not exists (select 1 from part where p_partkey < 5 and contains(p_name, name))""")
+@query("j20_unmentioned", """with n as (select distinct unnest(string_split(p_name, ' ')) as name from part union select n_name from nation union select distinct split_part(text, ' ', 1) from benchmark)
+select name from n where name <> '' and not exists (select 1 from conversations where contains(text, name))""")
 def _j20(spark, d):
-    p = table(spark, d, "part")
-    names = p.select(F.explode(F.split("p_name", " ")).alias("name")).union(table(spark, d, "nation").select("n_name")).distinct()
-    return J.unmentioned(names, p.where("p_partkey < 5"), "name", "p_name")
+    names = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("name")).union(table(spark, d, "nation").select("n_name")).union(table(spark, d, "benchmark").select(F.split_part("text", F.lit(" "), F.lit(1)))).distinct().where("name <> ''")
+    return J.unmentioned(names, table(spark, d, "conversations"), "name", "text")
 
 
-@query("j21_ingested", """select p_partkey, p_name from part where p_partkey >= 500 and p_name in (select p_name from part where p_partkey < 20)""")
+@query("j21_ingested", """select c_custkey, c_mktsegment from customer where c_mktsegment in (select o_orderpriority from orders union select c_mktsegment from customer where c_acctbal < 0)""")
 def _j21(spark, d):
-    p = table(spark, d, "part")
-    return J.ingested(p.where("p_partkey >= 500").select("p_partkey", "p_name"), p.where("p_partkey < 20"), "p_name").select("p_partkey", "p_name")
+    c = table(spark, d, "customer")
+    slides = table(spark, d, "orders").select(F.col("o_orderpriority").alias("c_mktsegment")).union(c.where("c_acctbal < 0").select("c_mktsegment"))
+    return J.ingested(c.select("c_custkey", "c_mktsegment"), slides, "c_mktsegment")

@@ -188,15 +188,15 @@ def _v9(spark, d):
     return R.backfill(p, {"p_type": F.lit("talk"), "region": F.lit("hall")})
 
 
-@query("s10_corpus", "select source, doc_id, left(text, 500) as text from (select *, row_number() over (partition by source order by doc_id) as k from documents) where k <= 15")
+@query("s10_corpus", "select source, doc_id, left(text, 200000) as text from (select *, row_number() over (partition by source order by doc_id) as k from documents) where k <= 15")
 def _s10(spark, d):
-    return readers.corpus(table(spark, d, "documents").select("source", "doc_id", "text"), "source", "doc_id", "text", chars=500)
+    return readers.corpus(table(spark, d, "documents").select("source", "doc_id", "text"), "source", "doc_id", "text")
 
 
-@query("s12_json_strings", """select event_id, 'v' || event_id as value from events""")
+@query("s12_json_strings", """select doc_id, text as value from documents union all select doc_id, source || '"\\é' from documents""")
 def _s12(spark, d):
-    e = table(spark, d, "events").select("event_id", F.to_json(F.struct(F.concat(F.lit("v"), "event_id").alias("a"), F.struct(F.col("user_id").alias("n")).alias("b"))).alias("j"))
-    return readers.json_strings(e, "event_id", "j")
+    j = F.to_json(F.struct(F.col("text").alias("a"), F.struct(F.col("doc_id").alias("n"), F.array(F.concat("source", F.lit('"\\é'))).alias("list")).alias("b")))
+    return readers.json_strings(table(spark, d, "documents").select("doc_id", F.replace(j, F.lit("é"), F.lit("\\u00e9")).alias("j")), "doc_id", "j")
 
 
 @query("s13_classify_paths", "select p_partkey, case p_type when 'PROMO' then 'video' when 'ECONOMY' then 'image' else 'other' end as kind from part")
@@ -221,12 +221,13 @@ def _k10(spark, d):
     return sinks.render_markdown(n, ["n_regionkey"], "title", "n_nationkey", "n_name")
 
 
-@query("k6_unresolved_refs", "select distinct p_name as name from part where p_name not in (select p_name from part where p_partkey < 30)")
+@query("k6_unresolved_refs", "select distinct p_name as name from part where p_name not in (select n_name from nation union select c_mktsegment from customer union select split_part(p_name, ' ', 1) from part)")
 def _k6(spark, d):
     p = table(spark, d, "part").withColumnRenamed("p_name", "name")
-    return sinks.unresolved_refs(p, p.where("p_partkey < 30"), "name")
+    assets = table(spark, d, "nation").select(F.col("n_name").alias("name")).union(table(spark, d, "customer").select("c_mktsegment")).union(p.select(F.split_part("name", F.lit(" "), F.lit(1))))
+    return sinks.unresolved_refs(p, assets, "name")
 
 
-@query("k7_timeline_json")
+@query("k7_timeline_json", f"with {SEG} select conv_id, cast(to_json(list({{'start_s': start_s, 'end_s': end_s, 'turn': turn, 'role': role}} order by start_s, end_s, turn)) as varchar) as timeline from seg group by 1")
 def _k7(spark, d):
     return sinks.timeline_json(segments(spark, d), ["conv_id"], "start_s", ["start_s", "end_s", "turn", "role"])

@@ -21,15 +21,21 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("w1_adjacent_dedup")
+@query("w1_adjacent_dedup", f"""with recursive {HASH}, f as (select label, vec_id, h, row_number() over (partition by label order by vec_id) as i from hash),
+r as (select label, i, vec_id, h, h as first, 1 as grp from f where i = 1 union all
+  select f.label, f.i, f.vec_id, f.h, case when bit_count(xor(f.h, r.h)) >= 36 or bit_count(xor(f.h, r.first)) >= 34 then f.h else r.first end, r.grp + (bit_count(xor(f.h, r.h)) >= 36 or bit_count(xor(f.h, r.first)) >= 34)::int from r join f on f.label = r.label and f.i = r.i + 1)
+select label, cast(grp as int) as grp, count(*) as group_size, min(vec_id) as first_frame, max(vec_id) as kept_frame from r group by 1, 2""")
 def _w1(spark, d):
-    return W.adjacent_dedup(hashes(spark, d), ["label"], "vec_id", step=30, drift=34)
+    return W.adjacent_dedup(hashes(spark, d), ["label"], "vec_id", step=36, drift=34)
 
 
-@query("w1_no_drift", f"""with {HASH}, n as (select label, vec_id, case when bit_count(xor(h, lag(h) over (partition by label order by vec_id))) < 30 then 0 else 1 end as new from hash),
-g as (select label, vec_id, sum(new) over (partition by label order by vec_id) as grp from n) select label, cast(grp as int) as grp, count(*) as group_size, min(vec_id) as first_frame, max(vec_id) as kept_frame from g group by 1, 2""")
-def _w1n(spark, d):
-    return W.adjacent_dedup(hashes(spark, d), ["label"], "vec_id", step=30, drift=65)
+@query("w1_changed_pixels", f"""with recursive {HASH}, f as (select h.label, h.vec_id, h.h, v.moved, row_number() over (partition by h.label order by h.vec_id) as i from hash h join (select vec_id, abs(embedding[1]) as moved from embeddings) v using (vec_id)),
+r as (select label, i, vec_id, h, h as first, 1 as grp from f where i = 1 union all
+  select f.label, f.i, f.vec_id, f.h, case when f.moved >= 0.2 or bit_count(xor(f.h, r.first)) >= 40 then f.h else r.first end, r.grp + (f.moved >= 0.2 or bit_count(xor(f.h, r.first)) >= 40)::int from r join f on f.label = r.label and f.i = r.i + 1)
+select label, cast(grp as int) as grp, count(*) as group_size, min(vec_id) as first_frame, max(vec_id) as kept_frame from r group by 1, 2""")
+def _w1c(spark, d):
+    moved = table(spark, d, "embeddings").select("vec_id", F.abs(F.get("embedding", F.lit(0))).alias("moved"))
+    return W.adjacent_dedup(hashes(spark, d).join(moved, "vec_id"), ["label"], "vec_id", step=65, drift=40, changed="moved", moved=0.2)
 
 
 @query("w2_semantic_groups", f"""with {SEG}, n as (select *, case when length(text) >= 0.5 * lag(length(text)) over w and start_s - lag(start_s) over w < 60 then 0 else 1 end as new from seg window w as (partition by conv_id order by turn)),
@@ -91,15 +97,20 @@ def _w9(spark, d):
     return W.runs(_events(spark, d), ["user_id"], "event_id", F.col("value") < 30)
 
 
-@query("w10_rate_windows", f"""with {SEG}, w as (select conv_id, turn, start_s, cast(sum(length(text)) over w as bigint) as win_chars, max(end_s) over w as win_end from seg window w as (partition by conv_id order by start_s range between current row and 30 following))
-select conv_id, turn, win_chars, win_end, win_chars / (win_end - start_s) as rate from w where win_end - start_s >= 30""")
+@query("w10_low_rate_windows", f"""with recursive {SEG}, s as (select conv_id, cast(start_s as double) as lo, cast(end_s as double) as hi, length(text) as n, row_number() over (partition by conv_id order by start_s, end_s) as i from seg),
+m as (select conv_id, list_sort(list(n / (hi - lo)))[len(list(n)) // 2 + 1] * 0.95 as under from s where hi - lo > 0.5 and n > 0 group by 1),
+c as (select a.conv_id, a.i, a.lo, coalesce((select min(b.i) from s b where b.conv_id = a.conv_id and b.i >= a.i and b.hi - a.lo >= 30), (select max(i) + 1 from s b where b.conv_id = a.conv_id)) as j from s a where a.hi - a.lo >= 0.5),
+w as (select c.conv_id, c.i, c.j, c.lo, (select b.hi from s b where b.conv_id = c.conv_id and b.i = c.j - 1) as hi, (select sum(b.n) from s b where b.conv_id = c.conv_id and b.i >= c.i and b.i < c.j) as n from c where c.j > c.i),
+low as (select w.*, n / (hi - lo) as rate, under from w join m using (conv_id) where hi - lo >= 24 and n / (hi - lo) < under),
+p as (select conv_id, min(i) as i from low group by 1 union all select p.conv_id, (select min(x.i) from low x where x.conv_id = p.conv_id and x.i >= l.j) from p join low l on l.conv_id = p.conv_id and l.i = p.i where exists (select 1 from low x where x.conv_id = p.conv_id and x.i >= l.j))
+select l.conv_id, l.lo, l.hi, round(l.rate, 6) as rate, round(l.under, 6) as under, 'latin' as script from low l join p on p.conv_id = l.conv_id and p.i = l.i""")
 def _w10(spark, d):
-    return W.rate_windows(segments(spark, d), ["conv_id"], F.length("text")).select("conv_id", "turn", "win_chars", "win_end", "rate")
+    return W.low_rate_windows(segments(spark, d), ["conv_id"], share=0.95).select("conv_id", "lo", "hi", F.round("rate", 6).alias("rate"), F.round("under", 6).alias("under"), "script")
 
 
-@query("w11_merge_intervals", f"""with {SPAN}, r as (select *, max(hi) over (partition by user_id order by lo, hi rows between unbounded preceding and 1 preceding) as reach from span),
-g as (select *, sum(case when lo > reach + 5 or reach is null then 1 else 0 end) over (partition by user_id order by lo, hi) as island from r)
-select user_id, min(lo) as lo, max(hi) as hi, count(*) as n, array_to_string(list_sort(list(distinct event_type)), '+') as reasons from g group by user_id, island""")
+@query("w11_merge_intervals", f"""with {SPAN}, r as (select *, max(hi) over (partition by user_id order by lo, hi, event_type rows between unbounded preceding and 1 preceding) as reach from span),
+g as (select *, sum(case when lo > reach + 5 or reach is null then 1 else 0 end) over (partition by user_id order by lo, hi, event_type) as island from r)
+select user_id, min(lo) as lo, max(hi) as hi, count(*) as n, string_agg(event_type, ' | ' order by lo, hi, event_type) as reasons from g group by user_id, island""")
 def _w11(spark, d):
     return W.merge_intervals(spans(spark, d), ["user_id"], "lo", "hi", reason="event_type")
 
@@ -138,30 +149,31 @@ def _w16(spark, d):
     return W.context_rows(table(spark, d, "events"), ["user_id"], "event_id", (F.col("event_type") == "purchase") & (F.col("value") > 80)).select("user_id", "event_id", "is_match")
 
 
-def _words(spark, d):
-    rows = segments(spark, d).select("conv_id", "turn", F.col("start_s").cast("double").alias("t"), F.posexplode(F.split("text", " ")).alias("pos", "w"))
-    return rows.withColumn("start_s", F.col("t") + F.col("pos") * 0.5).withColumn("end_s", F.col("t") + F.col("pos") * 0.5 + 0.5).drop("t")
+# the texts' full stops stand for the stops of the rule, which takes no "."
+STOPPED = "replace(replace(text, '.', '!'), ';', '。')"
 
 
-@query("w17_split_sentences")
+@query("w17_split_sentences", f"""with recursive {SEG}, w as (select conv_id, turn, generate_subscripts(string_split({STOPPED}, ' '), 1) - 1 as pos, unnest(string_split({STOPPED}, ' ')) as w, cast(start_s as double) as t from seg),
+x as (select conv_id, turn, pos, w, t + pos * 0.5 + pos // 7 * 4 as s, t + pos * 0.5 + pos // 7 * 4 + 0.5 as e from w),
+r as (select conv_id, turn, pos, w, s, e, s as t0, 1 as no from x where pos = 0 union all
+  select conv_id, turn, pos, w, s, e, case when cut then s else t0 end, no + cut::int from (select x.*, r.t0, r.no, regexp_matches(r.w, '[。！？!?…]$') or (regexp_matches(r.w, '[，,、；;:：]$') and r.e - r.t0 >= 2) or x.s - r.e > 3 or x.e - r.t0 > 3 as cut from r join x on x.conv_id = r.conv_id and x.turn = r.turn and x.pos = r.pos + 1))
+select conv_id, turn, cast(no as int) as sentence_no, min(s) as start_s, max(e) as end_s, string_agg(case when w <> '' then w end, ' ' order by pos) as text from r group by 1, 2, 3""")
 def _w17(spark, d):
-    return W.split_sentences(_words(spark, d), ["conv_id", "turn"])
-
-
-@query("w17_hard_stops", f"""with {SEG}, w as (select conv_id, turn, cast(start_s as double) as t, generate_subscripts(string_split(text, ' '), 1) - 1 as pos, unnest(string_split(text, ' ')) as w from seg),
-n as (select *, t + pos * 0.5 as s, case when regexp_matches(lag(w) over o, '[.!?]$') or pos = 0 then 1 else 0 end as new from w window o as (partition by conv_id, turn order by pos)),
-g as (select *, sum(new) over (partition by conv_id, turn order by pos) as k from n)
-select conv_id, turn, cast(k as int) as sentence_no, min(s) as start_s, max(s) + 0.5 as end_s, string_agg(w, ' ' order by pos) as text from g group by 1, 2, 3""")
-def _w17h(spark, d):
-    return W.split_sentences(_words(spark, d), ["conv_id", "turn"], max_dur=1e9, gap_s=1e9)
-
-
-@query("w18_split_untimed", f"""with {SEG}, s as (select conv_id, turn, start_s, end_s, list_filter(string_split_regex(regexp_replace(text, '([.!?]) ', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') as p from seg),
-r as (select conv_id, turn, start_s, end_s, generate_subscripts(p, 1) - 1 as pos, unnest(p) as sentence from s)
-select conv_id, turn, cast(pos as int) as pos, sentence, start_s + (end_s - start_s) * (sum(length(sentence)) over (partition by conv_id, turn order by pos) - length(sentence)) / sum(length(sentence)) over (partition by conv_id, turn) as from_s,
-start_s + (end_s - start_s) * sum(length(sentence)) over (partition by conv_id, turn order by pos) / sum(length(sentence)) over (partition by conv_id, turn) as to_s from r""")
+    rows = segments(spark, d).select("conv_id", "turn", F.col("start_s").cast("double").alias("t"), F.posexplode(F.split(F.translate("text", ".;", "!。"), " ")).alias("pos", "w"))
+    start = F.col("t") + F.col("pos") * 0.5 + F.floor(F.col("pos") / 7) * 4
+    timed = rows.withColumn("start_s", start).withColumn("end_s", start + 0.5)
+    out = W.split_sentences(timed, ["conv_id", "turn"], max_dur=3, soft_dur=2)
+    return out.withColumn("text", F.nullif("text", F.lit("")))
+
+
+@query("w18_split_untimed", f"""with {SEG}, b as (select conv_id, turn, start_s, end_s, end_s - start_s as dur, trim({STOPPED}, ' ' || chr(10)) as x from seg),
+p as (select *, greatest(cast(floor(4 / (dur / greatest(length(x), 1))) as bigint), 1) as size, list_filter(string_split(regexp_replace(x, '([。！？!?…])', '\\1' || chr(1), 'g'), chr(1)), lambda q: trim(q, ' ' || chr(10)) <> '') as q from b),
+c as (select *, case when dur <= 4 or x = '' then [x] else flatten(list_transform(q, lambda y: case when length(y) * (dur / greatest(length(x), 1)) <= 4 then [y] else list_transform(range(1, length(y) + 1, size), lambda i: substring(y, i, size)) end)) end as parts from p),
+r as (select conv_id, turn, start_s, end_s, dur, generate_subscripts(parts, 1) - 1 as pos, unnest(parts) as part from c),
+u as (select *, sum(length(part)) over (partition by conv_id, turn order by pos) as upto, greatest(sum(length(part)) over (partition by conv_id, turn), 1) as total from r)
+select conv_id, turn, cast(pos as int) as pos, trim(part, ' ' || chr(10)) as sentence, round(start_s + dur * (upto - length(part)) / total, 2) as from_s, case when total = 1 then end_s::double else round(start_s + dur * upto / total, 2) end as to_s from u""")
 def _w18(spark, d):
-    return W.split_untimed(segments(spark, d), ["conv_id", "turn"])
+    return W.split_untimed(segments(spark, d).withColumn("text", F.translate("text", ".;", "!。")), ["conv_id", "turn"], max_dur=4)
 
 
 @query("w19_display_rank", "select p_partkey, cast(row_number() over (partition by p_brand order by p_size desc, p_partkey) as int) as display_rank from part")

@@ -53,10 +53,12 @@ def corpus(files: DataFrame, book: str, name: str, text: str, per_book: int = 15
 
 
 def json_strings(df: DataFrame, key: str, text: str) -> DataFrame:
-    """All string values anywhere in JSON texts (not the keys)."""
-    found = F.regexp_extract_all(F.col(text), F.lit('"(?:[^"\\\\]|\\\\.)*"\\s*:?'), 0)
+    """All string values anywhere in JSON texts (not the keys), their escapes decoded."""
+    found = F.regexp_extract_all(F.col(text), F.lit('"[^"\\\\]*+(?:\\\\.[^"\\\\]*+)*+"\\s*+:?'), 0)
     values = F.filter(found, lambda x: ~F.endswith(x, F.lit(":")))
-    return df.select(key, F.explode(F.transform(values, lambda x: F.substring(F.trim(x), F.lit(2), F.length(F.trim(x)) - 2))).alias("value"))
+    # the literals together are a JSON list, which Spark's own parser decodes
+    decoded = F.from_json(F.concat(F.lit("["), F.array_join(values, ","), F.lit("]")), "array<string>")
+    return df.select(key, F.explode(decoded).alias("value"))
 
 
 def classify_paths(files: DataFrame, path: str, kinds: dict[str, list[str]]) -> DataFrame:
