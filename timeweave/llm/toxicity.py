@@ -1,11 +1,13 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
-Folding lower-cases, maps homoglyphs to Latin letters, undoes digit and sign
-substitutions inside words and leaves words separated by single blanks. Lexicon
-entries are whole words or word beginnings; their weights are log ratios of
-their rates in toxic and other labelled texts. The longest entry at a word
-counts, unless an exception phrase covers it. The hits' weight, normalised by
-length, goes through a small fitted logistic curve.
+Folding lower-cases, takes accents off, maps homoglyphs to Latin letters, undoes
+digit and sign substitutions inside and at the edges of words and leaves words
+separated by single blanks. Lexicon entries are whole words or word beginnings;
+their weights are log ratios of the shares of toxic and of other labelled texts
+that hold them. The longest entry at a word counts, unless an exception phrase
+covers it: two neighbouring words, one of them in the lexicon, that other texts
+hold at least as often as toxic ones. The hits' weight, normalised by length,
+goes through a small fitted logistic curve. All of it is learned.
 
 Learning uses at most ``TRAIN_ROWS`` labelled rows. Defined results: null and
 empty texts have no hits and get the curve's score for none; repeated rows score
@@ -16,8 +18,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -29,23 +31,25 @@ from .language_id import remainder
 
 #: Bound of the labelled rows learned from, chosen by a hash of the key.
 TRAIN_ROWS = 12_000
-#: An entry occurs in this many toxic texts at least, and its rate there is this many times the rate elsewhere.
-MIN_TEXTS, MIN_RATIO, MAX_ENTRIES = 5, 8.0, 2000
+#: An entry occurs in this many toxic texts at least, its share of them is this many times its share of the others,
+#: and the likelihood ratio of the two shares is beyond chance (12: one form in two thousand).
+MIN_TEXTS, MIN_RATIO, MIN_SURPRISE, MAX_ENTRIES = 3, 8.0, 12.0, 2000
+#: An exception phrase occurs in this many texts that aren't toxic.
+MIN_HARMLESS = 3
 PREFIXES = range(4, 9)
 
 # Letters that look like Latin ones, and digits and signs written for letters.
 HOMOGLYPHS = str.maketrans(
-    "аеорсухіјѕԁԛԝһӏвкмнтгαβγεηικνορτυχωℓ",
-    "aeopcyxijsdqwhlbkmhtrabyenikvoptuxwl",
+    "аеорсухіјѕԁԛԝһӏвкмнтгпиьзαβγεηικνορτυχωσοսոհցքıɑɡƒøłđðþæœß",
+    "aeopcyxijsdqwhlbkmhtrnubzabyenikvoptuxwoounhgpiagfoldepaos",
 )
 SIGNS = str.maketrans("013457@$!|", "oieastasil")
 HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
-SWAPPED = re.compile(r"(?<=[^\W\d_])[013457@$!|]{1,2}(?=[^\W\d_])|(?<!\S)[013457@$](?=[^\W\d_])")
+MARKS = re.compile("[\u0300-\u036f]")
+# between letters, or one or two of them at a word's edge (more are decoration; a final ! is a mark)
+SWAPPED = re.compile(r"(?<=[^\W\d_])[013457@$!|]{1,2}(?=[^\W\d_])|(?<![\w@$!|])[013457@$]{1,2}(?=[^\W\d_])|(?<=[^\W\d_])[013457@$]{1,2}(?![\w@$])")
 WORD = re.compile(r"[^\W\d_]+")
 
-# Harmless phrases that hold a word of abuse.
-EXCEPTIONS = ("circus clown", "class clown", "rodeo clown", "clown fish", "trash can", "trash bin", "trash bag", "trash collection", "pond scum", "soap scum", "idiot proof", "idiots guide", "sore loser")
-
 
 def fold(text: str | None) -> str:
     """The folded words of ``text``, one blank before and after each."""
@@ -53,7 +57,7 @@ def fold(text: str | None) -> str:
         return " "
     low = text.lower()
     if not low.isascii():
-        low = HIDDEN.sub("", unicodedata.normalize("NFKC", low)).translate(HOMOGLYPHS)
+        low = MARKS.sub("", unicodedata.normalize("NFKD", HIDDEN.sub("", low))).translate(HOMOGLYPHS)
     low = SWAPPED.sub(lambda m: m[0].translate(SIGNS), low)
     return f" {' '.join(WORD.findall(low))} "
 
@@ -66,7 +70,7 @@ def candidates(word: str) -> list[str]:
 class Lexicon:
     """``entries``: form to weight; ``curve``: weights of the logistic features, constant last."""
 
-    def __init__(self, entries: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS, curve: tuple[float, ...] | None = None):
+    def __init__(self, entries: dict[str, float], exceptions: tuple[str, ...] = (), curve: tuple[float, ...] | None = None):
         import ahocorasick
 
         self.entries, self.exceptions, self.curve = entries, exceptions, curve
@@ -79,6 +83,10 @@ class Lexicon:
 
     def hits(self, folded: str) -> list[float]:
         """Weights of the words hit, each by its longest entry, without those inside an exception phrase."""
+        return [w for _, w in self.places(folded)]
+
+    def places(self, folded: str) -> list[tuple[int, float]]:
+        """The same with the place of the blank before each word."""
         if not self.entries:
             return []
         best: dict[int, tuple[int, float]] = {}
@@ -89,7 +97,8 @@ class Lexicon:
                 excused.append((start, end))
             elif size > best.get(start, (0, 0.0))[0]:
                 best[start] = (size, weight)
-        return [w for start, (_, w) in best.items() if not any(a <= start < b for a, b in excused)]
+        # a phrase covers its words' first letters: the blank after it begins the next word
+        return [(start, w) for start, (_, w) in best.items() if not any(a <= start < b - 1 for a, b in excused)]
 
     def features(self, text: str | None) -> list[float]:
         folded = fold(text)
@@ -104,6 +113,29 @@ class Lexicon:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def surprise(a: int, b: int, n_a: int, n_b: int) -> float:
+    """Likelihood ratio statistic of a of n_a texts and b of n_b holding a form, against one share for all."""
+
+    def part(k: int, n: int) -> float:
+        return k * log(k / n) if k else 0.0
+
+    return 2 * (part(a, n_a) + part(n_a - a, n_a) + part(b, n_b) + part(n_b - b, n_b) - part(a + b, n_a + n_b) - part(n_a + n_b - a - b, n_a + n_b))
+
+
+def phrases(folded: str, lexicon: Lexicon) -> set[str]:
+    """Pairs of neighbouring words of which one is hit."""
+    out: set[str] = set()
+    for start, _ in lexicon.places(folded):
+        end = folded.index(" ", start + 1)
+        before = folded.rfind(" ", 0, start)
+        after = folded.find(" ", end + 1)
+        if before >= 0:
+            out.add(folded[before + 1 : end])
+        if after >= 0:
+            out.add(folded[start + 1 : after])
+    return out
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
     """Ridge logistic regression by Newton steps; the constant is the last weight."""
     a = np.hstack([x, np.ones((len(x), 1))])
@@ -123,38 +155,40 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # at most ``rows`` pairs are broadcast
     known = stored(docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(want), "k").select("t", "y"), "toxic-train")
 
-    def tally(rows_: Iterator[tuple], only: frozenset[str] | None) -> Iterator[tuple]:
-        seen: dict[str, list[int]] = {}
-        total = [0, 0]
-        for t, y in rows_:
-            words = fold(t).split()
-            total[y] += len(words)
-            for form, n in Counter(c for w in words for c in candidates(w)).items():
-                if only is None or form in only:
-                    s = seen.setdefault(form, [0, 0, 0])
-                    s[y] += n
-                    s[2] += y
-        yield from ((f, *s) for f, s in seen.items())
-        yield "", total[0], total[1], 0
-
-    kinds = pa.schema([("form", pa.string()), ("other", pa.int64()), ("toxic", pa.int64()), ("texts", pa.int64())])
-
-    def counted(df: DataFrame, only: frozenset[str] | None) -> DataFrame:
-        return map_rows(df, kinds, "form string, other long, toxic long, texts long", lambda r: tally(r, only), ["t", "y"]).groupBy("form").agg(*[F.sum(c).alias(c) for c in ("other", "toxic", "texts")])
+    kinds = pa.schema([("form", pa.string()), ("other", pa.int64()), ("toxic", pa.int64())])
+
+    def counted(df: DataFrame, forms_of: Callable[[str], Iterable[str]]) -> DataFrame:
+        """(form, other, toxic): texts of either kind that hold a form; the form "" counts all texts."""
+
+        def tally(rows_: Iterator[tuple]) -> Iterator[tuple]:
+            seen: dict[str, list[int]] = {"": [0, 0]}
+            for t, y in rows_:
+                for form in ("", *forms_of(fold(t))):
+                    seen.setdefault(form, [0, 0])[y] += 1
+            yield from ((f, *s) for f, s in seen.items())
+
+        return map_rows(df, kinds, "form string, other long, toxic long", tally, ["t", "y"]).groupBy("form").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
+
+    def all_forms(folded: str) -> set[str]:
+        return {c for w in set(folded.split()) for c in candidates(w)}
 
     # forms of toxic texts first, so that only those are counted elsewhere; the sample bounds both
-    forms = counted(known.where("y = 1"), None).where((F.col("texts") >= MIN_TEXTS) & (F.col("form") != "")).select("form").toArrow()["form"].to_pylist()
-    if not forms:
+    wanted = frozenset(counted(known.where("y = 1"), all_forms).where((F.col("toxic") >= MIN_TEXTS) & (F.col("form") != "")).select("form").toArrow()["form"].to_pylist())
+    if not wanted:
         return Lexicon({})
-    rows_ = {r["form"]: r for r in counted(known, frozenset(forms)).collect()}
-    n_other, n_toxic = rows_[""]["other"] + 1, rows_[""]["toxic"] + 1
+    rows_ = {r["form"]: (r["toxic"], r["other"]) for r in counted(known, lambda folded: all_forms(folded) & wanted).collect()}
+    n_toxic, n_other = rows_.pop("")
     entries: dict[str, float] = {}
-    for form, r in rows_.items():
-        ratio = ((r["toxic"] + 0.5) / n_toxic) / ((r["other"] + 0.5) / n_other)
-        if form and r["texts"] >= MIN_TEXTS and ratio >= MIN_RATIO:
+    for form, (a, b) in rows_.items():
+        ratio = ((a + 0.5) / (n_toxic + 1)) / ((b + 0.5) / (n_other + 1))
+        if a >= MIN_TEXTS and ratio >= MIN_RATIO and surprise(a, b, n_toxic, n_other) >= MIN_SURPRISE:
             entries[form] = float(np.log(ratio))
-    best = sorted(entries, key=lambda f: (-entries[f] * rows_[f]["texts"], f))[:MAX_ENTRIES]
+    best = sorted(entries, key=lambda f: (-entries[f] * rows_[f][0], f))[:MAX_ENTRIES]
     lexicon = Lexicon({f: entries[f] for f in sorted(best)})
+    words = docs.sparkSession.sparkContext.broadcast(lexicon.entries)
+    harmless = counted(known, lambda folded: phrases(folded, lexicon_of(words))).where((F.col("form") != "") & (F.col("other") >= MIN_HARMLESS))
+    quiet = sorted(r["form"] for r in harmless.where(F.col("toxic") * max(n_other, 1) <= F.col("other") * max(n_toxic, 1)).collect())
+    lexicon = Lexicon(lexicon.entries, tuple(quiet))
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.entries, lexicon.exceptions))
 
     def extract(rows__: Iterator[tuple]) -> Iterator[tuple]:
@@ -162,12 +196,22 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         for t, y in rows__:
             yield (*own.features(t), y)
 
-    names = ["a", "b", "c", "d"]
-    got = map_rows(known, pa.schema([*((n, pa.float64()) for n in names), ("y", pa.int32())]), "a double, b double, c double, d double, y int", extract, ["t", "y"]).orderBy(*names, "y").toArrow()
-    lexicon.curve = fit_curve(np.column_stack([got[n].to_numpy() for n in names]), got["y"].to_numpy().astype(float))
+    names = ["a", "b", "c", "d", "y"]
+    got = map_rows(known, pa.schema([*((n, pa.float64()) for n in names[:4]), ("y", pa.int32())]), "a double, b double, c double, d double, y int", extract, ["t", "y"]).toArrow()
+    x = np.column_stack([got[n].to_numpy() for n in names])
+    # in one order, however the rows came
+    x = x[np.lexsort(x.T)]
+    lexicon.curve = fit_curve(x[:, :4], x[:, 4])
     return lexicon
 
 
+def lexicon_of(words) -> Lexicon:
+    """The lexicon of a broadcast's entries, built once a worker."""
+    if getattr(lexicon_of, "of", None) is not words.value:
+        lexicon_of.of, lexicon_of.built = words.value, Lexicon(words.value)
+    return lexicon_of.built
+
+
 def score_documents(docs: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "score") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.entries, lexicon.exceptions, lexicon.curve))
 
