@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import _ODD, _U, map_rows, mix, text_function
+from .common import _ODD, _U, free, map_arrays, mix, text_function
 
 #: Lengths of the n-grams, with a blank at either end of a word.
 SIZES = (2, 3, 4)
@@ -34,6 +34,10 @@ MIN_COUNT = 5
 MIN_SHARE = 0.34
 #: Slots for each stored pair of n-gram and language; two probes a lookup.
 SLOTS_PER_ENTRY = 16
+#: N-grams of the learned rows that a task holds before it passes their counts on.
+HELD = 1 << 20
+#: The pipeline rejects a text when its language's filter holds less than this share of its n-grams.
+LEAST_KNOWN = 0.05
 #: Code points of a text looked at in one step (whole texts are processed, step by step).
 STEP = 1 << 18
 
@@ -42,27 +46,33 @@ _LETTER[[i for i in range(1 << 16) if chr(i).isalpha()]] = True
 
 
 def grams(text: str) -> Iterator[np.ndarray]:
-    """Arrays of hashes of the n-grams of ``text``, case-folded by ``lower``, with every run of non-letters one blank."""
+    """Arrays of hashes of the n-grams of ``text``, case-folded by ``lower``, with every run of non-letters one blank, and a blank at either end.
+
+    Long texts are taken step by step; a step carries what its predecessor's
+    last n-grams left open, so that the steps give the n-grams of the whole.
+    """
     low = text.lower()
+    held = np.array([32], _U)  # the characters before this step, of the text with its blanks joined
+    lettered = False
     for at in range(0, len(low), STEP):
-        cps = np.frombuffer(low[max(0, at - max(SIZES)) : at + STEP].encode("utf-32-le", "surrogatepass"), np.uint32)
+        cps = np.frombuffer(low[at : at + STEP].encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = np.where(cps < 1 << 16, _LETTER[np.minimum(cps, (1 << 16) - 1)], False)
         if (high := np.flatnonzero(cps >= 1 << 16)).size:
             letter[high] = [chr(c).isalpha() for c in cps[high].tolist()]
-        if not letter.any():
-            continue
-        c = np.where(letter, cps, 32)
-        c = np.concatenate(([32], c, [32])) if len(low) <= STEP else c
-        keep = np.ones(len(c), bool)
-        keep[1:] = (c[1:] != 32) | (c[:-1] != 32)
-        c = c[keep].astype(_U)
-        for n in SIZES:
+        lettered = lettered or bool(letter.any())
+        last = at + STEP >= len(low)
+        c = np.concatenate((held[-1:], np.where(letter, cps, 32), [32] if last else [])).astype(_U)
+        c = np.concatenate((held[:-1], c[:1], c[1:][(c[1:] != 32) | (c[:-1] != 32)]))
+        for n in SIZES if lettered else ():
+            # n-grams that end in what this step adds
+            first = max(0, len(held) - n + 1)
             m = len(c) - n + 1
-            if m > 0:
-                h = np.full(m, _U(n), _U)
+            if m > first:
+                h = np.full(m - first, _U(n), _U)
                 for j in range(n):
-                    h += c[j : j + m] * _ODD[j]
+                    h += c[first + j : j + m] * _ODD[j]
                 yield mix(h)
+        held = c[-max(SIZES) :]
 
 
 @dataclass
@@ -136,16 +146,26 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", row_key: str
     chosen = known.join(F.broadcast(below), "l").where("h < below").select("l", "t")
 
     def count(rows: Iterator[tuple]) -> Iterator[tuple]:
-        seen: dict[str, list[np.ndarray]] = {}
+        parts: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def counts() -> Iterator[tuple]:
+            for l, of in parts.items():
+                if of:
+                    g, n = np.unique(np.concatenate(of), return_counts=True)
+                    yield np.full(len(g), l, object), g.view(np.int64), n
+
         for l, t in rows:
-            seen.setdefault(l, []).extend(grams(t))
-        for l, parts in seen.items():
-            if parts:
-                g, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield from zip([l] * len(g), g.view(np.int64).tolist(), n.tolist(), strict=True)
+            new = list(grams(t))
+            parts.setdefault(l, []).extend(new)
+            size += sum(map(len, new))
+            if size > HELD:
+                yield from counts()
+                parts, size = {}, 0
+        yield from counts()
 
     schema = pa.schema([("l", pa.string()), ("g", pa.int64()), ("n", pa.int64())])
-    table = map_rows(chosen, schema, "l string, g long, n long", count, ["l", "t"]).groupBy("l", "g").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT).toArrow()
+    table = map_arrays(chosen, schema, "l string, g long, n long", count, ["l", "t"]).groupBy("l", "g").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT).toArrow()
     counts = {r["l"]: np.empty((0, 2), np.int64) for r in sizes}
     of = table["l"].combine_chunks().dictionary_encode()
     pairs, at = np.column_stack([table["g"].to_numpy(), table["n"].to_numpy()]).astype(np.int64), of.indices.to_numpy(zero_copy_only=False)
@@ -165,9 +185,7 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text", out: tuple[s
         for (t,) in rows:
             yield own.judge(t)
 
-    tmp = "_language"
-    while tmp in docs.columns:
-        tmp += "_"
+    tmp = free([*docs.columns, *out], "_language")
     kept = docs.withColumn(tmp, text_function(judge, "lang string, score double, known double")(F.col(text)))
     return kept.withColumns({o: F.col(f"{tmp}.{f}") for o, f in zip(out, ("lang", "score", "known"), strict=True)}).drop(tmp)
 
@@ -191,8 +209,11 @@ def query(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without an identified language go; the rest stay as they are.
 
-    The filters are learned from this stage's own input.
+    Those are texts without letters, and texts of whose n-grams the best
+    language's filter holds less than LEAST_KNOWN. The filters are learned from
+    this stage's own input; where nothing could be learned, every document goes.
     """
     columns = docs.columns
-    judged = identify(docs, train(docs), out=("_lang_pred", "_lang_score", "_lang_known"))
-    return judged.where(F.col("_lang_pred") != "und").select(*columns)
+    out = tuple(free(columns, n) for n in ("_pred", "_score", "_known"))
+    judged = identify(docs, train(docs), out=out)
+    return judged.where((F.col(out[0]) != "und") & (F.col(out[2]) >= LEAST_KNOWN)).select(*columns)
