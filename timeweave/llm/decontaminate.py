@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _U, bytes_word_hashes, map_rows, shingle_hashes, text_function
+from .common import _U, bytes_word_hashes, free, map_rows, shingle_hashes, text_function
 
 K1, B = 1.2, 0.75
 MIN_SCORE, MIN_OVERLAP, SHINGLE = 0.6, 0.8, 5
@@ -243,7 +243,8 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
             for (t,) in rows:
                 yield len(shared.value.match(t))
 
-        docs = docs.withColumn("_leaks", text_function(hits, "long")(F.col(text))).where(F.col("_leaks") == 0).select(*columns)
+        found = free(columns, "_found")
+        docs = docs.withColumn(found, text_function(hits, "long")(F.col(text))).where(F.col(found) == 0).select(*columns)
     return docs
 
 
