@@ -31,7 +31,7 @@ CHUNK, OVERLAP = 1 << 14, 1 << 10
 #: Rows of chunk boundaries (sha256, number, two positions: 100 bytes) that are broadcast; beyond it they are joined.
 BROADCAST_ROWS = 500_000
 #: Distinct pre-tokens whose ids a worker keeps.
-KEPT = 300_000
+KEPT = 200_000
 
 
 class Pieces(dict):

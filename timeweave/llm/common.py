@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import PythonEvalType
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
 #: Rows that a Python worker takes from an input batch at once, and turns into one output batch.
 OUT_ROWS = 512
+#: Bytes of an input slice, and characters or list entries of an output batch, beyond which fewer rows are taken.
+SLICE_BYTES, OUT_WEIGHT = 4 << 20, 1 << 19
 #: Rows of the batches that Spark sends to a Python worker: bounds its memory where texts are long.
 IN_ROWS = 1024
 
@@ -37,19 +46,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for a written intermediate table; it is removed when the driver ends."""
-    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone already
+        pass
+
+
+#: Paths of the tables written within each open ``scratch`` block, innermost last.
+_blocks: list[list[str]] = []
 
-    def remove() -> None:
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the JVM may be gone already
-            pass
 
-    atexit.register(remove)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within the block are removed at its end, but for those kept."""
+    _blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _blocks.pop():
+            _remove(spark, path)
+
+
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path for a written intermediate table; it is removed when its ``scratch`` block or else the driver ends."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _blocks and not keep:
+        _blocks[-1].append(path)
+    else:
+        atexit.register(_remove, spark, path)
     return path
 
 
@@ -61,9 +87,9 @@ def free(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends there."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -83,13 +109,16 @@ def map_rows(df: DataFrame, schema: pa.Schema, ddl: str, fn: Callable[[Iterator[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        size = 0
         for row in fn(in_rows(batches)):
             held.append(row)
-            if len(held) >= out_rows:
+            size += weight(row)
+            if len(held) >= out_rows or size >= OUT_WEIGHT:
                 yield to_batch(held, schema)
-                held = []
+                held, size = [], 0
         if held:
             yield to_batch(held, schema)
+        give_back()
 
     bounded_batches(df.sparkSession)
     return df.select(*columns).mapInArrow(run, ddl)
@@ -113,16 +142,34 @@ def map_arrays(df: DataFrame, schema: pa.Schema, ddl: str, fn: Callable[[Iterato
                 held, size = [], 0
         if size:
             yield batch()
+        give_back()
 
     bounded_batches(df.sparkSession)
     return df.select(*columns).mapInArrow(run, ddl)
 
 
-def in_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def in_rows(batches: Iterator[pa.RecordBatch | list[pa.Array]]) -> Iterator[tuple]:
+    """Rows of batches as tuples, a bounded slice at a time."""
     for b in batches:
-        for at in range(0, b.num_rows, OUT_ROWS):
-            part = b.slice(at, OUT_ROWS)
-            yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
+        columns = b.columns if isinstance(b, pa.RecordBatch) else b
+        n, size = len(columns[0]), sum(c.nbytes for c in columns)
+        step = max(1, min(OUT_ROWS, n * SLICE_BYTES // max(size, 1)))
+        for at in range(0, n, step):
+            yield from zip(*(c.slice(at, step).to_pylist() for c in columns), strict=True)
+
+
+def give_back() -> None:
+    """Return the memory that a task has freed to the system: workers are reused, and other stages need it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def weight(value) -> int:
+    """Characters, bytes and list entries in a value or in the values of a tuple."""
+    if isinstance(value, tuple):
+        return sum(map(weight, value))
+    return len(value) if isinstance(value, str | bytes | list) else 1
 
 
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -214,27 +261,29 @@ def text_function(fn: Callable[[Iterator[tuple]], Iterator[tuple | int | float |
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         sizes: list[int] = []
 
-        def rows() -> Iterator[tuple]:
+        def counted() -> Iterator[list[pa.Array]]:
             for b in batches:
                 sizes.append(len(b[0]))
-                for at in range(0, len(b[0]), OUT_ROWS):
-                    yield from zip(*(c.slice(at, OUT_ROWS).to_pylist() for c in b), strict=True)
+                yield list(b)
 
         held: list = []
         parts: list[pa.Array] = []
         left = 0
         names = [kind.field(i).name for i in range(kind.num_fields)] if pa.types.is_struct(kind) else None
-        for value in fn(rows()):
+        size = 0
+        for value in fn(in_rows(counted())):
             if sizes:
                 left += sizes.pop(0)
             held.append(dict(zip(names, value, strict=True)) if names and value is not None else value)
+            size += weight(value)
             left -= 1
-            if len(held) >= OUT_ROWS or left == 0:
+            if len(held) >= OUT_ROWS or size >= OUT_WEIGHT or left == 0:
                 parts.append(pa.array(held, kind))
-                held = []
+                held, size = [], 0
             if left == 0:
                 yield pa.concat_arrays(parts)
                 parts = []
+        give_back()
 
     def wrap(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         return run(batches)
