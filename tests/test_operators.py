@@ -57,7 +57,7 @@ def test_unknown_is_not_zero(spark):
 def test_han_text(spark):
     df = spark.createDataFrame([("心電圖 ECG 與 beta-blocker 心電圖",)], "t string")
     row = df.select(X.keywords(F.col("t")).alias("k"), X.language_verdict(F.col("t")).alias("l"), X.script_class(F.col("t")).alias("s"), X.wordy_chars(F.col("t")).alias("w"), X.wordless(F.lit("…!")).alias("n")).first()
-    assert row["k"] == ["心電圖", "ECG", "beta-blocker"] and row["l"] == "bilingual" and row["s"] == "latin" and row["w"] == 3 + 3 + 4 + 7 + 3 and row["n"]
+    assert row["k"] == ["心電圖", "ECG", "beta-blocker"] and row["l"] == "bilingual" and row["s"] == "cjk" and row["w"] == 3 + 3 + 4 + 7 + 3 and row["n"]
 
 
 def test_keywords_of_whole_texts(spark, tmp_path):

@@ -203,4 +203,5 @@ def _glob(glob: str) -> str:
 def fingerprint(data: Column, size: Column, modified: Column, edge: int = 65536) -> Column:
     """Digest of a file's size, time of change, first and last bytes."""
     text = lambda c: F.concat(c.cast("string"), F.lit("|")).cast("binary")
-    return F.sha2(F.concat(text(size), text(modified), F.left(data, F.lit(edge)), F.right(data, F.lit(edge))), 256)
+    tail = F.substring(data, F.greatest(F.octet_length(data) - edge + 1, F.lit(1)), F.lit(edge))
+    return F.sha2(F.concat(text(size), text(modified), F.substring(data, 1, edge), tail), 256)

@@ -220,7 +220,7 @@ def split_untimed(segments: DataFrame, keys: list[str], text: str = "text", max_
     dur = F.col("end_s") - F.col("start_s")
     each = dur / F.greatest(F.length(bare), F.lit(1))
     size = F.greatest(F.floor(max_dur / each), F.lit(1)).cast("int")
-    sentences = F.filter(F.split(bare, f"(?<=[{HARD}])"), lambda p: F.trim(F.regexp_replace(p, "\\s+", "")) != "")
+    sentences = F.filter(F.split(bare, f"(?<=[{HARD}])", -1), lambda p: F.trim(F.regexp_replace(p, "\\s+", "")) != "")
     runs = F.flatten(F.transform(sentences, lambda p: F.when(F.length(p) * each <= max_dur, F.array(p)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(p), F.lit(1)), size), lambda i: F.substring(p, i, size)))))
     parts = F.when((dur <= max_dur) | (bare == ""), F.array(bare)).otherwise(runs)
     rows = segments.select(*keys, "start_s", "end_s", F.posexplode(parts).alias("pos", "part"))
