@@ -5,23 +5,27 @@ a segment is one binary value: header, document lengths, block index, packed
 blocks, exception lists. A block holds ``BLOCK`` ids: its minimum is subtracted,
 the rest is packed at the width that ``PERCENTILE`` of them fit in, and the
 others are stored as exceptions (position, full difference). The index gives
-each block's first byte, so a single block can be unpacked. Segments are rows of
-a Parquet table, so that Spark's writers commit them on any shared store.
+each block's first byte, by which ``read_ids`` unpacks the blocks of a range of
+ids alone. Segments are rows of a Parquet table, so that Spark's writers commit
+them on any shared store.
 
 Defined results: null and empty texts have the end id only; rows with a null key
-come first, rows with equal keys are ordered by their texts.
+come first, rows with equal keys are ordered by their texts. The vocabulary's
+added tokens in a text get their own ids, as the library gives them by default.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +36,7 @@ BLOCK, PERCENTILE = 128, 0.98
 #: Ids in a segment, unless one document has more.
 SEGMENT = 1 << 18
 MAGIC = b"PFR1"
-#: Distinct words that a worker remembers (about 150 bytes each).
+#: Words of one generation of a worker's memory (about 150 bytes each); it holds two.
 KEPT = 600_000
 
 
@@ -92,6 +96,43 @@ def unpack(data: bytes) -> np.ndarray:
     return (off + low[:, None]).ravel()[:n]
 
 
+def unpack_block(data: bytes, b: int) -> np.ndarray:
+    """The ids of block ``b`` alone, found through the index."""
+    n, area_size, n_out = struct.unpack_from("<QQQ", data)
+    nb = -(-n // BLOCK)
+    if not 0 <= b < nb:
+        raise IndexError(f"block {b} of {nb}")
+    lows, widths, firsts, counts = 24, 24 + 4 * nb, 24 + 5 * nb, 24 + 9 * nb
+    area, w = 24 + 10 * nb, data[widths + b]
+    off = np.zeros(BLOCK, np.uint32)
+    if w:
+        (first,) = struct.unpack_from("<I", data, firsts + 4 * b)
+        wide = 16 if w <= 16 else 32
+        bits = np.zeros((BLOCK, wide), np.uint8)
+        bits[:, wide - w :] = np.unpackbits(np.frombuffer(data, np.uint8, w * BLOCK // 8, area + first)).reshape(BLOCK, w)
+        off[:] = np.packbits(bits, axis=1).view(f">u{wide // 8}")[:, 0]
+    before = int(np.frombuffer(data, np.uint8, b, counts).sum(dtype=np.int64))
+    places, values = area + area_size, area + area_size + n_out
+    off[np.frombuffer(data, np.uint8, data[counts + b], places + before)] = np.frombuffer(data, "<u4", data[counts + b], values + 4 * before)
+    (low,) = struct.unpack_from("<I", data, lows + 4 * b)
+    return (off + np.uint32(low))[: n - b * BLOCK]
+
+
+def read_ids(segment_: bytes, start: int, count: int) -> np.ndarray:
+    """``count`` ids of a segment from its id ``start`` on, unpacking the blocks that hold them and no others."""
+    data = segment_[_header(segment_)[1] :]
+    blocks = range(start // BLOCK, -(-(start + count) // BLOCK))
+    return np.concatenate([np.zeros(0, np.uint32), *(unpack_block(data, b) for b in blocks)])[start % BLOCK :][:count]
+
+
+def _header(data: bytes) -> tuple[int, int]:
+    """Documents of a segment, and where its blocks begin."""
+    if data[:4] != MAGIC:
+        raise ValueError("not a segment of packed token ids")
+    (n,) = struct.unpack_from("<Q", data, 4)
+    return n, 12 + 13 * n
+
+
 def segment(keys: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
     known = np.array([k is not None for k in keys], np.uint8)
     keyed = np.array([k or 0 for k in keys], "<i8")
@@ -99,71 +140,127 @@ def segment(keys: list[int | None], lengths: list[int], ids: np.ndarray) -> byte
 
 
 def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    if data[:4] != MAGIC:
-        raise ValueError("not a segment of packed token ids")
-    (n,) = struct.unpack_from("<Q", data, 4)
+    n, blocks = _header(data)
     known, keyed = np.frombuffer(data, "u1", n, 12), np.frombuffer(data, "<i8", n, 12 + n)
     lengths = np.frombuffer(data, "<u4", n, 12 + 9 * n)
     keys = [k if has else None for k, has in zip(keyed.tolist(), known.tolist(), strict=True)]
-    return keys, lengths, unpack(data[12 + 13 * n :])
+    return keys, lengths, unpack(data[blocks:])
 
 
 # ---------------------------------------------------------------- encoding
 
 
-class Words(dict):
-    """Packed ids of words after ``lead`` (a blank, or nothing), each encoded by the tokenizers library when first met."""
+# The byte-level scheme's pattern; characters whose kinds all Unicode versions agree on, and the line feed.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+PLAIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u052f\n]+")
+#: Stands before a word that no blank leads, where marks and line feeds are cut off their words.
+BARE = "\ue000"
+STOPS = ".,;:!?"
+# a stop that doesn't end a plain word or number: it may be one piece with the marks before it
+JOINED = re.compile(f"[{STOPS}](?<![0-9A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af][{STOPS}])[ \n]")
 
-    def __init__(self, library, kind: np.dtype, lead: str):
-        self.split, self.lead = library.pre_tokenizer.pre_tokenize_str, lead
-        # The printable stand-in of each byte in byte-level vocabularies.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.stand_in = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*plain}))}
-        self.one = [np.array([i], kind).tobytes() for i in range(library.get_vocab_size())]
-        self.tokenize = library.model.tokenize
-        self.marks = {m: self.pack(m) for m in ".,;:!?"}
 
-    def pack(self, piece: str) -> bytes:
-        """``piece``: one pre-token, in stand-ins."""
-        one = self.one
-        return b"".join([one[t.id] for t in self.tokenize(piece)])
+class Words(dict):
+    """Packed ids of words after a blank (``lead``) or at a text's start, encoded when first met.
+
+    Of two generations of memory the older goes when the younger is full. A word
+    that is empty or ends in white space has none: what follows decides there.
+    """
 
-    def __missing__(self, word: str) -> bytes:
+    def __init__(self, own: Encoder, lead: str):
+        self.own, self.lead, self.old, self.tokenize, self.one = own, lead, {}, own.tokenize, own.one
+        self.mark = own.stand_in[32] if lead else ""
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.old.get(word)
+        if ids is None:
+            if word.isascii() and word.isalpha():
+                one = self.one
+                ids = b"".join([one[t.id] for t in self.tokenize(self.mark + word)])
+            elif word[:1] == BARE:
+                rest = word[1:]
+                if rest != "\n" and (not rest or rest[0].isspace() or rest[-1].isspace()):
+                    return None
+                ids = self.own.marks[rest] if rest in "\n.,;:!?" else self.own.heads[rest]
+            elif not word or word[-1].isspace():
+                return None
+            else:
+                ids = self.composed(word)
+                if "\n" in word:
+                    return ids
         if len(self) >= KEPT:
+            self.old = dict(self)
             self.clear()
-        if word.isalpha():
-            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.stand_in)
-            ids = self.pack("\u0120" + mapped if self.lead else mapped)
-        elif word[-1:] in self.marks and word[:-1].isalpha():
-            ids = self[word[:-1]] + self.marks[word[-1]]
-        else:
-            ids = b"".join(self.pack(piece) for piece, _ in self.split(self.lead + word))
         self[word] = ids
         return ids
 
+    def composed(self, word: str) -> bytes:
+        own = self.own
+        if not PLAIN.fullmatch(word):
+            return b"".join([own.pack(p) for p, _ in own.split(self.lead + word)])
+        if word.isalpha():
+            return own.pack(self.mark + own.mapped(word))
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return self[word[:-1]] + own.marks[word[-1]]
+        before, line, after = word.partition("\n")
+        if line and before and after and after[0] != "\n":
+            return self[before] + own.marks[line] + own.heads[after]
+        return b"".join([own.heads[p] if p.isalpha() else own.words[p[1:]] if p[0] == " " and p[1:].isalpha() else own.marks[p] for p in PIECES.findall(self.lead + word)])
+
+
+class Marks(dict):
+    """Packed ids of matches of the pattern that hold no letters; few differ, and more than KEPT are forgotten."""
+
+    def __init__(self, own: Encoder):
+        self.own = own
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= KEPT:
+            self.clear()
+        ids = self[piece] = self.own.pack(self.own.mapped(piece))
+        return ids
+
+
+def cut_apart(text: str) -> str:
+    """``text`` with each stop before a blank, and each line feed, as a word of its own."""
+    text = text.replace("\n", f" {BARE}\n {BARE}")
+    for c in STOPS:
+        text = text.replace(f"{c} ", f" {BARE}{c} ")
+    return text
+
 
 class Encoder:
     """The tokenizers library behind a memory of words.
 
     A text may be cut before any blank that follows a non-blank: every match of
     the byte-level pattern ends there. Texts with other white space before a
-    blank go to the library whole.
+    blank, and those with added tokens, go to the library whole. Words of plain
+    characters are cut by the pattern, so that their pieces are remembered too.
     """
 
-    # White space besides the blank.
-    OTHER = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-
     def __init__(self, path: str):
         # one thread a worker: Spark runs a worker a core
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words, self.heads = Words(self.library, self.kind, " "), Words(self.library, self.kind, "")
-        self.double = [c + " " for c in " " + self.OTHER]
-        self.ascii_double = [d for d in self.double if d.isascii()]
+        self.one = [np.array([i], self.kind).tobytes() for i in range(self.library.get_vocab_size())]
+        self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
+        self.tokenize, self.split = self.library.model.tokenize, self.library.pre_tokenizer.pre_tokenize_str
+        # The printable stand-in of each byte in byte-level vocabularies.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.stand_in = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*plain}))}
+        self.words, self.heads, self.marks = Words(self, " "), Words(self, ""), Marks(self)
+
+    def mapped(self, piece: str) -> str:
+        """``piece`` with its bytes' stand-ins."""
+        return piece.encode().decode("latin-1").translate(self.stand_in)
+
+    def pack(self, mapped: str) -> bytes:
+        """``mapped``: one match of the pattern, in stand-ins."""
+        one = self.one
+        return b"".join([one[t.id] for t in self.tokenize(mapped)])
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -172,10 +269,20 @@ class Encoder:
         """Ids of ``text`` as an array of ``kind``."""
         if not text:
             return b""
-        if text[0] == " " or text[-1] == " " or any(d in text for d in (self.ascii_double if text.isascii() else self.double)):
-            return np.array(self.whole(text), self.kind).tobytes()
+        if not any(t in text for t in self.added):
+            # with stops and line feeds apart, far fewer different words are met
+            ids = self.joined(cut_apart(text)) if BARE not in text and not JOINED.search(text) else None
+            if ids is None:
+                ids = self.joined(text)
+            if ids is not None:
+                return ids
+        return np.array(self.whole(text), self.kind).tobytes()
+
+    def joined(self, text: str) -> bytes | None:
+        """The words' ids; None where one has none of its own."""
         head, *rest = text.split(" ")
-        return b"".join([self.heads[head], *map(self.words.__getitem__, rest)])
+        parts = [self.heads[head], *map(self.words.__getitem__, rest)]
+        return None if None in parts else b"".join(parts)
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.packed(text), self.kind).tolist()
@@ -190,7 +297,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", t
     """Encode ``docs`` in ascending key order into packed segments: the written table (shard, at, n_ids, payload)."""
     n = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    ordered = rows.repartitionByRange(n, F.col("k").asc_nulls_first(), F.xxhash64("t")).sortWithinPartitions(F.col("k").asc_nulls_first(), "t")
+    # texts of one key are dealt by their beginnings, in the order that they are sorted in
+    ordered = rows.repartitionByRange(n, F.col("k").asc_nulls_first(), F.substring("t", 1, 64).asc_nulls_first()).sortWithinPartitions(F.col("k").asc_nulls_first(), "t")
 
     def encode(rows: Iterator[tuple]) -> Iterator[tuple]:
         own, shard, at = encoder(path), TaskContext.get().partitionId(), 0
