@@ -10,10 +10,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from timeweave.functions import fuzzy, numbers, signals
+from timeweave.functions import fuzzy, numbers, signals, slides
 from timeweave.functions import text as X
 from timeweave.functions import values as V
-from timeweave.operators import aggregates, audit, joins, matching, sequences
+from timeweave.operators import aggregates, audit, joins, matching, notes, rules, sequences
 from timeweave.plans import scalar_queries
 
 
@@ -248,3 +248,89 @@ def test_changed_pixels_open_a_group(spark):
     rows = [("a", 1, 0, None), ("a", 2, 0, 0.001), ("a", 3, 0, 0.5), ("a", 4, 1, 0.0)]
     got = sequences.adjacent_dedup(spark.createDataFrame(rows, "k string, o long, h long, c double"), ["k"], "o", changed="c").orderBy("grp").collect()
     assert [(r["first_frame"], r["kept_frame"]) for r in got] == [(1, 2), (3, 4)]
+
+
+def plain_notes(t):
+    """Counts of what is wrong with a note, check by check."""
+    lines = t.split("\n")
+    heads = [(i, len(m[1])) for i, x in enumerate(lines) if (m := re.match(r"(#{1,6})\s+\S", x))]
+    empty = 0
+    for n, (i, level) in enumerate(heads):
+        after = heads[n + 1] if n + 1 < len(heads) else (len(lines), 0)
+        empty += not any(x.strip() for x in lines[i + 1 : after[0]]) and after[1] <= level
+    found, run = 0, 0
+    for x in [*lines, "end"]:
+        n = len(re.findall(r"!\[\[[^\]]+\.(?:png|jpg)[^\]]*\]\]", x))
+        if n:
+            run += n
+        elif x.strip() and not x.strip().startswith(">"):
+            found, run = found + (run >= 3), 0
+    hugged = sum(any(re.match("[一-鿿]", x[m.start() - 1 : m.start()] or " ") or re.match("[一-鿿]", x[m.end() : m.end() + 1] or " ") for m in re.finditer("==[^=]+==", x)) for x in lines)
+    escapes = sum(bool(re.search(r"(?<!\\)[<>|#]", h)) for x in lines for h in re.findall("==([^=]+)==", x))
+    tables, cur = Counter(), []
+    for x in [*lines, ""]:
+        if x.lstrip().startswith("|"):
+            cur.append(re.sub(r"\s+", "", x))
+        else:
+            tables["\n".join(cur)] += len(cur) >= 3
+            cur = []
+    above = lines[: next((i for i, x in enumerate(lines) if re.match(r"#\s+Resource\s*$", x)), len(lines))]
+    return {
+        "FMT empty heading": empty,
+        "LEC gallery": found,
+        "FMT highlight touched": hugged,
+        "FMT highlight escapes": escapes,
+        "TXT repeated table": sum(c > 1 for c in tables.values()),
+        "TXT long bullet": sum(x.strip().startswith(("- ", "* ")) and len(re.findall("[一-鿿]", x)) > 50 for x in above),
+        "FMT blank indent": sum(bool(re.match(" +[-*] ", x)) for x in lines),
+        "FIG todo": t.count("[!todo]"),
+        "TXT citation": len(re.findall(r"\(citation\b", t)),
+    }
+
+
+def test_note_lint(spark):
+    rng = random.Random(6)
+    pieces = ["# A", "## B", "### C", "text", "", "> quote", "![[a.png|300]]", "![[b.png]] ![[c.png]]", "中==high==文", "a ==x<y== b", "==ok== ==p\\|q==", "| a | b |\n|---|---|\n| 1 | 2 |", "|a|b|\n|---|---|\n|1|2|", "  - bullet", "- " + "漢" * 51, "# Resource", "[!todo] (citation 3)", "| [[x|y]] |", "> [!figure] " + "long " * 12 + "\n> ![[d.png]]", "# Head `book` ", "# At `01:20`"]
+    texts = ["\n".join(rng.choices(pieces, k=rng.randint(0, 14))) for _ in range(120)] + ["", None, "# only"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {(r["i"], r["check"]): (r["level"], r["n"]) for mode in ("lecture", "textbook") for r in notes.audit_notes(df, "i", "t", mode, headings=["A"]).collect()}
+    for i, t in enumerate(texts):
+        for check, n in plain_notes(t or "").items():
+            assert got[i, check][1] == n, (check, t)
+            assert (got[i, check][0] == "PASS") == (n == 0)
+        assert got[i, "STRUCT A"][1] == (not re.search(r"(?m)^#\s+A\b", t or ""))
+        assert got[i, "FMT pipe in table link"][1] == (t or "").count("[[x|y]]") and got[i, "LEC long figure title"][1] == (t or "").count("[!figure]")
+        assert got[i, "FMT source on heading"][1] == (t or "").count("`book`")
+
+
+@pytest.mark.parametrize(
+    ("caption", "want"),
+    [
+        (" short ", ("short", "")),
+        ("一二三：" + "四" * 40, ("一二三", "四" * 40)),
+        ("頭（內容）尾" + "長" * 40, ("頭", "內容尾" + "長" * 40)),
+        ("a" * 20 + " " + "b" * 30, ("a" * 20, "b" * 30)),
+        ("字" * 40, ("字" * 34, "字" * 6)),
+        ("前" * 10 + "，後（開" + "長" * 40, ("前" * 10, "後（開" + "長" * 40)),
+        (None, ("", "")),
+    ],
+)
+def test_captions(spark, caption, want):
+    assert tuple(column(spark, [caption], slides.split_caption)[0]) == want
+
+
+def test_crop_rules(spark):
+    kind = "slides string, x int, y int, w int, h int"
+    rows = [("1-10", 0, 0, 200, 200), ("5-6", 0, 0, 200, 200), ("x", 0, 0, 200, 200), ("20-12", 0, 0, 200, 200), ("30", -1, 0, 200, 200), ("40", 0, 0, 199, 200), ("50", 0, 0, 300, 300)]
+    assert {r["slides"]: r["fault"] for r in rules.crop_rules(spark.createDataFrame(rows, kind)).collect()} == {"1-10": None, "5-6": "overlap", "x": "range", "20-12": "bounds", "30": "bounds", "40": "bounds", "50": None}
+    with pytest.raises(ValueError, match="crop rule"):
+        rules.crop_boxes(spark.range(3), "id", spark.createDataFrame(rows, kind))
+
+
+def test_orders_and_settings(spark):
+    assert rules.merged_config({"a": {"x": 1, "y": 2}, "b": 3}, {"a": {"x": None, "y": 5, "z": None}, "b": None, "c": 4}) == {"a": {"x": 1, "y": 5, "z": None}, "b": 3, "c": 4}
+    s = spark.createDataFrame([("b", 2, 5), ("a", 2, 1), ("c", 9, 7)], "token string, n int, first_seg int")
+    assert [r["token"] for r in rules.suspects_first(s).collect()] == ["c", "a", "b"]
+    pages = spark.createDataFrame([("p", 2), ("q", 1)], "name string, at int")
+    assert [r["name"] for r in rules.intro_then(pages.limit(1), pages, "at").orderBy("page_no").collect()][1:] == ["q", "p"]
+    assert rules.with_overview(pages, pages).groupBy("is_overview").count().count() == 2

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import numbers
 from ..functions.text import bigram_jaccard, loop_info, squash
 from .aggregates import window_of
+from .joins import overlap_pairs
 
 
 def window_lines(segments: DataFrame, keys: list[str], side: str, last: DataFrame, window_s: float) -> DataFrame:
@@ -64,3 +65,37 @@ def excess(a: Column, b: Column) -> Column:
     """Values of ``a`` beyond their copies in ``b`` (two arrays as multisets), sorted."""
     count = lambda xs, x: F.size(F.filter(xs, lambda y: y == x))
     return F.flatten(F.transform(F.array_sort(F.array_distinct(a)), lambda x: F.array_repeat(x, F.greatest(count(a, x) - count(b, x), F.lit(0)))))
+
+
+def segmentation_findings(sources: DataFrame, placed: DataFrame, course: str, ident: str, chain_s: float = 5, break_s: float = 480, parallel_s: float = 60, width_s: float = 3600) -> DataFrame:
+    """(course, code, level, n): what a course's segments claim against its sources' real times; only what was found.
+
+    ``sources``: course, ident, lo, hi (seconds; null: no known time), in real
+    order by lo. ``placed``: course, ident, seg, display_order of the sources
+    that lie in a segment. Segments must be blocks of the real order and play in
+    it; sources that overlap for long must share a segment. Findings are advice.
+    """
+    timed = sources.where(F.col("lo").isNotNull())
+    order = Window.partitionBy(course).orderBy("lo", ident)
+    ranked = timed.withColumns({"pos": F.row_number().over(order) - 1, "gap": F.lead("lo").over(order) - F.col("hi")})
+    joined = ranked.join(placed, [course, ident], "left")
+    segs = joined.where(F.col("seg").isNotNull()).groupBy(course, "seg").agg(F.min("pos").alias("a"), F.max("pos").alias("b"), F.count("*").alias("m"), F.min("display_order").alias("shown"))
+    moved = segs.withColumns({"play": F.row_number().over(Window.partitionBy(course).orderBy("shown", "seg")), "first": F.row_number().over(Window.partitionBy(course).orderBy("a"))})
+    by_seg = moved.groupBy(course).agg(F.count_if(F.col("b") - F.col("a") + 1 != F.col("m")).alias("segments-noncontiguous"), F.count_if(F.col("play") != F.col("first")).alias("segments-display-order"))
+    by_source = joined.groupBy(course).agg(F.count_if(F.col("seg").isNull()).alias("segments-uncovered"), F.count_if((F.col("gap") >= 0) & (F.col("gap") <= chain_s)).alias("split-recordings"), F.count_if(F.col("gap") >= break_s).alias("natural-breaks"))
+    pairs = overlap_pairs(timed.where(F.col("hi").isNotNull()), ident, "lo", "hi", [course], width_s).where(F.col("overlap_s") > parallel_s)
+    mate = lambda end: placed.select(course, F.col(ident).alias(f"id_{end}"), F.col("seg").alias(f"seg_{end}"))
+    apart = pairs.join(mate("a"), [course, "id_a"], "left").join(mate("b"), [course, "id_b"], "left").where(~F.coalesce(F.col("seg_a") == F.col("seg_b"), F.lit(False)))
+    unknown = sources.where(F.col("lo").isNull()).groupBy(course).agg(F.count("*").alias("n"))
+    levels = {"segments-noncontiguous": "REGENERATE", "segments-uncovered": "REVIEW", "segments-display-order": "REVIEW", "split-recordings": "INFO", "natural-breaks": "INFO"}
+
+    def told(df: DataFrame) -> DataFrame:
+        codes = [c for c in df.columns if c in levels]
+        rows = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(levels[c]).alias("level"), F.col(f"`{c}`").alias("n")) for c in codes])
+        return df.select(course, F.explode(rows).alias("f")).select(course, "f.*")
+
+    def one(df: DataFrame, code: str) -> DataFrame:
+        return df.select(course, F.lit(code).alias("code"), F.lit("REVIEW").alias("level"), "n")
+
+    parallel = one(apart.groupBy(course).agg(F.count("*").alias("n")), "parallel-tracks")
+    return told(by_seg).unionByName(told(by_source)).unionByName(parallel).unionByName(one(unknown, "unverifiable")).where("n > 0")

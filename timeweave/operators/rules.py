@@ -125,3 +125,53 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise EmptyInput(f"no {what}: nothing was processed")
     return df
+
+
+def crop_rules(made: DataFrame) -> DataFrame:
+    """Rules (slides ``1-100``, x, y, w, h) with their bounds ``lo`` and ``hi`` and what is wrong with them (``fault``, null if nothing).
+
+    The few rules of one course are compared with each other: overlapping ranges are ambiguous.
+    """
+    bounds = lambda i: F.regexp_extract("slides", "^([1-9][0-9]*)(?:-([1-9][0-9]*))?$", i)
+    r = made.withColumn("lo", F.nullif(bounds(1), F.lit("")).cast("int")).withColumn("hi", F.coalesce(F.nullif(bounds(2), F.lit("")), F.nullif(bounds(1), F.lit(""))).cast("int"))
+    reach = F.max("hi").over(Window.partitionBy(F.lit(1)).orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1))
+    box = (F.col("x") < 0) | (F.col("y") < 0) | (F.col("w") < 200) | (F.col("h") < 200)
+    return r.withColumn("fault", F.when(F.col("lo").isNull(), "range").when((F.col("lo") > F.col("hi")) | F.coalesce(box, F.lit(True)), "bounds").when(F.coalesce(F.col("lo") <= reach, F.lit(False)), "overlap"))
+
+
+def crop_boxes(slides: DataFrame, ident: str, made: DataFrame) -> DataFrame:
+    """Slides with the box of the rule for their number; an error when a rule is wrong."""
+    r = crop_rules(made)
+    wrong = r.where("fault is not null").select("slides", "fault").limit(1).collect()
+    if wrong:
+        raise ValueError(f"crop rule for slides {wrong[0]['slides']}: {wrong[0]['fault']}")
+    each = r.select(F.explode(F.sequence("lo", "hi")).alias("_n"), "x", "y", "w", "h")
+    return slides.join(each, slides[ident] == F.col("_n"), "left").drop("_n")
+
+
+def suspects_first(suspects: DataFrame, n: str = "n", first: str = "first_seg") -> DataFrame:
+    """Most frequent suspects first, then those met first."""
+    return suspects.orderBy(F.desc(n), first)
+
+
+def with_overview(content: DataFrame, overview: DataFrame) -> DataFrame:
+    """Content and overview segments in one table, told apart by ``is_overview``."""
+    return content.withColumn("is_overview", F.lit(False)).unionByName(overview.withColumn("is_overview", F.lit(True)))
+
+
+def intro_then(intro: DataFrame, pages: DataFrame, order: str) -> DataFrame:
+    """Introductory pages, then the others, numbered through in that order (``page_no`` from 1)."""
+    both = intro.withColumn("_part", F.lit(0)).unionByName(pages.withColumn("_part", F.lit(1)))
+    # pages of one deck
+    return both.withColumn("page_no", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_part", order))).drop("_part")
+
+
+def merged_config(base: dict, own: dict) -> dict:
+    """``base`` with the values of ``own``, section by section; null keeps what is there."""
+    out = dict(base)
+    for k, v in own.items():
+        if isinstance(v, dict) and isinstance(out.get(k), dict):
+            out[k] = merged_config(out[k], v)
+        elif v is not None or k not in out:
+            out[k] = v
+    return out

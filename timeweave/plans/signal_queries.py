@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import fuzzy, numbers, signals
+from ..functions import fuzzy, numbers, signals, slides
 from ..functions import values as V
-from ..operators import audit
+from ..operators import audit, notes, rules
 from .proxies import segments, table
 
 QUERIES, SQL = {}, {}
@@ -116,3 +116,124 @@ def _sides(spark, d):
 def _a9(spark, d):
     out = audit.compare_windows(*_sides(spark, d), ["conv_id"])
     return out.withColumns({c: F.array_join(c, ",") for c in ("only_primary", "only_other", "excused", "flags", "suppressed")})
+
+
+# ---------------------------------------------------------------- slides, captions, engines' answers
+
+@query("f8_title_guess", """with b as (select l_orderkey, list({'h': -l_quantity, 'i': l_linenumber, 't': trim(l_shipmode || ' ' || l_comment_, ' '), 'top': l_linenumber * 100} order by l_linenumber) as b from (select *, case when l_linenumber % 3 = 0 then '' else l_shipinstruct_ end as l_comment_ from (select *, repeat(l_returnflag, cast(l_quantity as int) * 2) as l_shipinstruct_, l_linestatus as l_shipmode from lineitem)) group by 1)
+select l_orderkey, coalesce(list_sort(list_filter(b, lambda x: x.t <> '' and length(x.t) <= 60 and x.top <= 350))[1].t, '') as v from b""")
+def _f8(spark, d):
+    li = table(spark, d, "lineitem")
+    words = F.when(C("l_linenumber") % 3 == 0, "").otherwise(F.repeat("l_returnflag", (C("l_quantity").cast("int") * 2)))
+    text = F.trim(F.concat("l_linestatus", F.lit(" "), words))
+    blocks = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity", text.alias("text")))), lambda b: F.struct((b["l_linenumber"] * 100).alias("top"), b["l_quantity"].alias("height"), b["text"].alias("text")))
+    return li.groupBy("l_orderkey").agg(blocks.alias("b")).select("l_orderkey", slides.title_guess(C("b"), F.lit(1000)).alias("v"))
+
+
+WORDY = "(coalesce(list_sum(list_transform(regexp_extract_all(x, '[A-Za-z]{3,}'), lambda w: length(w))), 0))"
+
+
+@query("f51_slide_text", rf"""with s as (select doc_id, case when doc_id % 4 = 0 then ' ' else text end as clean, split_part(text, ' ', 1) as quick, source || ' ' || chr(10) || ' sum ' as summary, case doc_id % 5 when 0 then ['decorative'] when 1 then ['table'] when 2 then ['text', 'ultrasound', 'chart'] else [] end as types from documents),
+x as (select *, case when trim(clean, ' ' || chr(10)) <> '' then trim(clean, ' ' || chr(10)) else quick end as x from s)
+select doc_id, substring(trim(regexp_replace(case when {WORDY} >= 14 and not list_has_any(types, ['ultrasound', 'decorative']) then x when list_has_any(types, ['table', 'flowchart', 'diagram', 'algorithm', 'chart']) then trim(summary, ' ') else '' end, '\s+', ' ', 'g'), ' '), 1, 240) as v from x""")
+def _f51(spark, d):
+    k = C("doc_id")
+    arr = lambda *x: F.array(*map(F.lit, x)).cast("array<string>")
+    types = F.when(k % 5 == 0, arr("decorative")).when(k % 5 == 1, arr("table")).when(k % 5 == 2, arr("text", "ultrasound", "chart")).otherwise(arr())
+    return table(spark, d, "documents").select("doc_id", slides.slide_text(F.when(k % 4 == 0, " ").otherwise(C("text")), F.split_part("text", F.lit(" "), F.lit(1)), F.concat("source", F.lit(" \n sum ")), types).alias("v"))
+
+
+@query("f58_course_name", """with s as (select *, case c_custkey % 5 when 0 then '20250914_L1_' || c_name || '_' || c_mktsegment || '_x' when 1 then c_name || '_' || c_mktsegment when 2 then '20250914' when 3 then 'L2_' || c_mktsegment else '2025091_L1' end as slug from customer)
+select c_custkey, case when c_custkey % 5 in (0, 2) then '20250914' else '' end as date, case c_custkey % 5 when 0 then split_part(c_name, '_', 1) when 1 then split_part(c_name, '_', 1) when 2 then 'unknown' when 3 then c_mktsegment else '2025091' end as speaker,
+case c_custkey % 5 when 0 then array_to_string(string_split(c_name || '_' || c_mktsegment || '_x', '_')[2:], '_') when 1 then array_to_string(string_split(c_name || '_' || c_mktsegment, '_')[2:], '_') else 'lecture' end as topic from s""")
+def _f58(spark, d):
+    k = C("c_custkey") % 5
+    slug = F.when(k == 0, F.concat(F.lit("20250914_L1_"), "c_name", F.lit("_"), "c_mktsegment", F.lit("_x"))).when(k == 1, F.concat("c_name", F.lit("_"), "c_mktsegment")).when(k == 2, "20250914").when(k == 3, F.concat(F.lit("L2_"), "c_mktsegment")).otherwise("2025091_L1")
+    return table(spark, d, "customer").select("c_custkey", slides.course_name(slug).alias("n")).select("c_custkey", "n.*")
+
+
+@query("f60_answer_fault", """select p_partkey, case p_partkey % 7 when 0 then null when 1 then 'missing labels' when 2 then 'page_confidence of a wrong kind' when 3 then 'malformed block' when 4 then 'reading order not of integers' when 5 then 'not an object' else 'missing fixture' end as fault,
+case when p_partkey % 7 in (0, 1, 2) then p_name || chr(10) || p_brand when p_partkey % 7 in (3, 4) then p_brand else '' end as text from part""")
+def _f60(spark, d):
+    k = C("p_partkey") % 7
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    blocks = F.concat(F.lit('"blocks": [{"text": '), q(C("p_brand")), F.lit('}, {"text": ""}, '), F.when(k == 3, '{"other": 1}').otherwise(F.concat(F.lit('{"text": '), q(C("p_name")), F.lit("}"))), F.lit("]"))
+    rest = F.concat(F.lit(', "engine": "e", "latency_s": 2'), F.when(k == 2, ', "page_confidence": "high"').otherwise(', "page_confidence": 0.5'), F.when(k == 1, "").otherwise(', "labels": []'), F.when(k == 4, ', "reading_order": [0.5, "b"]').otherwise(', "reading_order": [2, 1, 0, 9]'))
+    json = F.when(k == 5, "[1]").when(k == 6, '{"engine": "e"}').otherwise(F.concat(F.lit('{"fixture": "f", '), blocks, rest, F.lit("}")))
+    return table(spark, d, "part").select("p_partkey", slides.answer_fault(json).alias("fault"), slides.answer_text(json).alias("text"))
+
+
+@query("f64_crop_boxes", """select p_partkey, case when p_partkey between 1 and 10 then 0 when p_partkey between 11 and 50 then 5 when p_partkey between 60 and 99 then 7 end as x from part""")
+def _f64(spark, d):
+    made = spark.createDataFrame([("1-10", 0, 0, 640, 360), ("11-50", 5, 5, 640, 360), ("60-99", 7, 5, 200, 200)], "slides string, x int, y int, w int, h int")
+    return rules.crop_boxes(table(spark, d, "part").select("p_partkey"), "p_partkey", made).select("p_partkey", "x")
+
+
+# ---------------------------------------------------------------- notes
+
+NOTE = """note as (select doc_id, case when doc_id % 3 = 0 then '---' || chr(10) || 'tags: [x]' || chr(10) || '  - y' || chr(10) || '---' || chr(10) else '' end || '# Title `' || source || '`' || chr(10) || '# Empty' || chr(10) || '## Deeper' || chr(10) || case when doc_id % 4 = 0 then '> [!summary] s' || chr(10) else '' end
+|| '![[a.png|400]] ![[b.jpg]]' || chr(10) || case when doc_id % 5 = 0 then '[!todo] x ```a```' || chr(10) || '![[c.png]]' || chr(10) else '' end || replace(text, chr(10), chr(10) || '  - ') || chr(10) || case when doc_id % 2 = 0 then '# Resource' else '' end as t from documents)"""
+
+
+def _notes(spark, d):
+    k = C("doc_id")
+    t = F.concat(
+        F.when(k % 3 == 0, "---\ntags: [x]\n  - y\n---\n").otherwise(""), F.lit("# Title `"), "source", F.lit("`\n# Empty\n## Deeper\n"), F.when(k % 4 == 0, "> [!summary] s\n").otherwise(""),
+        F.lit("![[a.png|400]] ![[b.jpg]]\n"), F.when(k % 5 == 0, "[!todo] x ```a```\n![[c.png]]\n").otherwise(""), F.replace("text", F.lit("\n"), F.lit("\n  - ")), F.lit("\n"), F.when(k % 2 == 0, "# Resource").otherwise(""),
+    )
+    return table(spark, d, "documents").select("doc_id", t.alias("t"))
+
+
+@query("v1_note_audit", rf"""with {NOTE}, c as (select doc_id, t, (doc_id % 2 <> 0)::int as sources, (doc_id % 4 <> 0)::int as summary, (doc_id % 3 <> 0)::int as tags, 1 + (doc_id % 5 = 0)::int as width, (doc_id % 5 = 0)::int as todo, (doc_id % 5 = 0)::int as code,
+  len(list_filter(string_split(regexp_replace(t, '^---\n(tags[^\n]*\n[^\n]*\n)---\n', ''), chr(10)), lambda l: regexp_matches(l, '^ +[-*] '))) as indent, 1 + (doc_id % 2 = 0)::int as empty, (not contains(t, '🗣️'))::int as speaker from note),
+u as (unpivot c on sources, summary, tags, width, todo, code, indent, empty, speaker into name x value n)
+select doc_id, case x when 'sources' then 'STRUCT sources' when 'summary' then 'STRUCT summary' when 'tags' then 'STRUCT tags' when 'width' then 'FIG width' when 'todo' then 'FIG todo' when 'code' then 'FMT code block' when 'indent' then 'FMT blank indent' when 'empty' then 'FMT empty heading' else 'LEC speaker' end as "check",
+case when n = 0 then 'PASS' when x in ('code', 'indent', 'empty', 'speaker') then 'WARN' else 'FAIL' end as level, cast(n as int) as n from u""")
+def _v1n(spark, d):
+    found = notes.audit_notes(_notes(spark, d), "doc_id", "t")
+    return found.where(C("check").isin("STRUCT sources", "STRUCT summary", "STRUCT tags", "FIG width", "FIG todo", "FMT code block", "FMT blank indent", "FMT empty heading", "LEC speaker"))
+
+
+@query("v7_note_format")
+def _v7(spark, d):
+    lecture, book = (notes.audit_notes(_notes(spark, d), "doc_id", "t", mode) for mode in ("lecture", "textbook"))
+    return lecture.where(C("check").startswith("FMT") | C("check").startswith("LEC") | C("check").startswith("REP")).unionByName(book.where(C("check").startswith("TXT")))
+
+
+@query("f53_declared_labels", """with f as (select n_nationkey, 'V1' as label, n_name || '.MTS' as file from nation union all select n_nationkey, 'A2', '<s>-' || n_name || ' 1.mp3' from nation) select * from f""")
+def _f53(spark, d):
+    t = F.concat(F.lit("# x\n## 影片代號 表\n| 代號 | 原始檔案 |\n|---|---|\n| V1 | old.mp4 |\n| V1 | "), "n_name", F.lit(".MTS（04:39 起） |\n| A2 | `<s>-"), "n_name", F.lit(" 1.mp3` 註 |\n| B3 | no file |\n# y\n| C4 | z.mp4 |"))
+    return notes.declared_labels(table(spark, d, "nation").select("n_nationkey", t.alias("t")), "n_nationkey", "t")
+
+
+@query("f52_time_citations", """select n_nationkey, * from nation, (values (0, 1, 'a.MTS', 262, 271), (0, 2, 'a.MTS', 373, null), (1, 1, 'b c.mp3', 3723, null), (2, 1, 'a.MTS', 1710, 1722)) v("at", nth, file, start_s, "until")""".replace("select n_nationkey, *", 'select n_nationkey, "at", nth, file, start_s, "until"'))
+def _f52(spark, d):
+    t = F.concat(F.lit("see (V1 04:22–04:31, 06:13) and (b c.mp3 1:02:03) then `(練習段 V1 28:30-42)`, not (V9 01:00) nor (BP 120:80) nor (see V1 07:30 of it)"), "n_name")
+    nation = table(spark, d, "nation")
+    labels = nation.select("n_nationkey", F.explode(F.array(F.struct(F.lit("V1").alias("label"), F.lit("a.MTS").alias("file")), F.struct(F.lit("A2").alias("label"), F.lit("b c.mp3").alias("file")))).alias("l")).select("n_nationkey", "l.*")
+    return notes.time_citations(nation.select("n_nationkey", t.alias("t")), "n_nationkey", "t", labels).drop("clock")
+
+
+@query("f56_split_caption")
+def _f56(spark, d):
+    c = F.regexp_replace(F.replace(F.replace(F.substring("text", 1, 90), F.lit(", "), F.lit("，")), F.lit(". "), F.lit("（")), "\\n", "）")
+    return table(spark, d, "documents").select("doc_id", slides.split_caption(c).alias("c")).select("doc_id", "c.*")
+
+
+# ---------------------------------------------------------------- segmentation audit
+
+@query("v2_segmentation_audit", """with e as (select user_id, event_id, cast(floor(epoch_us(ts) / 1000000.0) as bigint) as lo, cast(floor(epoch_us(ts) / 1000000.0) as bigint) + cast(value * 60 as bigint) as hi, event_id % 7 as seg from events where event_type <> 'error'),
+r as (select *, row_number() over (partition by user_id order by lo, event_id) - 1 as pos from e), s as (select user_id, seg, min(pos) as a, max(pos) as b, count(*) as n from r where seg > 0 group by 1, 2),
+q as (select user_id, count(*) filter (b - a + 1 <> n) as holes from s group by 1), c as (select user_id, count(*) filter (seg = 0) as uncovered from r group by 1),
+o as (select user_id, count(*) filter (play <> first) as moved from (select user_id, row_number() over (partition by user_id order by seg) as play, row_number() over (partition by user_id order by a) as first from s) group by 1),
+g as (select user_id, count(*) filter (gap >= 0 and gap <= 3600) as chains, count(*) filter (gap >= 86400) as breaks from (select user_id, lead(lo) over (partition by user_id order by lo, event_id) - hi as gap from r) group by 1),
+p as (select a.user_id, count(*) as n from r a join r b on a.user_id = b.user_id and a.event_id < b.event_id and least(a.hi, b.hi) - greatest(a.lo, b.lo) > 60 and not (a.seg = b.seg and a.seg > 0) group by 1),
+t as (select user_id, 'segments-noncontiguous' as code, 'REGENERATE' as level, holes as n from q union all select user_id, 'segments-uncovered', 'REVIEW', uncovered from c union all select user_id, 'segments-display-order', 'REVIEW', moved from o
+  union all select user_id, 'split-recordings', 'INFO', chains from g union all select user_id, 'natural-breaks', 'INFO', breaks from g union all select user_id, 'parallel-tracks', 'REVIEW', n from p)
+select user_id, code, level, n from t where n > 0""")
+def _v2s(spark, d):
+    e = table(spark, d, "events").where("event_type <> 'error'")
+    lo = F.floor(F.unix_micros(C("ts").cast("timestamp")) / 1000000)
+    sources = e.select("user_id", "event_id", lo.alias("lo"), (lo + F.round(C("value") * 60).cast("long")).alias("hi"))
+    placed = e.where("event_id % 7 > 0").select("user_id", "event_id", (C("event_id") % 7).alias("seg"), (C("event_id") % 7).alias("display_order"))
+    return audit.segmentation_findings(sources, placed, "user_id", "event_id", chain_s=3600, break_s=86400)
