@@ -334,3 +334,22 @@ def test_orders_and_settings(spark):
     pages = spark.createDataFrame([("p", 2), ("q", 1)], "name string, at int")
     assert [r["name"] for r in rules.intro_then(pages.limit(1), pages, "at").orderBy("page_no").collect()][1:] == ["q", "p"]
     assert rules.with_overview(pages, pages).groupBy("is_overview").count().count() == 2
+
+
+def test_helper_columns_do_not_clash(spark):
+    """Columns named as a helper might be are kept as they are."""
+    names = ("_r", "_b", "_n", "_new", "_m", "_p", "_i", "_h", "_t", "island")
+    rows = [("a", i, 1.0 * i, 1.0 * i + 1, f"t{i % 2}") for i in range(6)]
+    df = spark.createDataFrame(rows, "k string, o int, start_s double, end_s double, text string").withColumns({n: F.lit("own") for n in names})
+    held = [
+        sequences.drop_repeats(df, ["k"], "o", "text"),
+        sequences.context_rows(df, ["k"], "o", F.col("o") == 2),
+        sequences.sections(df, ["k"], "o", F.col("o") == 3),
+        joins.seek(df, ["k"], F.lit(2.5), "start_s", "end_s", [F.col("o")]),
+        joins.interval_join(df, spark.createDataFrame([("a", 1.0, 2.0)], "k string, lo double, hi double"), ("start_s", "end_s"), ("lo", "hi"), ["k"], 2),
+        rules.even_sample(df, ["k"], "o", 3),
+    ]
+    for out in held:
+        assert {tuple(r) for r in out.select(*names).collect()} == {("own",) * len(names)}
+    runs = sequences.runs(df.withColumn("start_s", F.col("start_s")), ["k"], "o", F.lit(True))
+    assert [(r["first"], r["last"]) for r in runs.collect()] == [(0, 5)]

@@ -57,7 +57,7 @@ def bucket_text(segments: DataFrame, keys: list[str], width_s: int = 30) -> Data
 
 def loops(windows: DataFrame, keys: list[str], lines: Column, **limits) -> DataFrame:
     """Degenerate repetition of each window's lines (an array), found within the row: nothing is shuffled."""
-    return windows.select(*keys, loop_info(lines, **limits).alias("_l")).select(*keys, "_l.*")
+    return windows.select(*keys, loop_info(lines, **limits).alias("__tw_l")).select(*keys, "__tw_l.*")
 
 
 def coverage(notes: DataFrame, transcripts: DataFrame, key: str, chars: str, floor: float = 0.10) -> DataFrame:
@@ -78,8 +78,8 @@ def collapse_share(segments: DataFrame, keys: list[str], is_short: Column, min_n
     """Share of short segments and the longest run of them; collapsed by share (of enough segments) or by run."""
     w = Window.partitionBy(*keys).orderBy("start_s")
     s = segments.withColumn("s", F.coalesce(is_short, F.lit(False)).cast("int"))
-    s = s.withColumn("island", F.sum(1 - F.col("s")).over(w))
-    runs = s.groupBy(*keys, "island").agg(F.sum("s").alias("r"), F.count("*").alias("c"))
+    s = s.withColumn("__tw_island", F.sum(1 - F.col("s")).over(w))
+    runs = s.groupBy(*keys, "__tw_island").agg(F.sum("s").alias("r"), F.count("*").alias("c"))
     out = runs.groupBy(*keys).agg(F.sum("c").alias("n"), (F.sum("r") / F.sum("c")).alias("short_share"), F.max("r").alias("longest_run"))
     return out.withColumn("collapsed", ((F.col("n") >= min_n) & (F.col("short_share") >= share)) | (F.col("longest_run") >= run))
 
@@ -88,7 +88,7 @@ def vote_argmax(votes: DataFrame, keys: list[str], option: str, weight: str) ->
     """The option of the greatest total weight, ties to the lesser option."""
     total = votes.groupBy(*keys, option).agg(F.sum(weight).alias("weight"))
     w = Window.partitionBy(*keys).orderBy(F.desc("weight"), option)
-    return total.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    return total.withColumn("__tw_r", F.row_number().over(w)).where("__tw_r = 1").drop("__tw_r")
 
 
 def chapters(blocks: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -121,7 +121,7 @@ def upper_median(df: DataFrame, keys: list[str], value: str, min_n: int = 5) ->
         placed = counts.withColumn("upto", F.sum("c").over(w.orderBy(value))).withColumn("n", F.sum("c").over(w))
         return placed.where((F.col("upto") > F.floor(F.col("n") / 2)) & (F.col("upto") - F.col("c") <= F.floor(F.col("n") / 2))).select(*by, F.col(value).alias("m"), "n")
 
-    everything = of(df.withColumn("_all", F.lit(1)), ["_all"]).select(F.col("m").alias("overall"))
+    everything = of(df.withColumn("__tw_all", F.lit(1)), ["__tw_all"]).select(F.col("m").alias("overall"))
     return of(df, keys).crossJoin(F.broadcast(everything)).select(*keys, F.when(F.col("n") >= min_n, F.col("m")).otherwise(F.col("overall")).alias("median"), "n")
 
 
@@ -144,7 +144,7 @@ def first_mode(df: DataFrame, keys: list[str], value: str, order: str) -> DataFr
     """Most frequent value, ties to the one that comes first."""
     c = df.groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(order).alias("o"))
     w = Window.partitionBy(*keys).orderBy(F.desc("n"), "o")
-    return c.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(*keys, value, "n")
+    return c.withColumn("__tw_r", F.row_number().over(w)).where("__tw_r = 1").select(*keys, value, "n")
 
 
 def days_covered(df: DataFrame, keys: list[str], ts: str) -> DataFrame:

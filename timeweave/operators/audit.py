@@ -14,7 +14,7 @@ from .joins import overlap_pairs
 def window_lines(segments: DataFrame, keys: list[str], side: str, last: DataFrame, window_s: float) -> DataFrame:
     """(keys, window, lines): the texts of a side's segments in order, by the window of their midpoint (clamped to the last)."""
     rows = segments.where(F.trim("text") != "").join(last, keys)
-    rows = rows.withColumn("window", F.least(window_of(F.col("start_s"), F.col("end_s"), window_s), F.col("_last")))
+    rows = rows.withColumn("window", F.least(window_of(F.col("start_s"), F.col("end_s"), window_s), F.col("__tw_last")))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("start_s", "end_s", "text"))), lambda x: F.trim(x["text"]))
     return rows.groupBy(*keys, "window").agg(lines.alias(side))
 
@@ -29,8 +29,8 @@ def compare_windows(primary: DataFrame, other: DataFrame, keys: list[str], windo
     Where the other side loops, what compares with it is suppressed.
     """
     both = primary.select(*keys, "end_s").unionByName(other.select(*keys, "end_s"))
-    last = both.groupBy(*keys).agg(F.greatest(F.ceil(F.max("end_s") / window_s).cast("long") - 1, F.lit(0).cast("long")).alias("_last"))
-    every = last.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias("window"))
+    last = both.groupBy(*keys).agg(F.greatest(F.ceil(F.max("end_s") / window_s).cast("long") - 1, F.lit(0).cast("long")).alias("__tw_last"))
+    every = last.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), "__tw_last")).alias("window"))
     none = F.array().cast("array<string>")
     rows = every.join(window_lines(primary, keys, "p", last, window_s), [*keys, "window"], "left").join(window_lines(other, keys, "o", last, window_s), [*keys, "window"], "left")
     rows = rows.withColumns({"p": F.coalesce("p", none), "o": F.coalesce("o", none)})

@@ -25,14 +25,14 @@ def interval_join(left: DataFrame, right: DataFrame, l: tuple[str, str], r: tupl
     a, b = left.alias("l"), right.alias("r")
     lb = F.explode(F.sequence(_bucket(F.col(l[0]), width), F.greatest(_bucket(F.col(l[1]), width), _bucket(F.col(l[0]), width))))
     rb = F.explode(F.sequence(_bucket(F.col(r[0]), width), F.greatest(_bucket(F.col(r[1]), width), _bucket(F.col(r[0]), width))))
-    a = left.where(F.col(l[0]).isNotNull() & F.col(l[1]).isNotNull()).withColumn("_b", lb).alias("l")
-    b = right.where(F.col(r[0]).isNotNull() & F.col(r[1]).isNotNull()).withColumn("_b", rb).alias("r")
-    on = F.col("l._b") == F.col("r._b")
+    a = left.where(F.col(l[0]).isNotNull() & F.col(l[1]).isNotNull()).withColumn("__tw_b", lb).alias("l")
+    b = right.where(F.col(r[0]).isNotNull() & F.col(r[1]).isNotNull()).withColumn("__tw_b", rb).alias("r")
+    on = F.col("l.__tw_b") == F.col("r.__tw_b")
     for k in keys:
         on &= F.col(f"l.{k}") == F.col(f"r.{k}")
     lo, hi, rlo, rhi = (F.col(c) for c in (f"l.{l[0]}", f"l.{l[1]}", f"r.{r[0]}", f"r.{r[1]}"))
     meet = (rhi >= lo) & (rlo <= hi) if closed else (rhi > lo) & (rlo < hi)
-    first = F.greatest(_bucket(lo, width), _bucket(rlo, width)) == F.col("l._b")
+    first = F.greatest(_bucket(lo, width), _bucket(rlo, width)) == F.col("l.__tw_b")
     out = [F.col(f"l.{c}") for c in left.columns] + [F.col(f"r.{c}") for c in right.columns if c not in keys]
     return a.join(b, on & meet & first).select(*out)
 
@@ -46,7 +46,7 @@ def window_segments(slides: DataFrame, segments: DataFrame, keys: list[str], win
 def containing(points: DataFrame, intervals: DataFrame, t: str, lo: str, hi: str, keys: list[str], point_id: str, width: float, how: str = "left") -> DataFrame:
     """All intervals (closed) that hold each point; with ``how='left'`` points outside all of them stay, with nulls."""
     p = points.select(*keys, point_id, t)
-    found = interval_join(p.withColumn("_t", F.col(t)), intervals, (t, "_t"), (lo, hi), keys, width).drop("_t")
+    found = interval_join(p.withColumn("__tw_t", F.col(t)), intervals, (t, "__tw_t"), (lo, hi), keys, width).drop("__tw_t")
     if how != "left":
         return found
     extra = [c for c in intervals.columns if c not in keys]
@@ -55,8 +55,8 @@ def containing(points: DataFrame, intervals: DataFrame, t: str, lo: str, hi: str
 
 def slice_by_plan(segments: DataFrame, plan: DataFrame, keys: list[str], t: str = "start_s", lo: str = "plan_lo", hi: str = "plan_hi", width: float = 60) -> DataFrame:
     """Segments whose start lies in a plan row's half-open span."""
-    pairs = interval_join(segments.withColumn("_t", F.col(t)), plan, (t, "_t"), (lo, hi), keys, width)
-    return pairs.where(F.col(t) < F.col(hi)).drop("_t")
+    pairs = interval_join(segments.withColumn("__tw_t", F.col(t)), plan, (t, "__tw_t"), (lo, hi), keys, width)
+    return pairs.where(F.col(t) < F.col(hi)).drop("__tw_t")
 
 
 def overlap_pairs(df: DataFrame, ident: str, lo: str, hi: str, keys: list[str], width: float) -> DataFrame:
@@ -181,21 +181,21 @@ def resolve_unique(left: DataFrame, right: DataFrame, key: str, name: str) -> Da
     names = right.select(name).distinct()
     exact = left.select(key).distinct().join(names, F.col(key) == F.col(name), "left")
     rest = exact.where(F.col(name).isNull()).select(key)
-    held = mentions(names, name, name, rest, key).groupBy(key).agg(F.min(name).alias(name), F.count("*").alias("_n")).where("_n = 1").drop("_n")
+    held = mentions(names, name, name, rest, key).groupBy(key).agg(F.min(name).alias(name), F.count("*").alias("__tw_n")).where("__tw_n = 1").drop("__tw_n")
     return exact.where(F.col(name).isNotNull()).unionByName(rest.join(held, key, "left"))
 
 
 def explode_members(groups: DataFrame, members: DataFrame, group: str, array: str, member: str, value: str) -> DataFrame:
     """Values of a group's members, in the array's order: (group, values)."""
-    rows = groups.select(group, F.posexplode(array).alias("_pos", member)).join(members.select(member, value), member)
-    return rows.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", value))), lambda x: x[value]).alias("values"))
+    rows = groups.select(group, F.posexplode(array).alias("__tw_pos", member)).join(members.select(member, value), member)
+    return rows.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("__tw_pos", value))), lambda x: x[value]).alias("values"))
 
 
 def names_in_text(df: DataFrame, names: DataFrame, ident: str, text: str, name: str = "name") -> DataFrame:
     """Names found in each text with their first position; a name inside a longer found name at the same place is left out."""
     hits = mentions(df, ident, text, names, name)
     longest = Window.partitionBy(ident, "pos").orderBy(F.desc(F.length(name)), name)
-    return hits.withColumn("_r", F.row_number().over(longest)).where("_r = 1").drop("_r").withColumn("nth", F.row_number().over(Window.partitionBy(ident).orderBy("pos")))
+    return hits.withColumn("__tw_r", F.row_number().over(longest)).where("__tw_r = 1").drop("__tw_r").withColumn("nth", F.row_number().over(Window.partitionBy(ident).orderBy("pos")))
 
 
 def claim_conflicts(claims: DataFrame, measured: DataFrame, key: str, claim: str, measure: str, tol_s: float = 5) -> DataFrame:
@@ -213,23 +213,23 @@ def caption_overlap(captions: DataFrame, frames: DataFrame, key: str, min_tokens
 
 def ref_integrity(refs: DataFrame, assets: DataFrame, ref: str, name: str, digest: str) -> DataFrame:
     """References: missing when no asset has the name, ambiguous when assets of the name differ, else ok."""
-    known = assets.groupBy(F.col(name).alias(ref)).agg(F.count_distinct(digest).alias("_d"))
-    status = F.when(F.col("_d").isNull(), "missing").when(F.col("_d") > 1, "ambiguous").otherwise("ok")
+    known = assets.groupBy(F.col(name).alias(ref)).agg(F.count_distinct(digest).alias("__tw_d"))
+    status = F.when(F.col("__tw_d").isNull(), "missing").when(F.col("__tw_d") > 1, "ambiguous").otherwise("ok")
     return refs.select(ref).distinct().join(known, ref, "left").select(ref, status.alias("status"))
 
 
 def seek(blocks: DataFrame, keys: list[str], t: Column, lo: str, hi: str, prefer: list[Column], pad: float = 0.15) -> DataFrame:
     """The one block playing at ``t`` for every key, give or take ``pad``; the first by ``prefer``."""
     live = blocks.where((F.col(lo) - pad <= t) & (t < F.col(hi) + pad))
-    return live.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*prefer))).where("_r = 1").drop("_r")
+    return live.withColumn("__tw_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*prefer))).where("__tw_r = 1").drop("__tw_r")
 
 
 def deep_links(links: DataFrame, files: DataFrame, link: str, file: str) -> DataFrame:
     """Resolve links to files: by exact name, else by the least name equal without regard to case."""
-    exact = files.select(F.col(file).alias("_f")).distinct()
-    loose = exact.groupBy(F.lower("_f").alias("_k")).agg(F.min("_f").alias("_g"))
-    out = links.join(exact, F.col(link) == F.col("_f"), "left").join(loose, F.lower(link) == F.col("_k"), "left")
-    return out.withColumn("resolved", F.coalesce("_f", "_g")).drop("_f", "_k", "_g")
+    exact = files.select(F.col(file).alias("__tw_f")).distinct()
+    loose = exact.groupBy(F.lower("__tw_f").alias("__tw_k")).agg(F.min("__tw_f").alias("__tw_g"))
+    out = links.join(exact, F.col(link) == F.col("__tw_f"), "left").join(loose, F.lower(link) == F.col("__tw_k"), "left")
+    return out.withColumn("resolved", F.coalesce("__tw_f", "__tw_g")).drop("__tw_f", "__tw_k", "__tw_g")
 
 
 def unmentioned(sources: DataFrame, texts: DataFrame, name: str, text: str) -> DataFrame:

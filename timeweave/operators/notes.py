@@ -129,8 +129,8 @@ def checks(text: Column, mode: str, headings: list[str]) -> list[tuple[str, str,
 
 def audit_notes(notes: DataFrame, key: str, text: str, mode: str = "lecture", headings: list[str] | None = None) -> DataFrame:
     """(key, level, check, n): every check of the mode on every note, PASS where nothing is wrong. Null notes count as empty."""
-    rows = notes.select(key, F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    made = [F.struct(F.when(n > 0, level).otherwise("PASS").alias("level"), F.lit(name).alias("check"), n.cast("int").alias("n")) for name, level, n in checks(F.col("_t"), mode, headings or [])]
+    rows = notes.select(key, F.coalesce(F.col(text), F.lit("")).alias("__tw_t"))
+    made = [F.struct(F.when(n > 0, level).otherwise("PASS").alias("level"), F.lit(name).alias("check"), n.cast("int").alias("n")) for name, level, n in checks(F.col("__tw_t"), mode, headings or [])]
     return rows.select(key, F.explode(F.array(*made)).alias("f")).select(key, "f.*")
 
 
@@ -172,10 +172,10 @@ def time_citations(notes: DataFrame, key: str, text: str, labels: DataFrame) ->
     each = each.select(key, "at", "no", "n", "tail", F.regexp_extract("part", "^([\\s,;/、；，→和及~\\-–—]*)", 1).rlike("[~\\-–—]").alias("ranged"), got(2).alias("label"), got(3).alias("named"), got(4).alias("clock"))
     known = labels.select(key, F.col("label"), F.col("file").alias("of"))
     lone = labels.groupBy(key).agg(F.when(F.count_distinct("file") == 1, F.max("file")).alias("lone"))
-    files = labels.select(key, F.col("file").alias("named")).distinct().withColumn("_k", F.lit(True))
+    files = labels.select(key, F.col("file").alias("named")).distinct().withColumn("__tw_k", F.lit(True))
     each = each.join(known, [key, "label"], "left").join(files, [key, "named"], "left").join(lone, key, "left")
     w = Window.partitionBy(key, "at").orderBy("no")
-    own = F.when(F.col("label").isNotNull(), F.coalesce("of", F.lit("?"))).when(F.col("named").isNotNull(), F.when(F.col("_k"), F.col("named")).otherwise("?")).when(F.col("no") == 0, F.coalesce("lone", F.lit("?")))
+    own = F.when(F.col("label").isNotNull(), F.coalesce("of", F.lit("?"))).when(F.col("named").isNotNull(), F.when(F.col("__tw_k"), F.col("named")).otherwise("?")).when(F.col("no") == 0, F.coalesce("lone", F.lit("?")))
     seconds = F.aggregate(F.split("clock", ":"), F.lit(0), lambda a, x: a * 60 + x.cast("int"))
     each = each.withColumns({"file": F.last(own, True).over(w), "own": own, "t": seconds})
     whole = Window.partitionBy(key, "at")

@@ -32,16 +32,16 @@ def search(blocks: DataFrame, text: str, terms: list[str], order: list[str], lim
 def even_sample(df: DataFrame, keys: list[str], order: str, n: int) -> DataFrame:
     """``n`` rows of each group at even distances, both ends among them."""
     w = Window.partitionBy(*keys)
-    r = df.withColumn("_i", F.row_number().over(w.orderBy(order)) - 1).withColumn("_n", F.count("*").over(w))
-    picks = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.floor(k * (F.col("_n") - 1) / F.lit(max(n - 1, 1)))))
-    return r.where(F.array_contains(picks, F.col("_i").cast("long"))).drop("_i", "_n")
+    r = df.withColumn("__tw_i", F.row_number().over(w.orderBy(order)) - 1).withColumn("__tw_n", F.count("*").over(w))
+    picks = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.floor(k * (F.col("__tw_n") - 1) / F.lit(max(n - 1, 1)))))
+    return r.where(F.array_contains(picks, F.col("__tw_i").cast("long"))).drop("__tw_i", "__tw_n")
 
 
 def capped_list(df: DataFrame, keys: list[str], value: str, order: str, n: int) -> DataFrame:
     """The first ``n`` values of each group, joined, with the group's size."""
     w = Window.partitionBy(*keys).orderBy(order)
-    first = df.withColumn("_r", F.row_number().over(w))
-    values = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_r") <= n, F.struct("_r", value)))), lambda x: x[value].cast("string")), ",")
+    first = df.withColumn("__tw_r", F.row_number().over(w))
+    values = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("__tw_r") <= n, F.struct("__tw_r", value)))), lambda x: x[value].cast("string")), ",")
     return first.groupBy(*keys).agg(values.alias("examples"), F.count("*").alias("n"))
 
 
@@ -82,26 +82,26 @@ def findings(df: DataFrame, rules: list[tuple[str, str, Column, Column]]) -> Dat
 def verdict(found: DataFrame, keys: list[str], levels: list[str]) -> DataFrame:
     """The gravest level of each group; ``levels`` from mild to grave."""
     rank = F.array_position(F.array(*map(F.lit, levels)), F.col("level"))
-    return found.groupBy(*keys).agg(F.max(rank).alias("_r"), F.count("*").alias("findings")).withColumn("verdict", F.element_at(F.array(*map(F.lit, levels)), F.col("_r").cast("int"))).drop("_r")
+    return found.groupBy(*keys).agg(F.max(rank).alias("__tw_r"), F.count("*").alias("findings")).withColumn("verdict", F.element_at(F.array(*map(F.lit, levels)), F.col("__tw_r").cast("int"))).drop("__tw_r")
 
 
 def embed_findings(refs: DataFrame, slides: DataFrame, key: str, tier: str) -> DataFrame:
     """References to unknown or tier-3 slides, and slides of tiers 1 and 2 that nothing refers to."""
-    r, s = refs.select(key).distinct().withColumn("_in", F.lit(1)), slides.select(key, tier).withColumn("_known", F.lit(1))
+    r, s = refs.select(key).distinct().withColumn("__tw_in", F.lit(1)), slides.select(key, tier).withColumn("__tw_known", F.lit(1))
     j = r.join(s, key, "full")
-    status = F.when(F.col("_known").isNull(), "unknown").when(F.col("_in").isNotNull() & (F.col(tier) > 2), "removed").when(F.col("_in").isNull() & (F.col(tier) <= 2), "missing")
+    status = F.when(F.col("__tw_known").isNull(), "unknown").when(F.col("__tw_in").isNotNull() & (F.col(tier) > 2), "removed").when(F.col("__tw_in").isNull() & (F.col(tier) <= 2), "missing")
     return j.select(key, status.alias("status")).where(F.col("status").isNotNull())
 
 
 def snapshot_diff(expected: DataFrame, got: DataFrame, key: str, values: list[str], tol: float = 1e-3) -> DataFrame:
     """Rows on one side only, and values that differ by more than ``tol`` (null against a number differs)."""
-    e = expected.select(key, F.lit(1).alias("_e"), *[F.col(v).alias(f"{v}_want") for v in values])
-    g = got.select(key, F.lit(1).alias("_g"), *[F.col(v).alias(f"{v}_got") for v in values])
+    e = expected.select(key, F.lit(1).alias("__tw_e"), *[F.col(v).alias(f"{v}_want") for v in values])
+    g = got.select(key, F.lit(1).alias("__tw_g"), *[F.col(v).alias(f"{v}_got") for v in values])
     far = F.lit(False)
     for v in values:
         far |= (F.col(f"{v}_want").isNull() != F.col(f"{v}_got").isNull()) | F.coalesce(F.abs(F.col(f"{v}_want") - F.col(f"{v}_got")) > tol, F.lit(False))
-    kind = F.when(F.col("_g").isNull(), "gone").when(F.col("_e").isNull(), "new").when(far, "changed")
-    return e.join(g, key, "full").withColumn("diff", kind).where(F.col("diff").isNotNull()).drop("_e", "_g")
+    kind = F.when(F.col("__tw_g").isNull(), "gone").when(F.col("__tw_e").isNull(), "new").when(far, "changed")
+    return e.join(g, key, "full").withColumn("diff", kind).where(F.col("diff").isNotNull()).drop("__tw_e", "__tw_g")
 
 
 def plan_steps(counts: DataFrame, rules: list[tuple[str, int, str]]) -> DataFrame:
@@ -112,7 +112,7 @@ def plan_steps(counts: DataFrame, rules: list[tuple[str, int, str]]) -> DataFram
 
 def rename_refs(refs: DataFrame, names: DataFrame, ref: str, old: str, new: str) -> DataFrame:
     """References with their new names where the map has one."""
-    return refs.join(names.select(F.col(old).alias(ref), F.col(new).alias("_n")), ref, "left").withColumn("renamed", F.coalesce("_n", ref)).drop("_n")
+    return refs.join(names.select(F.col(old).alias(ref), F.col(new).alias("__tw_n")), ref, "left").withColumn("renamed", F.coalesce("__tw_n", ref)).drop("__tw_n")
 
 
 def backfill(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
@@ -145,8 +145,8 @@ def crop_boxes(slides: DataFrame, ident: str, made: DataFrame) -> DataFrame:
     wrong = r.where("fault is not null").select("slides", "fault").limit(1).collect()
     if wrong:
         raise ValueError(f"crop rule for slides {wrong[0]['slides']}: {wrong[0]['fault']}")
-    each = r.select(F.explode(F.sequence("lo", "hi")).alias("_n"), "x", "y", "w", "h")
-    return slides.join(each, slides[ident] == F.col("_n"), "left").drop("_n")
+    each = r.select(F.explode(F.sequence("lo", "hi")).alias("__tw_n"), "x", "y", "w", "h")
+    return slides.join(each, slides[ident] == F.col("__tw_n"), "left").drop("__tw_n")
 
 
 def suspects_first(suspects: DataFrame, n: str = "n", first: str = "first_seg") -> DataFrame:
@@ -161,9 +161,9 @@ def with_overview(content: DataFrame, overview: DataFrame) -> DataFrame:
 
 def intro_then(intro: DataFrame, pages: DataFrame, order: str) -> DataFrame:
     """Introductory pages, then the others, numbered through in that order (``page_no`` from 1)."""
-    both = intro.withColumn("_part", F.lit(0)).unionByName(pages.withColumn("_part", F.lit(1)))
+    both = intro.withColumn("__tw_part", F.lit(0)).unionByName(pages.withColumn("__tw_part", F.lit(1)))
     # pages of one deck
-    return both.withColumn("page_no", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_part", order))).drop("_part")
+    return both.withColumn("page_no", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("__tw_part", order))).drop("__tw_part")
 
 
 def merged_config(base: dict, own: dict) -> dict:

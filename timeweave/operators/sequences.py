@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.text import script_class
 
 
-def islands(df: DataFrame, keys: list[str], order: list, new: Column, name: str = "island") -> DataFrame:
+def islands(df: DataFrame, keys: list[str], order: list, new: Column, name: str = "__tw_island") -> DataFrame:
     """Number the runs of rows between rows where ``new`` holds (null counts as true, so the first row opens one)."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_new", F.coalesce(new, F.lit(True)).cast("int")).withColumn(name, F.sum("_new").over(w)).drop("_new")
+    return df.withColumn("__tw_new", F.coalesce(new, F.lit(True)).cast("int")).withColumn(name, F.sum("__tw_new").over(w)).drop("__tw_new")
 
 
 def adjacent_dedup(frames: DataFrame, keys: list[str], order: str, h: str = "h", step: int = 40, drift: int = 80, changed: str | None = None, moved: float = 0.02) -> DataFrame:
@@ -58,7 +58,7 @@ def semantic_groups(df: DataFrame, keys: list[str], order: str, same: Column, te
 def drop_repeats(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
     """Rows whose value differs from the row before."""
     w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn("_p", F.lag(value).over(w)).where(F.col("_p").isNull() | ~F.col("_p").eqNullSafe(F.col(value))).drop("_p")
+    return df.withColumn("__tw_p", F.lag(value).over(w)).where(F.col("__tw_p").isNull() | ~F.col("__tw_p").eqNullSafe(F.col(value))).drop("__tw_p")
 
 
 def block_end(blocks: DataFrame, keys: list[str], start: str, tail_s: float = 45) -> DataFrame:
@@ -91,10 +91,10 @@ def gap_classes(media: DataFrame, keys: list[str], lo: str, hi: str, chain_s: fl
 def runs(df: DataFrame, keys: list[str], order: str, member: Column, same_as: str | None = None, min_run: int = 3) -> DataFrame:
     """Runs of at least ``min_run`` neighbours that are members (and share ``same_as``)."""
     w = Window.partitionBy(*keys).orderBy(order)
-    m = df.withColumn("_m", F.coalesce(member, F.lit(False)))
-    new = ~(F.col("_m") & F.lag("_m").over(w)) if same_as is None else ~(F.col("_m") & F.lag("_m").over(w) & F.col(same_as).eqNullSafe(F.lag(same_as).over(w)))
-    g = islands(m, keys, [order], new).where("_m")
-    return g.groupBy(*keys, "island").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"), F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s")).where(F.col("n") >= min_run).drop("island")
+    m = df.withColumn("__tw_m", F.coalesce(member, F.lit(False)))
+    new = ~(F.col("__tw_m") & F.lag("__tw_m").over(w)) if same_as is None else ~(F.col("__tw_m") & F.lag("__tw_m").over(w) & F.col(same_as).eqNullSafe(F.lag(same_as).over(w)))
+    g = islands(m, keys, [order], new).where("__tw_m")
+    return g.groupBy(*keys, "__tw_island").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"), F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s")).where(F.col("n") >= min_run).drop("__tw_island")
 
 
 def low_rate_windows(segments: DataFrame, keys: list[str], text: str = "text", min_s: float = 30, share: float = 0.3, enough: int = 5) -> DataFrame:
@@ -112,7 +112,7 @@ def low_rate_windows(segments: DataFrame, keys: list[str], text: str = "text", m
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start_s", "end_s"], kind="stable")
-        lo, hi, n, cjk = (pdf[c].to_numpy() for c in ("start_s", "end_s", "_n", "_cjk"))
+        lo, hi, n, cjk = (pdf[c].to_numpy() for c in ("start_s", "end_s", "__tw_n", "__tw_cjk"))
         timed = (hi - lo > 0.5) & (n > 0)
         rate = n[timed] / (hi - lo)[timed]
         out: list[tuple] = []
@@ -138,7 +138,7 @@ def low_rate_windows(segments: DataFrame, keys: list[str], text: str = "text", m
     kinds = dict(segments.dtypes)
     ddl = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "lo double, hi double, rate double, under double, script string"])
     bare = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "^\\s+|\\s+$", ""))
-    rows = segments.select(*keys, F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s"), F.length(bare).alias("_n"), (script_class(bare) == "cjk").alias("_cjk"))
+    rows = segments.select(*keys, F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s"), F.length(bare).alias("__tw_n"), (script_class(bare) == "cjk").alias("__tw_cjk"))
     return rows.groupBy(*keys).applyInPandas(find, ddl)
 
 
@@ -146,9 +146,9 @@ def merge_intervals(df: DataFrame, keys: list[str], lo: str, hi: str, tol: float
     """Merge intervals that overlap or lie within ``tol``; their reasons are joined by `` | `` in order, repeated ones too."""
     order = [lo, hi, *([reason] if reason else [])]
     before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    g = islands(df.withColumn("_reach", F.max(hi).over(before)), keys, order, F.col(lo) > F.col("_reach") + tol)
+    g = islands(df.withColumn("__tw_reach", F.max(hi).over(before)), keys, order, F.col(lo) > F.col("__tw_reach") + tol)
     reasons = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order))), lambda x: x[reason]), " | ").alias("reasons")] if reason else []
-    return g.groupBy(*keys, "island").agg(F.min(lo).alias(lo), F.max(hi).alias(hi), F.count("*").alias("n"), *reasons).drop("island")
+    return g.groupBy(*keys, "__tw_island").agg(F.min(lo).alias(lo), F.max(hi).alias(hi), F.count("*").alias("n"), *reasons).drop("__tw_island")
 
 
 def smooth_zscore(scores: DataFrame, row_keys: list[str], order: str, column_keys: list[str], value: str, k: int = 3) -> DataFrame:
@@ -156,8 +156,8 @@ def smooth_zscore(scores: DataFrame, row_keys: list[str], order: str, column_key
     near = F.avg(value).over(Window.partitionBy(*row_keys).orderBy(order).rowsBetween(-k, k))
     s = scores.withColumn("smooth", near)
     # a column's two figures are aggregated and joined: no task holds a whole column
-    stats = s.groupBy(*column_keys).agg(F.avg("smooth").alias("_mean"), F.stddev_pop("smooth").alias("_sd"))
-    return s.join(stats, column_keys).withColumn("z", F.when(F.col("_sd") > 0, (F.col("smooth") - F.col("_mean")) / F.col("_sd")).otherwise(F.lit(0.0))).drop("_mean", "_sd")
+    stats = s.groupBy(*column_keys).agg(F.avg("smooth").alias("__tw_mean"), F.stddev_pop("smooth").alias("__tw_sd"))
+    return s.join(stats, column_keys).withColumn("z", F.when(F.col("__tw_sd") > 0, (F.col("smooth") - F.col("__tw_mean")) / F.col("__tw_sd")).otherwise(F.lit(0.0))).drop("__tw_mean", "__tw_sd")
 
 
 def monotone_align(scores: DataFrame, key: str, row: str, col: str, value: str, jump: float = 0.15, back: int = 12) -> DataFrame:
@@ -203,7 +203,7 @@ def page_spans(path: DataFrame, pages: DataFrame, key: str, row: str, page: str,
 def context_rows(df: DataFrame, keys: list[str], order: str, match: Column, k: int = 2) -> DataFrame:
     """Matching rows with k rows around them."""
     near = F.max(match.cast("int")).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(-k, k))
-    return df.withColumn("_near", near).where("_near = 1").withColumn("is_match", match).drop("_near")
+    return df.withColumn("__tw_near", near).where("__tw_near = 1").withColumn("is_match", match).drop("__tw_near")
 
 
 # What ends a sentence, and what ends a clause.
@@ -271,7 +271,7 @@ def attachment_numbers(slides: DataFrame, keys: list[str], tier: str, order: str
 
 def first_owner(refs: DataFrame, ref: str, owner: str, order: list) -> DataFrame:
     """Every reference belongs to its first owner by ``order``."""
-    return refs.withColumn("_r", F.row_number().over(Window.partitionBy(ref).orderBy(*order))).where("_r = 1").select(ref, owner)
+    return refs.withColumn("__tw_r", F.row_number().over(Window.partitionBy(ref).orderBy(*order))).where("__tw_r = 1").select(ref, owner)
 
 
 def contiguous(df: DataFrame, keys: list[str], idx: str) -> DataFrame:
@@ -290,18 +290,18 @@ def order_diff(df: DataFrame, keys: list[str], position: str, chronological: lis
 def gallery_runs(lines: DataFrame, keys: list[str], order: str, image: Column, transparent: Column, min_run: int = 3) -> DataFrame:
     """Runs of images, with transparent lines between them ignored."""
     w = Window.partitionBy(*keys).orderBy(order)
-    seen = lines.where(~F.coalesce(transparent, F.lit(False))).withColumn("_i", F.coalesce(image, F.lit(False)))
-    g = islands(seen, keys, [order], ~(F.col("_i") & F.lag("_i").over(w))).where("_i")
-    return g.groupBy(*keys, "island").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n")).where(F.col("n") >= min_run).drop("island")
+    seen = lines.where(~F.coalesce(transparent, F.lit(False))).withColumn("__tw_i", F.coalesce(image, F.lit(False)))
+    g = islands(seen, keys, [order], ~(F.col("__tw_i") & F.lag("__tw_i").over(w))).where("__tw_i")
+    return g.groupBy(*keys, "__tw_island").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n")).where(F.col("n") >= min_run).drop("__tw_island")
 
 
 def sections(lines: DataFrame, keys: list[str], order: str, heading: Column) -> DataFrame:
     """The heading that each line stands under, and for headings whether nothing follows before the next."""
     w = Window.partitionBy(*keys).orderBy(order)
-    head = lines.withColumn("_h", F.coalesce(heading, F.lit(False)))
-    under = F.last(F.when(F.col("_h"), F.col(order)), True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    empty = F.col("_h") & F.coalesce(F.lead("_h").over(w), F.lit(True))
-    return head.withColumn("section", under).withColumn("empty_heading", empty).drop("_h")
+    head = lines.withColumn("__tw_h", F.coalesce(heading, F.lit(False)))
+    under = F.last(F.when(F.col("__tw_h"), F.col(order)), True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    empty = F.col("__tw_h") & F.coalesce(F.lead("__tw_h").over(w), F.lit(True))
+    return head.withColumn("section", under).withColumn("empty_heading", empty).drop("__tw_h")
 
 
 def running_eta(df: DataFrame, keys: list[str], order: str, seconds: str) -> DataFrame:
