@@ -87,7 +87,10 @@ def _f6(spark, d):
     return words.select("word", X.classify_keyword(C("word"), ["tion"], ["ing"], ["covid19"]).alias("v"))
 
 
-column("f7_keywords", "documents", "doc_id", lambda: F.array_join(X.keywords(C("text")), ","), "array_to_string(list_filter(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9-]+|\\p{Han}{2,}'), lambda x, i: list_position(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9-]+|\\p{Han}{2,}'), x) = i), ',')", with_sql=False)
+@query("f7_keywords", r"""with t as (select doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9-]+|\p{Han}{2,}') as l from documents) select doc_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ',') as v from t""")
+def _f7(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.array_join(X.keywords(C("text")), ",").alias("v"))
+
 FIRST = "lower(substr(split_part(text, ' ', 1), 2, 3))"
 column("f20_word_start_hit", "documents", "doc_id", lambda: X.word_start_hit(C("text"), F.substring(F.split_part("text", F.lit(" "), F.lit(1)), 2, 3)), f"case when regexp_matches({FIRST}, '^[a-z0-9][a-z0-9-]*$') then regexp_matches(lower(text), '(^|[^a-z0-9])' || regexp_escape({FIRST})) else contains(lower(text), {FIRST}) end")
 column("f23_abbreviation_hit", "documents", "doc_id", lambda: X.abbreviation_hit(C("text"), F.regexp_extract("text", "[A-Z][a-z]{1,3}", 0)), "regexp_matches(text, '(^|[^A-Za-z0-9])' || regexp_escape(regexp_extract(text, '[A-Z][a-z]{1,3}')) || '([^A-Za-z0-9]|$)')")
