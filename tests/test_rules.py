@@ -15,6 +15,7 @@ from timeweave.functions import text as X
 from timeweave.functions import values as V
 from timeweave.operators import aggregates, audit, joins, matching, notes, rules, sequences
 from timeweave.plans import scalar_queries
+from timeweave.sources import engines
 
 
 def column(spark, values, build, kind="string"):
@@ -353,3 +354,34 @@ def test_helper_columns_do_not_clash(spark):
         assert {tuple(r) for r in out.select(*names).collect()} == {("own",) * len(names)}
     runs = sequences.runs(df.withColumn("start_s", F.col("start_s")), ["k"], "o", F.lit(True))
     assert [(r["first"], r["last"]) for r in runs.collect()] == [(0, 5)]
+
+
+def test_engines(spark):
+    engines.register("shout", "string", lambda library: lambda xs: [library.capwords(x) for x in xs])
+    engines.register("absent", "no_such_library_here", lambda library: None)
+    df = spark.createDataFrame([(1, "a b"), (2, "c")], "i int, t string")
+    assert {r["i"]: r["answer"] for r in engines.answers(df, "shout", "i", "t").collect()} == {1: "A B", 2: "C"}
+    for name in ("absent", "unknown"):
+        with pytest.raises(engines.NotInstalled, match="engine"):
+            engines.answers(df, name, "i", "t")
+    waits, left = [], [engines.Transient("http", 503), engines.Transient("timeout"), None]
+
+    def call():
+        if failure := left.pop(0):
+            raise failure
+        return "done"
+
+    assert engines.with_retries(call, sleep=waits.append) == "done" and waits == [2, 4]
+    with pytest.raises(engines.Transient):
+        engines.with_retries(lambda: (_ for _ in ()).throw(engines.Transient("timeout")), sleep=waits.append)
+    with pytest.raises(KeyError):
+        engines.with_retries(lambda: {}["x"], sleep=waits.append)
+    sizes = []
+
+    def run(batch):
+        sizes.append(len(batch))
+        if len(batch) > 3:
+            raise MemoryError
+        return [x * 2 for x in batch]
+
+    assert list(engines.in_batches(range(7), run, (8, 4, 2, 1))) == [0, 2, 4, 6, 8, 10, 12] and sizes == [7, 4, 2, 2, 2, 1]

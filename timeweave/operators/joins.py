@@ -241,3 +241,10 @@ def unmentioned(sources: DataFrame, texts: DataFrame, name: str, text: str) -> D
 def ingested(photos: DataFrame, slides: DataFrame, name: str) -> DataFrame:
     """Photos that are already slides."""
     return photos.join(slides.select(name).distinct(), name, "left_semi")
+
+
+def cache_split(slides: DataFrame, cache: DataFrame, key: str, signals: str) -> DataFrame:
+    """Slides with the cached ``signals`` of their key and ``status``: hit, or pending where the cache has none (or no key)."""
+    held = cache.where(F.col(signals).isNotNull()).groupBy(key).agg(F.min(signals).alias("__tw_s"))
+    out = slides.join(held, key, "left")
+    return out.withColumn("status", F.when(F.col("__tw_s").isNotNull(), "hit").otherwise("pending")).withColumn(signals, F.col("__tw_s")).drop("__tw_s")

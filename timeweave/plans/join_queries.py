@@ -224,3 +224,10 @@ def _j21(spark, d):
     c = table(spark, d, "customer")
     slides = table(spark, d, "orders").select(F.col("o_orderpriority").alias("c_mktsegment")).union(c.where("c_acctbal < 0").select("c_mktsegment"))
     return J.ingested(c.select("c_custkey", "c_mktsegment"), slides, "c_mktsegment")
+
+
+@query("u8_cache_split", f"""with {HASH}, c as (select h & 255 as k, min(label) as label from hash where vec_id % 3 = 0 group by 1)
+select h.vec_id, c.label, case when c.label is null then 'pending' else 'hit' end as status from hash h left join c on (h.h & 255) = c.k""")
+def _u8(spark, d):
+    h = hashes(spark, d).withColumn("k", F.col("h").bitwiseAND(F.lit(255)))
+    return J.cache_split(h.select("vec_id", "k"), h.where("vec_id % 3 = 0").select("k", "label"), "k", "label").select("vec_id", "label", "status")

@@ -205,6 +205,12 @@ def _s13(spark, d):
     return readers.classify_paths(p, "path", {"video": ["mp4", "mov"], "image": ["jpg", "png"]}).select("p_partkey", "kind")
 
 
+@query("s13_image_decks", """select '/a.b/' || p_brand as folder, count(*) as images from part where p_type = 'ECONOMY' group by p_brand having count(*) >= 3""")
+def _s13d(spark, d):
+    p = table(spark, d, "part").select(F.concat(F.lit("/a.b/"), "p_brand", F.lit("/"), "p_name", F.when(F.col("p_type") == "ECONOMY", ".JPG").otherwise(".mp4")).alias("path"))
+    return readers.image_decks(readers.classify_paths(p, "path", {"video": ["mp4", "mov"], "image": ["jpg", "png"]}), "path")
+
+
 @query("s7_frame_times", "select p_partkey, (p_size - 1) * 2.5::double as t from part")
 def _s7(spark, d):
     return readers.frame_times(table(spark, d, "part"), "p_size", 2.5).select("p_partkey", "t")

@@ -70,6 +70,12 @@ def classify_paths(files: DataFrame, path: str, kinds: dict[str, list[str]]) ->
     return files.withColumn("kind", kind)
 
 
+def image_decks(files: DataFrame, path: str, kind: str = "kind", least: int = 3) -> DataFrame:
+    """(folder, images): folders with at least ``least`` images, which are a deck; ``files`` as classify_paths gives them."""
+    folder = F.regexp_replace(path, "/[^/]*$", "")
+    return files.where(F.col(kind) == "image").groupBy(folder.alias("folder")).agg(F.count("*").alias("images")).where(F.col("images") >= least)
+
+
 def frame_times(frames: DataFrame, n: str, interval_s: float) -> DataFrame:
     return frames.withColumn("t", (F.col(n) - 1) * F.lit(interval_s))
 
