@@ -11,7 +11,7 @@ impact anywhere). Each retrieved item is verified: its question (all but the las
 answer (the last sentence) must each have MIN_OVERLAP of their words covered by
 five-word shingles that the passage holds too.
 
-Items are indexed in shards of bounded size; each shard is one pass, so that the
+Items are indexed in shards of bounded number and bytes; each shard is one pass, so that the
 broadcast index never grows with the benchmark.
 
 Defined results: null and empty texts and items match nothing; a repeated row or
@@ -36,6 +36,8 @@ K1, B = 1.2, 0.75
 MIN_SCORE, MIN_OVERLAP, SHINGLE = 0.6, 0.8, 5
 #: Items of an index shard and of a block; a term of more than this share of the blocks is wide.
 SHARD_ITEMS, BLOCK_ITEMS, WIDE = 50_000, 4, 0.5
+#: Bytes of item texts in a shard: what is collected for one index and broadcast with it.
+SHARD_BYTES = 16 << 20
 #: Cells (passage, block) whose sums are taken in one step.
 CELLS = 1 << 20
 #: Least words of a passage; it is twice the longest item, so that every item lies whole within one.
@@ -187,10 +189,11 @@ class Index:
         return [best[i] for i in sorted(best)]
 
 
-def build_indexes(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", shard_items: int = SHARD_ITEMS) -> Iterator[Index]:
+def build_indexes(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", shard_items: int = SHARD_ITEMS, shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
     """One index a shard of items; document frequencies are counted over all of ``docs``."""
     usable = items.where(F.col(item_text).isNotNull()).select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t"))
-    shards = max(1, -(-usable.count() // shard_items))
+    n_items, size = usable.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
+    shards = max(1, -(-n_items // shard_items), -(-size // shard_bytes))
     for s in range(shards):
         table = usable.where(F.pmod(F.xxhash64("i", "t"), F.lit(shards)) == s).orderBy("i", "t").toArrow()
         own = list(zip(table["i"].to_pylist(), table["t"].to_pylist(), strict=True))
