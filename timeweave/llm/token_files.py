@@ -63,7 +63,8 @@ def pack(ids: np.ndarray) -> bytes:
             rows = np.flatnonzero(bits == w)
             wide = 16 if w <= 16 else 32
             v = (off[rows] & np.uint32((1 << w) - 1)).astype(f">u{wide // 8}").view(np.uint8).reshape(len(rows), BLOCK, wide // 8)
-            packed = np.packbits(np.unpackbits(v, axis=2)[:, :, wide - w :].reshape(len(rows), -1), axis=1)
+            # whole words need no shifting of bits
+            packed = v.reshape(len(rows), -1) if w == wide else np.packbits(np.unpackbits(v, axis=2)[:, :, wide - w :].reshape(len(rows), -1), axis=1)
             area[(first[rows][:, None] + np.arange(packed.shape[1])).ravel()] = packed.ravel()
     block, place = np.nonzero(out)
     parts = [low.astype("<u4"), bits, first[:-1].astype("<u4"), np.bincount(block, minlength=nb).astype(np.uint8), area, place.astype(np.uint8), off[out].astype("<u4")]
@@ -89,6 +90,9 @@ def unpack(data: bytes) -> np.ndarray:
             rows = np.flatnonzero(bits == w)
             raw = area[(first[rows].astype(np.int64)[:, None] + np.arange(w * BLOCK // 8)).ravel()].reshape(len(rows), -1)
             wide = 16 if w <= 16 else 32
+            if w == wide:
+                off[rows] = raw.view(f">u{wide // 8}")
+                continue
             b = np.zeros((len(rows), BLOCK, wide), np.uint8)
             b[:, :, wide - w :] = np.unpackbits(raw, axis=1).reshape(len(rows), BLOCK, w)
             off[rows] = np.packbits(b, axis=2).view(f">u{wide // 8}")[:, :, 0]
@@ -153,9 +157,9 @@ def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
 # The byte-level scheme's pattern; characters whose kinds all Unicode versions agree on, and the line feed.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 PLAIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u052f\n]+")
-#: Stands before a word that no blank leads, where marks and line feeds are cut off their words.
-BARE = "\ue000"
-STOPS = ".,;:!?"
+#: Stands before a word that no blank leads, where marks and line feeds are cut off their words (one byte, so that texts stay narrow).
+BARE = "\x01"
+STOPS = ".,"
 # a stop that doesn't end a plain word or number: it may be one piece with the marks before it
 JOINED = re.compile(f"[{STOPS}](?<![0-9A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af][{STOPS}])[ \n]")
 
@@ -306,19 +310,21 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", t
         keys: list[int | None] = []
         lengths: list[int] = []
         parts: list[bytes] = []
+        held = 0
 
         def packed() -> tuple:
-            return shard, at, sum(lengths), segment(keys, lengths, np.frombuffer(b"".join(parts), own.kind).astype(np.uint32))
+            return shard, at, held, segment(keys, lengths, np.frombuffer(b"".join(parts), own.kind).astype(np.uint32))
 
         for k, t in rows:
             new = own.packed(t)
             keys.append(k)
             lengths.append(len(new) // size + 1)
+            held += lengths[-1]
             parts += [new, end]
-            if sum(lengths) >= SEGMENT:
+            if held >= SEGMENT:
                 yield packed()
-                at += sum(lengths)
-                keys, lengths, parts = [], [], []
+                at += held
+                keys, lengths, parts, held = [], [], [], 0
         if keys:
             yield packed()
 
@@ -338,7 +344,7 @@ def read_tokens(files: DataFrame, key: str = "doc_id") -> DataFrame:
     def read(rows: Iterator[tuple]) -> Iterator[tuple]:
         for shard, at, payload in rows:
             keys, lengths, ids = read_segment(payload)
-            here, raw, done = base[shard] + at, ids.astype("<u4").tobytes(), 0
+            here, raw, done = base[shard] + at, memoryview(ids.astype("<u4").tobytes()), 0
             for k, n in zip(keys, lengths.tolist(), strict=True):
                 yield k, here + done, n, zlib.crc32(raw[4 * done : 4 * (done + n)])
                 done += n
