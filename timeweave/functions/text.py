@@ -103,22 +103,6 @@ def inline_repeat(line: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(real, lambda r: F.floor(F.length(r["run"]) / F.length(r["unit"])).cast("int"))), F.lit(0))
 
 
-def loop_info(lines: Column, min_chars: int = 4, n: int = 8, min_grams: int = 30, repeats: int = 3, least: float = 0.5) -> Column:
-    """Degenerate repetition in a window's lines, compared in their squashed form.
-
-    A struct: the greatest count of one line (of ``min_chars`` and more), the
-    greatest repeat inside a line, the share of distinct character n-grams of
-    all lines together (null with few of them), and whether any of them says loop.
-    """
-    flat = F.transform(lines, squash)
-    top = top_count(F.filter(flat, lambda x: F.length(x) >= min_chars))
-    inner = F.coalesce(F.array_max(F.transform(flat, inline_repeat)), F.lit(0))
-    grams = all_grams(F.array_join(flat, ""), n)
-    diversity = F.when(F.size(grams) >= min_grams, F.size(F.array_distinct(grams)) / F.size(grams))
-    loop = (top >= repeats) | (inner >= 4) | F.coalesce(diversity < least, F.lit(False))
-    return F.struct(top.alias("max_line_repeats"), inner.alias("inline_repeat_count"), F.round(diversity, 3).alias("ngram_diversity"), loop.alias("loop"))
-
-
 def bigram_jaccard(a: Column, b: Column, min_len: int = 20) -> Column:
     """Jaccard similarity of character bigrams; null when a side is too short to tell."""
     x, y = char_grams(a), char_grams(b)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import loop_info
+from ..functions.loops import loop_info
 
 
 def reference_density(hits: DataFrame, key: list[str], hit: str) -> DataFrame:
@@ -56,7 +56,7 @@ def bucket_text(segments: DataFrame, keys: list[str], width_s: int = 30) -> Data
 
 
 def loops(windows: DataFrame, keys: list[str], lines: Column, **limits) -> DataFrame:
-    """Degenerate repetition of each window's lines (an array), found within the row: nothing is shuffled."""
+    """Degenerate repetition of each window's lines (an array), found within the row: nothing is shuffled. ``limits`` as in loop_info."""
     return windows.select(*keys, loop_info(lines, **limits).alias("__tw_l")).select(*keys, "__tw_l.*")
 
 

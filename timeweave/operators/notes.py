@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import loop_info
+from ..functions.loops import loop_info
 from ..functions.values import fmt_hms
 
 HAN = "[一-鿿]"
@@ -102,7 +102,7 @@ def repeated_tables(text: Column, least: int = 3) -> Column:
 def checks(text: Column, mode: str, headings: list[str]) -> list[tuple[str, str, Column]]:
     lines = lines_of(text)
     missing = lambda pattern: (~text.rlike(pattern)).cast("int")
-    loop = loop_info(F.filter(lines, lambda l: ~l.rlike("^(#|>|\\||!\\[\\[|---)") & l.rlike("\\S")), repeats=4)
+    loop = loop_info(F.filter(lines, lambda l: ~l.rlike("^(#|>|\\||!\\[\\[|---)") & l.rlike("\\S")), repeats=4, inline=False)
     out = [
         ("STRUCT sources", "FAIL", missing("(?m)^#\\s+Resource\\s*$")),
         ("STRUCT summary", "FAIL", missing("(?m)^>\\s*\\[!summary\\]")),

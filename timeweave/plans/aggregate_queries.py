@@ -64,7 +64,7 @@ FLAT = f"list_transform(string_split(text, chr(10)), lambda l: regexp_replace(lo
 j as (select doc_id, array_to_string(lines, '') as x from s), g as (select doc_id, unnest(list_transform(range(1, length(x) - 6), lambda i: x[i:i+7])) as g from j), v as (select doc_id, round(count(distinct g) / count(*), 3) as diversity, count(*) as n from g group by 1)
 select d.doc_id, cast(coalesce(top, 0) as int) as max_line_repeats, case when n >= 30 then diversity end as ngram_diversity from documents d left join l using (doc_id) left join v using (doc_id)""")
 def _a8(spark, d):
-    return A.loops(table(spark, d, "documents"), ["doc_id"], F.split("text", "\n")).select("doc_id", "max_line_repeats", "ngram_diversity")
+    return A.loops(table(spark, d, "documents"), ["doc_id"], F.split("text", "\n"), inline=False).select("doc_id", "max_line_repeats", "ngram_diversity")
 
 
 @query("a8_loop_flags")
