@@ -130,9 +130,10 @@ def closest_terms(tokens: DataFrame, terms: DataFrame, top: int = 3, max_distanc
     """Up to ``top`` terms within ``max_distance`` edits of each token.
 
     A term is cut into ``max_distance`` + 1 pieces: one of them stands unchanged
-    in every token that near, at most ``max_distance`` places away. The join is
-    on (term's length, piece's number, piece), so that no pair without a common
-    piece is compared. Order: distance, distance by length, term.
+    in every token that near. Of the pieces that do, one has no more edits before
+    it than its number and no more after it than the rest, which leaves it a few
+    places only. The join is on (term's length, piece's number, piece), so that
+    no pair without such a piece is compared. Order: distance, distance by length, term.
     """
     k = max_distance
     term = terms.select("term").where("term <> ''").distinct().withColumn("size", F.length("term"))
@@ -142,10 +143,13 @@ def closest_terms(tokens: DataFrame, terms: DataFrame, top: int = 3, max_distanc
     own = tokens.select("token").where("token <> ''").distinct().withColumn("n", F.length("token"))
     own = own.withColumn("size", F.explode(F.sequence(F.greatest(F.col("n") - k, F.lit(1)), F.col("n") + k))).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(k))))
     own = own.withColumn("at", start(F.col("i"), F.col("size"))).withColumn("len", start(F.col("i") + 1, F.col("size")) - F.col("at"))
-    places = F.filter(F.sequence(F.col("at") - k, F.col("at") + k), lambda p: (p >= 0) & (p + F.col("len") <= F.col("n")))
+    more = F.col("n") - F.col("size")
+    low = F.greatest(F.col("at") - F.col("i"), F.col("at") + more - (k - F.col("i")))
+    high = F.least(F.col("at") + F.col("i"), F.col("at") + more + (k - F.col("i")))
+    own = own.where(low <= high)
+    places = F.filter(F.sequence(low, high), lambda p: (p >= 0) & (p + F.col("len") <= F.col("n")))
     keys = own.select("token", "size", "i", F.explode(F.array_distinct(F.transform(places, lambda p: F.substring("token", p + 1, F.col("len"))))).alias("piece"))
-    near = keys.join(cut, ["size", "i", "piece"]).where("token <> term").select("token", "term").distinct()
-    near = near.withColumn("distance", F.levenshtein("token", "term", k)).where(F.col("distance") >= 0)
+    near = keys.join(cut, ["size", "i", "piece"]).where("token <> term").select("token", "term", F.levenshtein("token", "term", k).alias("distance")).where(F.col("distance") >= 0).distinct()
     by = Window.partitionBy("token").orderBy("distance", F.col("distance") / F.greatest(F.length("token"), F.length("term")), "term")
     return near.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).select("token", "term", "distance", "rank")
 
