@@ -87,10 +87,15 @@ def free(taken: Iterable[str], name: str) -> str:
     return name
 
 
+#: Where scratch lies on a mounted file system: no checksum files beside the tables, so fewer files and fewer
+#: processes that Hadoop starts to set their modes. Other stores don't read these settings.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: lineage ends there."""
     path = scratch_path(df.sparkSession, name, keep)
-    df.write.parquet(path)
+    df.write.options(**PLAIN_FILES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -242,12 +242,11 @@ class Corpus:
         dealt = map_arrays(self.rows, kinds, "k long, cls long, band int, out int", deal, ["t"])
         # one exchange by key: exact copies are merged, then lone keys go
         dealt = dealt.repartition("k").groupBy("k", "cls").agg(F.min("band").alias("band"), F.min("out").alias("out"))
-        shared = stored(dealt.withColumn("n", F.count("*").over(Window.partitionBy("k"))).where("n > 1"), "jaccard-keys")
-        most = Window.partitionBy("cls", "band").orderBy(F.desc("n"), "k")
+        of_key, most = Window.partitionBy("k"), Window.partitionBy("cls", "band").orderBy(F.desc("n"), "k")
+        shared = dealt.withColumn("n", F.count("*").over(of_key)).where("n > 1")
         used = shared.withColumn("at", F.row_number().over(most)).where("at > out").select("k", "cls")
         # a partner is needed to be used by both
-        least = used.groupBy("k").agg(F.min("cls").alias("rep"), F.count("*").alias("n")).where("n > 1").select("k", "rep")
-        return stored(used.join(least, "k"), "jaccard-used")
+        return stored(used.withColumns({"rep": F.min("cls").over(of_key), "n": F.count("*").over(of_key)}).where("n > 1").select("k", "cls", "rep"), "jaccard-used")
 
     def texts(self, wanted: DataFrame) -> DataFrame:
         """``wanted`` (cls, ...) with a text ``t`` of each class; a row that is repeated gives its text each time."""
