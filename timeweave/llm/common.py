@@ -92,10 +92,10 @@ def free(taken: Iterable[str], name: str) -> str:
 PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
-def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: lineage ends there."""
+def stored(df: DataFrame, name: str, keep: bool = False, **options: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder, with the writer's ``options``, and read it back: lineage ends there."""
     path = scratch_path(df.sparkSession, name, keep)
-    df.write.options(**PLAIN_FILES).parquet(path)
+    df.write.options(**PLAIN_FILES, **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

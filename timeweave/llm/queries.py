@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, html_text, jaccard_join, language_id, quality_model, secret_scan, token_files, toxicity, vector_search
+from . import byte_bpe, decontaminate, hard_negatives, html_text, jaccard_join, language_id, merkle, quality_model, secret_scan, token_files, toxicity, vector_search, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan.query,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_search": vector_search.query,
     "op9_byte_bpe": byte_bpe.query,
     "op10_language_id": language_id.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_merkle": merkle.query,
+    "op13_whitening": whitening.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_hard_negatives": hard_negatives.SQL}
