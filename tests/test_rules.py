@@ -131,7 +131,7 @@ def test_model_answers(spark):
     got = column(spark, answers, lambda c: signals.coerced(c, {"l": "list", "b": "bool", "n": "number"}))
     assert [tuple(r) for r in got] == [(["x", "2"], True, 0.5), (["x"], False, 0.0), ([], True, 1.0), ([], False, 0.0), ([], False, 0.0)]
     labels = [["聊天室", "Heart", " ", "10:30", "a label with 10:30 that is long enough", "2024-01-05"]]
-    assert column(spark, labels, signals.clean_labels, "array<string>") == [["Heart", "a label with 10:30 that is long enough"]]
+    assert column(spark, labels, lambda c: signals.clean_labels(c, ["聊天"]), "array<string>") == [["Heart", "a label with 10:30 that is long enough"]]
 
 
 def plain_audit(p, o, window=60):

@@ -17,14 +17,20 @@ UNITS = {"十": 10, "百": 100, "千": 1000}
 MYRIADS = {"萬": 10**4, "億": 10**8}
 MEASURES = frozenset("%倍歲年週天人例次劑成種個月日")
 
-_ALL = "".join([*DIGITS, *UNITS, *MYRIADS])
-_GROUPED = re.compile(r"(?<![\d.])\d{1,3}(?:,\d{3})+(?!\d)")
-_SINGLES = re.compile(r"(?<![\d.])\d(?:\s?[、,，]\s?\d)+(?![\d.])")
-_MIXED = re.compile(f"[\\d{_ALL}]+")
-_PERCENT = re.compile(f"百分之([{_ALL}點]+|\\d+(?:\\.\\d+)?)")
-_CHINESE = re.compile(f"[{_ALL}點]+")
-_SCALED = re.compile(r"(\d+(?:\.\d+)?)\s*([萬億])")
-_FOUND = re.compile(r"\d+(?:\.\d+)?\s?%?")
+_DIGIT, _UNIT, _MYRIAD = ("".join(t) for t in (DIGITS, UNITS, MYRIADS))
+_NUMERAL = _DIGIT + _UNIT + _MYRIAD
+#: A term of a group (a digit or written number times a unit), and what a group ends with besides.
+_TERM, _LAST = re.compile(f"([0-9]+|[{_DIGIT}])?([{_UNIT}])"), re.compile(f"(?:[0-9]+|[{_DIGIT}])$")
+
+# The scanner's tokens, each tried where a number may start.
+_RUN = re.compile(f"[\\d{_NUMERAL}]+")
+_SPOKEN = re.compile(f"[{_NUMERAL}點]+")
+_GROUPED = re.compile(r"\d{1,3}(?:,\d{3})+(?!\d)")
+_LISTED = re.compile(r"\d(?:\s?[、,]\s?\d)+(?![\d.])")
+_WRITTEN = re.compile(f"\\d+(?:\\.\\d+(?![\\d{_NUMERAL}]*[{_UNIT}]))?")
+_SCALE, _SIGN = re.compile(f"\\s*([{_MYRIAD}])"), re.compile(r"\s?%")
+_START = re.compile(f"[\\d{_NUMERAL}點]")
+_HUNDREDTHS = "百分之"
 
 
 def plain(value: Decimal) -> str:
@@ -33,67 +39,94 @@ def plain(value: Decimal) -> str:
     return text or "0"
 
 
+def _figure(piece: str) -> int:
+    return DIGITS[piece] if piece in DIGITS else int(piece)
+
+
+def _group(group: str) -> int:
+    """What stands below a myriad: terms, and a last digit."""
+    terms = sum((_figure(times) if times else 1) * UNITS[unit] for times, unit in _TERM.findall(group))
+    last = _LAST.search(group)
+    return terms + (_figure(last[0]) if last else 0)
+
+
+def _by_units(numeral: str) -> int:
+    """Hundreds of millions before the last 億, and myriads and the rest after it."""
+    high, _, low = numeral.rpartition("億")
+    *myriads, rest = low.split("萬")
+    return (_by_units(high) if high else 0) * MYRIADS["億"] + sum(map(_group, myriads)) * MYRIADS["萬"] + _group(rest)
+
+
 def chinese_number(numeral: str) -> str | None:
     """A numeral's digits: positional (二零二四), by units (三百二十), with 點, mixed (2千3百萬); None if it is none."""
     whole, point, places = numeral.partition("點")
     if point:
-        front = chinese_number(whole) if whole else None
-        if front is None or not places or set(places) - set(DIGITS):
-            return None
-        return f"{front}.{''.join(str(DIGITS[c]) for c in places)}"
-    if all(c in DIGITS for c in numeral):
-        return "".join(str(DIGITS[c]) for c in numeral)
-    # groups of a myriad: what stands before 億 or 萬 counts that often
-    total = group = 0
-    pending: int | None = None
-    for piece in re.findall(r"[0-9]+|[^0-9]", numeral):
-        if piece.isdigit() and piece.isascii():
-            pending = int(piece)
-        elif piece in DIGITS:
-            pending = DIGITS[piece]
-        elif piece in UNITS:
-            group += (1 if pending is None else pending) * UNITS[piece]
-            pending = None
-        elif piece in MYRIADS:
-            group += pending or 0
-            total = (total + group) * MYRIADS[piece] if piece == "億" else total + group * MYRIADS[piece]
-            group, pending = 0, None
-        else:
-            return None
-    return str(total + group + (pending or 0))
-
-
-def _read_mixed(m: re.Match) -> str:
-    run = m[0]
-    number = chinese_number(run) if any(c.isdigit() and c.isascii() for c in run) and set(run) & set(UNITS) else None
-    return run if number is None else f" {number} "
-
-
-def _read_chinese(m: re.Match) -> str:
-    run, before, after = m[0], m.string[: m.start()][-1:], m.string[m.end() :][:1]
-    if before == "第" or run[0] in "百千萬億點" or ("點" in run and not (run[0] in DIGITS or run[0] == "十")):
-        return run
-    if len(run) == 1 and not (run in "二兩三四五六七八九十" and after in MEASURES and after):
-        return run
-    number = chinese_number(run)
-    return run if number is None else f" {number} "
+        positional = places and all(c in DIGITS for c in places)
+        front = chinese_number(whole) if whole and positional else None
+        return None if front is None else front + "." + chinese_number(places)
+    if not all(c in _NUMERAL or c in "0123456789" for c in numeral):
+        return None
+    return "".join(str(DIGITS[c]) for c in numeral) if all(c in DIGITS for c in numeral) else str(_by_units(numeral))
+
+
+def _counts(run: str, before: str, after: str) -> bool:
+    """Whether a spoken run is a number: not an ordinal or a bare unit; one numeral alone only before a measure."""
+    if before == "第" or run[0] not in DIGITS and run[0] != "十":
+        return False
+    return len(run) > 1 or (run not in "零〇一" and after in MEASURES and after != "")
+
+
+def _number_at(t: str, at: int) -> tuple[str | None, int]:
+    """The number that starts at ``at`` (None if none does), and where the scan goes on."""
+    if t.startswith(_HUNDREDTHS, at):
+        start = at + len(_HUNDREDTHS)
+        m = _SPOKEN.match(t, start) or _WRITTEN.match(t, start)
+        run = _RUN.match(t, start)
+        mixed = run and _mixed(run[0])
+        number = None if not m or mixed else m[0] if m[0][0].isdecimal() else chinese_number(m[0])
+        return (number + "%", m.end()) if number is not None else (None, start if m else at + 1)
+    run = _RUN.match(t, at + (t[at] == "點"))
+    if run and _mixed(run[0]):
+        return _suffixed(t, chinese_number(run[0]), run.end())
+    if t[at].isdecimal():
+        m = None if t[at - 1 : at] == "." else _GROUPED.match(t, at) or _LISTED.match(t, at)
+        digits = "".join(c for c in m[0] if c.isdecimal()) if m else None
+        m = m or _WRITTEN.match(t, at)
+        return _suffixed(t, digits or m[0], m.end())
+    m = _SPOKEN.match(t, at)
+    if not _counts(m[0], t[at - 1 : at], t[m.end() : m.end() + 1]):
+        return None, m.end()
+    number = chinese_number(m[0])
+    return _suffixed(t, number, m.end()) if number is not None else (None, m.end())
+
+
+def _mixed(run: str) -> bool:
+    """Whether digits and units stand together: 2千3百."""
+    return any(c in "0123456789" for c in run) and any(c in UNITS for c in run)
+
+
+def _suffixed(t: str, number: str, end: int) -> tuple[str, int]:
+    """A number with the myriad and the sign that follow it."""
+    scale = _SCALE.match(t, end)
+    if scale:
+        number, end = plain(Decimal(number) * MYRIADS[scale[1]]), scale.end()
+    sign = _SIGN.match(t, end)
+    return (number + "%", sign.end()) if sign else (number, end)
 
 
 def numbers_in(text: str | None) -> list[str]:
     """The numbers of a text in order: thousands joined, single-digit lists as one, percentages with their sign, 3萬 as 30000."""
     t = unicodedata.normalize("NFKC", text or "")
-    t = _GROUPED.sub(lambda m: m[0].replace(",", ""), t)
-    t = _SINGLES.sub(lambda m: "".join(c for c in m[0] if c.isdecimal()), t)
-    t = _MIXED.sub(_read_mixed, t)
-
-    def percent(m: re.Match) -> str:
-        number = m[1] if m[1][0].isdigit() else chinese_number(m[1])
-        return m[0] if number is None else f" {number}% "
-
-    t = _CHINESE.sub(_read_chinese, _PERCENT.sub(percent, t))
-    t = _SCALED.sub(lambda m: f" {plain(Decimal(m[1]) * MYRIADS[m[2]])} ", t)
-    found = ["".join(m[0].split()) for m in _FOUND.finditer(t)]
-    return [plain(Decimal(x.rstrip("%"))) + "%" * x.endswith("%") if "." in x else x for x in found]
+    found = []
+    start = _START.search(t)
+    while start:
+        number, at = _number_at(t, start.start())
+        if number is not None:
+            sign = "%" * number.endswith("%")
+            bare = number.removesuffix("%")
+            found.append((plain(Decimal(bare)) if "." in bare else bare) + sign)
+        start = _START.search(t, at)
+    return found
 
 
 def _column(fn: Callable, kind: str, arrow: pa.DataType) -> Callable[[Column], Column]:

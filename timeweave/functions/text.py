@@ -154,26 +154,29 @@ def domains(text: Column, hints: dict[str, list[str] | str]) -> Column:
     return F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
 
 
-# What screen-sharing programs write into a picture.
-LATIN_CHROME = "(?i)^\\W*(zoom|rec|orec|workplace|admin.*|webex|teams|meet)\\W*$"
-HAN_CHROME = "登[入人出]|[螢莹]幕|的幕|正[在任]發言|正[在任]发言|音訊設定|問與答|離開"
+#: A line of nothing but numbers and their marks.
 PURE_NUMBER = "^[\\d\\s.,%:;/\\\\\\-–—+()（）\\[\\]#*]+$"
 
 
-def good_line(line: Column, chrome: list[str]) -> Column:
-    """Whether a line can be a title: two letters or Han characters at least, no number, no program's words."""
+def good_line(line: Column, chrome: list[str], patterns: list[str] = ()) -> Column:
+    """Whether a line can be a title: two letters or Han characters at least, no number, none of the words ``chrome`` and no match of ``patterns``.
+
+    Both are settings: what the programs in use write into a picture.
+    """
     t = F.trim(F.regexp_replace(line, "^\\s+|\\s+$", ""))
-    ok = (F.regexp_count(t, F.lit("[A-Za-z一-鿿]")) >= 2) & ~t.rlike(PURE_NUMBER) & ~t.rlike(LATIN_CHROME) & ~t.rlike(HAN_CHROME)
+    ok = (F.regexp_count(t, F.lit("[A-Za-z一-鿿]")) >= 2) & ~t.rlike(PURE_NUMBER)
+    for pattern in patterns:
+        ok &= ~t.rlike(pattern)
     for token in chrome:
         ok &= ~F.contains(t, F.lit(token))
     return F.coalesce(ok, F.lit(False))
 
 
-def clean_title(guess: Column, text: Column, labels: Column, chrome: list[str]) -> Column:
+def clean_title(guess: Column, text: Column, labels: Column, chrome: list[str], patterns: list[str] = ()) -> Column:
     """The first good line of the guess, the text's lines and the labels (an array), its white space single; empty if none."""
     none = F.array().cast("array<string>")
     lines = F.concat(F.array(F.coalesce(guess, F.lit(""))), F.coalesce(F.split(text, "\\r?\\n"), none), F.coalesce(labels, none))
-    return F.coalesce(F.regexp_replace(F.regexp_replace(F.get(F.filter(lines, lambda x: good_line(x, chrome)), F.lit(0)), "^\\s+|\\s+$", ""), "\\s+", " "), F.lit(""))
+    return F.coalesce(F.regexp_replace(F.regexp_replace(F.get(F.filter(lines, lambda x: good_line(x, chrome, patterns)), F.lit(0)), "^\\s+|\\s+$", ""), "\\s+", " "), F.lit(""))
 
 
 def salient_tokens(text: Column, stop: list[str]) -> Column:

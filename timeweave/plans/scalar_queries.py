@@ -110,8 +110,9 @@ CUES = "(contains(lower(l), 'license') or contains(lower(l), 'token') or contain
 column("f24_cue_density", "documents", "doc_id", lambda: X.cue_density(F.split("text", "\n"), ["License", "token", "shou"]), f"len(list_filter(string_split(text, chr(10)), lambda l: {CUES})) / len(string_split(text, chr(10)))")
 column("f26_domains", "documents", "doc_id", lambda: F.array_join(X.domains(C("text"), {"legal": ["License", "copyright"], "access": "token", "none": [], "sport": ["shou", "ball"]}), ","), "concat_ws(',', case when contains(lower(text), 'license') or contains(lower(text), 'copyright') then 'legal' end, case when contains(lower(text), 'token') then 'access' end, case when contains(lower(text), 'shou') or contains(lower(text), 'ball') then 'sport' end)")
 GUESS = "case when doc_id % 3 = 0 then 'Zoom' when doc_id % 3 = 1 then '12 / 30' end"
-GOOD = rf"""(len(regexp_extract_all(trim(x, ' '), '[A-Za-z一-鿿]')) >= 2 and not regexp_matches(trim(x, ' '), '{X.PURE_NUMBER.replace("'", "''")}') and not regexp_matches(trim(x, ' '), '{X.LATIN_CHROME}') and not regexp_matches(trim(x, ' '), '{X.HAN_CHROME}') and not contains(x, 'The'))"""
-column("f29_clean_title", "documents", "doc_id", lambda: X.clean_title(F.when(C("doc_id") % 3 == 0, "Zoom").when(C("doc_id") % 3 == 1, "12 / 30"), C("text"), F.lit(None).cast("array<string>"), ["The"]), f"coalesce(regexp_replace(trim(list_filter([coalesce({GUESS}, '')] || string_split(text, chr(10)), lambda x: {GOOD})[1], ' '), '\\s+', ' ', 'g'), '')")
+PROGRAMS = "(?i)^\\W*(zoom|slides?)\\W*$"
+GOOD = rf"""(len(regexp_extract_all(trim(x, ' '), '[A-Za-z一-鿿]')) >= 2 and not regexp_matches(trim(x, ' '), '{X.PURE_NUMBER.replace("'", "''")}') and not regexp_matches(trim(x, ' '), '{PROGRAMS}') and not contains(x, 'The'))"""
+column("f29_clean_title", "documents", "doc_id", lambda: X.clean_title(F.when(C("doc_id") % 3 == 0, "Zoom").when(C("doc_id") % 3 == 1, "12 / 30"), C("text"), F.lit(None).cast("array<string>"), ["The"], [PROGRAMS]), f"coalesce(regexp_replace(trim(list_filter([coalesce({GUESS}, '')] || string_split(text, chr(10)), lambda x: {GOOD})[1], ' '), '\\s+', ' ', 'g'), '')")
 TYPES = "case when p_type = 'PROMO' then ['title', 'decorative'] when p_type = 'ECONOMY' then ['ultrasound', 'title'] when p_type = 'STANDARD' then ['chart'] when p_partkey % 4 = 0 then ['table', 'title'] when p_partkey % 4 = 1 then ['text'] when p_partkey % 4 = 2 then ['text', 'anatomy'] else [] end"
 SLIDE = f"""slide as (select *, {TYPES} as types, case when p_partkey % 17 = 0 then ['summary'] else ['other'] end as fns, p_partkey % 13 / 13 as red, p_partkey % 19 = 0 as imaging, p_partkey % 23 = 0 as algorithm, p_partkey % 2 = 0 as canonical from part),
 scored as (select *, least(greatest(0.25::double * (p_size / 50) + 0.2::double * (p_partkey % 10 / 10) + 0.3::double * coalesce(nullif(p_partkey % 7, 3) / 7, 0) + 0.15::double * (p_partkey % 3 / 3) + 0.1::double * least(p_retailprice / 10 / 120, 1)

@@ -81,7 +81,7 @@ def _answers(spark, d):
 case when doc_id % 4 = 3 or lang is null then '' else lang end as type, false as chart, case when doc_id % 4 = 3 then '' else source end as clean from documents""")
 def _f40(spark, d):
     s = _answers(spark, d).withColumn("s", signals.coerced(C("json"), SIGNALS))
-    return s.select("doc_id", C("json").isNotNull().alias("parsed"), F.array_join("s.labels", "|").alias("labels"), "s.clinical", "s.density", F.array_join("s.type", "|").alias("type"), "s.chart", F.array_join(signals.clean_labels(C("s.labels")), "|").alias("clean"))
+    return s.select("doc_id", C("json").isNotNull().alias("parsed"), F.array_join("s.labels", "|").alias("labels"), "s.clinical", "s.density", F.array_join("s.type", "|").alias("type"), "s.chart", F.array_join(signals.clean_labels(C("s.labels"), ["共享"]), "|").alias("clean"))
 
 
 @query("f43_paste_guard", """with t as (select doc_id, text, list_distinct(list_transform(regexp_extract_all(split_part(text, chr(10), 1) || ' zebra quagga okapi', '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as own, list_distinct(list_transform(regexp_extract_all(substring(text, 40), '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as seen from documents)
