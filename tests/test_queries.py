@@ -6,10 +6,10 @@ import os
 import duckdb
 import pytest
 
-from timeweave.plans import aggregate_queries, join_queries, rule_queries, scalar_queries, sequence_queries, signal_queries
+from timeweave.plans import aggregate_queries, image_queries, join_queries, rule_queries, scalar_queries, sequence_queries, signal_queries
 
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-MODULES = [join_queries, aggregate_queries, sequence_queries, scalar_queries, rule_queries, signal_queries]
+MODULES = [join_queries, aggregate_queries, sequence_queries, scalar_queries, rule_queries, signal_queries, image_queries]
 QUERIES = {k: q for m in MODULES for k, q in m.QUERIES.items()}
 SQL = {k: q for m in MODULES for k, q in m.SQL.items()}
 

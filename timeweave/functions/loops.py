@@ -15,6 +15,12 @@ from .text import MARKS
 _MARKS = re.compile(MARKS)
 _INNER = re.compile(r"(.{3,14}?)\1{3,}")
 _NUMBER = re.compile(r"[0-9%.]+")
+# What a note's payload leaves out, in this order, and marks that begin a line.
+FRONT_MATTER, EMBED, LINK, CITED_TIME, ADDRESS = r"^---\n.*?\n---\n", r"!\[\[[^\]]+\]\]", r"\[\[([^\]|]+)(\|[^\]]+)?\]\]", r"`?\([^()]{0,30}\d{1,2}:\d{2}\)`?", r"https?://\S+"
+LINE_MARKS = r"^[\s>*\-#\d.、]+"
+_FRONT, _MARKED, _BLANK = re.compile(FRONT_MATTER, re.S), re.compile(LINE_MARKS), re.compile(r"\s+")
+_INSIDE = [(re.compile(p), to) for p, to in ((EMBED, ""), (LINK, r"\1"), (CITED_TIME, ""), (ADDRESS, ""))]
+_REPEATS = pa.struct([("repeats", pa.int32()), ("diversity", pa.float64()), ("chars", pa.int64()), ("degenerate", pa.bool_())])
 _KINDS = pa.struct([("max_line_repeats", pa.int32()), ("inline_repeat_count", pa.int32()), ("ngram_diversity", pa.float64()), ("loop", pa.bool_())])
 
 
@@ -28,6 +34,48 @@ def repeats_inside(line: str) -> int:
     return max((len(m[0]) // len(m[1]) for m in _INNER.finditer(line) if not _NUMBER.fullmatch(m[1])), default=0)
 
 
+def payload(text: str) -> str:
+    """A note without front matter, embeds, link syntax, cited times and addresses."""
+    t = _FRONT.sub("", text, count=1)
+    for pattern, to in _INSIDE:
+        t = pattern.sub(to, t)
+    return t
+
+
+def payload_repetition(text: Column, repeats: int = 4, min_line: int = 12, n: int = 8, least: float = 0.70, min_chars: int = 500) -> Column:
+    """Whether a note repeats itself: struct repeats, diversity, chars, degenerate.
+
+    ``repeats`` counts the most frequent line of content: list marks, code marks
+    and white space aside, ``min_line`` characters at least, no table row and no
+    callout's head. ``diversity`` is the share of distinct character n-grams of
+    the payload without white space (1 without any). Degenerate: a line that
+    often, or a share under ``least`` in a payload of ``min_chars`` and more. A
+    null note counts as empty.
+    """
+
+    def judge(note: str | None) -> dict:
+        body = payload(note or "")
+        lines: Counter = Counter()
+        for line in body.split("\n"):
+            bare = line.strip()
+            if "|" not in bare and not bare.lstrip("> ").startswith("[!"):
+                bare = _BLANK.sub("", _MARKED.sub("", bare).replace("`", ""))
+                if len(bare) >= min_line:
+                    lines[bare] += 1
+        top = max(lines.values(), default=0)
+        flat = _BLANK.sub("", body)
+        grams = len(flat) - n + 1
+        diversity = len({flat[i : i + n] for i in range(grams)}) / grams if grams > 0 else 1.0
+        return {"repeats": top, "diversity": diversity, "chars": len(flat), "degenerate": top >= repeats or (len(flat) >= min_chars and diversity < least)}
+
+    def run(notes: pa.Array) -> pa.Array:
+        # a slice at a time: notes may be long
+        parts = [pa.array([judge(t) for t in notes.slice(at, 64).to_pylist()], _REPEATS) for at in range(0, len(notes), 64)]
+        return pa.concat_arrays(parts) if parts else pa.array([], _REPEATS)
+
+    return arrow_udf(run, "repeats int, diversity double, chars long, degenerate boolean")(text)
+
+
 def loop_info(lines: Column, min_chars: int = 4, n: int = 8, min_grams: int = 30, repeats: int = 3, least: float = 0.5, inline: bool = True) -> Column:
     """Degenerate repetition in a window's lines (an array), compared in their squashed form.
 

@@ -168,3 +168,57 @@ def grid_consensus(samples: DataFrame, keys: list[str], shape: str, edge: str) -
 def signal_cache(slides: DataFrame, key: str, signals: str, order: str) -> DataFrame:
     """The first known signals of every hash."""
     return slides.where(F.col(signals).isNotNull()).groupBy(key).agg(F.min_by(signals, order).alias(signals))
+
+
+def sample_pages(pages: DataFrame, keys: list[str], page: str) -> DataFrame:
+    """Pages of which a document's layout is judged: all of up to five, else five spread evenly after the first; ``page`` counts from 0."""
+    n = F.count("*").over(Window.partitionBy(*keys))
+    chosen = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.floor(1 + (n - 2) * i / 4))
+    return pages.withColumn("__tw_keep", (n <= 5) | F.array_contains(chosen, F.col(page).cast("long"))).where("__tw_keep").drop("__tw_keep")
+
+
+def band_consensus(samples: DataFrame, keys: list[str], page: str, grid: str, drift: float = 0.02) -> DataFrame:
+    """A document's row and column bands: medians over the sampled pages of its most frequent shape's count.
+
+    One row for each band: axis, band, start, end (medians), the sample
+    deviations of both (0 for one page), pages, and whether it drifts by more
+    than ``drift``. Ties of shapes go to the one that comes first.
+    """
+    shaped = samples.where(F.col(grid).isNotNull()).withColumn("__tw_shape", F.struct(F.size(f"{grid}.rows").alias("rows"), F.size(f"{grid}.cols").alias("cols")))
+    modal = first_mode(shaped, keys, "__tw_shape", page).select(*keys, F.col("__tw_shape").alias("__tw_modal"))
+    held = shaped.join(modal, keys)
+    edges = []
+    for axis in ("rows", "cols"):
+        of = held.where(F.col(f"__tw_shape.{axis}") == F.col(f"__tw_modal.{axis}"))
+        edges.append(of.select(*keys, F.lit(axis).alias("axis"), F.posexplode(f"{grid}.{axis}").alias("band", "__tw_b")))
+    deviation = lambda c: F.coalesce(F.stddev_samp(c), F.lit(0.0))
+    out = edges[0].unionByName(edges[1]).groupBy(*keys, "axis", "band").agg(F.median("__tw_b.start").alias("start"), F.median("__tw_b.end").alias("end"), deviation("__tw_b.start").alias("start_std"), deviation("__tw_b.end").alias("end_std"), F.count("*").alias("pages"))
+    return out.withColumn("drifts", F.greatest("start_std", "end_std") > drift)
+
+
+def crop_cells(pages: DataFrame, keys: list[str], page: str, grid: str, consensus: DataFrame, pad: float = 0.02) -> DataFrame:
+    """Boxes of all pages' cells, row by row, padded, numbered through a document from 1.
+
+    The document's bands hold for every page, but of more than five pages the
+    first and the last, when they weren't sampled and show another shape or a
+    single slide, keep their own.
+    """
+    def own(axis: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col("axis") == axis, F.struct("band", "start", "end"))))
+
+    agreed = consensus.groupBy(*keys).agg(*(F.transform(own(a), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))).alias(f"__tw_{a}") for a in ("rows", "cols")))
+    n = F.count("*").over(Window.partitionBy(*keys))
+    sampled = F.array_contains(F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.floor(1 + (n - 2) * i / 4)), F.col(page).cast("long"))
+    at_edge = (n > 5) & ((F.col(page) == 0) | (F.col(page) == n - 1)) & ~sampled
+    single = (F.size(f"{grid}.rows") == 1) & (F.size(f"{grid}.cols") == 1)
+    differs = F.col(grid).isNotNull() & (single | (F.size(f"{grid}.rows") != F.size("__tw_rows")) | (F.size(f"{grid}.cols") != F.size("__tw_cols")))
+    placed = pages.withColumn("__tw_edge", at_edge).join(agreed, keys)
+    source = F.when(F.col("__tw_edge") & F.coalesce(differs, F.lit(False)), "page").otherwise("consensus")
+    placed = placed.withColumn("layout", source).withColumns({a: F.when(F.col("layout") == "page", F.col(f"{grid}.{a}")).otherwise(F.col(f"__tw_{a}")) for a in ("rows", "cols")})
+    per = F.size("rows") * F.size("cols")
+    before = F.coalesce(F.sum(per).over(Window.partitionBy(*keys).orderBy(page).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = placed.withColumn("__tw_before", before)
+    cells = placed.select(*keys, page, "layout", "__tw_before", "cols", F.posexplode("rows").alias("__tw_i", "__tw_r")).select(*keys, page, "layout", (F.col("__tw_before") + F.col("__tw_i") * F.size("cols")).alias("__tw_before"), "__tw_r", F.posexplode("cols").alias("__tw_j", "__tw_c"))
+    low = lambda c: F.greatest(F.lit(0.0), F.col(c) - pad)
+    high = lambda c: F.least(F.lit(1.0), F.col(c) + pad)
+    return cells.select(*keys, page, "layout", (F.col("__tw_before") + F.col("__tw_j") + 1).alias("slide_id"), low("__tw_r.start").alias("top"), high("__tw_r.end").alias("bottom"), low("__tw_c.start").alias("left"), high("__tw_c.end").alias("right"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.loops import loop_info
+from ..functions.loops import payload_repetition
 from ..functions.values import fmt_hms
 
 HAN = "[一-鿿]"
@@ -102,7 +102,6 @@ def repeated_tables(text: Column, least: int = 3) -> Column:
 def checks(text: Column, mode: str, headings: list[str]) -> list[tuple[str, str, Column]]:
     lines = lines_of(text)
     missing = lambda pattern: (~text.rlike(pattern)).cast("int")
-    loop = loop_info(F.filter(lines, lambda l: ~l.rlike("^(#|>|\\||!\\[\\[|---)") & l.rlike("\\S")), repeats=4, inline=False)
     out = [
         ("STRUCT sources", "FAIL", missing("(?m)^#\\s+Resource\\s*$")),
         ("STRUCT summary", "FAIL", missing("(?m)^>\\s*\\[!summary\\]")),
@@ -116,7 +115,7 @@ def checks(text: Column, mode: str, headings: list[str]) -> list[tuple[str, str,
         ("FMT code block", "WARN", F.floor((_count(text, "```") + 1) / 2).cast("int")),
         ("FMT blank indent", "WARN", spaced_bullets(text)),
         ("FMT empty heading", "WARN", empty_headings(lines)),
-        ("REP repetition", "WARN", ((loop["max_line_repeats"] >= 4) | F.coalesce(loop["ngram_diversity"] < 0.5, F.lit(False))).cast("int")),
+        ("REP repetition", "WARN", payload_repetition(text)["degenerate"].cast("int")),
     ]
     out += [(f"STRUCT {h}", "FAIL", missing(f"(?m)^#\\s+\\Q{h}\\E\\b")) for h in headings]
     if mode == "lecture":

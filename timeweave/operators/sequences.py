@@ -14,29 +14,34 @@ def islands(df: DataFrame, keys: list[str], order: list, new: Column, name: str
     return df.withColumn("__tw_new", F.coalesce(new, F.lit(True)).cast("int")).withColumn(name, F.sum("__tw_new").over(w)).drop("__tw_new")
 
 
-def adjacent_dedup(frames: DataFrame, keys: list[str], order: str, h: str = "h", step: int = 40, drift: int = 80, changed: str | None = None, moved: float = 0.02) -> DataFrame:
-    """Groups of neighbouring frames: a new one when the hash moved ``step`` bits from the previous frame or ``drift`` from the group's first.
+def adjacent_dedup(frames: DataFrame, keys: list[str], order: str, h: str = "h", step: int = 40, drift: int | None = None, changed: str | None = None, moved: float = 0.06) -> DataFrame:
+    """Groups of neighbouring frames: a new one when the hash moved ``step`` bits from the previous frame or ``drift`` (twice ``step``) from the group's first.
 
+    A hash is a 64-bit integer, or binary of any width that all frames share.
     With ``changed`` (share of pixels that differ from the previous frame) a
-    share of ``moved`` opens a group, too. The second rule depends on the group
-    so far, so each key's frames are folded in order, each once; the last frame
-    of a group is kept with the group's size and first.
+    share of more than ``moved`` opens a group, too. The second rule depends on
+    the group so far, so each key's frames are folded in order, each once; the
+    last frame of a group is kept with the group's size and first.
     """
     import numpy as np
     import pandas as pd
 
+    drift = 2 * step if drift is None else drift
+    binary = dict(frames.dtypes)[h] == "binary"
+
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
-        bits = pdf[h].to_numpy(np.int64).view(np.uint64)
-        far = np.bitwise_count(bits[1:] ^ bits[:-1]) >= step
+        bits = np.frombuffer(b"".join(pdf[h]), np.uint8).reshape(len(pdf), -1) if binary else pdf[h].to_numpy(np.int64).view(np.uint8).reshape(-1, 8)
+        far = np.bitwise_count(bits[1:] ^ bits[:-1]).sum(1, dtype=int) >= step
         if changed:
-            far |= (pdf[changed].to_numpy(float) >= moved)[1:]
-        opens, first = [True], int(bits[0])
-        for at, new in enumerate(far.tolist(), 1):
-            new = new or (int(bits[at]) ^ first).bit_count() >= drift
+            far |= (pdf[changed].to_numpy(float) > moved)[1:]
+        whole = [int.from_bytes(r) for r in bits]
+        opens, first = [True], whole[0]
+        for own, new in zip(whole[1:], far.tolist(), strict=True):
+            new = new or (own ^ first).bit_count() >= drift
             opens.append(new)
             if new:
-                first = int(bits[at])
+                first = own
         grp = pd.Series(np.cumsum(opens).astype(np.int32), index=pdf.index, name="grp")
         out = pdf.groupby(grp)[order].agg(["size", "first", "last"]).reset_index()
         out.columns = ["grp", "group_size", "first_frame", "kept_frame"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import loops as L
 from ..functions import text as X
 from ..operators import aggregates as A
 from ..operators import joins as J
@@ -72,9 +73,30 @@ def _a8f(spark, d):
     return A.loops(table(spark, d, "documents"), ["doc_id"], F.split("text", "\n")).select("doc_id", "inline_repeat_count", "loop")
 
 
-@query("a11_payload_repetition")
+def _sql(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+#: Notes as they come from documents: front matter, embeds, links, cited times, tables and repeated lines among the texts' own lines.
+NOTED = """noted as (select doc_id, case when doc_id % 3 = 0 then '---' || chr(10) || 'tags: x' || chr(10) || '---' || chr(10) else '' end || case when doc_id % 4 = 0 then repeat('- a line that says the same again (see 12:' || doc_id % 50 + 10 || ')' || chr(10) || '| a table | of cells |' || chr(10), 4) else '' end || case when doc_id % 5 = 0 then '![[' || source || '.png|400]] [[' || source || '|shown]] https://x.org/' || doc_id || chr(10) || '> [!note] head' || chr(10) else '' end || text as note from documents)"""
+
+
+def _noted(spark, d):
+    k = F.col("doc_id")
+    again = F.concat(F.lit("- a line that says the same again (see 12:"), (k % 50 + 10).cast("string"), F.lit(")\n| a table | of cells |\n"))
+    marks = F.concat(F.lit("![["), "source", F.lit(".png|400]] [["), "source", F.lit("|shown]] https://x.org/"), k.cast("string"), F.lit("\n> [!note] head\n"))
+    parts = [F.when(k % 3 == 0, "---\ntags: x\n---\n").otherwise(""), F.when(k % 4 == 0, F.repeat(again, 4)).otherwise(""), F.when(k % 5 == 0, marks).otherwise(""), F.col("text")]
+    return table(spark, d, "documents").select("doc_id", F.concat(*parts).alias("note"))
+
+
+@query("a11_payload_repetition", f"""with {NOTED}, body as (select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(note, '{_sql(L.FRONT_MATTER)}', '', 's'), '{_sql(L.EMBED)}', '', 'g'), '{_sql(L.LINK)}', '\\1', 'g'), '{_sql(L.CITED_TIME)}', '', 'g'), '{_sql(L.ADDRESS)}', '', 'g') as t from noted),
+line as (select doc_id, trim(unnest(string_split(t, chr(10)))) as l from body), bare as (select doc_id, regexp_replace(replace(regexp_replace(l, '{_sql(L.LINE_MARKS)}', ''), '`', ''), '\s+', '', 'g') as l from line where not contains(l, '|') and not starts_with(ltrim(l, '> '), '[!')),
+top as (select doc_id, max(n)::int as repeats from (select doc_id, l, count(*) as n from bare where length(l) >= 12 group by 1, 2) group by 1),
+flat as (select doc_id, regexp_replace(t, '\s+', '', 'g') as x from body), gram as (select doc_id, x, flatten([regexp_extract_all(substring(x, k), '.{{8}}') for k in range(1, 9)]) as g from flat),
+shares as (select doc_id, coalesce(repeats, 0) as repeats, case when len(g) = 0 then 1.0 else len(list_distinct(g)) / len(g) end as diversity, length(x) as chars from gram left join top using (doc_id))
+select doc_id, repeats, diversity, chars, repeats >= 4 or (chars >= 500 and diversity < 0.7) as degenerate from shares""")
 def _a11(spark, d):
-    return A.loops(table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t")), ["conv_id"], F.flatten(F.transform("t", lambda x: F.split(x["text"], "\n"))), repeats=4)
+    return _noted(spark, d).select("doc_id", L.payload_repetition(F.col("note")).alias("r")).select("doc_id", "r.*")
 
 
 @query("a12_coverage", f"""with {SEG}, n as (select conv_id, cast(sum(length(text)) as bigint) as note from seg where role = 'user' group by 1), t as (select conv_id, cast(sum(length(text)) as bigint) as heard from seg where role = 'assistant' group by 1)

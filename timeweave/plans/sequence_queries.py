@@ -31,11 +31,12 @@ def _w1(spark, d):
 
 @query("w1_changed_pixels", f"""with recursive {HASH}, f as (select h.label, h.vec_id, h.h, v.moved, row_number() over (partition by h.label order by h.vec_id) as i from hash h join (select vec_id, abs(embedding[1]) as moved from embeddings) v using (vec_id)),
 r as (select label, i, vec_id, h, h as first, 1 as grp from f where i = 1 union all
-  select f.label, f.i, f.vec_id, f.h, case when f.moved >= 0.2 or bit_count(xor(f.h, r.first)) >= 40 then f.h else r.first end, r.grp + (f.moved >= 0.2 or bit_count(xor(f.h, r.first)) >= 40)::int from r join f on f.label = r.label and f.i = r.i + 1)
+  select f.label, f.i, f.vec_id, f.h, case when f.moved > 0.2 or bit_count(xor(f.h, r.first)) >= 40 then f.h else r.first end, r.grp + (f.moved > 0.2 or bit_count(xor(f.h, r.first)) >= 40)::int from r join f on f.label = r.label and f.i = r.i + 1)
 select label, cast(grp as int) as grp, count(*) as group_size, min(vec_id) as first_frame, max(vec_id) as kept_frame from r group by 1, 2""")
 def _w1c(spark, d):
     moved = table(spark, d, "embeddings").select("vec_id", F.abs(F.get("embedding", F.lit(0))).alias("moved"))
-    return W.adjacent_dedup(hashes(spark, d).join(moved, "vec_id"), ["label"], "vec_id", step=65, drift=40, changed="moved", moved=0.2)
+    binary = hashes(spark, d).withColumn("h", F.unhex(F.lpad(F.hex("h"), 16, "0")))
+    return W.adjacent_dedup(binary.join(moved, "vec_id"), ["label"], "vec_id", step=65, drift=40, changed="moved", moved=0.2)
 
 
 @query("w2_semantic_groups", f"""with {SEG}, n as (select *, case when length(text) >= 0.5 * lag(length(text)) over w and start_s - lag(start_s) over w < 60 then 0 else 1 end as new from seg window w as (partition by conv_id order by turn)),
