@@ -90,9 +90,9 @@ def _noted(spark, d):
 
 
 @query("a11_payload_repetition", f"""with {NOTED}, body as (select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(note, '{_sql(L.FRONT_MATTER)}', '', 's'), '{_sql(L.EMBED)}', '', 'g'), '{_sql(L.LINK)}', '\\1', 'g'), '{_sql(L.CITED_TIME)}', '', 'g'), '{_sql(L.ADDRESS)}', '', 'g') as t from noted),
-line as (select doc_id, trim(unnest(string_split(t, chr(10)))) as l from body), bare as (select doc_id, regexp_replace(replace(regexp_replace(l, '{_sql(L.LINE_MARKS)}', ''), '`', ''), '\s+', '', 'g') as l from line where not contains(l, '|') and not starts_with(ltrim(l, '> '), '[!')),
+line as (select doc_id, trim(unnest(string_split(t, chr(10)))) as l from body), bare as (select doc_id, regexp_replace(replace(regexp_replace(l, '{_sql(L.LINE_MARKS)}', ''), '`', ''), '\\s+', '', 'g') as l from line where not contains(l, '|') and not starts_with(ltrim(l, '> '), '[!')),
 top as (select doc_id, max(n)::int as repeats from (select doc_id, l, count(*) as n from bare where length(l) >= 12 group by 1, 2) group by 1),
-flat as (select doc_id, regexp_replace(t, '\s+', '', 'g') as x from body), gram as (select doc_id, x, flatten([regexp_extract_all(substring(x, k), '.{{8}}') for k in range(1, 9)]) as g from flat),
+flat as (select doc_id, regexp_replace(t, '\\s+', '', 'g') as x from body), gram as (select doc_id, x, flatten([regexp_extract_all(substring(x, k), '.{{8}}') for k in range(1, 9)]) as g from flat),
 shares as (select doc_id, coalesce(repeats, 0) as repeats, case when len(g) = 0 then 1.0 else len(list_distinct(g)) / len(g) end as diversity, length(x) as chars from gram left join top using (doc_id))
 select doc_id, repeats, diversity, chars, repeats >= 4 or (chars >= 500 and diversity < 0.7) as degenerate from shares""")
 def _a11(spark, d):

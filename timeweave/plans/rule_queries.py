@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rules as R
 from ..sources import readers, sinks
+from ..streaming import emit
 from ..streaming import monitor as M
 from .proxies import SEG, segments, table
 
@@ -96,6 +97,14 @@ def log(spark, d):
     return e.select(F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("run_id"), event.alias("event"), status.alias("status"), "event_id")
 
 
+@query("t1_event_lines", f"""with {LOG}, g as (select *, epoch_us(ts) - min(epoch_us(ts)) over (partition by run_id) as us from log) select event_id, run_id::varchar as run_id, event, status, round(us / 1000000.0, 3)::double as elapsed, event_id as extra, substring(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 1, 23) as at from g""")
+def _t1(spark, d):
+    """The emitted lines, read back."""
+    lines = emit.event_lines(log(spark, d), "ts", "run_id", F.lit("ocr"), "event", "status", ["event_id"])
+    e = F.from_json("line", "ts string, run_id string, stage string, event string, status string, elapsed_monotonic_s double, event_id long")
+    return lines.select("event_id", e.alias("e")).select("event_id", "e.run_id", "e.event", "e.status", F.col("e.elapsed_monotonic_s").alias("elapsed"), F.col("e.event_id").alias("extra"), F.substring("e.ts", 1, 23).alias("at"))
+
+
 @query("t2_run_ordinals", f"with {LOG} select event_id, cast(sum(case when event = 'start' then 1 else 0 end) over (partition by run_id order by event_id) as bigint) as run_no from log")
 def _t2(spark, d):
     return M.run_ordinals(log(spark, d), ["run_id"], "event_id").select("event_id", "run_no")
