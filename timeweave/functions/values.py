@@ -134,11 +134,20 @@ def parse_time(text: Column) -> Column:
     return F.aggregate(F.split(text, ":"), F.lit(0.0), lambda a, x: a * 60 + F.coalesce(x.try_cast("double"), F.lit(None).cast("double")))
 
 
+# Fixed value: how recorders write a time into a name (240526_1119, 20240526_111936, 2024-05-26_11-19).
+NAMED_TIME = r"(?<!\d)(\d{2}|\d{4})[-_]?(\d{2})[-_]?(\d{2})[ _T-]+(\d{2})[-:]?(\d{2})(?:[-:]?(\d{2}))?(?!\d)"
+
+
 def filename_time(name: Column) -> Column:
-    """``240526_1119`` or ``2024-05-26_11-19``; null when there is none or it is no date."""
-    parts = [F.regexp_extract(name, "((?:20)?[0-9]{2})-?([01][0-9])-?([0-3][0-9])[_ T-]([0-2][0-9])[-:]?([0-5][0-9])", i) for i in range(1, 6)]
-    year = F.when(F.length(parts[0]) == 2, F.concat(F.lit("20"), parts[0])).otherwise(parts[0])
-    return F.try_to_timestamp(F.concat(year, F.lit("-"), parts[1], F.lit("-"), parts[2], F.lit(" "), parts[3], F.lit(":"), parts[4], F.lit(":00")))
+    """The first time in a name that is a date, two-digit years as 20xx; null when there is none."""
+
+    def read(found: Column) -> Column:
+        year, *rest = (F.regexp_extract(found, NAMED_TIME, i) for i in range(1, 7))
+        year = F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
+        rest[-1] = F.when(rest[-1] == "", "00").otherwise(rest[-1])
+        return F.try_to_timestamp(F.concat_ws(" ", year, *rest), F.lit("yyyy MM dd HH mm ss"))
+
+    return F.get(F.filter(F.transform(F.regexp_extract_all(name, F.lit(NAMED_TIME), 0), read), lambda t: t.isNotNull()), F.lit(0))
 
 
 def refine_seconds(taken: Column, modified: Column) -> Column:
