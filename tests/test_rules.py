@@ -10,10 +10,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from timeweave.functions import fuzzy, numbers, signals, slides
+from timeweave.functions import fuzzy, numbers, rewrite, signals, slides
 from timeweave.functions import text as X
 from timeweave.functions import values as V
-from timeweave.operators import aggregates, audit, joins, matching, notes, rules, sequences
+from timeweave.operators import aggregates, audit, joins, matching, notes, ranks, rules, sequences
 from timeweave.plans import scalar_queries
 from timeweave.sources import engines
 
@@ -181,9 +181,10 @@ def test_alignment_is_the_best_path(spark):
 
 
 def test_timed_splits(spark):
-    words = [("你好", 0, 0.5), ("嗎？", 0.5, 1), ("好，", 1, 2), ("一二，", 2, 6), ("三", 6, 7), ("四", 11, 12), ("五", 12, 13), ("六", 13, 21), ("!", 21, 22)]
-    rows = spark.createDataFrame([("a", i, w, float(a), float(b)) for i, (w, a, b) in enumerate(words)], "k string, pos int, w string, start_s double, end_s double")
-    got = sequences.split_sentences(rows, ["k"]).orderBy("sentence_no").collect()
+    words = [(w, float(a), float(b)) for w, a, b in (("你好", 0, 0.5), ("嗎？", 0.5, 1), ("好，", 1, 2), ("一二，", 2, 6), ("三", 6, 7), ("四", 11, 12), ("五", 12, 13), ("六", 13, 21), ("!", 21, 22))]
+    rows = spark.createDataFrame([("a", words), ("b", [(None, 0.0, 1.0), ("x", 1.0, 2.0)]), ("c", []), ("d", None)], "k string, words array<struct<w:string,start_s:double,end_s:double>>")
+    assert [tuple(r) for r in sequences.split_sentences(rows.where("k <> 'a'"), ["k"]).collect()] == [("b", 1, 0, 2, "x")]
+    got = sequences.split_sentences(rows.where("k = 'a'"), ["k"]).orderBy("sentence_no").collect()
     assert [(r["start_s"], r["end_s"], r["text"]) for r in got] == [(0, 1, "你好 嗎？"), (1, 6, "好， 一二，"), (6, 7, "三"), (11, 13, "四 五"), (13, 21, "六"), (21, 22, "!")]
     segs = spark.createDataFrame([("s", 1, 0.0, 6.0, " short。still "), ("l", 2, 10.0, 30.0, "一二三四五。六七八九十百千萬。"), ("e", 3, 0.0, 50.0, "  ")], "k string, n int, start_s double, end_s double, text string")
     got = sequences.split_untimed(segs, ["k", "n"]).orderBy("n", "pos").collect()
@@ -385,3 +386,41 @@ def test_engines(spark):
         return [x * 2 for x in batch]
 
     assert list(engines.in_batches(range(7), run, (8, 4, 2, 1))) == [0, 2, 4, 6, 8, 10, 12] and sizes == [7, 4, 2, 2, 2, 1]
+
+
+def test_rewriting_is_leftmost_longest(spark, monkeypatch):
+    rng = random.Random(3)
+    for _ in range(150):
+        table = {"".join(rng.choices("abc中", k=rng.randrange(1, 5))): rng.choice(["", "X", "ab", "國"]) for _ in range(rng.randrange(1, 9))}
+        text = "".join(rng.choices("abc中 ", k=rng.randrange(0, 60)))
+        want, at = "", 0
+        while at < len(text):
+            word = max((w for w in table if text.startswith(w, at)), key=len, default=None)
+            want, at = (want + table[word], at + len(word)) if word else (want + text[at], at + 1)
+        for step in (1, 7, 1 << 16):
+            monkeypatch.setattr(rewrite, "STEP", step)
+            assert rewrite.rewritten(text, tuple(sorted(table.items()))) == want
+    df = spark.createDataFrame([("ab", "x"), ("a", "y"), ("a", "w"), ("", "z"), (None, "z"), ("c", None)], "w string, t string")
+    held = rewrite.table_of(df, "w", "t")
+    assert held == {"ab": "x", "a": "w"}
+    assert column(spark, ["abac", None, ""], lambda c: rewrite.rewrite(c, held)) == ["xwc", None, ""] and column(spark, ["ab"], lambda c: rewrite.rewrite(c, {})) == ["ab"]
+    monkeypatch.setattr(rewrite, "MAX_ENTRIES", 1)
+    with pytest.raises(ValueError, match="entries"):
+        rewrite.table_of(df, "w", "t")
+
+
+@pytest.mark.parametrize(("small", "block", "most"), [(4096, 65536, 1024), (10, 20, 8), (0, 1, 64)])
+def test_discordant_pairs_match_all_pairs(spark, monkeypatch, small, block, most):
+    """Ties, copies and nulls, groups of one array and groups in blocks."""
+    for k, v in (("SMALL", small), ("BLOCK", block), ("MOST", most)):
+        monkeypatch.setattr(ranks, k, v)
+    rng = random.Random(8)
+    rows = [(k, rng.choice([None, *range(40)]), rng.choice([None, *range(30)])) for k in "abc" for _ in range({"a": 300, "b": 30, "c": 4}[k])] + [("d", 1, 2), ("d", 1, 3), ("e", 1, None), ("e", 2, 5)] + [("f", 1, 1)] * 50 + [("f", 2, 0)] * 70
+    want = {}
+    for k in "abcdef":
+        pairs = [(x, y) for a, x in [(r[1], r[2]) for r in rows if r[0] == k] for b, y in [(r[1], r[2]) for r in rows if r[0] == k] if a is not None and b is not None and a < b]
+        known = [x > y for x, y in pairs if x is not None and y is not None]
+        if pairs:
+            want[k] = (sum(known) / len(known) if known else None, len(pairs))
+    got = ranks.discordant_fraction(spark.createDataFrame(rows, "k string, a int, b int"), ["k"], "a", "b").collect()
+    assert {r["k"]: (r["discordant"] if r["discordant"] is None else pytest.approx(r["discordant"]), r["pairs"]) for r in got} == want

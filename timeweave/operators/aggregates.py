@@ -151,14 +151,6 @@ def days_covered(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count_distinct(F.to_date(ts)).alias("days"))
 
 
-def discordant_fraction(df: DataFrame, keys: list[str], rank_a: str, rank_b: str) -> DataFrame:
-    """Share of pairs that the two rankings order differently, within each group."""
-    a = df.select(*keys, F.col(rank_a).alias("a1"), F.col(rank_b).alias("b1"))
-    b = df.select(*keys, F.col(rank_a).alias("a2"), F.col(rank_b).alias("b2"))
-    pairs = a.join(b, keys).where("a1 < a2")
-    return pairs.groupBy(*keys).agg(F.avg((F.col("b1") > F.col("b2")).cast("int")).alias("discordant"), F.count("*").alias("pairs"))
-
-
 def grid_consensus(samples: DataFrame, keys: list[str], shape: str, edge: str) -> DataFrame:
     """Modal shape (ties to the lesser), with median and sample deviation of the edge among samples of that shape."""
     modal = first_mode(samples, keys, shape, shape).select(*keys, shape)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -235,34 +236,39 @@ def split_untimed(segments: DataFrame, keys: list[str], text: str = "text", max_
     return rows.select(*keys, "pos", F.regexp_replace("part", "^\\s+|\\s+$", "").alias("sentence"), at(upto - F.length("part")).alias("from_s"), F.when(total == 1, F.round("end_s", 2).cast("double")).otherwise(at(upto)).alias("to_s"))
 
 
-def split_sentences(words: DataFrame, keys: list[str], max_dur: float = 8, soft_dur: float = 4, gap_s: float = 3) -> DataFrame:
-    """Greedy sentences of timed words (pos, w, start_s, end_s).
+def split_sentences(segments: DataFrame, keys: list[str], words: str = "words", max_dur: float = 8, soft_dur: float = 4, gap_s: float = 3) -> DataFrame:
+    """Greedy sentences of timed words: keys, sentence_no from 1, start_s, end_s, text.
 
-    Cut after a full stop, after a clause mark once ``soft_dur`` is reached,
-    before a gap, and before a word that would make it longer than ``max_dur``.
-    A segment's words are one group, folded in order, each once.
+    ``words`` is a segment's array of structs w, start_s, end_s in order. Cut
+    after a full stop, after a clause mark once ``soft_dur`` is reached, before a
+    gap, and before a word that would make it longer than ``max_dur``. Each
+    segment is folded within its row: nothing is shuffled. Null and empty words
+    keep their time but not their place in the text.
     """
-    import numpy as np
-    import pandas as pd
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        no, t0, t1, cut = 0, 0.0, 0.0, True
-        numbers: list[int] = []
-        for w, lo, hi in zip(pdf["w"].tolist(), pdf["start_s"].tolist(), pdf["end_s"].tolist(), strict=True):
-            if cut or lo - t1 > gap_s or hi - t0 > max_dur:
-                no, t0 = no + 1, lo
-            numbers.append(no)
-            last, t1 = (w or "").strip()[-1:], hi
-            cut = last != "" and (last in HARD or (last in SOFT and hi - t0 >= soft_dur))
-        grp = pd.Series(np.array(numbers, np.int32), index=pdf.index, name="sentence_no")
-        g = pdf.groupby(grp)
-        out = pd.DataFrame({"start_s": g["start_s"].first(), "end_s": g["end_s"].last(), "text": g["w"].agg(lambda x: " ".join(v for v in x if v))}).reset_index()
-        return pd.concat([pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=out.index), out], axis=1)
-
-    kinds = dict(words.dtypes)
-    ddl = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "sentence_no int, start_s double, end_s double, text string"])
-    return words.select(*keys, "pos", "w", F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s")).groupBy(*keys).applyInPandas(fold, ddl)
+    kind = pa.struct([("sentence_no", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("text", pa.string())])
+
+    def fold(said: list[dict] | None) -> list[dict]:
+        out: list[dict] = []
+        cut = True
+        for word in said or ():
+            w, lo, hi = word["w"] or "", word["start_s"], word["end_s"]
+            if cut or lo - out[-1]["end_s"] > gap_s or hi - out[-1]["start_s"] > max_dur:
+                out.append({"sentence_no": len(out) + 1, "start_s": lo, "text": []})
+            own, last = out[-1], w.strip()[-1:]
+            own["end_s"] = hi
+            if w:
+                own["text"].append(w)
+            cut = last != "" and (last in HARD or (last in SOFT and hi - own["start_s"] >= soft_dur))
+        return [o | {"text": " ".join(o["text"])} for o in out]
+
+    def run(rows: pa.Array) -> pa.Array:
+        # a slice at a time: segments may be long
+        parts = [pa.array([fold(s) for s in rows.slice(at, 256).to_pylist()], pa.list_(kind)) for at in range(0, len(rows), 256)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(kind))
+
+    timed = F.transform(words, lambda x: F.struct(x["w"].cast("string").alias("w"), x["start_s"].cast("double").alias("start_s"), x["end_s"].cast("double").alias("end_s")))
+    cut = F.arrow_udf(run, "array<struct<sentence_no:int,start_s:double,end_s:double,text:string>>")(timed)
+    return segments.select(*keys, F.explode(cut).alias("__tw_s")).select(*keys, "__tw_s.*")
 
 
 def display_rank(df: DataFrame, keys: list[str], order: list) -> DataFrame:

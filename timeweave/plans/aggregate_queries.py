@@ -8,6 +8,7 @@ from ..functions import loops as L
 from ..functions import text as X
 from ..operators import aggregates as A
 from ..operators import joins as J
+from ..operators import ranks
 from .join_queries import PAIRS, TOK, _token_sets
 from .proxies import HASH, SEG, SPAN, hashes, segments, spans, table
 
@@ -181,7 +182,7 @@ def _a25(spark, d):
 
 @query("a26_discordant_fraction", """select a.l_orderkey, avg(case when a.l_partkey > b.l_partkey then 1 else 0 end) as discordant, count(*) as pairs from lineitem a join lineitem b using (l_orderkey) where a.l_linenumber < b.l_linenumber group by 1""")
 def _a26(spark, d):
-    return A.discordant_fraction(table(spark, d, "lineitem"), ["l_orderkey"], "l_linenumber", "l_partkey")
+    return ranks.discordant_fraction(table(spark, d, "lineitem"), ["l_orderkey"], "l_linenumber", "l_partkey")
 
 
 @query("a27_grid_consensus", """with m as (select * from (select p_brand, p_type, row_number() over (partition by p_brand order by count(*) desc, p_type) as k from part group by 1, 2) where k = 1)

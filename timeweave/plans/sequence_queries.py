@@ -160,10 +160,9 @@ r as (select conv_id, turn, pos, w, s, e, s as t0, 1 as no from x where pos = 0
   select conv_id, turn, pos, w, s, e, case when cut then s else t0 end, no + cut::int from (select x.*, r.t0, r.no, regexp_matches(r.w, '[。！？!?…]$') or (regexp_matches(r.w, '[，,、；;:：]$') and r.e - r.t0 >= 2) or x.s - r.e > 3 or x.e - r.t0 > 3 as cut from r join x on x.conv_id = r.conv_id and x.turn = r.turn and x.pos = r.pos + 1))
 select conv_id, turn, cast(no as int) as sentence_no, min(s) as start_s, max(e) as end_s, string_agg(case when w <> '' then w end, ' ' order by pos) as text from r group by 1, 2, 3""")
 def _w17(spark, d):
-    rows = segments(spark, d).select("conv_id", "turn", F.col("start_s").cast("double").alias("t"), F.posexplode(F.split(F.translate("text", ".;", "!。"), " ")).alias("pos", "w"))
-    start = F.col("t") + F.col("pos") * 0.5 + F.floor(F.col("pos") / 7) * 4
-    timed = rows.withColumn("start_s", start).withColumn("end_s", start + 0.5)
-    out = W.split_sentences(timed, ["conv_id", "turn"], max_dur=3, soft_dur=2)
+    start = lambda i: F.col("start_s").cast("double") + i * 0.5 + F.floor(i / 7) * 4
+    words = F.transform(F.split(F.translate("text", ".;", "!。"), " "), lambda w, i: F.struct(w.alias("w"), start(i).alias("start_s"), (start(i) + 0.5).alias("end_s")))
+    out = W.split_sentences(segments(spark, d).withColumn("words", words), ["conv_id", "turn"], max_dur=3, soft_dur=2)
     return out.withColumn("text", F.nullif("text", F.lit("")))
 
 

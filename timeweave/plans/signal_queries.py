@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import fuzzy, numbers, signals, slides
+from ..functions import fuzzy, numbers, rewrite, signals, slides
 from ..functions import values as V
 from ..operators import audit, notes, rules
 from .proxies import segments, table
@@ -237,3 +237,13 @@ def _v2s(spark, d):
     sources = e.select("user_id", "event_id", lo.alias("lo"), (lo + F.round(C("value") * 60).cast("long")).alias("hi"))
     placed = e.where("event_id % 7 > 0").select("user_id", "event_id", (C("event_id") % 7).alias("seg"), (C("event_id") % 7).alias("display_order"))
     return audit.segmentation_findings(sources, placed, "user_id", "event_id", chain_s=3600, break_s=86400)
+
+
+# ---------------------------------------------------------------- rewriting by a table
+
+@query("f61_rewritten", """with t as (select c_custkey, c_name || ' of NATION_' || c_nationkey || c_custkey % 10 || ' (NATION_1) ' || c_mktsegment as x from customer), n as (select list(n_name order by length(n_name) desc) as names from nation)
+select c_custkey, list_reduce(list_prepend(x, names), lambda a, w: replace(a, w, '<' || substring(w, 8) || '>')) as v from t, n""")
+def _f61(spark, d):
+    table_ = rewrite.table_of(table(spark, d, "nation").select("n_name", F.concat(F.lit("<"), F.substring(C("n_name"), F.lit(8), F.length("n_name")), F.lit(">")).alias("to")), "n_name", "to")
+    text = F.concat("c_name", F.lit(" of NATION_"), C("c_nationkey").cast("string"), (C("c_custkey") % 10).cast("string"), F.lit(" (NATION_1) "), "c_mktsegment")
+    return table(spark, d, "customer").select("c_custkey", rewrite.rewrite(text, table_).alias("v"))
