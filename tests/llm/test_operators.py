@@ -527,3 +527,41 @@ def test_vector_search(spark):
     assert vector_search.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     few = vector_search.search(df.where("vec_id < 3"), F.col("vec_id") == 0).collect()
     assert sorted(r["vec_id"] for r in few) == [1, 2]
+
+
+@pytest.mark.parametrize("clusters", [0, 300])
+def test_most_columns_are_never_looked_at(clusters):
+    """With the k-th distance of the nearest list, over half of the other candidates' columns are saved, at a recall over 0.95."""
+    rng = np.random.default_rng(4)
+    n, d, k = 20_000, 64, 5
+    x = rng.normal(size=(n, d))
+    if clusters:
+        x = rng.normal(size=(clusters, d))[rng.integers(clusters, size=n)] + 0.5 * x
+    ids, turn = np.arange(n), vector_search.rotation(d)
+    q = x[::500]
+    unit, done = vector_search.unit, vector_search.Counter()
+    truth = unit(q) @ unit(x).T
+    truth[np.arange(len(q)), ids[::500]] = -9
+    near = np.argsort(-truth, axis=1)[:, :k]
+    # the nearest list: the 400 rows of which a quarter is nearest
+    lists = [np.unique(np.concatenate((np.argsort(-t)[:3], rng.choice(n, 400)))) for t in truth]
+    hit = 0
+    for a, own in enumerate(lists):
+        one = slice(a, a + 1)
+        first = list(vector_search.scan(unit(q[one]) @ turn, ids[::500][one], q[one], unit(x[own]) @ turn, ids[own], x[own], k))
+        rest = np.setdiff1d(ids, own)
+        more = list(vector_search.scan(unit(q[one]) @ turn, ids[::500][one], q[one], unit(x[rest]) @ turn, ids[rest], x[rest], k, np.array([min(s for *_, s in first)]), done))
+        best = sorted(first + more, key=lambda r: (-r[2], r[1]))[:k]
+        hit += len({i for _, i, _ in best} & set(near[a].tolist()))
+    assert hit >= 0.95 * near.size and done["columns"] < 0.5 * d * done["candidates"] and done["abandoned"] > 0.9 * done["candidates"]
+
+
+def test_search_of_everything_is_near_exact(spark):
+    x = np.random.default_rng(2).normal(size=(1500, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vector_search.search(df, F.col("vec_id") % 25 == 0, everything=True, max_lists=7).collect()
+    u = vector_search.unit(x)
+    s = u[::25] @ u.T
+    s[np.arange(60), np.arange(0, 1500, 25)] = -9
+    near = {(25 * a, int(i)) for a, row in enumerate(np.argsort(-s, axis=1)[:, :5]) for i in row}
+    assert len(got) == 300 and len({(r["query_id"], r["vec_id"]) for r in got} & near) >= 0.97 * 300

@@ -3,11 +3,13 @@
 Unit vectors are turned by a random rotation and assigned to k-means lists
 (centroids fitted on a bounded sample, every row indexed). A list is cut into
 blocks of bounded size, so a list holding a third of all rows is many tasks.
-Within a block the rotated vectors are scanned in blocks of columns: after d of
-D columns the squared partial distance, scaled by D/d, estimates the whole, and
-a candidate is abandoned when a hypothesis test says that the whole exceeds the
-query's current k-th distance. Survivors are measured exactly, in double
-precision, on the original vectors.
+Every query scans its nearest list first and takes the k-th distance found there
+along to its other lists. Within a block the rotated vectors are scanned in
+blocks of columns: after d of D columns the squared partial distance, scaled by
+D/d, estimates the whole with a known deviation (a share of a random rotation
+follows a beta distribution), and a candidate is abandoned when that estimate
+exceeds the query's current k-th distance by SLACK deviations. Survivors are
+measured exactly, in double precision, on the original vectors.
 
 Defined results: vectors that are null, zero, of another length than most, or
 that hold null or non-finite values take no part. Rows with the query's own id
@@ -18,6 +20,7 @@ to the smaller id.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +33,13 @@ from .common import stored
 #: Rows the centroids are fitted on (chosen by a hash of the id), at most so many lists.
 SAMPLE, MAX_LISTS = 16_384, 4096
 #: A query probes as many lists as held this share of the true neighbours of TRIALS rows within the sample ...
-TARGET, TRIALS = 0.97, 256
+TARGET, TRIALS = 0.96, 256
 #: ... and at least so many lists and candidates.
 MIN_LISTS, MIN_CANDIDATES = 8, 512
-#: Rows of a block, columns of a step, and the test's slack (larger: fewer wrong abandonments).
-BLOCK, STEP, SLACK = 4096, 16, 2.1
-#: Candidates looked at before the k-th distance is brought up to date.
-ROUND = 512
+#: Rows of a block, columns of a step, and the deviations that a candidate may exceed (more: fewer wrong abandonments).
+BLOCK, STEP, SLACK = 4096, 8, 2.4
+#: Candidates looked at before the k-th distance is brought up to date: without one from another list, and with one.
+FIRST_ROUND, ROUND = 32, 512
 
 
 def rotation(d: int, seed: int = 5) -> np.ndarray:
@@ -73,25 +76,38 @@ def probes_needed(x: np.ndarray, c: np.ndarray, k: int) -> int:
     return int(np.quantile(at, TARGET)) + 1
 
 
-def scan(q: np.ndarray, qi: np.ndarray, q_raw: np.ndarray, x: np.ndarray, xi: np.ndarray, x_raw: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
-    """(query, candidate, cosine) of each query's best k in one block; ``q`` and ``x`` are rotated unit vectors."""
+def scan(q: np.ndarray, qi: np.ndarray, q_raw: np.ndarray, x: np.ndarray, xi: np.ndarray, x_raw: np.ndarray, k: int, known: np.ndarray | None = None, done: Counter | None = None) -> Iterator[tuple[int, int, float]]:
+    """(query, candidate, cosine) of each query's best k in one block, as far as they may be among its best k at all.
+
+    ``q`` and ``x`` are rotated unit vectors, ``known`` the least cosine of k
+    neighbours found before (nan: none). ``done`` counts candidates, those
+    abandoned, and columns of candidates looked at.
+    """
     d = x.shape[1]
     norms = np.sqrt((x_raw * x_raw).sum(axis=1))
+    steps = [(at, min(d, at + STEP)) for at in range(0, d, STEP)]
+    slack = [1 + SLACK * np.sqrt(2 * (d - to) / (to * (d + 2))) for _, to in steps]
     for a in range(len(q)):
-        kth, best_i, best_s = np.inf, np.zeros(0, np.int64), np.zeros(0)
+        best_i, best_s = np.zeros(0, np.int64), np.zeros(0)
+        start = np.nan if known is None else known[a]
+        kth = np.inf if np.isnan(start) else max(0.0, 2 - 2 * start) + 1e-12
         own = np.sqrt((q_raw[a] * q_raw[a]).sum())
-        for at in range(0, len(x), ROUND):
-            left = np.flatnonzero(xi[at : at + ROUND] != qi[a]) + at
-            part = np.zeros(len(left))
-            for col in range(0, d, STEP):
-                diff = x[left, col : col + STEP] - q[a, col : col + STEP]
+        at, size = 0, FIRST_ROUND if kth == np.inf else ROUND
+        while at < len(x):
+            left = np.flatnonzero(xi[at : at + size] != qi[a]) + at
+            at, size, met = at + size, min(2 * size, ROUND), len(left)
+            part, looked = np.zeros(len(left)), 0
+            for (low, high), most in zip(steps, slack, strict=True):
+                diff = x[left, low:high] - q[a, low:high]
                 part = part + (diff * diff).sum(axis=1)
-                done = min(d, col + STEP)
-                if done < d and kth < np.inf:
-                    stay = part * (d / done) <= kth * (1 + SLACK / np.sqrt(done)) ** 2
+                looked += len(left) * (high - low)
+                if high < d and kth < np.inf:
+                    stay = part * (d / high) <= kth * most
                     left, part = left[stay], part[stay]
                 if not len(left):
                     break
+            if done is not None:
+                done.update(candidates=met, abandoned=met - len(left), columns=looked)
             if not len(left):
                 continue
             s = (x_raw[left] * q_raw[a]).sum(axis=1) / (norms[left] * own)
@@ -101,7 +117,7 @@ def scan(q: np.ndarray, qi: np.ndarray, q_raw: np.ndarray, x: np.ndarray, xi: np
             order = order[np.sort(first)][:k]
             best_i, best_s = best_i[order], best_s[order]
             if len(best_s) == k:
-                kth = max(0.0, 2 - 2 * best_s[-1]) + 1e-12
+                kth = min(kth, max(0.0, 2 - 2 * best_s[-1]) + 1e-12)
         yield from zip([int(qi[a])] * len(best_i), best_i.tolist(), best_s.tolist(), strict=True)
 
 
@@ -115,8 +131,11 @@ def _probes(x: np.ndarray, c: np.ndarray, sizes: np.ndarray, least: int) -> list
     return [o[: max(least, n)] for o, n in zip(order, enough, strict=True)]
 
 
-def search(vectors: DataFrame, is_query: F.Column, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The k nearest found of each query row among all rows: query_id, rank, vec_id, score."""
+def search(vectors: DataFrame, is_query: F.Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", max_lists: int = MAX_LISTS, everything: bool = False) -> DataFrame:
+    """The k nearest found of each query row among all rows: query_id, rank, vec_id, score.
+
+    ``everything`` probes all lists: then only the test can lose a neighbour.
+    """
     spark = vectors.sparkSession
     clean = vectors.select(F.col(key).cast("long").alias("i"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("q"))
     clean = clean.where("i is not null and v is not null and not exists(v, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(v, x -> x <> 0)")
@@ -129,8 +148,8 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 5, key: str = "vec_i
     turn = rotation(d)
     sample = clean.orderBy(F.xxhash64("i", "v"), "i").limit(SAMPLE).select("v").toArrow()["v"].combine_chunks().flatten().to_numpy().reshape(-1, d)
     turned = unit(sample) @ turn
-    c = centroids(turned, min(MAX_LISTS, max(1, round(n**0.5))))
-    least = max(min(MIN_LISTS, len(c)), probes_needed(turned, c, k))
+    c = centroids(turned, min(max_lists, max(1, round(n**0.5))))
+    least = len(c) if everything else max(min(MIN_LISTS, len(c)), probes_needed(turned, c, k))
     model = spark.sparkContext.broadcast((c, turn))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,30 +172,47 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 5, key: str = "vec_i
             for part in (b.slice(at, 1024) for at in range(0, b.num_rows, 1024)):
                 to = _probes(unit(_matrix(part.column(1), d)) @ turn, c, sizes, least)
                 row = np.repeat(np.arange(part.num_rows), [len(t) for t in to])
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(np.concatenate(to).astype(np.int32)), part.column(1).take(pa.array(row))], ["i", "list", "raw"])
+                nearest = np.concatenate([np.arange(len(t)) == 0 for t in to])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(np.concatenate(to).astype(np.int32)), part.column(1).take(pa.array(row)), pa.array(nearest)], ["i", "list", "raw", "nearest"])
 
-    asked = index.where("q").groupBy("i").agg(F.min("raw").alias("raw")).mapInArrow(probe, "i long, list int, raw binary")
+    asked = index.where("q").groupBy("i").agg(F.min("raw").alias("raw")).mapInArrow(probe, "i long, list int, raw binary, nearest boolean")
     asked = stored(asked, "vector-probes")
+    first = stored(_scanned(index, asked.where("nearest").withColumn("known", F.lit(None).cast("double")), sizes, model, d, k), "vector-nearest")
+    known = first.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("known"))
+    others = asked.where("not nearest").join(known, F.col("i") == F.col("query_id"), "left").select("i", "list", "raw", "known")
+    rest = _scanned(index, others, sizes, model, d, k)
+    return _ranked(first.drop("rank").unionByName(rest.drop("rank")), k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _scanned(index: DataFrame, asked: DataFrame, sizes: np.ndarray, model, d: int, k: int) -> DataFrame:
+    """Each query's best k of the lists that it asks (i, list, raw, known): query_id, rank, vec_id, score."""
+    spark = index.sparkSession
+    asked = stored(asked, "vector-asked")
+    # one row a list, at most as many as there are lists
     n_asked = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}
     grid = spark.createDataFrame([(i, max(1, -(-int(s) // BLOCK)), -(-n_asked.get(i, 0) // BLOCK)) for i, s in enumerate(sizes)], "list int, xb int, qb int").where("qb > 0")
     grid = F.broadcast(grid)
     # blocks of candidates by blocks of queries: each side goes once to every block of the other
     left = index.join(grid, "list").select("i", "raw", "list", F.pmod(F.xxhash64("i", "raw"), F.col("xb")).alias("x"), F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("y"))
-    right = asked.join(grid, "list").select("i", "raw", "list", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("xb") - 1).cast("long"))).alias("x"), F.pmod(F.xxhash64("i"), F.col("qb")).cast("int").alias("y"))
+    right = asked.join(grid, "list").select("i", "raw", "known", "list", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("xb") - 1).cast("long"))).alias("x"), F.pmod(F.xxhash64("i"), F.col("qb")).cast("int").alias("y"))
 
     def block(xs: pa.Table, qs: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         if xs.num_rows and qs.num_rows:
             turn = model.value[1]
             x_raw, q_raw = _matrix(xs["raw"], d), _matrix(qs["raw"], d)
-            rows = list(scan(unit(q_raw) @ turn, qs["i"].to_numpy(), q_raw, unit(x_raw) @ turn, xs["i"].to_numpy(), x_raw, k))
+            rows = list(scan(unit(q_raw) @ turn, qs["i"].to_numpy(), q_raw, unit(x_raw) @ turn, xs["i"].to_numpy(), x_raw, k, qs["known"].to_numpy()))
         q, v, s = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 
     found = left.groupBy("list", "x", "y").cogroup(right.groupBy("list", "x", "y")).applyInArrow(block, "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return _ranked(found, k)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
