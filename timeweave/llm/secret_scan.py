@@ -67,6 +67,9 @@ STEPS = {p for w in WALKS for a, b in zip(w, w[1:], strict=False) for p in (a +
 DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/._](?:0?[1-9]|1[0-2])[-/._](?:19|20)?\d\d|(?:19|20)\d\d")
 
 
+#: Units of repeats up to this long are costed at each of their rotations.
+LONG_UNIT = 64
+
 YEAR = re.compile(r"(?:19|20)\d\d")
 WORD = re.compile("[a-z]{3,}")
 
@@ -144,6 +147,8 @@ class Costs:
         for i in range(n - 2, -1, -1):
             if low[i : i + 2] in STEPS:
                 step_end[i] = step_end[i + 1]
+        # a long unit is costed as it first stands: what its rotations cost differs by the segment that the cut splits
+        first_unit: dict[tuple[int, int], float] = {}
         opened: list[tuple[int, int, int, dict[int, list[tuple[float, int, float]]]]] = []
         waiting = sorted(runs(v), reverse=True)
         for i in range(n + 1):
@@ -159,10 +164,16 @@ class Costs:
             if i == n:
                 break
             here = best[i] + KIND
-            for _, end, p, starts in opened:
+            for begin, end, p, starts in opened:
                 first = i + max(3, 2 * p)
                 if first <= end:
-                    cost, kept = here + self.log_guesses(v[i : i + p]), starts.get(i % p, [])
+                    if p <= LONG_UNIT:
+                        unit = self.log_guesses(v[i : i + p])
+                    elif (begin, p) in first_unit:
+                        unit = first_unit[begin, p]
+                    else:
+                        unit = first_unit[begin, p] = self.log_guesses(v[begin : begin + p])
+                    cost, kept = here + unit, starts.get(i % p, [])
                     # an earlier start has more copies at any end, and the longer the end the less they matter:
                     # one that is no dearer at the first common end stays so, one that is dearer before its copies, too
                     if not any(c + log10((first - at) // p) <= cost + log10((first - i) // p) and first < until for c, at, until in kept):
