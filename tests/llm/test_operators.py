@@ -164,6 +164,30 @@ def test_long_values_are_costed_whole():
     assert time.time() - began < 20
 
 
+def test_long_units_take_time_in_proportion():
+    """A unit of 5,000 characters four times costs the unit and its copies; the cost grows with the unit, not with its square."""
+    unit = "".join(random.Random(2).choices("abcdXYZ0189+/", k=5000))
+    took = []
+    for n in (1250, 5000):
+        costs = secret_scan.Costs()
+        began = time.time()
+        got = costs.log_guesses(unit[:n] * 4)
+        took.append(time.time() - began)
+        assert got == pytest.approx(costs.log_guesses(unit[:n]) + np.log10(4) + secret_scan.KIND, abs=1e-9)
+    assert took[1] < 10 and took[1] < 10 * took[0]
+    # of short units every rotation counts
+    assert secret_scan.COSTS.log_guesses("x" + "password" * 9) < secret_scan.COSTS.log_guesses("xpasswor" * 9 + "d") + 1
+
+
+def test_many_exceptions_take_time_in_proportion():
+    forms = {f" w{chr(97 + i)} ": 1.0 for i in range(26)}
+    lexicon = toxicity.Lexicon(forms, tuple(f"w{chr(97 + i)} w{chr(97 + i + 1)}" for i in range(0, 24, 2)))
+    words = [f"w{chr(97 + i % 26)}" for i in range(100_000)]
+    began = time.time()
+    got = lexicon.places(" " + " ".join(words) + " ")
+    assert time.time() - began < 5 and len(got) == sum(i % 26 >= 24 for i in range(100_000))
+
+
 def test_known_words_are_counted_over_all_documents(spark, none):
     docs = table(spark, [(1, "Zebra zebra lamp", None), (2, "lamp zebra ox", None), (3, None, None), (4, "", None)])
     assert secret_scan.learn_words(docs) == [*secret_scan.WORDS, "zebra", "lamp"]

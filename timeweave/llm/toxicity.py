@@ -97,8 +97,15 @@ class Lexicon:
                 excused.append((start, end))
             elif size > best.get(start, (0, 0.0))[0]:
                 best[start] = (size, weight)
-        # a phrase covers its words' first letters: the blank after it begins the next word
-        return [(start, w) for start, (_, w) in best.items() if not any(a <= start < b - 1 for a, b in excused)]
+        # one sweep: a phrase covers its words' first letters; the blank after it begins the next word
+        excused.sort(reverse=True)
+        kept, reach = [], -1
+        for start in sorted(best):
+            while excused and excused[-1][0] <= start:
+                reach = max(reach, excused.pop()[1] - 1)
+            if start >= reach:
+                kept.append((start, best[start][1]))
+        return kept
 
     def features(self, text: str | None) -> list[float]:
         folded = fold(text)
@@ -149,8 +156,8 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
     return tuple(w.tolist())
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = TRAIN_ROWS) -> Lexicon:
-    """Learn entries, weights and curve from the ``rows`` labelled rows of least key hash."""
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = TRAIN_ROWS, most: int = MAX_ENTRIES) -> Lexicon:
+    """Learn at most ``most`` entries, their weights and the curve from the ``rows`` labelled rows of least key hash."""
     want = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), (F.col(label) > 0).cast("int").alias("y")).orderBy(F.xxhash64("k"), "k", "y").limit(rows)
     # at most ``rows`` pairs are broadcast
     known = stored(docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(want), "k").select("t", "y"), "toxic-train")
@@ -183,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         ratio = ((a + 0.5) / (n_toxic + 1)) / ((b + 0.5) / (n_other + 1))
         if a >= MIN_TEXTS and ratio >= MIN_RATIO and surprise(a, b, n_toxic, n_other) >= MIN_SURPRISE:
             entries[form] = float(np.log(ratio))
-    best = sorted(entries, key=lambda f: (-entries[f] * rows_[f][0], f))[:MAX_ENTRIES]
+    best = sorted(entries, key=lambda f: (-entries[f] * rows_[f][0], f))[:most]
     lexicon = Lexicon({f: entries[f] for f in sorted(best)})
     words = docs.sparkSession.sparkContext.broadcast(lexicon.entries)
     harmless = counted(known, lambda folded: phrases(folded, lexicon_of(words))).where((F.col("form") != "") & (F.col("other") >= MIN_HARMLESS))
