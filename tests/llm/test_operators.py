@@ -383,6 +383,14 @@ def test_html_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_several_articles():
+    first, second = "<article><h2>one</h2><p>its <a href=x>own</a> longer text</p></article>", "<article><p>two</p></article>"
+    card, comment = "<article><a href=y><h3>read this other page</h3></a> now</article>", "<article class='comment'><p>a comment that is longer than all else</p></article>"
+    assert html_text.main_text(f"<body>{first}<div>{card}{second}</div>{comment}</body>") == "one its own longer text two"
+    assert html_text.main_text(f"<body>{card}{card.replace('now', 'right now')}</body>") == "read this other page right now"
+    assert html_text.main_text("<main>a</main><main><a>b</a></main><main></main>") == "a"
+
+
 @pytest.mark.parametrize("limit", [10, 0])
 def test_site_templates_go_and_prose_stays(spark, monkeypatch, limit):
     monkeypatch.setattr(html_text, "BROADCAST_KEYS", limit)

@@ -10,7 +10,9 @@ element if there is one, and no element that is boilerplate by tag, role, class
 or id (such as adverts and comments, which don't recur).
 
 Text: character references decoded; white space inside a block becomes one
-blank; blocks are trimmed and joined in page order by one blank.
+blank; blocks are trimmed and joined in page order by one blank. Of several
+articles all are kept, in page order, but for teasers (half of whose text or more
+is in links) and comments; if all are teasers, the longest is.
 
 Defined results: null and empty html give an empty text; a null url counts as
 the host ``""``; repeated rows give equal results and count once; unclosed and
@@ -220,13 +222,30 @@ def main_text(html: str | None, host: str = "", templates: Templates | None = No
 
 
 def _main(root: Node, host: str, templates: Templates) -> str:
+    """Text of the articles in page order, but for teasers; else of the main elements; else of the page."""
     for tag in ("article", "main"):
         tops = _outermost(root, tag)
+        if len(tops) == 1:
+            return text_of(tops[0], host, templates, True)
         if tops:
-            return max((text_of(t, host, templates, True) for t in tops), key=len)
+            texts = [text_of(t, host, templates, True) for t in tops]
+            own = [x for x, t in zip(texts, tops, strict=True) if x and not teaser(t, len(x))]
+            return " ".join(own or [max(texts, key=len)])
     return text_of(root, host, templates, False)
 
 
+def teaser(top: Node, chars: int) -> bool:
+    """Whether at least half of an article's ``chars`` characters are in its links: it points to an article elsewhere."""
+    linked, todo = 0, [(top, False)]
+    while todo:
+        node, within = todo.pop()
+        if isinstance(node, str):
+            linked += len(" ".join(node.split())) * within
+        elif node.kind != 2:
+            todo.extend((c, within or node.tag == "a") for c in node.children)
+    return 2 * linked >= chars
+
+
 def _outermost(root: Node, tag: str) -> list[Node]:
     found, todo = [], [root]
     while todo:
