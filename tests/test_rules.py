@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from timeweave.functions import fuzzy, numbers, rewrite, signals, slides
+from timeweave.functions import fuzzy, loops, numbers, rewrite, signals, slides
 from timeweave.functions import text as X
 from timeweave.functions import values as V
 from timeweave.operators import aggregates, audit, joins, matching, notes, ranks, rules, sequences
@@ -81,7 +81,7 @@ def test_repeats_inside_lines(spark):
                 best = max(best, len(m[0]) // len(m[1]))
         return best
 
-    assert column(spark, lines, lambda c: X.inline_repeat(X.squash(c))) == [plain(x) for x in lines]
+    assert column(spark, lines, lambda c: X.inline_repeat(loops.squash(c))) == [plain(x) for x in lines]
 
 
 def plain_loop(lines):

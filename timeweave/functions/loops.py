@@ -34,6 +34,25 @@ def repeats_inside(line: str) -> int:
     return max((len(m[0]) // len(m[1]) for m in _INNER.finditer(line) if not _NUMBER.fullmatch(m[1])), default=0)
 
 
+def squash(text: Column) -> Column:
+    """The form for comparison (squashed); null stays null."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else squashed(t) for t in texts.to_pylist()], pa.string())
+
+    return arrow_udf(run, "string")(text)
+
+
+def squash_lines(lines: Column) -> Column:
+    """The same of an array's lines."""
+
+    def run(rows: pa.Array) -> pa.Array:
+        parts = [pa.array([None if r is None else [None if x is None else squashed(x) for x in r] for r in rows.slice(at, 64).to_pylist()], pa.list_(pa.string())) for at in range(0, len(rows), 64)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
+
+    return arrow_udf(run, "array<string>")(lines)
+
+
 def payload(text: str) -> str:
     """A note without front matter, embeds, link syntax, cited times and addresses."""
     t = _FRONT.sub("", text, count=1)

@@ -62,17 +62,12 @@ def language_verdict(text: Column, low: float = 0.1, high: float = 0.6) -> Colum
     return F.when(share.isNull(), "unknown").when(share >= high, "zh").when(share <= low, "en").otherwise("bilingual")
 
 
-# The marks that comparison ignores, and the full-width forms of ASCII.
+# The marks that comparison ignores, and the full-width forms of ASCII (for SQL that has no normal forms).
 MARKS = "[\\s\u3000，。、；：！？「」『』（）()\\[\\]【】《》〈〉…—–\\-~～·．,.;:!?\"'“”‘’/\\\\|]+"
 WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
 NARROW = "".join(chr(c) for c in range(0x21, 0x7F))
 
 
-def squash(text: Column) -> Column:
-    """The form for comparison: full-width forms narrowed, lower case, without white space and marks."""
-    return F.regexp_replace(F.lower(F.translate(text, WIDE, NARROW)), MARKS, "")
-
-
 def all_grams(text: Column, n: int) -> Column:
     """Every run of n characters, in order; none for shorter texts. One scan of the text."""
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)

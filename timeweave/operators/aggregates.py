@@ -77,10 +77,10 @@ def distribution(df: DataFrame, keys: list[str], value: str, cut: float) -> Data
 def collapse_share(segments: DataFrame, keys: list[str], is_short: Column, min_n: int = 20, share: float = 0.5, run: int = 12) -> DataFrame:
     """Share of short segments and the longest run of them; collapsed by share (of enough segments) or by run."""
     w = Window.partitionBy(*keys).orderBy("start_s")
-    s = segments.withColumn("s", F.coalesce(is_short, F.lit(False)).cast("int"))
-    s = s.withColumn("__tw_island", F.sum(1 - F.col("s")).over(w))
-    runs = s.groupBy(*keys, "__tw_island").agg(F.sum("s").alias("r"), F.count("*").alias("c"))
-    out = runs.groupBy(*keys).agg(F.sum("c").alias("n"), (F.sum("r") / F.sum("c")).alias("short_share"), F.max("r").alias("longest_run"))
+    s = segments.withColumn("__tw_s", F.coalesce(is_short, F.lit(False)).cast("int"))
+    s = s.withColumn("__tw_island", F.sum(1 - F.col("__tw_s")).over(w))
+    runs = s.groupBy(*keys, "__tw_island").agg(F.sum("__tw_s").alias("__tw_r"), F.count("*").alias("__tw_c"))
+    out = runs.groupBy(*keys).agg(F.sum("__tw_c").alias("n"), (F.sum("__tw_r") / F.sum("__tw_c")).alias("short_share"), F.max("__tw_r").alias("longest_run"))
     return out.withColumn("collapsed", ((F.col("n") >= min_n) & (F.col("short_share") >= share)) | (F.col("longest_run") >= run))
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.loops import loop_info
+from ..functions.loops import loop_info, squash
 from ..functions.numbers import numbers
-from ..functions.text import bigram_jaccard, squash
+from ..functions.text import bigram_jaccard
 from .aggregates import window_of
 from .joins import overlap_pairs
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import loops as L
 from ..functions import text as X
 from ..functions import values as V
 from .proxies import HASH, SEG, hashes, segments, table
@@ -150,7 +151,7 @@ def _f28(spark, d):
 
 MARKS_SQL = X.MARKS.replace("'", "''")
 WIDE_NAME = "p_name || '，Ｂ' || p_brand || ' 5％-（X）' || p_type"
-column("f32_squash", "part", "p_partkey", lambda: X.squash(F.concat("p_name", F.lit("，Ｂ"), "p_brand", F.lit(" 5％-（X）"), "p_type")), f"regexp_replace(lower(translate({WIDE_NAME}, '{X.WIDE}', '{X.NARROW.replace(chr(39), chr(39) * 2)}')), '{MARKS_SQL}', '', 'g')")
+column("f32_squash", "part", "p_partkey", lambda: L.squash(F.concat("p_name", F.lit("，Ｂ"), "p_brand", F.lit(" 5％-（X）"), "p_type")), f"regexp_replace(lower(translate({WIDE_NAME}, '{X.WIDE}', '{X.NARROW.replace(chr(39), chr(39) * 2)}')), '{MARKS_SQL}', '', 'g')")
 
 
 @query("f37_script_class", rf"""with t as (select doc_id, regexp_replace({HAN_DOC}, '\s+', '', 'g') as x from documents) select doc_id, case when len(regexp_extract_all(x, '\p{{Han}}')) >= 0.3 * greatest(length(x), 1) then 'cjk' else 'latin' end as v from t""")
@@ -178,4 +179,4 @@ column("f66_gpu_verdict", "part", "p_partkey", lambda: V.gpu_verdict(C("p_size")
 STATUS = [400, 404, 429, 500, 502, 503, 504, 522, 524]
 column("f67_transient_error", "orders", "o_orderkey", lambda: X.transient_error(F.when(C("o_orderkey") % 5 == 0, "timeout").when(C("o_orderkey") % 5 == 1, "value").when(C("o_orderkey") % 5 != 2, "http"), F.element_at(F.array(*map(F.lit, STATUS)), (C("o_orderkey") % 9 + 1).cast("int"))), f"case when o_orderkey % 5 = 0 then true when o_orderkey % 5 in (1, 2) then false else {STATUS}[o_orderkey % 9 + 1] in (500, 502, 503, 504, 522, 524) end")
 column("f68_fingerprint", "documents", "doc_id", lambda: V.fingerprint(F.encode("text", "utf-8"), F.octet_length("text"), C("n_chars")), "", with_sql=False)
-column("f36_inline_repeat", "documents", "doc_id", lambda: F.array_max(F.transform(F.split("text", "\n"), lambda l: X.inline_repeat(X.squash(l)))), "", with_sql=False)
+column("f36_inline_repeat", "documents", "doc_id", lambda: F.array_max(F.transform(L.squash_lines(F.split("text", "\n")), X.inline_repeat)), "", with_sql=False)

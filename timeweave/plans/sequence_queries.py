@@ -59,9 +59,9 @@ def _w5(spark, d):
     return W.block_end(segments(spark, d).select("conv_id", "role", "turn", "start_s"), ["conv_id", "role"], "start_s")
 
 
-@query("w6_cover_span", f"with {SEG} select conv_id, turn, lead(start_s) over (partition by conv_id order by start_s) as cover_end from seg where role = 'user'")
+@query("w6_cover_span", f"with {SEG} select conv_id, turn, lead(start_s) over (partition by conv_id, role order by start_s) as cover_end from seg")
 def _w6(spark, d):
-    return W.cover_span(segments(spark, d).where("role = 'user'"), ["conv_id"], "start_s").select("conv_id", "turn", "cover_end")
+    return W.cover_span(segments(spark, d), ["conv_id", "role"], "start_s").select("conv_id", "turn", "cover_end")
 
 
 @query("j17_inherit_time", f"""with {SEG}, t as (select conv_id, turn, case when turn % 3 = 1 then start_s end as start_s from seg)
@@ -191,9 +191,9 @@ def _w21(spark, d):
     return W.first_owner(table(spark, d, "lineitem"), "l_partkey", "l_orderkey", ["l_shipdate", "l_orderkey", "l_linenumber"])
 
 
-@query("w22_contiguous", "select l_orderkey, min(l_linenumber) as lo, max(l_linenumber) as hi, count(distinct l_linenumber) as n, max(l_linenumber) - min(l_linenumber) + 1 = count(distinct l_linenumber) as contiguous from lineitem where l_quantity > 10 group by 1")
+@query("w22_contiguous", "with p as (select l_orderkey, l_linenumber + case when l_quantity > 10 then 0 else 1 end as place from lineitem) select l_orderkey, min(place) as lo, max(place) as hi, count(distinct place) as n, max(place) - min(place) + 1 = count(distinct place) as contiguous from p group by 1")
 def _w22(spark, d):
-    return W.contiguous(table(spark, d, "lineitem").where("l_quantity > 10"), ["l_orderkey"], "l_linenumber")
+    return W.contiguous(table(spark, d, "lineitem").withColumn("place", F.col("l_linenumber") + F.when(F.col("l_quantity") > 10, 0).otherwise(1)), ["l_orderkey"], "place")
 
 
 @query("w23_order_diff", """select l_orderkey, l_linenumber, cast("at" as int) as "at", cast(chrono as int) as chrono from (select l_orderkey, l_linenumber, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_extendedprice) as "at", row_number() over (partition by l_orderkey order by l_shipdate, l_linenumber, l_partkey, l_extendedprice) as chrono from lineitem) where "at" <> chrono""")
@@ -219,8 +219,8 @@ def _w26(spark, d):
     return W.running_eta(table(spark, d, "events").withColumn("s", F.col("event_id") % 100), ["user_id"], "event_id", "s").select("user_id", "event_id", "eta_s")
 
 
-@query("w27_plan_findings", f"""with {SPAN}, t as (select *, max(hi) over (partition by user_id) as total from span where event_type = 'view'), n as (select *, lead(lo) over (partition by user_id order by lo) as nxt from t)
+@query("w27_plan_findings", f"""with {SPAN}, t as (select *, max(hi) over (partition by user_id, event_type) as total from span), n as (select *, lead(lo) over (partition by user_id, event_type order by lo) as nxt from t)
 select user_id, event_id, case when nxt < hi then 'overlap' when nxt > hi then 'gap' when nxt is null and hi < total then 'short' else 'ok' end as finding, cast(ceil(total / 1800.0) as bigint) as chunks from n""")
 def _w27(spark, d):
-    t = spans(spark, d).where("event_type = 'view'").withColumn("total", F.max("hi").over(Window.partitionBy("user_id")))
-    return W.plan_findings(t, ["user_id"], "lo", "hi", "total").select("user_id", "event_id", "finding", "chunks")
+    t = spans(spark, d).withColumn("total", F.max("hi").over(Window.partitionBy("user_id", "event_type")))
+    return W.plan_findings(t, ["user_id", "event_type"], "lo", "hi", "total").select("user_id", "event_id", "finding", "chunks")

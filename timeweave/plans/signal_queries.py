@@ -45,9 +45,10 @@ def _f34(spark, d):
     return o.select("o_orderkey", number(told).alias("units"), number(F.concat(told, F.lit("萬"))).alias("myriads"), number(F.concat(told, F.lit("點"), last)).alias("point"), number(F.concat(told, F.lit("點"))).alias("none"))
 
 
-@query("f35_numbers", """select o_orderkey, concat_ws(',', (o_orderkey % 900 + 100)::varchar || '000', (o_orderkey % 90 + 10)::varchar || '%', (o_orderkey % 90 + 10)::varchar || '.5', (o_orderkey % 9 + 1)::varchar || '0000', '789', (o_orderkey % 10000)::varchar || case when false then '' else '' end) as v from orders where o_orderkey % 10000 > 19 and o_orderkey % 10 <> 0""")
+@query("f35_numbers", """select o_orderkey, concat_ws(',', (o_orderkey % 900 + 100)::varchar || '000', (o_orderkey % 90 + 10)::varchar || '%', (o_orderkey % 90 + 10)::varchar || '.5', (o_orderkey % 9 + 1)::varchar || '0000', '789', case when o_orderkey % 10000 > 9 then (o_orderkey % 10000)::varchar end) as v from orders""")
 def _f35(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey % 10000 > 19 and o_orderkey % 10 <> 0")
+    """A numeral of one character before no measure is no number."""
+    o = table(spark, d, "orders")
     k = C("o_orderkey")
     text = F.concat((k % 900 + 100).cast("string"), F.lit(",000 人 "), (k % 90 + 10).cast("string"), F.lit(" % 和 "), (k % 90 + 10).cast("string"), F.lit(".50；第一 "), (k % 9 + 1).cast("string"), F.lit(" 萬 7、8、9 月 "), _numeral(k % 10000), F.lit(" 千萬不要"))
     return o.select("o_orderkey", F.array_join(numbers.numbers(text), ",").alias("v"))
@@ -84,11 +85,11 @@ def _f40(spark, d):
     return s.select("doc_id", C("json").isNotNull().alias("parsed"), F.array_join("s.labels", "|").alias("labels"), "s.clinical", "s.density", F.array_join("s.type", "|").alias("type"), "s.chart", F.array_join(signals.clean_labels(C("s.labels"), ["共享"]), "|").alias("clean"))
 
 
-@query("f43_paste_guard", """with t as (select doc_id, text, list_distinct(list_transform(regexp_extract_all(split_part(text, chr(10), 1) || ' zebra quagga okapi', '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as own, list_distinct(list_transform(regexp_extract_all(substring(text, 40), '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as seen from documents)
-select doc_id, case when length(substring(text, 40)) < 60 then true else len(list_intersect(own, seen)) / len(own) >= 0.2 end as v from t""")
+@query("f43_paste_guard", """with t as (select doc_id, text, list_distinct(list_transform(regexp_extract_all(split_part(text, chr(10), 1) || ' zebra quagga okapi', '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as own, list_distinct(list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as seen from documents)
+select doc_id, case when length(text) < 60 then true else len(list_intersect(own, seen)) / len(own) >= 0.2 end as v from t""")
 def _f43(spark, d):
     labels = F.array(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("zebra quagga okapi"))
-    return table(spark, d, "documents").select("doc_id", signals.paste_guard(labels, F.substring(C("text"), F.lit(40), F.length("text"))).alias("v"))
+    return table(spark, d, "documents").select("doc_id", signals.paste_guard(labels, C("text")).alias("v"))
 
 
 @query("f44_local_time", """select event_id, case event_id % 5 when 0 then (date_trunc('second', ts) + interval 8 hour)::timestamptz when 4 then null else date_trunc('second', ts)::timestamptz end as at,
@@ -216,13 +217,13 @@ def _f52(spark, d):
 
 @query("f56_split_caption")
 def _f56(spark, d):
-    c = F.regexp_replace(F.replace(F.replace(F.substring("text", 1, 90), F.lit(", "), F.lit("，")), F.lit(". "), F.lit("（")), "\\n", "）")
+    c = F.regexp_replace(F.replace(F.replace("text", F.lit(", "), F.lit("，")), F.lit(". "), F.lit("（")), "\\n", "）")
     return table(spark, d, "documents").select("doc_id", slides.split_caption(c).alias("c")).select("doc_id", "c.*")
 
 
 # ---------------------------------------------------------------- segmentation audit
 
-@query("v2_segmentation_audit", """with e as (select user_id, event_id, cast(floor(epoch_us(ts) / 1000000.0) as bigint) as lo, cast(floor(epoch_us(ts) / 1000000.0) as bigint) + cast(value * 60 as bigint) as hi, event_id % 7 as seg from events where event_type <> 'error'),
+@query("v2_segmentation_audit", """with e as (select user_id, event_id, cast(floor(epoch_us(ts) / 1000000.0) as bigint) as lo, cast(floor(epoch_us(ts) / 1000000.0) as bigint) + cast(value * 60 as bigint) as hi, event_id % 7 as seg from events),
 r as (select *, row_number() over (partition by user_id order by lo, event_id) - 1 as pos from e), s as (select user_id, seg, min(pos) as a, max(pos) as b, count(*) as n from r where seg > 0 group by 1, 2),
 q as (select user_id, count(*) filter (b - a + 1 <> n) as holes from s group by 1), c as (select user_id, count(*) filter (seg = 0) as uncovered from r group by 1),
 o as (select user_id, count(*) filter (play <> first) as moved from (select user_id, row_number() over (partition by user_id order by seg) as play, row_number() over (partition by user_id order by a) as first from s) group by 1),
@@ -232,7 +233,7 @@ t as (select user_id, 'segments-noncontiguous' as code, 'REGENERATE' as level, h
   union all select user_id, 'split-recordings', 'INFO', chains from g union all select user_id, 'natural-breaks', 'INFO', breaks from g union all select user_id, 'parallel-tracks', 'REVIEW', n from p)
 select user_id, code, level, n from t where n > 0""")
 def _v2s(spark, d):
-    e = table(spark, d, "events").where("event_type <> 'error'")
+    e = table(spark, d, "events")
     lo = F.floor(F.unix_micros(C("ts").cast("timestamp")) / 1000000)
     sources = e.select("user_id", "event_id", lo.alias("lo"), (lo + F.round(C("value") * 60).cast("long")).alias("hi"))
     placed = e.where("event_id % 7 > 0").select("user_id", "event_id", (C("event_id") % 7).alias("seg"), (C("event_id") % 7).alias("display_order"))

@@ -33,7 +33,7 @@ def parse_vtt(files: DataFrame, key: str, value: str) -> DataFrame:
     cues = blocks.select(key, "pos", _seconds(F.regexp_extract("b", stamp, 1)).alias("start_s"), _seconds(F.regexp_extract("b", stamp, 2)).alias("end_s"), lines.alias("lines"))
     w = Window.partitionBy(key).orderBy("pos")
     fresh = cues.withColumn("text", F.array_join(F.array_except("lines", F.coalesce(F.lag("lines").over(w), F.array().cast("array<string>"))), " ")).where("text <> ''")
-    return fresh.withColumn("_p", F.lag("text").over(w)).withColumn("_i", F.sum((~F.col("text").eqNullSafe(F.col("_p"))).cast("int")).over(w)).groupBy(key, "_i").agg(F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.first("text").alias("text")).withColumn("seg_id", F.col("_i") - 1).drop("_i")
+    return fresh.withColumn("__tw_p", F.lag("text").over(w)).withColumn("__tw_i", F.sum((~F.col("text").eqNullSafe(F.col("__tw_p"))).cast("int")).over(w)).groupBy(key, "__tw_i").agg(F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.first("text").alias("text")).withColumn("seg_id", F.col("__tw_i") - 1).drop("__tw_i")
 
 
 def event_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
@@ -49,7 +49,7 @@ def words(spark: SparkSession, path: str) -> DataFrame:
 def corpus(files: DataFrame, book: str, name: str, text: str, per_book: int = 15, chars: int = 200_000) -> DataFrame:
     """At most ``per_book`` files of each book by name, each cut to ``chars``: the scan's defined limits."""
     w = Window.partitionBy(book).orderBy(name)
-    return files.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_book).drop("_r").withColumn(text, F.substring(text, 1, chars))
+    return files.withColumn("__tw_r", F.row_number().over(w)).where(F.col("__tw_r") <= per_book).drop("__tw_r").withColumn(text, F.substring(text, 1, chars))
 
 
 def json_strings(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -25,7 +25,7 @@ def transcript_lines(segments: DataFrame, start: str, text: str) -> DataFrame:
 def render_markdown(rows: DataFrame, keys: list[str], title: str, order: str, line: str) -> DataFrame:
     """One document per key: a heading and its lines in order."""
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, line))), lambda x: F.concat(F.lit("- "), x[line])), "\n")
-    return rows.groupBy(*keys, title).agg(body.alias("_b")).select(*keys, F.concat(F.lit("# "), F.col(title).cast("string"), F.lit("\n"), "_b").alias("text"))
+    return rows.groupBy(*keys, title).agg(body.alias("__tw_b")).select(*keys, F.concat(F.lit("# "), F.col(title).cast("string"), F.lit("\n"), "__tw_b").alias("text"))
 
 
 def timeline_json(blocks: DataFrame, keys: list[str], order: str, fields: list[str]) -> DataFrame:
