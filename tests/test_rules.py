@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from timeweave.functions import fuzzy, loops, numbers, rewrite, signals, slides
+from timeweave.functions import fuzzy, grams, loops, numbers, rewrite, signals, slides
 from timeweave.functions import text as X
 from timeweave.functions import values as V
 from timeweave.operators import aggregates, audit, joins, matching, notes, ranks, rules, sequences
@@ -424,3 +424,17 @@ def test_discordant_pairs_match_all_pairs(spark, monkeypatch, small, block, most
             want[k] = (sum(known) / len(known) if known else None, len(pairs))
     got = ranks.discordant_fraction(spark.createDataFrame(rows, "k string, a int, b int"), ["k"], "a", "b").collect()
     assert {r["k"]: (r["discordant"] if r["discordant"] is None else pytest.approx(r["discordant"]), r["pairs"]) for r in got} == want
+
+
+def test_gram_hashes_are_those_of_each_text(spark, monkeypatch):
+    rng = random.Random(1)
+    texts = ["".join(rng.choices("ab中𝒜 ", k=rng.randrange(0, 30))) for _ in range(300)]
+    seen = {}
+    for step in (1, 50, 1 << 20):
+        monkeypatch.setattr(grams, "STEP", step)
+        got = column(spark, [*texts, None], lambda c: grams.gram_hashes(c, 6))
+        assert got[-1] == []
+        for t, found in zip(texts, got[:-1], strict=True):
+            runs = [t[i : i + 6] for i in range(len(t) - 5)]
+            assert len(found) == len(runs) and all(seen.setdefault(r, h) == h for r, h in zip(runs, found, strict=True))
+    assert len(set(seen.values())) == len(seen)

@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import all_grams
+from ..functions.grams import gram_hashes
 from .matching import mentions
 
 
@@ -91,8 +91,8 @@ def replace_overlapping(master: DataFrame, ranges: DataFrame, keys: list[str], w
 
 
 def char_grams(df: DataFrame, keys: list[str], text: str, n: int = 6) -> DataFrame:
-    """(keys, gram): the runs of n characters of each text, its white space left out."""
-    return df.select(*keys, F.explode(all_grams(F.regexp_replace(text, "\\s+", ""), n)).alias("gram"))
+    """(keys, gram): 64-bit hashes of the runs of n characters of each text, its white space left out."""
+    return df.select(*keys, F.explode(gram_hashes(F.regexp_replace(text, "\\s+", ""), n)).alias("gram"))
 
 
 def offset_votes(clip_grams: DataFrame, rec_grams: DataFrame, bin_s: int = 5, max_freq: int = 4) -> DataFrame:
