@@ -438,3 +438,11 @@ def test_gram_hashes_are_those_of_each_text(spark, monkeypatch):
             runs = [t[i : i + 6] for i in range(len(t) - 5)]
             assert len(found) == len(runs) and all(seen.setdefault(r, h) == h for r, h in zip(runs, found, strict=True))
     assert len(set(seen.values())) == len(seen)
+
+
+def test_parts_of_long_files(spark):
+    media = spark.createDataFrame([("a", 24 << 20, 9999.0), ("b", (24 << 20) + 1, 2400.0), ("c", 1 << 30, 2400.5), ("d", 1 << 30, None), ("e", None, 5000.0), ("f", 1 << 30, 0.0)], "k string, size long, s double")
+    parts = sequences.transcription_parts(media, ["k"], "size", "s")
+    assert sorted(((r["k"], r["part"], r["offset_s"], r["until_s"]) for r in parts.collect()), key=repr) == [("a", 0, 0, 9999), ("b", 0, 0, 1200), ("b", 1, 1200, 2400), ("c", 0, 0, 1200), ("c", 1, 1200, 2400), ("c", 2, 2400, 2400.5), ("d", 0, 0, None), ("e", 0, 0, 5000), ("f", 0, 0, 0)]
+    heard = spark.createDataFrame([("c", 2, 0.005, 0.333, "x"), ("b", 0, 1.0, 2.0, "y"), ("z", 0, 1.0, 2.0, "no such file")], "k string, part int, start_s double, end_s double, text string")
+    assert sorted(tuple(r) for r in sequences.joined_parts(heard, parts, ["k"]).collect()) == [("b", 0, 1.0, 2.0, "y"), ("c", 2, 2400.01, 2400.33, "x")]

@@ -328,3 +328,22 @@ def plan_findings(plan: DataFrame, keys: list[str], lo: str, hi: str, total: str
     nxt = F.lead(lo).over(w)
     finding = F.when(nxt < F.col(hi), "overlap").when(nxt > F.col(hi), "gap").when(nxt.isNull() & (F.col(hi) < F.col(total)), "short").otherwise("ok")
     return plan.withColumn("finding", finding).withColumn("chunks", F.ceil(F.col(total) / chunk_s))
+
+
+def transcription_parts(media: DataFrame, keys: list[str], size: str, duration: str, cap_bytes: int = 24 << 20, part_s: int = 1200) -> DataFrame:
+    """The parts in which a file is sent to a transcriber: keys, part from 0, offset_s, until_s.
+
+    A file up to ``cap_bytes`` is one part, a larger one is cut every ``part_s``
+    seconds. Files without a duration give one part with a null end.
+    """
+    n = F.when(F.coalesce(F.col(size) <= cap_bytes, F.lit(True)) | F.col(duration).isNull(), 1).otherwise(F.greatest(F.ceil(F.col(duration) / part_s), F.lit(1)))
+    parts = media.select(*keys, duration, n.cast("int").alias("__tw_n"), F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))).alias("part"))
+    end = F.when(F.col("part") == F.col("__tw_n") - 1, F.col(duration).cast("double")).otherwise((F.col("part") + 1) * float(part_s))
+    return parts.select(*keys, "part", (F.col("part") * float(part_s)).alias("offset_s"), end.alias("until_s"))
+
+
+def joined_parts(segments: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Segments of parts (keys, part, start_s, end_s) on their file's own time, rounded to hundredths."""
+    placed = segments.join(parts.select(*keys, "part", F.col("offset_s").alias("__tw_o")), [*keys, "part"])
+    on_file = {c: F.round(F.col(c) + F.col("__tw_o"), 2) for c in ("start_s", "end_s")}
+    return placed.withColumns(on_file).drop("__tw_o")

@@ -224,3 +224,28 @@ select user_id, event_id, case when nxt < hi then 'overlap' when nxt > hi then '
 def _w27(spark, d):
     t = spans(spark, d).withColumn("total", F.max("hi").over(Window.partitionBy("user_id", "event_type")))
     return W.plan_findings(t, ["user_id", "event_type"], "lo", "hi", "total").select("user_id", "event_id", "finding", "chunks")
+
+
+#: Events as media of ``value`` minutes in 64 kilobits a second, cut into parts.
+PARTS = """media as (select event_id, value * 60 as duration, cast(floor(value * 60 * 8000) as bigint) as size from events),
+part as (select event_id, unnest(range(0, case when size <= 25165824 then 1 else greatest(cast(ceil(duration / 1200) as bigint), 1) end))::int as part, duration, case when size <= 25165824 then 1 else greatest(cast(ceil(duration / 1200) as bigint), 1) end as n from media),
+cut as (select event_id, part, part * 1200.0::double as offset_s, case when part = n - 1 then duration else (part + 1) * 1200.0::double end as until_s from part)"""
+
+
+def _parts(spark, d):
+    seconds = F.col("value") * 60
+    media = table(spark, d, "events").select("event_id", seconds.alias("duration"), F.floor(seconds * 8000).alias("size"))
+    return W.transcription_parts(media, ["event_id"], "size", "duration")
+
+
+@query("x2_transcription_parts", f"with {PARTS} select * from cut")
+def _x2(spark, d):
+    return _parts(spark, d)
+
+
+@query("x2_joined_parts", f"with {PARTS} select event_id, part, round(1.25 + part + offset_s, 2) as start_s, round(3.5 + part + offset_s, 2) as end_s from cut")
+def _x2j(spark, d):
+    """Each part heard as one segment near its start."""
+    parts = _parts(spark, d)
+    heard = parts.select("event_id", "part", (F.col("part") + 1.25).alias("start_s"), (F.col("part") + 3.5).alias("end_s"))
+    return W.joined_parts(heard, parts, ["event_id"])
