@@ -14,7 +14,7 @@ from timeweave.functions import fuzzy, grams, loops, numbers, rewrite, signals,
 from timeweave.functions import text as X
 from timeweave.functions import values as V
 from timeweave.operators import aggregates, audit, joins, matching, notes, ranks, rules, sequences
-from timeweave.plans import scalar_queries
+from timeweave.plans import scalar_queries, sequence_queries, signal_queries
 from timeweave.sources import engines
 
 
@@ -321,6 +321,14 @@ def test_captions(spark, caption, want):
     assert tuple(column(spark, [caption], slides.split_caption)[0]) == want
 
 
+def test_plan_rows_that_begin_together_have_one_order(spark, tmp_path):
+    rows = [(i, "2024-01-01 00:00:00", 1, "view", float(i)) for i in range(1, 9)]
+    want = {(i, "overlap") for i in range(1, 8)} | {(8, "ok")}
+    for name, given in (("up", rows), ("down", rows[::-1])):
+        spark.createDataFrame(given, "event_id long, ts string, user_id long, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(str(tmp_path / name / "events.parquet"))
+        assert {(r["event_id"], r["finding"]) for r in sequence_queries.QUERIES["w27_plan_findings"](spark, str(tmp_path / name)).collect()} == want
+
+
 def test_crop_rules(spark):
     kind = "slides string, x int, y int, w int, h int"
     rows = [("1-10", 0, 0, 200, 200), ("5-6", 0, 0, 200, 200), ("x", 0, 0, 200, 200), ("20-12", 0, 0, 200, 200), ("30", -1, 0, 200, 200), ("40", 0, 0, 199, 200), ("50", 0, 0, 300, 300)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -322,9 +324,12 @@ def running_eta(df: DataFrame, keys: list[str], order: str, seconds: str) -> Dat
     return df.withColumn("eta_s", F.avg(seconds).over(w.rowsBetween(Window.unboundedPreceding, 0)) * left)
 
 
-def plan_findings(plan: DataFrame, keys: list[str], lo: str, hi: str, total: str, chunk_s: int = 1800) -> DataFrame:
-    """Plan rows that overlap the next one, leave a gap, or end the plan short of ``total``; with the chunks a recording needs."""
-    w = Window.partitionBy(*keys).orderBy(lo)
+def plan_findings(plan: DataFrame, keys: list[str], lo: str, hi: str, total: str, chunk_s: int = 1800, ties: Sequence[str] = ()) -> DataFrame:
+    """Plan rows that overlap the next one, leave a gap, or end the plan short of ``total``; with the chunks a recording needs.
+
+    Rows that begin together follow each other by the columns ``ties``; without them which one is next is left open.
+    """
+    w = Window.partitionBy(*keys).orderBy(lo, *ties)
     nxt = F.lead(lo).over(w)
     finding = F.when(nxt < F.col(hi), "overlap").when(nxt > F.col(hi), "gap").when(nxt.isNull() & (F.col(hi) < F.col(total)), "short").otherwise("ok")
     return plan.withColumn("finding", finding).withColumn("chunks", F.ceil(F.col(total) / chunk_s))

@@ -223,7 +223,7 @@ def _w26(spark, d):
 select user_id, event_id, case when nxt < hi then 'overlap' when nxt > hi then 'gap' when nxt is null and hi < total then 'short' else 'ok' end as finding, cast(ceil(total / 1800.0) as bigint) as chunks from n""")
 def _w27(spark, d):
     t = spans(spark, d).withColumn("total", F.max("hi").over(Window.partitionBy("user_id", "event_type")))
-    return W.plan_findings(t, ["user_id", "event_type"], "lo", "hi", "total").select("user_id", "event_id", "finding", "chunks")
+    return W.plan_findings(t, ["user_id", "event_type"], "lo", "hi", "total", ties=["event_id"]).select("user_id", "event_id", "finding", "chunks")
 
 
 #: Events as media of ``value`` minutes in 64 kilobits a second, cut into parts.
