@@ -321,6 +321,14 @@ def test_captions(spark, caption, want):
     assert tuple(column(spark, [caption], slides.split_caption)[0]) == want
 
 
+def test_paste_guard_hears_the_text_below(spark, tmp_path):
+    """Labels of a text's first line are always in that text: only the lines below can speak against them."""
+    told = {1: "alpha beta gamma\n" + "other words " * 10, 2: "alpha beta gamma\n" + "alpha words " * 10, 3: "alpha beta gamma " * 10, 4: "\n" + "words " * 20}
+    spark.createDataFrame(list(told.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = signal_queries.QUERIES["f43_paste_guard"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["v"], r["v_below"]) for r in rows} == {1: (True, False), 2: (True, False), 3: (True, True), 4: (False, False)}
+
+
 def test_plan_rows_that_begin_together_have_one_order(spark, tmp_path):
     rows = [(i, "2024-01-01 00:00:00", 1, "view", float(i)) for i in range(1, 9)]
     want = {(i, "overlap") for i in range(1, 8)} | {(8, "ok")}

@@ -85,11 +85,15 @@ def _f40(spark, d):
     return s.select("doc_id", C("json").isNotNull().alias("parsed"), F.array_join("s.labels", "|").alias("labels"), "s.clinical", "s.density", F.array_join("s.type", "|").alias("type"), "s.chart", F.array_join(signals.clean_labels(C("s.labels"), ["共享"]), "|").alias("clean"))
 
 
-@query("f43_paste_guard", """with t as (select doc_id, text, list_distinct(list_transform(regexp_extract_all(split_part(text, chr(10), 1) || ' zebra quagga okapi', '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as own, list_distinct(list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as seen from documents)
-select doc_id, case when length(text) < 60 then true else len(list_intersect(own, seen)) / len(own) >= 0.2 end as v from t""")
+@query("f43_paste_guard", """with d as (select doc_id, text, case when contains(text, chr(10)) then substring(text, length(split_part(text, chr(10), 1)) + 2) else text end as below from documents),
+t as (select doc_id, text, below, list_distinct(list_transform(regexp_extract_all(split_part(text, chr(10), 1) || ' zebra quagga okapi', '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as own, list_distinct(list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as seen, list_distinct(list_transform(regexp_extract_all(below, '[A-Za-z][A-Za-z0-9-]{2,}|[一-鿿]{2,}'), lambda x: lower(x))) as seen_below from d)
+select doc_id, case when length(text) < 60 then true else len(list_intersect(own, seen)) / len(own) >= 0.2 end as v, case when length(below) < 60 then true else len(list_intersect(own, seen_below)) / len(own) >= 0.2 end as v_below from t""")
 def _f43(spark, d):
-    labels = F.array(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("zebra quagga okapi"))
-    return table(spark, d, "documents").select("doc_id", signals.paste_guard(labels, C("text")).alias("v"))
+    """A text's first line as cached labels: against the whole text, of which they are a part, and against the lines below them."""
+    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    labels = F.array(first, F.lit("zebra quagga okapi"))
+    below = F.when(F.contains(C("text"), F.lit("\n")), F.substring(C("text"), F.length(first) + 2, F.length("text"))).otherwise(C("text"))
+    return table(spark, d, "documents").select("doc_id", signals.paste_guard(labels, C("text")).alias("v"), signals.paste_guard(labels, below).alias("v_below"))
 
 
 @query("f44_local_time", """select event_id, case event_id % 5 when 0 then (date_trunc('second', ts) + interval 8 hour)::timestamptz when 4 then null else date_trunc('second', ts)::timestamptz end as at,
