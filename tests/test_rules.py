@@ -321,6 +321,13 @@ def test_captions(spark, caption, want):
     assert tuple(column(spark, [caption], slides.split_caption)[0]) == want
 
 
+def test_caption_is_computed_once(spark):
+    caption = F.regexp_replace("t", "marker", "x")
+    df = spark.createDataFrame([("標：" + "長" * 40,)], "t string").select(slides.split_caption(caption).alias("c")).select("c.*")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("marker") == 1
+    assert tuple(df.first()) == ("標", "長" * 40)
+
+
 def test_paste_guard_hears_the_text_below(spark, tmp_path):
     """Labels of a text's first line are always in that text: only the lines below can speak against them."""
     told = {1: "alpha beta gamma\n" + "other words " * 10, 2: "alpha beta gamma\n" + "alpha words " * 10, 3: "alpha beta gamma " * 10, 4: "\n" + "words " * 20}

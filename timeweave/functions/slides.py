@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,26 +48,41 @@ def course_name(slug: Column) -> Column:
     return F.struct(F.when(dated, F.get(parts, F.lit(0))).otherwise("").alias("date"), F.coalesce(F.get(rest, F.lit(0)), F.lit("unknown")).alias("speaker"), F.when(F.size(rest) > 1, topic).otherwise("lecture").alias("topic"))
 
 
+def held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def split_caption(caption: Column, longest: int = CAPTION) -> Column:
-    """(short, rest) of a caption: cut at its first separator within reach, else between words; no bracket is left alone."""
-    c = bare(caption)
-    places = F.array_compact(F.array(*[F.when((F.instr(c, s) > 1) & (F.instr(c, s) <= longest + 1), F.struct((F.instr(c, s) - 1).alias("at"), F.lit(s).alias("sep"))) for s in SEPARATORS]))
-    first = F.array_min(places)
-    inside = F.substring(c, longest, 2).rlike("^[A-Za-z0-9]{2}$")
-    blank = F.length(F.regexp_extract(F.substring(c, 1, longest), "^(.*) [^ ]*$", 1))
-    cut = F.when(first.isNotNull(), first["at"]).when(inside & (blank > 0), blank).otherwise(longest)
-    after = F.substring(c, cut + F.coalesce(F.length(first["sep"]), F.lit(0)) + 1, F.length(c))
-    after = F.when(first["sep"] == "（", F.regexp_replace(after, "^([^）]*)）", "$1")).otherwise(after)
-    short = F.substring(c, F.lit(1), cut)
+    """(short, rest) of a caption: cut at its first separator within reach, else between words; no bracket is left alone.
+
+    Each step is held by the next: an expression that repeats its parts would compute the caption anew for each.
+    """
+    pair = lambda short, rest: F.struct(short.alias("short"), rest.alias("rest"))
     count = lambda x, ch: F.regexp_count(x, F.lit(ch))
-    opened = count(short, "（") > count(short, "）")
-    inner, outer = F.regexp_extract(short, "（([^（]*)$", 1), F.regexp_replace(short, "（[^（]*$", "")
-    rest = F.when(opened, F.concat(inner, F.when(after.rlike("^($|[，；：])"), after).otherwise(F.concat(F.lit(" "), after)))).otherwise(after)
-    short = bare(F.regexp_replace(bare(F.when(opened, outer).otherwise(short)), f"[{EDGES}]+$", ""))
-    rest = F.regexp_replace(bare(rest), f"^[{EDGES}]+", "")
-    rest = F.when(count(rest, "）") > count(rest, "（"), bare(F.regexp_replace(rest, "）([^）]*)$", "$1"))).otherwise(rest)
-    whole = F.length(c) <= longest
-    return F.struct(F.when(whole, c).otherwise(short).alias("short"), F.when(whole, "").otherwise(rest).alias("rest"))
+
+    def placed(c: Column) -> Column:
+        reach = F.substring(c, 1, longest + max(map(len, SEPARATORS)))
+        places = F.array_compact(F.array(*[F.when((F.instr(reach, s) > 1) & (F.instr(reach, s) <= longest + 1), F.struct((F.instr(reach, s) - 1).alias("at"), F.lit(s).alias("sep"))) for s in SEPARATORS]))
+        return F.when(F.length(c) <= longest, pair(c, F.lit(""))).otherwise(held(F.array_min(places), lambda first: divided(c, first)))
+
+    def divided(c: Column, first: Column) -> Column:
+        inside = F.substring(c, longest, 2).rlike("^[A-Za-z0-9]{2}$")
+        blank = F.length(F.regexp_extract(F.substring(c, 1, longest), "^(.*) [^ ]*$", 1))
+        cut = F.when(first.isNotNull(), first["at"]).when(inside & (blank > 0), blank).otherwise(longest)
+        after = lambda cut: F.substring(c, cut + F.coalesce(F.length(first["sep"]), F.lit(0)) + 1, F.length(c))
+        closed = lambda x: F.when(first["sep"] == "（", F.regexp_replace(x, "^([^）]*)）", "$1")).otherwise(x)
+        return held(cut, lambda cut: held(after(cut), lambda x: held(closed(x), lambda after: tidied(F.substring(c, F.lit(1), cut), after))))
+
+    def tidied(short: Column, after: Column) -> Column:
+        opened = count(short, "（") > count(short, "）")
+        inner, outer = F.regexp_extract(short, "（([^（]*)$", 1), F.regexp_replace(short, "（[^（]*$", "")
+        rest = F.when(opened, F.concat(inner, F.when(after.rlike("^($|[，；：])"), after).otherwise(F.concat(F.lit(" "), after)))).otherwise(after)
+        trimmed = bare(F.regexp_replace(bare(F.when(opened, outer).otherwise(short)), f"[{EDGES}]+$", ""))
+        whole = lambda rest: F.when(count(rest, "）") > count(rest, "（"), bare(F.regexp_replace(rest, "）([^）]*)$", "$1"))).otherwise(rest)
+        return pair(trimmed, held(F.regexp_replace(bare(rest), f"^[{EDGES}]+", ""), whole))
+
+    return held(bare(caption), placed)
 
 
 #: Fields of an engine's answer and the kinds that they may have.
