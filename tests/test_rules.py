@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from timeweave.functions import fuzzy, grams, loops, numbers, rewrite, signals, slides
 from timeweave.functions import text as X
 from timeweave.functions import values as V
-from timeweave.operators import aggregates, audit, joins, matching, notes, ranks, rules, sequences
+from timeweave.operators import aggregates, audit, joins, matching, notes, offsets, ranks, rules, sequences
 from timeweave.plans import scalar_queries, sequence_queries, signal_queries
 from timeweave.sources import engines
 
@@ -344,6 +344,28 @@ def test_plan_rows_that_begin_together_have_one_order(spark, tmp_path):
         assert {(r["event_id"], r["finding"]) for r in sequence_queries.QUERIES["w27_plan_findings"](spark, str(tmp_path / name)).collect()} == want
 
 
+def test_offset_votes_without_rows_of_pairs(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "PLACES", 40)
+    monkeypatch.setattr(offsets, "PAIRS", 7)
+    rng = random.Random(9)
+    made = lambda n: [(i, rng.randint(0, 90), "".join(rng.choices("ab c", k=rng.randint(0, 30)))) for i in range(n) for _ in range(rng.randint(1, 4))]
+    clips, recs = [*made(9), (None, 1, "abab"), (1, 2, None)], made(7)
+    seen, want, runs = Counter(), Counter(), lambda x: [x[i : i + 3] for i in range(len(x) - 2)]
+    plain = lambda rows: [(i, t, g) for i, t, x in rows if None not in (i, x) for g in runs(x.replace(" ", ""))]
+    for r, _, g in plain(recs):
+        seen[r, g] += 1
+    for (c, t, g), (r, u, h) in itertools.product(plain(clips), plain(recs)):
+        if g == h and seen[r, h] <= 4:
+            want[c, r, round((u - t) / 5) * 5] += 1
+    sides = [spark.createDataFrame(rows, f"{k} long, t long, text string") for k, rows in (("clip", clips), ("rec", recs))]
+    votes = offsets.offset_votes(*sides, n=3)
+    assert {(r["clip"], r["rec"], r["offset_s"]): r["votes"] for r in votes.collect()} == want
+    best = {}
+    for c, r, o in want:
+        best[c] = min(best.get(c, (0,)), (-sum(want[c, r, o + d] for d in (-5, 0, 5)), r, o))
+    assert {r["clip"]: (-r["votes"], r["rec"], r["offset_s"]) for r in offsets.best_offset(*sides, n=3).collect()} == best
+
+
 def test_crop_rules(spark):
     kind = "slides string, x int, y int, w int, h int"
     rows = [("1-10", 0, 0, 200, 200), ("5-6", 0, 0, 200, 200), ("x", 0, 0, 200, 200), ("20-12", 0, 0, 200, 200), ("30", -1, 0, 200, 200), ("40", 0, 0, 199, 200), ("50", 0, 0, 300, 300)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
+from ..operators import offsets
 from .proxies import HASH, SEG, SPAN, hashes, segments, spans, table
 
 QUERIES, SQL = {}, {}
@@ -82,6 +83,12 @@ rare as (select * from (select *, count(*) over (partition by rec, gram) as n fr
 vote as (select clip, rec, cast(round_even((rare.t - c.t) / 5.0, 0) as bigint) * 5 as offset_s, count(*) as votes from c join rare using (gram) group by all)"""
 
 
+def _clips(spark, d):
+    """Even conversations as clips, odd ones as recordings."""
+    g = segments(spark, d).select("conv_id", F.col("start_s").alias("t"), "text")
+    return g.where("conv_id % 2 = 0").withColumnRenamed("conv_id", "clip"), g.where("conv_id % 2 = 1").withColumnRenamed("conv_id", "rec")
+
+
 def _votes(spark, d):
     grams = J.char_grams(segments(spark, d), ["conv_id", "start_s"], "text")
     clips = grams.where("conv_id % 2 = 0").select(F.col("conv_id").alias("clip"), F.col("start_s").alias("t"), "gram")
@@ -97,7 +104,7 @@ def _j7(spark, d):
 @query("a4_best_offset", f"""with {GRAMS}, s as (select *, cast(sum(votes) over (partition by clip, rec order by offset_s range between 5 preceding and 5 following) as bigint) as smooth from vote)
 select clip, rec, offset_s, smooth as votes, smooth < 40 as low_confidence from (select *, row_number() over (partition by clip order by smooth desc, rec, offset_s) as k from s) where k = 1""")
 def _a4(spark, d):
-    return J.best_offset(_votes(spark, d))
+    return offsets.best_offset(*_clips(spark, d))
 
 
 TOK = f"""{SEG}, tok as (select conv_id * 100 + turn as seg, unnest(regexp_extract_all(lower(text), '[a-z]+')) as token from seg),
