@@ -14,7 +14,7 @@ from timeweave.functions import fuzzy, grams, loops, numbers, rewrite, signals,
 from timeweave.functions import text as X
 from timeweave.functions import values as V
 from timeweave.operators import aggregates, audit, joins, matching, notes, offsets, ranks, rules, sequences
-from timeweave.plans import scalar_queries, sequence_queries, signal_queries
+from timeweave.plans import join_queries, scalar_queries, sequence_queries, signal_queries
 from timeweave.sources import engines
 
 
@@ -364,6 +364,8 @@ def test_offset_votes_without_rows_of_pairs(spark, monkeypatch):
     for c, r, o in want:
         best[c] = min(best.get(c, (0,)), (-sum(want[c, r, o + d] for d in (-5, 0, 5)), r, o))
     assert {r["clip"]: (-r["votes"], r["rec"], r["offset_s"]) for r in offsets.best_offset(*sides, n=3).collect()} == best
+    plan = join_queries.QUERIES["j7_offset_votes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan  # the equal runs of two texts are counted, not listed
 
 
 def test_crop_rules(spark):

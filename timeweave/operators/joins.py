@@ -12,7 +12,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.grams import gram_hashes
 from .matching import mentions
 
 
@@ -90,33 +89,6 @@ def replace_overlapping(master: DataFrame, ranges: DataFrame, keys: list[str], w
     return master.select(*cols).join(gone, [*keys, "start_s", "end_s"], "left_anti").select(*cols).unionByName(ranges.where(F.trim("text") != "").select(*cols))
 
 
-def char_grams(df: DataFrame, keys: list[str], text: str, n: int = 6) -> DataFrame:
-    """(keys, gram): 64-bit hashes of the runs of n characters of each text, its white space left out."""
-    return df.select(*keys, F.explode(gram_hashes(F.regexp_replace(text, "\\s+", ""), n)).alias("gram"))
-
-
-def offset_votes(clip_grams: DataFrame, rec_grams: DataFrame, bin_s: int = 5, max_freq: int = 4) -> DataFrame:
-    """Votes for the offset of a clip in a recording, in bins of ``bin_s`` seconds to the nearest (halves to the even bin).
-
-    Inputs: (clip|rec, t, gram). Grams seen more than ``max_freq`` times in a
-    recording are left out of it. Equal places of a gram are counted before the
-    join, whose rows are what the votes are made of: a gram of many recordings
-    meets all clips that hold it, and AQE splits the partition that it lies in.
-    """
-    places = rec_grams.groupBy("rec", "gram", F.col("t").alias("rt")).agg(F.count("*").alias("r"))
-    rare = places.withColumn("n", F.sum("r").over(Window.partitionBy("rec", "gram"))).where(F.col("n") <= max_freq)
-    clips = clip_grams.groupBy("clip", "gram", F.col("t").alias("ct")).agg(F.count("*").alias("c"))
-    joined = clips.join(rare.select("rec", "gram", "rt", "r"), "gram")
-    return joined.groupBy("clip", "rec", (F.bround((F.col("rt") - F.col("ct")) / bin_s).cast("long") * bin_s).alias("offset_s")).agg(F.sum(F.col("c") * F.col("r")).alias("votes"))
-
-
-def best_offset(votes: DataFrame, bin_s: int = 5, min_votes: int = 40) -> DataFrame:
-    """Per clip the recording and offset with the most votes within one bin to either side (ties to the lesser); few votes are low confidence."""
-    near = F.sum("votes").over(Window.partitionBy("clip", "rec").orderBy("offset_s").rangeBetween(-bin_s, bin_s))
-    best = Window.partitionBy("clip").orderBy(F.desc("smooth"), "rec", "offset_s")
-    return votes.withColumn("smooth", near).withColumn("at", F.row_number().over(best)).where("at = 1").select("clip", "rec", "offset_s", F.col("smooth").alias("votes"), (F.col("smooth") < min_votes).alias("low_confidence"))
-
-
 def suspect_tokens(tokens: DataFrame, known: list[DataFrame], min_len: int = 4) -> DataFrame:
     """Tokens (token, seg) of some length that are in none of the ``known`` vocabularies (token), with first segment and count."""
     left = tokens.where(F.length("token") >= min_len)

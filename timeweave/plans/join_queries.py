@@ -89,16 +89,9 @@ def _clips(spark, d):
     return g.where("conv_id % 2 = 0").withColumnRenamed("conv_id", "clip"), g.where("conv_id % 2 = 1").withColumnRenamed("conv_id", "rec")
 
 
-def _votes(spark, d):
-    grams = J.char_grams(segments(spark, d), ["conv_id", "start_s"], "text")
-    clips = grams.where("conv_id % 2 = 0").select(F.col("conv_id").alias("clip"), F.col("start_s").alias("t"), "gram")
-    recs = grams.where("conv_id % 2 = 1").select(F.col("conv_id").alias("rec"), F.col("start_s").alias("t"), "gram")
-    return J.offset_votes(clips, recs)
-
-
 @query("j7_offset_votes", f"with {GRAMS} select * from vote")
 def _j7(spark, d):
-    return _votes(spark, d)
+    return offsets.offset_votes(*_clips(spark, d))
 
 
 @query("a4_best_offset", f"""with {GRAMS}, s as (select *, cast(sum(votes) over (partition by clip, rec order by offset_s range between 5 preceding and 5 following) as bigint) as smooth from vote)
